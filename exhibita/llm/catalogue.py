@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import decontaminate, sharding, simhash
+from . import decontaminate, mixing, sharding, simhash, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
+    "op3_mixing": mixing.op3_mixing,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op6_simhash": simhash.op6_simhash,
     "op7_sharding": sharding.op7_sharding,
 }
 ORACLES = {
+    "op3_mixing": mixing.ORACLE,
     "op4_decontaminate": decontaminate.ORACLE,
 }
