@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, sharding, simhash, toxicity
+from . import decontaminate, mixing, repeats, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op6_simhash": simhash.op6_simhash,
     "op7_sharding": sharding.op7_sharding,
+    "op9_repeats": repeats.op9_repeats,
 }
 ORACLES = {
     "op3_mixing": mixing.ORACLE,
