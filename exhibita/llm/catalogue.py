@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, repeats, sharding, simhash, toxicity
+from . import decontaminate, mixing, repeats, sharding, simhash, toxicity, wrappers
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -10,9 +10,11 @@ QUERIES = {
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op6_simhash": simhash.op6_simhash,
     "op7_sharding": sharding.op7_sharding,
+    "op8_main_text": wrappers.op8_main_text,
     "op9_repeats": repeats.op9_repeats,
 }
 ORACLES = {
     "op3_mixing": mixing.ORACLE,
     "op4_decontaminate": decontaminate.ORACLE,
+    "op8_main_text": wrappers.ORACLE,
 }
