@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, repeats, sharding, simhash, toxicity, wrappers
+from . import decontaminate, mixing, repeats, sharding, simhash, tokens, toxicity, wrappers
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -12,6 +12,7 @@ QUERIES = {
     "op7_sharding": sharding.op7_sharding,
     "op8_main_text": wrappers.op8_main_text,
     "op9_repeats": repeats.op9_repeats,
+    "op10_tokens": tokens.op10_tokens,
 }
 ORACLES = {
     "op3_mixing": mixing.ORACLE,
