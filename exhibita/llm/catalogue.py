@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, repeats, sharding, simhash, tokens, toxicity, wrappers
+from . import decontaminate, mixing, repeats, sharding, simhash, tokens, toolcalls, toxicity, wrappers
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
+    "op2_tool_calls": toolcalls.op2_tool_calls,
     "op3_mixing": mixing.op3_mixing,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op6_simhash": simhash.op6_simhash,
@@ -15,6 +16,7 @@ QUERIES = {
     "op10_tokens": tokens.op10_tokens,
 }
 ORACLES = {
+    "op2_tool_calls": toolcalls.ORACLE,
     "op3_mixing": mixing.ORACLE,
     "op4_decontaminate": decontaminate.ORACLE,
     "op8_main_text": wrappers.ORACLE,
