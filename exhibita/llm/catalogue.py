@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, repeats, sharding, simhash, tokens, toolcalls, toxicity, wrappers
+from . import audioprint, decontaminate, mixing, repeats, sharding, simhash, tokens, toolcalls, toxicity, wrappers
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_tool_calls": toolcalls.op2_tool_calls,
     "op3_mixing": mixing.op3_mixing,
     "op4_decontaminate": decontaminate.op4_decontaminate,
+    "op5_audio_align": audioprint.op5_audio_align,
     "op6_simhash": simhash.op6_simhash,
     "op7_sharding": sharding.op7_sharding,
     "op8_main_text": wrappers.op8_main_text,
