@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import filings, texts
+
+QUERIES: dict = filings.QUERIES | texts.QUERIES
+ORACLES: dict = filings.ORACLES | texts.ORACLES
