@@ -118,7 +118,7 @@ def prose(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LINE = """concat(CASE turn % 5 WHEN 0 THEN '(a)  ' WHEN 1 THEN '-   ' WHEN 2 THEN concat('  ', chr(8226), ' ') WHEN 3 THEN '(iv) ' ELSE '' END, coalesce(text, ''),
   CASE WHEN turn % 3 = 0 THEN concat('  ', chr(9), 'end ') ELSE chr(13) END)"""
 LISTS = (
-    "lists AS (SELECT item_id, array_to_string(l, CASE WHEN item_id % 3 = 0 THEN chr(10) || chr(10) || chr(10) || chr(10) ELSE chr(10) END) AS text"
+    "lists AS (SELECT item_id, CASE WHEN item_id % 3 = 0 THEN array_to_string(l, chr(10) || chr(10) || chr(10) || chr(10)) ELSE array_to_string(l, chr(10)) END AS text"
     " FROM (SELECT conv_id AS item_id, list(" + _LINE + " ORDER BY turn) AS l FROM conversations GROUP BY conv_id))"
 )
 
