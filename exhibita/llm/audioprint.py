@@ -26,6 +26,8 @@ SPAN = 16
 LOW, HIGH = 60.0, 3520.0
 #: A filter's value beyond this sets the second bit.
 STEP = 0.35
+#: Uncertain bits of a query's integer that are tried both ways.
+FLIPS = 1
 #: Of the overlap's bits, the share that may differ, and the least number of integers in the overlap.
 MAX_ERROR, LEAST_OVERLAP = 0.2, 16
 QUERY_STEP = 50
@@ -63,12 +65,15 @@ def chroma(samples: np.ndarray, rate: int) -> np.ndarray:
     return np.concatenate(parts)
 
 
-def fingerprint(samples: np.ndarray, rate: int) -> np.ndarray:
-    """The packed integers of a recording, unsigned; none for one of fewer than ``SPAN`` frames."""
+def fingerprint(samples: np.ndarray, rate: int) -> tuple[np.ndarray, np.ndarray]:
+    """The packed integers of a recording, unsigned, and for each its ``FLIPS`` least certain bits as masks.
+
+    A recording of fewer than ``SPAN`` frames has none.
+    """
     image = chroma(samples, rate)
     n = len(image) - SPAN + 1
     if n < 1:
-        return np.zeros(0, np.uint32)
+        return np.zeros(0, np.uint32), np.zeros((0, FLIPS), np.uint32)
     total = np.zeros((len(image) + 1, 13))
     total[1:, 1:] = image.cumsum(0).cumsum(1)
     t = np.arange(n)
@@ -77,7 +82,8 @@ def fingerprint(samples: np.ndarray, rate: int) -> np.ndarray:
         return total[t + t1, y1] - total[t + t0, y1] - total[t + t1, y0] + total[t + t0, y0]
 
     out = np.zeros(n, np.uint32)
-    for kind, y, h, x, w in FILTERS:
+    margins, masks = np.zeros((n, len(FILTERS))), np.zeros((n, len(FILTERS)), np.uint32)
+    for k, (kind, y, h, x, w) in enumerate(FILTERS):
         if kind == 0:  # upper against lower half
             a, b = area(x, x + w, y, y + h // 2), area(x, x + w, y + (h + 1) // 2, y + h)
         elif kind == 1:  # earlier against later half
@@ -86,10 +92,23 @@ def fingerprint(samples: np.ndarray, rate: int) -> np.ndarray:
             a = area(x, x + w, y + h // 3, y + 2 * h // 3 + (h < 3))
             b = (area(x, x + w, y, y + h) - a) / 2
         value = np.log((a + 0.01) / (b + 0.01))
-        # two bits, one step apart at most between neighbouring values
+        # two bits; neighbouring levels differ in one of them
+        steps = np.abs(value[:, None] - np.array([-STEP, 0, STEP]))
         level = (value > -STEP).astype(np.uint32) + (value > 0) + (value > STEP)
         out = (out << np.uint32(2)) | (level ^ (level >> np.uint32(1))).astype(np.uint32)
-    return out
+        margins[:, k] = steps.min(1)
+        place = np.uint32(2 * (len(FILTERS) - 1 - k))
+        masks[:, k] = np.where(steps.argmin(1) == 1, np.uint32(2), np.uint32(1)) << place
+    least = np.argsort(margins, axis=1, kind="stable")[:, :FLIPS]
+    return out, np.take_along_axis(masks, least, 1)
+
+
+def probes(ints: np.ndarray, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and integers to look up: each integer with every subset of its uncertain bits flipped."""
+    found = ints[:, None]
+    for k in range(masks.shape[1]):
+        found = np.concatenate((found, found ^ masks[:, k : k + 1]), axis=1)
+    return np.repeat(np.arange(len(ints)), found.shape[1]), found.ravel()
 
 
 def decode(audio: bytes | None) -> tuple[np.ndarray, int]:
@@ -145,17 +164,29 @@ def with_audio(vectors: DataFrame, vector: str = "embedding", key: str = "vec_id
     return rows.mapInArrow(make, f"key {kind}, audio binary").withColumnRenamed("key", key)
 
 
-def fingerprints(media: DataFrame, audio: str = "audio", keep: list[str] | None = None) -> DataFrame:
-    """``media`` with ``print``, the packed integers (as signed ints) of each recording; empty where there is none."""
-    base = without(media, "print")
+def fingerprints(media: DataFrame, audio: str = "audio", keep: list[str] | None = None, probing: bool = False) -> DataFrame:
+    """``media`` with ``print``, the packed integers (as signed ints) of each recording; empty where there is none.
+
+    With ``probing`` also ``probe_at`` and ``probe``: what a query looks up, see ``probes``.
+    """
+    new = ["print", *(["probe_at", "probe"] if probing else [])]
+    base = without(media, *new)
     kept = [c for c in base.columns if (c != audio if keep is None else c in keep)]
     rows = base.select(*kept, F.col(audio).alias("_audio"))
-    schema = rows.drop("_audio").withColumn("print", F.array().cast("array<int>")).schema
+    schema = rows.drop("_audio").withColumns({c: F.array().cast("array<int>") for c in new}).schema
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [fingerprint(*decode(x.as_py())).view(np.int32).tolist() for x in batch.column("_audio")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(prints, pa.list_(pa.int32()))], names=[*kept, "print"])
+            made: list[list] = [[] for _ in new]
+            for x in batch.column("_audio"):
+                ints, masks = fingerprint(*decode(x.as_py()))
+                made[0].append(ints.view(np.int32))
+                if probing:
+                    at, found = probes(ints, masks)
+                    made[1].append(at.astype(np.int32))
+                    made[2].append(found.view(np.int32))
+            arrays = [pa.array(m, pa.list_(pa.int32())) for m in made]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *arrays], names=[*kept, *new])
 
     return rows.mapInArrow(score, schema)
 
@@ -163,32 +194,38 @@ def fingerprints(media: DataFrame, audio: str = "audio", keep: list[str] | None
 def aligned(prints: DataFrame, queries: DataFrame, key: str, max_error: float = MAX_ERROR, least: int = LEAST_OVERLAP) -> DataFrame:
     """``(query, other, offset, error)`` for the recordings ``(key, print)`` that align with a query recording.
 
-    Candidates share an integer; ``offset`` is the most frequent difference of positions of shared integers (on
-    ties the smallest in size, then the negative one), ``error`` the share of differing bits over the overlap
-    there. A recording is not aligned with itself. Recordings that share no integer with a query are not found:
-    tests hold the recall against brute force. Empty prints align with nothing.
+    ``queries`` has ``probe_at`` and ``probe`` too. Candidates share a probed integer; ``offset`` is the most
+    frequent difference of positions of shared integers (on ties the one with fewest differing bits), ``error`` the
+    share of differing bits over the overlap there. A recording is not aligned with itself. Recordings that share
+    nothing with a query are not found: tests hold the recall against brute force. Empty prints align with nothing.
     """
     q = queries.select(F.col(key).alias("query"), F.col("print").alias("qp")).where("query IS NOT NULL")
     o = prints.select(F.col(key).alias("other"), F.col("print").alias("op")).where("other IS NOT NULL")
-    left = q.select("query", F.posexplode("qp").alias("i", "x"))
+    looked = queries.where(F.col(key).isNotNull()).select(F.col(key).alias("query"), F.explode(F.arrays_zip("probe_at", "probe")).alias("p"))
+    left = looked.select("query", F.col("p.probe_at").alias("i"), F.col("p.probe").alias("x"))
     right = o.select("other", F.posexplode("op").alias("j", "x"))
     shared = left.join(right, "x").where("query <> other").groupBy("query", "other", (F.col("i") - F.col("j")).alias("offset"))
     histogram = shared.agg(F.count("*").alias("n"))
-    rank = F.struct(F.col("n"), -F.abs("offset"), -F.col("offset"))
-    best = histogram.groupBy("query", "other").agg(F.max_by("offset", rank).alias("offset"))
-    both = best.join(q, "query").join(o, "other")
+    # a pair's bins are bounded by the lengths of its two recordings
+    bins = histogram.groupBy("query", "other").agg(F.collect_list(F.struct("n", "offset")).alias("bins"))
+    top = F.filter("bins", lambda b: b["n"] == F.array_max("bins.n"))
+    peaks = bins.select("query", "other", F.explode(top).alias("b")).select("query", "other", F.col("b.offset").alias("offset"))
+    both = peaks.join(q, "query").join(o, "other")
     first, last = F.greatest(F.col("offset"), F.lit(0)), F.least(F.size("qp"), F.size("op") + F.col("offset"))
-    over = F.expr("zip_with(slice(qp, first + 1, n), slice(op, first - offset + 1, n), (a, b) -> bit_count((a ^ b)))")
+    over = F.expr("zip_with(slice(qp, first + 1, n), slice(op, first - offset + 1, n), (a, b) -> bit_count(CAST(a ^ b AS BIGINT) & 4294967295L))")
     both = both.withColumn("first", first).withColumn("n", last - F.col("first")).where(F.col("n") >= least)
     error = F.aggregate(over, F.lit(0), lambda s, x: s + x) / (32.0 * F.col("n"))
-    return both.withColumn("error", error).where(F.col("error") <= max_error).select("query", "other", "offset", "error")
+    found = both.withColumn("error", error).where(F.col("error") <= max_error)
+    best = found.groupBy("query", "other").agg(F.min(F.struct("error", F.abs("offset").alias("size"), "offset")).alias("b"))
+    return best.select("query", "other", F.col("b.offset").alias("offset"), F.col("b.error").alias("error"))
 
 
 def op5_audio_align(spark, sf_dir: str) -> DataFrame:
     """For every recording whose id is divisible by 50: how many others align with it, and which one does best."""
     recordings = with_audio(table(spark, sf_dir, "embeddings"))
     prints = written(fingerprints(recordings, keep=["vec_id"]))
-    queries = prints.where(F.col("vec_id") % QUERY_STEP == 0)
+    asked = with_audio(table(spark, sf_dir, "embeddings").where(F.col("vec_id") % QUERY_STEP == 0))
+    queries = written(fingerprints(asked, keep=["vec_id"], probing=True))
     found = aligned(prints, queries, "vec_id")
     best = F.min(F.struct("error", "other", "offset")).alias("b")
     counted = found.groupBy(F.col("query").alias("vec_id")).agg(F.count("*").alias("n_aligned"), best)
