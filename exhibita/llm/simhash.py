@@ -91,6 +91,17 @@ def links(distinct_fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     return balls.select(F.explode("fps").alias("u"), F.array_min("fps").alias("v")).where("u <> v").distinct()
 
 
+def _rooted(fps: DataFrame) -> DataFrame:
+    """``fps`` (with ``fp`` and ``_key``) with the component's ``root`` fingerprint and its smallest key."""
+    # equal fingerprints are one node, so copies cost nothing further on
+    classes = fps.groupBy("fp").agg(F.min("_key").alias("low"))
+    roots = connected_components(links(classes.select("fp")))
+    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    rooted = rooted.select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    low = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+    return fps.join(rooted.join(low, "root").select("fp", "root", "component_id"), "fp")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, fp, component_id)`` for every row of ``docs``.
 
@@ -99,27 +110,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     key counts only where no other key is in the component. An empty table gives an empty result.
     """
     fps = written(fingerprints(docs, text, [key]).withColumnRenamed(key, "_key"))
-    # equal fingerprints are one node, so copies cost nothing further on
-    classes = fps.groupBy("fp").agg(F.min("_key").alias("low"))
-    roots = connected_components(links(classes.select("fp")))
-    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    rooted = rooted.select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    low = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.join(low, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select(F.col("_key").alias(key), "fp", "component_id")
+    return _rooted(fps).select(F.col("_key").alias(key), "fp", "component_id")
 
 
 def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each near-duplicate component: the one with the smallest key.
 
-    Rows without a key cannot be told apart and are kept. Where several rows share the smallest key, the first
-    by text stays.
+    Rows without a key cannot be told apart and are kept. Where rows with different texts share the smallest key,
+    the one with the lowest hash stays; of repeated rows one stays.
     """
-    found = near_duplicates(docs.where(F.col(key).isNotNull()), key, text)
-    kept = found.where(F.col(key) == F.col("component_id")).select(key).distinct()
-    first = docs.join(kept, key, "left_semi").withColumn("_digest", F.xxhash64(*docs.columns))
-    best = first.groupBy(key).agg(F.min("_digest").alias("_digest"))
-    one = first.join(best, [key, "_digest"], "left_semi").dropDuplicates([key]).select(*docs.columns)
+    whole = docs.where(F.col(key).isNotNull()).withColumn("_digest", F.xxhash64(*docs.columns))
+    fps = written(fingerprints(whole, text, [key, "_digest"]).withColumnRenamed(key, "_key"))
+    best = _rooted(fps).groupBy("root").agg(F.min(F.struct("_key", "_digest")).alias("b"))
+    best = best.select(F.col("b._key").alias(key), F.col("b._digest").alias("_digest"))
+    # the join has dealt the rows out by the columns that repeated rows agree on
+    one = whole.join(best, [key, "_digest"], "left_semi").dropDuplicates([key, "_digest"]).select(*docs.columns)
     return one.union(docs.where(F.col(key).isNull()))
 
 
