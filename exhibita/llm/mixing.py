@@ -37,16 +37,16 @@ def rates(docs: DataFrame, weights: dict[str, float], default: float = 1.0, sour
     default weight; a source whose texts are all empty or null counts one byte a row.
     """
     size = F.coalesce(F.length(F.col(text).cast("binary")), F.lit(0)).cast("long") + 1
-    sizes = docs.groupBy(F.col(source).alias("_source")).agg(F.sum(size).alias("_bytes"))
+    sizes = written(docs.groupBy(F.col(source).alias("_source")).agg(F.sum(size).alias("_bytes")))
     weight = F.lit(float(default))
     for name, value in weights.items():
         weight = F.when(F.col("_source") == name, F.lit(float(value))).otherwise(weight)
     sizes = sizes.withColumn("_weight", weight)
-    total = sizes.agg(F.sum("_bytes").alias("_all"), F.sum("_weight").alias("_weights"))
-    # one row of totals
-    return sizes.join(F.broadcast(total)).select(
-        "_source", F.expr("if(_weight <= 0 OR _weights <= 0, 0D, (_weight / _weights) * _all / _bytes)").alias("_rate")
-    )
+    everything, weighed = sizes.agg(F.sum("_bytes"), F.sum("_weight")).first()
+    if not everything or not weighed:
+        return sizes.select("_source", F.lit(0.0).alias("_rate"))
+    share = F.greatest("_weight", F.lit(0.0)) / F.lit(float(weighed))
+    return sizes.select("_source", (share * F.lit(float(everything)) / F.col("_bytes")).alias("_rate"))
 
 
 def replicate(
@@ -66,7 +66,7 @@ def replicate(
     """
     base = without(docs, *COLUMNS)
     names = base.columns
-    table_of_rates = written(rates(base, weights, default, source, text)).withColumn(
+    table_of_rates = rates(base, weights, default, source, text).withColumn(
         "_parts", F.greatest(F.lit(1), F.ceil(F.col("_rate") / MEAN)).cast("int")
     )
     step = "named_struct('p', s.p * (_rate / _parts) / k, 'c', concat(s.c, array(element_at(s.c, -1) + s.p * (_rate / _parts) / k)))"
