@@ -35,6 +35,8 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: A name such as ``with-sidebar`` says what stands beside an element, not what it is.
+_BESIDE = re.compile(r"\b(?:has|with|without|no|hide)[-_][\w-]+", re.I)
 
 #: Elements without an end tag.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -75,7 +77,7 @@ def _label(tag: str, attributes: str) -> str:
             if name.lower() == "hidden" and value.lower() != "until-found" or value.lower() == "true":
                 words.add("dialog")
         else:
-            words.update(w.lower() for w in _WORD.findall(value))
+            words.update(w.lower() for w in _WORD.findall(_BESIDE.sub("", value)))
     if tag in _AROUND_TAGS or words & _AROUND_WORDS and tag not in ("html", "body", "article", "main"):
         return f"{tag}!"
     if tag == "article" and words & {"comment", "comments", "related", "promo", "ad", "sponsored", "teaser"}:
