@@ -166,6 +166,12 @@ def test_expression_has_optional_and_repeated_groups():
     assert wrappers.expression(pairs) == "<dl> (<dt> TEXT </dt> <dd> TEXT </dd>)+ </dl>"
 
 
+def test_names_of_what_stands_beside_do_not_count():
+    page = '<div class="page has-sidebar"><div class="content with-comments">text</div><div class="sidebar">s</div></div>'
+    found = [(p, 10.0, 0.0) for p in wrappers.slots(wrappers.tree(page))]
+    assert wrappers.extract(page, frozenset(wrappers.article_slots(found))) == "text"
+
+
 def test_without_article_the_longest_container_counts():
     page = '<div class="menu"><a>x</a></div><div class="wrap"><div id="left-sidebar">s</div><div class="txt"><h2>T</h2><p>para one</p><p>para two</div></div><div class=footer>c</div>'
     found = [(p, 10.0, 0.0) for p in wrappers.slots(wrappers.tree(page))]

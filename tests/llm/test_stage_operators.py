@@ -141,6 +141,8 @@ def test_near_duplicates_and_survivors(spark):
     assert Counter(got) == Counter((i, fps[i], expected[i]) for i, _, _ in rows)
     kept = simhash.keep_one_of_each(docs(spark, rows))
     assert sorted(r[0] for r in kept.collect()) == sorted(set(expected.values())) and kept.columns == df.columns[:5]
+    twice = simhash.keep_one_of_each(docs(spark, [(1, long, "s"), (1, "quite another text", "s"), (1, long, "s"), (None, long, "s")]))
+    assert Counter(r["text"] for r in twice.collect()) == Counter([long, "quite another text", long])
     assert simhash.near_duplicates(df.limit(0)).count() == 0 and simhash.keep_one_of_each(docs(spark, [])).count() == 0
 
 
