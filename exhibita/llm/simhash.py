@@ -8,6 +8,10 @@ table: every such pair collides. Fingerprints that collide nowhere are alone.
 The exact check of the others needs no pairs either: fingerprints at 2 or fewer differing bits are exactly those
 that lie together in a ball of radius 1 around some 64-bit centre. A ball holds 65 fingerprints at most, all
 linked with one another, so linking each to the smallest in the ball loses nothing and has a fixed bound.
+
+``keep_one_of_each`` finds near copies in the usual sense, by a share of equal five-word shingles. Such copies lie
+further apart, so it takes fingerprints of the distinct words, which move little under small edits, a radius of 6,
+and holds the candidates against their shingles.
 """
 
 from __future__ import annotations
@@ -26,6 +30,10 @@ from .components import connected_components
 SHINGLE = 3
 RADIUS = 2
 SEED = 42
+#: For near copies: radius, words in a shingle, least share of equal shingles, and hashes that stand for a text.
+COPY_RADIUS, COPY_SHINGLE, COPY_SHARE, COPY_HASHES = 6, 5, 0.8, 1024
+#: Members of a bucket that the others are held against.
+PIVOTS = 3
 #: Shingles whose hashes are held at once.
 PIECE = 1 << 16
 
@@ -51,6 +59,32 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(votes * 2 > n).tobytes(), "big")
 
 
+def _hashed(parts: Iterator[bytes]) -> np.ndarray:
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(x, SEED) for x in parts], np.uint64))
+
+
+def word_fingerprint(text: bytes | None) -> int:
+    """The 64-bit SimHash of a text's distinct words, unsigned; zero where there are no words."""
+    hashes = _hashed(iter(set(text.translate(_LOWER).split()))) if text else np.zeros(0, np.uint64)
+    votes = np.zeros(64, np.int64)
+    for k in range(0, len(hashes), PIECE):
+        part = hashes[k : k + PIECE].astype(">u8")
+        votes += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(votes * 2 > len(hashes)).tobytes(), "big")
+
+
+def shingle_hashes(text: bytes | None, shingle: int = COPY_SHINGLE, most: int = COPY_HASHES) -> np.ndarray:
+    """The ``most`` lowest hashes of a text's distinct shingles, in order: all of them for most texts."""
+    found = text.translate(_LOWER).split() if text else []
+    n = max(1, len(found) - shingle + 1) if found else 0
+    low = np.zeros(0, np.uint64)
+    for k in range(0, n, PIECE):
+        part = _hashed(b" ".join(found[i : i + shingle]) for i in range(k, min(n, k + PIECE)))
+        low = np.unique(np.concatenate((low, part)))[:most]
+    return low
+
+
 def covering_masks(radius: int = RADIUS, bits: int = 64) -> list[int]:
     """The ``2 ** (radius + 1) - 1`` masks, as signed integers of ``bits`` bits."""
     size = 1 << (radius + 1)
@@ -59,7 +93,7 @@ def covering_masks(radius: int = RADIUS, bits: int = 64) -> list[int]:
     return [m - (1 << bits) if m >> (bits - 1) else m for m in masks]
 
 
-def fingerprints(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def fingerprints(docs: DataFrame, text: str = "text", keep: list[str] | None = None, of=fingerprint) -> DataFrame:
     """``docs`` with ``fp``, the SimHash as a signed long. Null and empty texts get 0."""
     base = without(docs, "fp")
     kept = [c for c in base.columns if keep is None or c in keep]
@@ -68,7 +102,7 @@ def fingerprints(docs: DataFrame, text: str = "text", keep: list[str] | None = N
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(x.as_py()) for x in batch.column("_fp_text")]
+            fps = [of(x.as_py()) for x in batch.column("_fp_text")]
             columns = [*(batch.column(c) for c in kept), pa.array(np.array(fps, np.uint64).view(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, "fp"])
 
@@ -91,37 +125,84 @@ def links(distinct_fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     return balls.select(F.explode("fps").alias("u"), F.array_min("fps").alias("v")).where("u <> v").distinct()
 
 
-def _rooted(fps: DataFrame) -> DataFrame:
-    """``fps`` (with ``fp`` and ``_key``) with the component's ``root`` fingerprint and its smallest key."""
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(key, fp, component_id)`` for every row of ``docs``.
+
+    ``component_id`` is the smallest key that can be reached over links of 2 or fewer differing bits. Texts
+    without words share fingerprint zero and are linked like any others. Repeated rows keep one row each; a null
+    key counts only where no other key is in the component. An empty table gives an empty result.
+    """
+    fps = written(fingerprints(docs, text, [key]).withColumnRenamed(key, "_key"))
     # equal fingerprints are one node, so copies cost nothing further on
     classes = fps.groupBy("fp").agg(F.min("_key").alias("low"))
     roots = connected_components(links(classes.select("fp")))
     rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     rooted = rooted.select("fp", "low", F.coalesce("root", "fp").alias("root"))
     low = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    return fps.join(rooted.join(low, "root").select("fp", "root", "component_id"), "fp")
+    named = rooted.join(low, "root").select("fp", "component_id")
+    return fps.join(named, "fp").select(F.col("_key").alias(key), "fp", "component_id")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, fp, component_id)`` for every row of ``docs``.
+def copy_links(nodes: DataFrame, texts: DataFrame, radius: int = COPY_RADIUS, share: float = COPY_SHARE) -> DataFrame:
+    """Edges ``(u, v)`` between nodes ``(node, fp)`` whose texts ``(node, text)`` share ``share`` of their shingles.
 
-    ``component_id`` is the smallest key that can be reached over links of 2 or fewer differing bits. Texts
-    without words share fingerprint zero and are linked like any others. Repeated rows keep one row each; a null
-    key counts only where no other key is in the component. An empty table gives an empty result.
+    Nodes that collide in a covering table are held against ``PIVOTS`` members of their bucket, others in each of
+    the tables; pairs within the radius are then held against their shingles. No bucket is gathered or paired up, so
+    a large group costs as many rows as it has members in each table.
     """
-    fps = written(fingerprints(docs, text, [key]).withColumnRenamed(key, "_key"))
-    return _rooted(fps).select(F.col("_key").alias(key), "fp", "component_id")
+    masks = F.array(*[F.lit(m).cast("long") for m in covering_masks(radius)])
+    tables = nodes.select("node", "fp", F.posexplode(masks).alias("t", "mask"))
+    tables = tables.select("node", "fp", F.xxhash64("t", F.col("fp").bitwiseAND(F.col("mask"))).alias("bucket")).repartition("bucket")
+    own = F.struct("fp", "node")
+    picks = [F.min_by(own, F.xxhash64("node", "bucket", F.lit(k))) for k in range(PIVOTS)]
+    pivots = tables.groupBy("bucket").agg(F.count("*").alias("n"), F.array_distinct(F.array(*picks)).alias("pivots")).where("n > 1")
+    pairs = tables.join(pivots, "bucket").select("node", "fp", F.explode("pivots").alias("p"))
+    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("p.fp"))) <= radius
+    pairs = pairs.where(near).where("node <> p.node")
+    pairs = written(pairs.select(F.greatest("node", "p.node").alias("u"), F.least("node", "p.node").alias("v")).distinct())
+    wanted = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
+    rows = texts.join(wanted, "node", "left_semi").select("node", F.col("text").cast("binary").alias("text"))
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_hashes(x.as_py()).view(np.int64) for x in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.list_(pa.int64()))], names=["node", "h"])
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for a, b in zip(batch.column("a"), batch.column("b"), strict=True):
+                a, b = (np.array(x.values, np.int64).view(np.uint64) for x in (a, b))
+                # the lowest hashes of the union are a fair sample of it, and all of it for most texts
+                union = np.union1d(a, b)[:COPY_HASHES]
+                equal = np.isin(union, np.intersect1d(a, b, assume_unique=True)).sum()
+                kept.append(bool(len(union) == 0 or equal >= share * len(union)))
+            yield batch.select(["u", "v"]).filter(pa.array(kept))
+
+    sketches = written(rows.mapInArrow(sketch, "node long, h array<long>").dropDuplicates(["node"]))
+    both = pairs.join(sketches.select(F.col("node").alias("u"), F.col("h").alias("a")), "u")
+    both = both.join(sketches.select(F.col("node").alias("v"), F.col("h").alias("b")), "v")
+    return both.select("u", "v", "a", "b").mapInArrow(judge, "u long, v long")
 
 
 def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each near-duplicate component: the one with the smallest key.
+    """``docs`` with one row of each group of equal texts and near copies: the one with the smallest key.
 
-    Rows without a key cannot be told apart and are kept. Where rows with different texts share the smallest key,
-    the one with the lowest hash stays; of repeated rows one stays.
+    Near copies share at least ``COPY_SHARE`` of their five-word shingles (of the 1,024 lowest hashes of both, for
+    texts with more); groups are the components over such links. Null and empty texts are equal. Rows without a key
+    cannot be told apart and are kept. Where rows with different texts share the smallest key, the one with the
+    lowest hash stays; of repeated rows one stays. An empty table stays empty.
     """
-    whole = docs.where(F.col(key).isNotNull()).withColumn("_digest", F.xxhash64(*docs.columns))
-    fps = written(fingerprints(whole, text, [key, "_digest"]).withColumnRenamed(key, "_key"))
-    best = _rooted(fps).groupBy("root").agg(F.min(F.struct("_key", "_digest")).alias("b"))
+    # the digest of the whole row tells rows with one key apart, that of the text makes equal texts one node
+    node = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    whole = docs.where(F.col(key).isNotNull()).withColumn("_digest", F.xxhash64(*docs.columns)).withColumn("_node", node)
+    fps = written(fingerprints(whole, text, [key, "_digest", "_node"], word_fingerprint).withColumnRenamed(key, "_key"))
+    nodes = fps.groupBy("_node").agg(F.first("fp").alias("fp"), F.min(F.struct("_key", "_digest")).alias("low"))
+    nodes = written(nodes.withColumnRenamed("_node", "node"))
+    firsts = whole.join(nodes.select(F.col("low._key").alias(key), F.col("low._digest").alias("_digest")), [key, "_digest"], "left_semi")
+    texts = firsts.select(F.col("_node").alias("node"), F.col(text).alias("text"))
+    roots = connected_components(copy_links(nodes.select("node", "fp"), texts))
+    best = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("low").alias("b"))
     best = best.select(F.col("b._key").alias(key), F.col("b._digest").alias("_digest"))
     # the join has dealt the rows out by the columns that repeated rows agree on
     one = whole.join(best, [key, "_digest"], "left_semi").dropDuplicates([key, "_digest"]).select(*docs.columns)
