@@ -1,7 +1,7 @@
 """Anchors: numbered tables, bullets and sentences of a text with exact code-point spans.
 
 Everything is rows and running sums over windows of one item. Items are dealt out once; all windows partition by the
-item, so they reuse that and only sort.
+item, so they reuse that and only sort. What a later step needs of a text goes along with its pieces; nothing is joined.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import ABBREVIATIONS, SENTENCE_END, SPACE, TABLE, is_blank, is_bullet, strip
 
+#: What tells the units of an item apart.
+KEY = ["seg", "block", "kind"]
 #: A block that is one sentence of more characters is cut once.
 LONG = 400
 #: A sentence of fewer characters joins the one before.
@@ -54,38 +56,50 @@ def table_spans(texts: DataFrame, item: str = "item_id", text: str = "text") ->
     return segments(texts, item, text).where("is_table").select(item, F.col("seg_start").alias("start"), end)
 
 
-def blocks(segs: DataFrame, item: str = "item_id") -> DataFrame:
-    """``(item, seg, block, start, end, block_text)`` of the blocks between tables; blank ones are left out."""
-    rows = segs.where("NOT is_table").select(item, "seg", "seg_start", F.posexplode(F.split("seg_text", "\n\n", -1)).alias("block", "part"))
-    offset = _sum(F.length("part") + 2, _before(["block"], [item, "seg"]))
-    rows = rows.withColumn("offset", F.col("seg_start") + offset)
-    inner = F.regexp_replace("part", "^\n+|\n+$", "")
-    rows = rows.withColumn("start", F.col("offset") + _left(F.col("part"), "\n")).withColumn("block_text", inner)
-    rows = rows.where(~is_blank(F.col("block_text")))
-    return rows.select(item, "seg", "block", "start", (F.col("start") + F.length("block_text")).alias("end"), "block_text")
-
+def units(segs: DataFrame, item: str = "item_id") -> DataFrame:
+    """``(item, seg, block, kind, start, end, block_text, halves)``: tables, and the blocks between them.
 
-def with_list_flag(found: DataFrame) -> DataFrame:
-    """Blocks with ``is_list``: two bullet lines or more, and more than half of all lines."""
+    ``kind`` is ``table``, ``bullet`` for a block of which two lines or more, and more than half, are list items, or
+    ``sentence``. Blank blocks are left out. ``halves`` are the spans of a long block's halves, see ``long_blocks``.
+    """
+    parts = F.when(F.col("is_table"), F.array("seg_text")).otherwise(F.split("seg_text", "\n\n", -1))
+    rows = segs.select(item, "seg", "seg_start", "is_table", F.posexplode(parts).alias("block", "part"))
+    offset = F.col("seg_start") + _sum(F.length("part") + 2, _before(["block"], [item, "seg"]))
+    rows = rows.select(
+        item, "seg", "block", "is_table", (offset + _left(F.col("part"), "\n")).alias("start"), F.regexp_replace("part", "^\n+|\n+$", "").alias("block_text")
+    )
+    rows = rows.where(~is_blank(F.col("block_text")))
     lines = F.split("block_text", "\n")
-    bullets = F.size(F.filter(lines, is_bullet))
-    return found.withColumn("is_list", (bullets >= 2) & (bullets * 2 > F.size(lines)))
+    items = F.size(F.filter(lines, is_bullet))
+    kind = F.when(F.col("is_table"), "table").when((items >= 2) & (items * 2 > F.size(lines)), "bullet").otherwise("sentence")
+    rows = rows.select(item, "seg", "block", kind.alias("kind"), "start", (F.col("start") + F.length("block_text")).alias("end"), "block_text")
+    return rows.withColumn("halves", F.when(F.col("kind") == "sentence", _halves(F.col("block_text"), F.col("start"))))
 
 
-def bullets(found: DataFrame, item: str = "item_id") -> DataFrame:
-    """``(item, seg, block, start, end)`` of the bullets of list blocks: each bullet line with the lines up to the next."""
-    key = [item, "seg", "block"]
-    rows = found.where("is_list").select(*key, "start", F.posexplode(F.split("block_text", "\n")).alias("line", "line_text"))
-    rows = rows.withColumn("from", F.col("start") + _sum(F.length("line_text") + 1, _before(["line"], key)))
-    rows = rows.withColumn("group", _sum(is_bullet(F.col("line_text")).cast("int"), _upto(["line"], key)))
-    return rows.groupBy(*key, "group").agg(F.min("from").alias("start"), F.max(F.col("from") + F.length("line_text")).alias("end")).drop("group")
+def _halves(text: Column, start: Column) -> Column:
+    """The spans of a long block's two halves, cut at the first mark with white space after it; null for others."""
+    halves = F.split(text, rf"(?U)(?<=[.!?]){SPACE}+", 2)
+    lead, whole = _left(text, SPACE), F.length(strip(text))
+    span = lambda a, b: F.struct(a.cast("int").alias("start"), b.cast("int").alias("end"))
+    both = F.array(
+        span(start + lead, start + F.length(F.element_at(halves, 1))),
+        span(start + lead + whole - F.length(strip(F.element_at(halves, 2))), start + lead + whole),
+    )
+    return F.when((F.length(text) > LONG) & (F.size(halves) > 1), F.filter(both, lambda x: x["end"] > x["start"]))
 
 
-def sentence_pieces(found: DataFrame, key: list[str], text: str = "block_text", start: str = "start") -> DataFrame:
-    """``(key, piece, piece_start, piece_text)``: a text cut at every possible sentence end; the pieces make it up again."""
-    rows = found.select(*key, F.col(start).alias("_start"), F.posexplode(F.split(text, SENTENCE_END, -1)).alias("piece", "piece_text"))
-    begin = F.col("_start") + _sum(F.length("piece_text"), _before(["piece"], key))
-    return rows.select(*key, "piece", begin.alias("piece_start"), "piece_text")
+def pieces(found: DataFrame, key: list[str]) -> DataFrame:
+    """``(key, piece, piece_start, piece_text, halves)``: units cut at every place where an anchor may begin.
+
+    Prose is cut at every possible sentence end, and its pieces make it up again; lists are cut into lines; a table
+    is one piece. ``halves`` goes along, so that the text is not needed once more.
+    """
+    kind, text = F.col("kind"), F.col("block_text")
+    parts = F.when(kind == "table", F.array(text)).when(kind == "bullet", F.split(text, "\n")).otherwise(F.split(text, SENTENCE_END, -1))
+    rows = found.select(*key, F.col("start").alias("_start"), "halves", F.posexplode(parts).alias("piece", "piece_text"))
+    size = F.length("piece_text") + (kind == "bullet").cast("int")
+    begin = F.col("_start") + _sum(size, _before(["piece"], key))
+    return rows.select(*key, "piece", begin.alias("piece_start"), "piece_text", "halves")
 
 
 def last_word(text: Column) -> Column:
@@ -93,61 +107,44 @@ def last_word(text: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_extract(text, rf"(?U)([^\s\x1c-\x1f]+){SPACE}*$", 1), r"[.!?]+$", ""))
 
 
-def sentences(pieces: DataFrame, key: list[str]) -> DataFrame:
-    """``(key, sentence, start, end)``: pieces joined where the one before ends in an abbreviation.
+def joined(cut: DataFrame, key: list[str]) -> DataFrame:
+    """``(key, sentence, start, end, size, halves)``: pieces joined into sentences and list items.
 
-    The white space before a sentence is not part of it.
+    A sentence does not end after an abbreviation, and the white space before it is not part of it. A list item has
+    the lines up to the next one; lines before the first item stand together. ``size`` counts a sentence's characters
+    without white space at either end.
     """
     window = Window.partitionBy(*key).orderBy("piece")
-    ended = F.lag(last_word(F.col("piece_text"))).over(window)
-    begins = (F.col("piece") == 0) | ~ended.isin(*ABBREVIATIONS)
-    rows = pieces.withColumn("begins", begins.cast("int"))
+    own, at, kind = F.col("piece_text"), F.col("piece_start"), F.col("kind")
+    ended = F.lag(last_word(own)).over(window)
+    begins = F.when(kind == "bullet", is_bullet(own)).otherwise((F.col("piece") == 0) | ~ended.isin(*ABBREVIATIONS))
+    rows = cut.withColumn("begins", begins.cast("int"))
     rows = rows.withColumn("sentence", _sum(F.col("begins"), _upto(["piece"], key)))
-    skip = F.when((F.col("begins") == 1) & (F.col("piece") > 0), _left(F.col("piece_text"), SPACE)).otherwise(0)
-    found = rows.groupBy(*key, "sentence").agg(
-        F.min(F.col("piece_start") + skip).alias("start"), F.max(F.col("piece_start") + F.length("piece_text")).alias("end")
+    lead = F.when((F.col("begins") == 1) & (kind == "sentence"), _left(own, SPACE)).otherwise(0)
+    skip = F.when(F.col("piece") > 0, lead).otherwise(0)
+    tail = F.length(own) - F.length(F.regexp_replace(own, rf"(?U){SPACE}+$", ""))
+    return rows.groupBy(*key, "sentence").agg(
+        F.min(at + skip).cast("int").alias("start"),
+        F.max(at + F.length(own)).cast("int").alias("end"),
+        (F.max(at + F.length(own) - tail) - F.min(at + lead)).alias("size"),
+        F.first("halves").alias("halves"),
     )
-    return found
-
 
-def _cut(found: DataFrame, key: list[str]) -> DataFrame:
-    """Blocks that are a single sentence over LONG characters in two at the first mark with white space after it."""
-    text = F.col("block_text")
-    halves = F.split(text, rf"(?U)(?<=[.!?]){SPACE}+", 2)
-    first, second = F.element_at(halves, 1), F.element_at(halves, 2)
-    lead = _left(text, SPACE)
-    whole = F.length(strip(text))
-    tail = strip(second)
-    split = F.when(
-        F.size(halves) < 2, F.array(F.struct(F.col("start").alias("start"), F.col("end").alias("end")))
-    ).otherwise(
-        F.filter(
-            F.array(
-                F.struct((F.col("start") + lead).alias("start"), (F.col("start") + F.length(first)).alias("end")),
-                F.struct((F.col("start") + lead + whole - F.length(tail)).alias("start"), (F.col("start") + lead + whole).alias("end")),
-            ),
-            lambda x: x["end"] > x["start"],
-        )
-    )
-    return found.select(*key, F.posexplode(split).alias("sentence", "s")).select(*key, "sentence", "s.start", "s.end")
 
+def long_blocks(sents: DataFrame, key: list[str]) -> DataFrame:
+    """``sents`` with the one sentence of a long block replaced by its halves."""
+    alone = F.count("*").over(Window.partitionBy(*key)) == 1
+    rows = sents.withColumn("_cut", alone & F.col("halves").isNotNull() & (F.col("end") - F.col("start") > LONG))
+    spans = F.when(F.col("_cut"), F.col("halves")).otherwise(F.array(F.struct("start", "end")))
+    rows = rows.select(*key, "sentence", "size", "_cut", F.posexplode(spans).alias("half", "s"))
+    size = F.when(F.col("_cut"), F.col("s.end") - F.col("s.start")).otherwise(F.col("size"))
+    return rows.select(*key, (F.col("sentence") + F.col("half")).alias("sentence"), "s.start", "s.end", size.alias("size"))
 
-def long_blocks(found: DataFrame, sents: DataFrame, key: list[str]) -> DataFrame:
-    """``sents`` with the sentences of long single-sentence blocks replaced by their halves."""
-    counted = sents.withColumn("n", F.count("*").over(Window.partitionBy(*key)))
-    long_ = counted.where((F.col("n") == 1) & (F.col("end") - F.col("start") > LONG)).select(*key, F.col("start").alias("_s"), F.col("end").alias("_e"))
-    cut = _cut(found.join(long_, key, "left_semi"), key)
-    rest = counted.where(~((F.col("n") == 1) & (F.col("end") - F.col("start") > LONG))).drop("n")
-    return rest.unionByName(cut.select(*rest.columns))
 
-
-def merge_fragments(sents: DataFrame, found: DataFrame, key: list[str]) -> DataFrame:
+def merge_fragments(sents: DataFrame, key: list[str]) -> DataFrame:
     """``sents`` where one of fewer than SHORT stripped characters joins the one before it in its block."""
-    rows = sents.join(found.select(*key, F.col("start").alias("_b"), "block_text"), key)
-    own = strip(F.substring("block_text", F.col("start") - F.col("_b") + 1, F.col("end") - F.col("start")))
-    rows = rows.select(*key, "sentence", "start", "end", (F.length(own) >= SHORT).cast("int").alias("_own"))
     first = F.row_number().over(Window.partitionBy(*key).orderBy("sentence")) == 1
-    rows = rows.withColumn("_own", F.when(first, 1).otherwise(F.col("_own")))
+    rows = sents.withColumn("_own", F.when(first | (F.col("kind") != "sentence"), 1).otherwise((F.col("size") >= SHORT).cast("int")))
     rows = rows.withColumn("sentence", _sum(F.col("_own"), _upto(["sentence"], key)))
     return rows.groupBy(*key, "sentence").agg(F.min("start").alias("start"), F.max("end").alias("end"))
 
@@ -160,20 +157,10 @@ def numbered(spans: DataFrame, item: str = "item_id") -> DataFrame:
 
 def anchors(texts: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
     """``(item, anchor_id, anchor_type, start, end)`` of every text. Null, empty and blank texts have none."""
-    segs = segments(texts.where(F.col(text).isNotNull()), item, text)
-    key = [item, "seg", "block"]
-    found = with_list_flag(blocks(segs, item))
-    prose = found.where("NOT is_list")
-    sents = sentences(sentence_pieces(prose, key), key)
-    sents = merge_fragments(long_blocks(prose, sents, key), prose, key)
-    end = (F.col("seg_start") + F.length("seg_text")).alias("end")
-    spans = (
-        segs.where("is_table")
-        .select(item, F.lit("table").alias("anchor_type"), F.col("seg_start").alias("start"), end)
-        .unionByName(bullets(found, item).select(item, F.lit("bullet").alias("anchor_type"), "start", "end"))
-        .unionByName(sents.select(item, F.lit("sentence").alias("anchor_type"), "start", "end"))
-    )
-    return numbered(spans, item).select(item, "anchor_id", "anchor_type", F.col("start").cast("int"), F.col("end").cast("int"))
+    key = [item, *KEY]
+    found = units(segments(texts.where(F.col(text).isNotNull()), item, text), item)
+    spans = merge_fragments(long_blocks(joined(pieces(found, key), key), key), key)
+    return numbered(spans, item).select(item, "anchor_id", F.col("kind").alias("anchor_type"), F.col("start").cast("int"), F.col("end").cast("int"))
 
 
 def annotated(found: DataFrame, texts: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:

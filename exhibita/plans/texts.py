@@ -194,10 +194,10 @@ def ascii_table(spark, sf_dir):
 
 
 def _blocks(spark, sf_dir):
-    return A.blocks(A.segments(inputs.prose(spark, sf_dir)))
+    return A.units(A.segments(inputs.prose(spark, sf_dir)))
 
 
-_KEY = ["item_id", "seg", "block"]
+_KEY = ["item_id", *A.KEY]
 
 
 @query("blocks", _SENTENCES + ' SELECT item_id, block, start, "end", md5(block_text) AS block_md5 FROM blocks')
@@ -217,31 +217,29 @@ def block_offsets(spark, sf_dir):
 @query("sentence_split", _SENTENCES + " SELECT item_id, block, piece, piece_start, md5(piece_text) AS piece_md5 FROM pieces")
 def sentence_split(spark, sf_dir):
     """Texts cut at every possible sentence end."""
-    return A.sentence_pieces(_blocks(spark, sf_dir), _KEY).select("item_id", "block", "piece", "piece_start", _md5("piece_text", "piece_md5"))
+    return A.pieces(_blocks(spark, sf_dir), _KEY).select("item_id", "block", "piece", "piece_start", _md5("piece_text", "piece_md5"))
 
 
 @query("sentence_abbrev", _SENTENCES + ' SELECT item_id, block, sentence, start, "end" FROM sents')
 def sentence_abbrev(spark, sf_dir):
     """Sentences that abbreviations do not end."""
-    return A.sentences(A.sentence_pieces(_blocks(spark, sf_dir), _KEY), _KEY).select("item_id", "block", "sentence", "start", "end")
+    return A.joined(A.pieces(_blocks(spark, sf_dir), _KEY), _KEY).select("item_id", "block", "sentence", "start", "end")
 
 
 def _long(spark, sf_dir):
-    found = _blocks(spark, sf_dir)
-    return found, A.long_blocks(found, A.sentences(A.sentence_pieces(found, _KEY), _KEY), _KEY)
+    return A.long_blocks(A.joined(A.pieces(_blocks(spark, sf_dir), _KEY), _KEY), _KEY)
 
 
 @query("long_block_split", _SENTENCES + ' SELECT item_id, block, start, "end" FROM split_')
 def long_block_split(spark, sf_dir):
     """Long blocks of one sentence cut in two."""
-    return _long(spark, sf_dir)[1].select("item_id", "block", F.col("start").cast("int"), F.col("end").cast("int"))
+    return _long(spark, sf_dir).select("item_id", "block", F.col("start").cast("int"), F.col("end").cast("int"))
 
 
 @query("fragment_merge", _SENTENCES + ' SELECT item_id, block, sentence, start, "end" FROM merged')
 def fragment_merge(spark, sf_dir):
     """Short sentences joined with the ones before."""
-    found, sents = _long(spark, sf_dir)
-    return A.merge_fragments(sents, found, _KEY).select("item_id", "block", "sentence", F.col("start").cast("int"), F.col("end").cast("int"))
+    return A.merge_fragments(_long(spark, sf_dir), _KEY).select("item_id", "block", "sentence", F.col("start").cast("int"), F.col("end").cast("int"))
 
 
 _LIST_TEXT = f"WITH {LISTS}, canon AS (SELECT item_id, {_bullets(_paragraphs('text'))} AS text FROM lists)"
@@ -265,7 +263,8 @@ SELECT item_id, CAST(min(s) AS INT) AS start, CAST(max(s + length(line_text)) AS
 def bullet_anchors(spark, sf_dir):
     """Bullets of list blocks."""
     texts = inputs.lists(spark, sf_dir).select("item_id", T.canonical(F.col("text")).alias("text"))
-    return A.bullets(A.with_list_flag(A.blocks(A.segments(texts)))).select("item_id", F.col("start").cast("int"), F.col("end").cast("int"))
+    found = A.units(A.segments(texts)).where("kind = 'bullet'")
+    return A.joined(A.pieces(found, _KEY), _KEY).select("item_id", F.col("start").cast("int"), F.col("end").cast("int"))
 
 
 @query("anchors", _SENTENCES + " SELECT * FROM anchors")
