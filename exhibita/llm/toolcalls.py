@@ -27,29 +27,62 @@ _TYPES = {
 }
 
 
+_ID = ["conv_id", "call_id"]
+
+
+def _tops(single: DataFrame) -> DataFrame:
+    """``(conv_id, call_id, top, dist)`` of calls ``(conv_id, call_id, parent)`` with one parent each.
+
+    ``top`` is the nearest ancestor without a single parent. Each round doubles how far a call sees, so rounds grow
+    with the logarithm of the longest chain. Calls that only lead round in a cycle are left out.
+    """
+    seen = written(single.select(*_ID, F.col("parent").alias("top"), F.lit(1).alias("dist")))
+    before = None
+    while True:
+        further = seen.select("conv_id", F.col("call_id").alias("top"), F.col("top").alias("next"), F.col("dist").alias("more"))
+        found = seen.join(further, ["conv_id", "top"], "left")
+        after = found.where("next IS NOT NULL").count()
+        if not after or after == before:  # in a round without progress only cycles are left
+            return found.where("next IS NULL").select(*_ID, "top", "dist")
+        before = after
+        step = [F.coalesce("next", "top").alias("top"), (F.col("dist") + F.coalesce("more", F.lit(0))).alias("dist")]
+        seen = written(found.select(*_ID, *step))
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """``(conv_id, call_id, level)`` of calls ``(conv_id, call_id, parents)`` in topological order.
 
     A call whose parents are all absent has level 0, any other one more than its highest parent. Calls on a cycle,
     and those that depend on one, have no level. Equal ids in a conversation are one node with the parents of all.
-    The number of joins grows with the longest chain of a conversation; nothing is gathered by conversation.
+    Chains of single parents are seen through by doubling; after that there is a round for each call with several
+    parents on the longest way. Nothing is gathered by conversation.
     """
-    nodes = written(calls.select("conv_id", "call_id").distinct())
-    edges = calls.select("conv_id", "call_id", F.explode("parents").alias("parent")).distinct()
-    edges = edges.join(nodes.withColumnRenamed("call_id", "parent"), ["conv_id", "parent"], "left_semi")
-    edges = written(edges.select("conv_id", "call_id", "parent"))
-    ready = written(nodes.join(edges, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(0)))
-    done, rounds = ready, 0
-    while not edges.isEmpty():
-        rounds += 1
-        parents = ready.select("conv_id", F.col("call_id").alias("parent"))
-        freed = edges.join(parents, ["conv_id", "parent"], "left_semi").select("conv_id", "call_id").distinct()
-        edges = written(edges.join(parents, ["conv_id", "parent"], "left_anti").select("conv_id", "call_id", "parent"))
-        ready = written(freed.join(edges, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(rounds)))
+    nodes = written(calls.select(*_ID).distinct())
+    edges = calls.select(*_ID, F.explode("parents").alias("parent")).distinct()
+    edges = written(edges.join(nodes.withColumnRenamed("call_id", "parent"), ["conv_id", "parent"], "left_semi").select(*_ID, "parent"))
+    several = edges.groupBy(*_ID).agg(F.count("*").alias("n"), F.min("parent").alias("parent"))
+    tops = written(_tops(several.where("n = 1").select(*_ID, "parent")))
+    known = written(nodes.join(edges, _ID, "left_anti").withColumn("level", F.lit(0)))
+    # calls with several parents: each parent stands for the top that it hangs on
+    rest = edges.join(several.where("n > 1").select(*_ID), _ID, "left_semi")
+    hung = tops.select("conv_id", F.col("call_id").alias("parent"), "top", "dist")
+    one = edges.join(several.where("n = 1").select(*_ID), _ID, "left_semi").select("conv_id", F.col("call_id").alias("parent"), F.lit(True).alias("_one"))
+    rest = rest.join(hung, ["conv_id", "parent"], "left").join(one, ["conv_id", "parent"], "left")
+    # a parent that is itself a top counts as one step; one that leads into a cycle never gets a level
+    top = F.when(F.col("top").isNotNull(), F.col("top")).when(F.col("_one").isNull(), F.col("parent"))
+    rest = written(rest.select(*_ID, top.alias("top"), (F.coalesce("dist", F.lit(0)) + 1).alias("dist")))
+    while not rest.isEmpty():
+        own = known.select("conv_id", F.col("call_id").alias("top"), "level")
+        met = rest.join(own, ["conv_id", "top"], "left")
+        ready = met.groupBy(*_ID).agg(F.max(F.col("level") + F.col("dist")).alias("level"), F.max(F.col("level").isNull()).alias("waits"))
+        ready = written(ready.where("NOT waits").select(*_ID, "level"))
         if ready.isEmpty():
             break
-        done = done.union(ready)
-    return nodes.join(done, ["conv_id", "call_id"], "left").select("conv_id", "call_id", "level")
+        rest = written(rest.join(ready, _ID, "left_anti").select(*_ID, "top", "dist"))
+        known = written(known.union(ready))
+    below = tops.join(known.select("conv_id", F.col("call_id").alias("top"), "level"), ["conv_id", "top"])
+    found = known.union(below.select(*_ID, (F.col("level") + F.col("dist")).alias("level")))
+    return nodes.join(found, _ID, "left").select(*_ID, "level")
 
 
 def errors_of(name: Column, arguments: Column, schemas: Schemas) -> Column:

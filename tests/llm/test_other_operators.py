@@ -216,6 +216,30 @@ def test_tool_calls(spark):
     assert order == sorted(order)
 
 
+def test_levels_of_chains_and_graphs(spark):
+    rnd = random.Random(6)
+    rows, expected = [], {}
+    for conv in range(6):
+        names = [f"n{k}" for k in range(60)]
+        parents = {n: [names[k - 1]] if k % 20 and conv < 2 else rnd.sample(names[:k], min(k, rnd.choice((0, 1, 1, 2)))) for k, n in enumerate(names)}
+        if conv == 5:
+            parents["n10"] = ["n12"]
+            parents["n12"] = ["n11"]
+            parents["n11"] = ["n10"]
+        level = {}
+        for _ in names:
+            for n in names:
+                if all(p in level for p in parents[n]):
+                    level[n] = 1 + max((level[p] for p in parents[n]), default=-1)
+        expected |= {(conv, n): level.get(n) for n in names}
+        rows += [(conv, n, parents[n] + ["gone"]) for n in names]
+    rows += [(9, "self", ["self"]), (9, "after", ["self"])]
+    expected |= {(9, "self"): None, (9, "after"): None}
+    rnd.shuffle(rows)
+    got = {(r[0], r[1]): r[2] for r in toolcalls.levels(spark.createDataFrame(rows, "conv_id long, call_id string, parents array<string>")).collect()}
+    assert got == expected
+
+
 def test_tool_calls_of_empty_tables(spark):
     calls, results = spark.createDataFrame([], CALL), spark.createDataFrame([], "conv_id long, call_id string, content string")
     assert toolcalls.link(calls, results, toolcalls.TOOLS).count() == 0
