@@ -114,7 +114,7 @@ def documents(subs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-#: Accessions up to which a list is broadcast for the substring match.
+#: Accessions that a task holds at once.
 BROADCAST_LIST = 100_000
 
 
@@ -122,18 +122,24 @@ def match_accessions(found: DataFrame, accessions: DataFrame, name: str = "membe
     """``found`` with ``matched``: the first accession of ``(list_pos, accession)`` that ``name`` holds.
 
     Dashes and underscores do not count. Rows without a match go; an empty list keeps all rows with a null match.
-    The match is no equality, so the list is held by every task; its size is checked.
+    The match is no equality, so every task holds the list, or a block of it after the other where it has more than
+    ``BROADCAST_LIST`` entries.
     """
-    size = accessions.limit(BROADCAST_LIST + 1).count()
+    size = accessions.count()
     if not size:
         return found.withColumn("matched", F.lit(None).cast("string"))
-    if size > BROADCAST_LIST:
-        raise ValueError(f"more than {BROADCAST_LIST} accessions; match them in several lists")
-    listed = accessions.groupBy().agg(F.array_sort(F.collect_list(F.struct("list_pos", "accession"))).alias("_list"))
+    n = -(-size // BROADCAST_LIST)
     plain = lambda c: F.translate(c, "-_", "")
-    hits = F.filter("_list", lambda a: F.contains(plain(F.col(name)), plain(a["accession"])))
-    out = found.join(F.broadcast(listed)).withColumn("matched", F.try_element_at(hits, F.lit(1))["accession"])
-    return out.where("matched IS NOT NULL").drop("_list")
+    out, best = found, []
+    for k in range(n):
+        block = accessions.where(F.pmod(F.xxhash64("accession"), F.lit(n)) == k)
+        # one row, of bounded size
+        listed = block.groupBy().agg(F.array_sort(F.collect_list(F.struct("list_pos", "accession"))).alias("_list"))
+        hits = F.filter("_list", lambda a: F.contains(plain(F.col(name)), plain(a["accession"])))
+        out = out.join(F.broadcast(listed)).withColumn(f"_best{k}", F.try_element_at(hits, F.lit(1))).drop("_list")
+        best.append(f"_best{k}")
+    first = F.array_min(F.array(*best))["accession"]
+    return out.withColumn("matched", first).where("matched IS NOT NULL").drop(*best)
 
 
 def doc_type_matches(kind: Column, prefixes: list[str] | None = None, part: str | None = None) -> Column:

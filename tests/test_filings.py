@@ -74,7 +74,9 @@ def test_archives(spark, tmp_path, mode):
         S.archives(spark, [str(tmp_path / "none.tar")]).collect()
 
 
-def test_accession_list_and_match(spark, tmp_path):
+@pytest.mark.parametrize("block", [100_000, 1])
+def test_accession_list_and_match(spark, tmp_path, monkeypatch, block):
+    monkeypatch.setattr(S, "BROADCAST_LIST", block)
     (tmp_path / "list").write_text("\n  00-1 \n\n0 \n")
     listed = S.accession_list(spark.read.text(str(tmp_path / "list")))
     assert [r["accession"] for r in listed.orderBy("list_pos").collect()] == ["00-1", "0"]
