@@ -21,4 +21,5 @@ ORACLES = {
     "op3_mixing": mixing.ORACLE,
     "op4_decontaminate": decontaminate.ORACLE,
     "op8_main_text": wrappers.ORACLE,
+    "op9_repeats": repeats.ORACLE,
 }

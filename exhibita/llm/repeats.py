@@ -34,7 +34,7 @@ GRAM = 20
 #: Bytes of text in a batch, and bytes of text that one index partition stands for.
 BATCH_BYTES, PART_BYTES = 8 << 20, 24 << 20
 #: Windows of a text that are hashed at once.
-PIECE = 1 << 18
+PIECE = 1 << 16
 #: Windows in a segment at most, so that its first and last window cover all of it.
 RUN = LENGTH - GRAM + 1
 #: Fixed odd multipliers of the hashes.
@@ -84,25 +84,39 @@ def _lowest(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(low[:n], low[width - s : width - s + n])
 
 
-def segments(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Assignment, content hash, first window and number of windows of each segment of a text."""
-    n = len(data) - LENGTH + 1
-    parts: list[tuple] = []
-    raw = np.frombuffer(data, np.uint8)
-    for start in range(0, n, PIECE):
-        grams, windows = _hashes(raw[start : min(len(raw), start + PIECE + LENGTH - 1)])
+def segments(data: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Assignment, content hash, first window, number of windows and text of each segment of several texts.
+
+    The texts stand one after the other in ``data``, from ``start`` to ``end``; no window reaches across two of them.
+    """
+    blank = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    which = np.flatnonzero(end - start >= LENGTH)
+    if not len(which):
+        return blank
+    start, beyond = start[which], end[which] - LENGTH + 1
+    raw, parts = np.frombuffer(data, np.uint8), []
+    for at in range(0, len(raw) - LENGTH + 1, PIECE):
+        grams, windows = _hashes(raw[at : at + PIECE + LENGTH - 1])
         low = _lowest(_mixed(grams), RUN)
-        first = np.concatenate(([0], np.flatnonzero(low[1:] != low[:-1]) + 1, [len(low)]))
+        edges = [start, beyond]
+        edges = [x[np.searchsorted(x, at) : np.searchsorted(x, at + len(low))] - at for x in edges]
+        cut = np.zeros(len(low) + 1, bool)
+        cut[1:-1] = low[1:] != low[:-1]
+        cut[0] = cut[-1] = True
+        for x in edges:
+            cut[x] = True
+        first = np.flatnonzero(cut)
         size = np.diff(first)
         first = first[:-1]
-        if size.max() > RUN:  # periodic text
+        text = np.searchsorted(start, first + at, "right") - 1
+        inside = (text >= 0) & (first + at < beyond[text])
+        first, size, text = first[inside], size[inside], text[inside]
+        if len(size) and size.max() > RUN:  # periodic text
             pieces = -(-size // RUN)
             step = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-            first, size = np.repeat(first, pieces) + step * RUN, np.minimum(RUN, np.repeat(size, pieces) - step * RUN)
+            first, size, text = np.repeat(first, pieces) + step * RUN, np.minimum(RUN, np.repeat(size, pieces) - step * RUN), np.repeat(text, pieces)
         content = _mixed(windows[first]) * np.uint64(BASE) + windows[first + size - 1] + size.astype(np.uint64)
-        parts.append((low[first], content, first + start, size))
-    if not parts:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        parts.append((low[first], content, first + at, size, which[text]))
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
@@ -129,6 +143,12 @@ class Family:
         first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
         return keys[first], np.minimum.reduceat(docs, first)
 
+    def collapse(self) -> None:
+        """All levels as one, once no more batches come."""
+        while len(self.levels) > 1:
+            (a, x), (b, y) = self.levels.pop(), self.levels.pop()
+            self.levels.append(self._array(np.concatenate((b, a)), np.concatenate((y, x))))
+
     def smallest(self, keys: np.ndarray) -> np.ndarray:
         """The smallest document of each key over all levels."""
         out = np.full(len(keys), np.iinfo(np.int64).max)
@@ -164,23 +184,20 @@ class Batch:
         self.known = np.array([x is not None for x in row["ids"]], bool)
         self.ends = np.cumsum(np.array([0, *row["sizes"]], np.int64))
         self.data = zstandard.ZstdDecompressor().decompress(row["blob"]) if self.ends[-1] else b""
-        found = []
-        for k in np.flatnonzero(self.known):
-            low, content, first, size = segments(self.data[self.ends[k] : self.ends[k + 1]])
-            found.append((low, content, first, size, np.full(len(low), k)))
-        blank = [np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64)]
-        low, content, first, size, doc = [np.concatenate(x) for x in zip(*found, strict=True)] if found else blank
+        start = np.where(self.known, self.ends[:-1], self.ends[1:])  # without an id a text has no windows
+        low, content, first, size, doc = segments(self.data, start, self.ends[1:])
         low = _mixed(low)
-        part = (low >> np.uint64(32)) % np.uint64(n_parts)
+        part = ((low >> np.uint64(32)) % np.uint64(n_parts)).astype(np.uint16 if n_parts <= 1 << 16 else np.uint64)
         key = _mixed(content ^ (low * np.uint64(BASE)))
-        order = np.lexsort((self.ids[doc], key, part))
+        order = np.argsort(key)
+        order = order[np.argsort(part[order], kind="stable")]
         self.first, self.size, self.doc = first[order], size[order], doc[order]
         part, key = part[order], key[order]
         new = np.concatenate(([True], (key[1:] != key[:-1]) | (part[1:] != part[:-1]))) if len(key) else np.zeros(0, bool)
-        self.head = np.flatnonzero(new)  # of each distinct segment, the one of the smallest document
+        self.head = np.flatnonzero(new)  # one of each distinct segment
         self.group = np.cumsum(new) - 1
         self.key, self.low = key[self.head], low[order][self.head].astype(np.uint32)
-        self.holder = self.ids[self.doc[self.head]]
+        self.holder = np.minimum.reduceat(self.ids[self.doc], self.head) if len(key) else np.zeros(0, np.int64)
         parts = part[self.head].astype(np.int64)
         cuts = np.flatnonzero(np.concatenate(([True], parts[1:] != parts[:-1]))) if len(parts) else np.zeros(0, np.int64)
         self.parts = dict(zip(parts[cuts].tolist(), zip(cuts.tolist(), [*cuts[1:].tolist(), len(parts)], strict=True), strict=True))
@@ -197,8 +214,7 @@ class Batch:
     def text(self, which: np.ndarray) -> np.ndarray:
         """The bytes of distinct segments, one after the other."""
         at = self.head[which]
-        start = self.ends[self.doc[at]] + self.first[at]
-        return _ranges(np.frombuffer(self.data, np.uint8), start, self.size[at] + LENGTH - 1)
+        return _ranges(np.frombuffer(self.data, np.uint8), self.first[at], self.size[at] + LENGTH - 1)
 
 
 def _ranges(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -271,6 +287,7 @@ def _round_one(chunks: DataFrame, n_parts: int) -> DataFrame:
         family = Family()
         for _, key, _, doc in sent:
             family.insert(key, doc)
+        family.collapse()
         # how many different segments, and documents, share an assignment
         key, low, doc = (np.concatenate([x[k] for x in sent]) for k in (1, 2, 3))
         order = np.lexsort((key, low))
@@ -329,6 +346,7 @@ def _round_two(chunks: DataFrame, n_parts: int) -> DataFrame:
         family = Family()
         for blob in group["blob"]:
             family.insert(*suffixes(blob.as_py()))
+        family.collapse()
         part, rows = group["part"][0].as_py(), []
         for chunk, blob in zip(group["chunk"], group["blob"], strict=True):
             key, doc = suffixes(blob.as_py())
@@ -361,7 +379,9 @@ def _removed(b: Batch, one: list[dict] | None, two: list[dict] | None) -> Iterat
         doc.append(np.repeat(b.doc[mine], b.size[mine])[hit])
     first, size, doc = np.concatenate(first), np.concatenate(size), np.concatenate(doc)
     order = np.lexsort((first, doc))
-    first, end, doc = first[order], (first + size)[order] + LENGTH - 1, doc[order]
+    doc = doc[order]
+    first = first[order] - b.ends[doc]
+    end = first + size[order] + LENGTH - 1
     cuts = np.searchsorted(doc, np.arange(len(b.ids) + 1))
     for k in range(len(b.ids)):
         s, e = cuts[k], cuts[k + 1]
@@ -422,3 +442,28 @@ def op9_repeats(spark, sf_dir: str) -> DataFrame:
     """Bytes of every document less the 50-byte strings that a document with a smaller id has too."""
     found = remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+ORACLE = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), w AS (
+  SELECT r, doc_id, p, substring(h, 2 * p + 1, 100) AS g FROM d, unnest(range(0, n - 49)) AS t(p) WHERE n >= 50
+), low AS (
+  SELECT g, min(doc_id) AS m FROM w GROUP BY g
+), hit AS (
+  SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS q FROM w JOIN low USING (g) WHERE m < doc_id
+), grouped AS (
+  SELECT r, p, sum(CASE WHEN q IS NULL OR p > q + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY p) AS k FROM hit
+), runs AS (
+  SELECT r, k, min(p) AS a, max(p) + 50 AS b FROM grouped GROUP BY r, k
+), gaps AS (
+  SELECT r, k, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM runs
+), cut AS (
+  SELECT d.r, sum(b - a) AS n_removed, count(*) AS n_spans, string_agg(substring(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept, max(b) AS last
+  FROM gaps JOIN d USING (r) GROUP BY d.r
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substring(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut USING (r)
+"""
