@@ -32,6 +32,8 @@ THRESHOLD = 0.7
 PREFIXES = range(3, 8)
 #: Characters of a text that are held as words at once.
 PIECE = 1 << 20
+#: Words whose features a worker remembers.
+REMEMBERED = 200_000
 COLUMNS = ("score", "predicted")
 
 #: Terms that name a group of people; a swap takes the next term of its tuple.
@@ -100,7 +102,7 @@ class Model:
     def of(self, word: str) -> tuple[int, ...]:
         found = self.seen.get(word)
         if found is None:
-            if len(self.seen) > 500_000:
+            if len(self.seen) > REMEMBERED:
                 self.seen.clear()
             get = self.features.get
             found = self.seen[word] = tuple(i for c in candidates(word) if (i := get(c)) is not None)
