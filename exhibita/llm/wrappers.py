@@ -33,7 +33,9 @@ _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
+#: Attributes that say what an element is for.
+_NAMES = frozenset(("class", "id", "role", "itemprop"))
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 #: A name such as ``with-sidebar`` says what stands beside an element, not what it is.
 _BESIDE = re.compile(r"\b(?:has|with|without|no|hide)[-_][\w-]+", re.I)
@@ -72,12 +74,11 @@ def _label(tag: str, attributes: str) -> str:
     """The element's name, marked ``!`` for surroundings, ``~`` for a page or article header, ``*`` for a likely article."""
     words: set[str] = set()
     for name, a, b, c in _ATTRIBUTE.findall(attributes) if attributes else ():
-        value = a or b or c
-        if name.lower() in ("hidden", "aria-hidden"):
-            if name.lower() == "hidden" and value.lower() != "until-found" or value.lower() == "true":
-                words.add("dialog")
-        else:
+        name, value = name.lower(), a or b or c
+        if name in _NAMES:
             words.update(w.lower() for w in _WORD.findall(_BESIDE.sub("", value)))
+        elif name == "hidden" and value.lower() != "until-found" or name == "aria-hidden" and value.lower() == "true":
+            words.add("dialog")
     if tag in _AROUND_TAGS or words & _AROUND_WORDS and tag not in ("html", "body", "article", "main"):
         return f"{tag}!"
     if tag == "article" and words & {"comment", "comments", "related", "promo", "ad", "sponsored", "teaser"}:

@@ -166,6 +166,12 @@ def test_expression_has_optional_and_repeated_groups():
     assert wrappers.expression(pairs) == "<dl> (<dt> TEXT </dt> <dd> TEXT </dd>)+ </dl>"
 
 
+def test_only_names_and_roles_mark_surroundings():
+    page = '<article><p style="overflow:hidden" data-class="ad">a <a href="/?id=ad&class=menu" title="share hidden">b</a></p><p hidden>c</p><p aria-hidden="true">d</p><p role=alert>e</p></article>'
+    found = [(p, 10.0, 0.0) for p in wrappers.slots(wrappers.tree(page))]
+    assert wrappers.extract(page, frozenset(wrappers.article_slots(found))) == "a b"
+
+
 def test_names_of_what_stands_beside_do_not_count():
     page = '<div class="page has-sidebar"><div class="content with-comments">text</div><div class="sidebar">s</div></div>'
     found = [(p, 10.0, 0.0) for p in wrappers.slots(wrappers.tree(page))]
