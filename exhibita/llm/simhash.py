@@ -154,7 +154,8 @@ def copy_links(nodes: DataFrame, texts: DataFrame, radius: int = COPY_RADIUS, sh
     tables = nodes.select("node", "fp", F.posexplode(masks).alias("t", "mask"))
     tables = tables.select("node", "fp", F.xxhash64("t", F.col("fp").bitwiseAND(F.col("mask"))).alias("bucket")).repartition("bucket")
     own = F.struct("fp", "node")
-    picks = [F.min_by(own, F.xxhash64("node", "bucket", F.lit(k))) for k in range(PIVOTS)]
+    # one order for all buckets: those of a large group then agree on their pivots
+    picks = [F.min_by(own, F.xxhash64("node", F.lit(k))) for k in range(PIVOTS)]
     pivots = tables.groupBy("bucket").agg(F.count("*").alias("n"), F.array_distinct(F.array(*picks)).alias("pivots")).where("n > 1")
     pairs = tables.join(pivots, "bucket").select("node", "fp", F.explode("pivots").alias("p"))
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("p.fp"))) <= radius
