@@ -30,12 +30,14 @@ from .components import connected_components
 SHINGLE = 3
 RADIUS = 2
 SEED = 42
-#: For near copies: radius, words in a shingle, least share of equal shingles, and hashes that stand for a text.
-COPY_RADIUS, COPY_SHINGLE, COPY_SHARE, COPY_HASHES = 6, 5, 0.8, 1024
+#: For near copies: radius, words in a shingle, and least share of equal shingles.
+COPY_RADIUS, COPY_SHINGLE, COPY_SHARE = 6, 5, 0.8
 #: Members of a bucket that the others are held against.
 PIVOTS = 3
 #: Shingles whose hashes are held at once.
 PIECE = 1 << 16
+#: Fixed odd multipliers that make a shingle's hash of its words' hashes.
+BASE, MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
 #: A-Z to a-z; everything else stays.
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -74,15 +76,19 @@ def word_fingerprint(text: bytes | None) -> int:
     return int.from_bytes(np.packbits(votes * 2 > len(hashes)).tobytes(), "big")
 
 
-def shingle_hashes(text: bytes | None, shingle: int = COPY_SHINGLE, most: int = COPY_HASHES) -> np.ndarray:
-    """The ``most`` lowest hashes of a text's distinct shingles, in order: all of them for most texts."""
+def shingle_hashes(text: bytes | None, shingle: int = COPY_SHINGLE) -> np.ndarray:
+    """The hashes of all distinct shingles of a text, in order; one zero where there are no words."""
     found = text.translate(_LOWER).split() if text else []
-    n = max(1, len(found) - shingle + 1) if found else 0
-    low = np.zeros(0, np.uint64)
-    for k in range(0, n, PIECE):
-        part = _hashed(b" ".join(found[i : i + shingle]) for i in range(k, min(n, k + PIECE)))
-        low = np.unique(np.concatenate((low, part)))[:most]
-    return low
+    if not found:
+        return np.zeros(1, np.uint64)
+    digest, size = xxhash.xxh64_intdigest, min(shingle, len(found))
+    words = np.array([digest(w, SEED) for w in found], np.uint64)
+    n = len(words) - size + 1
+    out = np.full(n, size, np.uint64)
+    for k in range(size):
+        out = out * np.uint64(BASE) + words[k : k + n]
+    out = (out ^ (out >> np.uint64(32))) * np.uint64(MIX)
+    return np.unique(out ^ (out >> np.uint64(29)))
 
 
 def covering_masks(radius: int = RADIUS, bits: int = 64) -> list[int]:
@@ -169,28 +175,22 @@ def copy_links(nodes: DataFrame, texts: DataFrame, radius: int = COPY_RADIUS, sh
             found = [shingle_hashes(x.as_py()).view(np.int64) for x in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.list_(pa.int64()))], names=["node", "h"])
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = []
-            for a, b in zip(batch.column("a"), batch.column("b"), strict=True):
-                a, b = (np.array(x.values, np.int64).view(np.uint64) for x in (a, b))
-                # the lowest hashes of the union are a fair sample of it, and all of it for most texts
-                union = np.union1d(a, b)[:COPY_HASHES]
-                equal = np.isin(union, np.intersect1d(a, b, assume_unique=True)).sum()
-                kept.append(bool(len(union) == 0 or equal >= share * len(union)))
-            yield batch.select(["u", "v"]).filter(pa.array(kept))
-
     sketches = written(rows.mapInArrow(sketch, "node long, h array<long>").dropDuplicates(["node"]))
-    both = pairs.join(sketches.select(F.col("node").alias("u"), F.col("h").alias("a")), "u")
-    both = both.join(sketches.select(F.col("node").alias("v"), F.col("h").alias("b")), "v")
-    return both.select("u", "v", "a", "b").mapInArrow(judge, "u long, v long")
+    return judged(pairs, sketches, share)
+
+
+def judged(pairs: DataFrame, sets: DataFrame, share: float = COPY_SHARE) -> DataFrame:
+    """Those of the pairs ``(u, v)`` whose sets ``(node, h)`` of all distinct shingles have ``share`` of their union in common."""
+    both = pairs.join(sets.select(F.col("node").alias("u"), F.col("h").alias("a")), "u")
+    both = both.join(sets.select(F.col("node").alias("v"), F.col("h").alias("b")), "v")
+    both = both.select("u", "v", (F.size("a") + F.size("b")).alias("n"), F.size(F.array_intersect("a", "b")).alias("equal"))
+    return both.where(F.col("equal") >= share * (F.col("n") - F.col("equal"))).select("u", "v")
 
 
 def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts and near copies: the one with the smallest key.
 
-    Near copies share at least ``COPY_SHARE`` of their five-word shingles (of the 1,024 lowest hashes of both, for
-    texts with more); groups are the components over such links. Null and empty texts are equal. Rows without a key
+    Near copies share at least ``COPY_SHARE`` of all their distinct five-word shingles; groups are the components over such links. Null and empty texts are equal. Rows without a key
     cannot be told apart and are kept. Where rows with different texts share the smallest key, the one with the
     lowest hash stays; of repeated rows one stays. An empty table stays empty.
     """

@@ -169,6 +169,22 @@ def test_near_copies_are_caught_and_others_kept(spark):
     assert len(lost) <= 0.05 * copies and not [i for i in kept if i >= 5000]
 
 
+def edited(words, edits, tag):
+    """``words`` with ``edits`` words replaced, so far apart that each changes five shingles."""
+    out = list(words)
+    for k in range(edits):
+        out[4 + k * ((len(words) - 8) // edits)] = f"{tag}x{k}"
+    return " ".join(out)
+
+
+def test_long_texts_just_below_the_share_are_kept(spark):
+    rows = []
+    for i in range(24):
+        words = [f"t{i}w{k}" for k in range(3000)]
+        rows += [(2 * i, " ".join(words), "s"), (2 * i + 1, edited(words, 67, f"t{i}"), "s")]  # 2661 of 3331 shingles: 0.7989
+    assert simhash.keep_one_of_each(docs(spark, rows)).count() == len(rows)
+
+
 def test_components_of_a_long_chain(spark):
     chain = spark.range(60).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v")).union(spark.createDataFrame([(100, 100), (201, 200), (201, 200)], "u long, v long"))
     got = {r["node"]: r["root"] for r in connected_components(chain).collect()}
