@@ -9,19 +9,19 @@ The exact check of the others needs no pairs either: fingerprints at 2 or fewer
 that lie together in a ball of radius 1 around some 64-bit centre. A ball holds 65 fingerprints at most, all
 linked with one another, so linking each to the smallest in the ball loses nothing and has a fixed bound.
 
-``keep_one_of_each`` finds near copies in the usual sense, by a share of equal five-word shingles. Such copies lie
-further apart, so it takes fingerprints of the distinct words, which move little under small edits, a radius of 6,
-and holds the candidates against their shingles.
+``keep_one_of_each`` finds near copies in the usual sense, by a share of equal five-word shingles, and takes no
+fingerprints: an exact prefix join on the shingles finds every pair, see ``copy_links``.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import table, without, written
@@ -30,10 +30,13 @@ from .components import connected_components
 SHINGLE = 3
 RADIUS = 2
 SEED = 42
-#: For near copies: radius, words in a shingle, and least share of equal shingles.
-COPY_RADIUS, COPY_SHINGLE, COPY_SHARE = 6, 5, 0.8
-#: Members of a bucket that the others are held against.
+#: For near copies: words in a shingle, and least share of equal shingles.
+COPY_SHINGLE, COPY_SHARE = 5, 0.8
+#: Members of a bucket that the others are held against first.
 PIVOTS = 3
+#: One text in ``ORDER_ONE_IN`` is read for the order of shingles; those seen ``ORDER_LEAST`` times, ``ORDER_MOST`` at
+#: most, come last. The order decides how many candidates there are, never which pairs are found.
+ORDER_ONE_IN, ORDER_LEAST, ORDER_MOST = 16, 3, 200_000
 #: Shingles whose hashes are held at once.
 PIECE = 1 << 16
 #: Fixed odd multipliers that make a shingle's hash of its words' hashes.
@@ -61,21 +64,6 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(votes * 2 > n).tobytes(), "big")
 
 
-def _hashed(parts: Iterator[bytes]) -> np.ndarray:
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(x, SEED) for x in parts], np.uint64))
-
-
-def word_fingerprint(text: bytes | None) -> int:
-    """The 64-bit SimHash of a text's distinct words, unsigned; zero where there are no words."""
-    hashes = _hashed(iter(set(text.translate(_LOWER).split()))) if text else np.zeros(0, np.uint64)
-    votes = np.zeros(64, np.int64)
-    for k in range(0, len(hashes), PIECE):
-        part = hashes[k : k + PIECE].astype(">u8")
-        votes += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(votes * 2 > len(hashes)).tobytes(), "big")
-
-
 def shingle_hashes(text: bytes | None, shingle: int = COPY_SHINGLE) -> np.ndarray:
     """The hashes of all distinct shingles of a text, in order; one zero where there are no words."""
     found = text.translate(_LOWER).split() if text else []
@@ -99,7 +87,7 @@ def covering_masks(radius: int = RADIUS, bits: int = 64) -> list[int]:
     return [m - (1 << bits) if m >> (bits - 1) else m for m in masks]
 
 
-def fingerprints(docs: DataFrame, text: str = "text", keep: list[str] | None = None, of=fingerprint) -> DataFrame:
+def fingerprints(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``fp``, the SimHash as a signed long. Null and empty texts get 0."""
     base = without(docs, "fp")
     kept = [c for c in base.columns if keep is None or c in keep]
@@ -108,7 +96,7 @@ def fingerprints(docs: DataFrame, text: str = "text", keep: list[str] | None = N
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [of(x.as_py()) for x in batch.column("_fp_text")]
+            fps = [fingerprint(x.as_py()) for x in batch.column("_fp_text")]
             columns = [*(batch.column(c) for c in kept), pa.array(np.array(fps, np.uint64).view(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, "fp"])
 
@@ -149,34 +137,68 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return fps.join(named, "fp").select(F.col("_key").alias(key), "fp", "component_id")
 
 
-def copy_links(nodes: DataFrame, texts: DataFrame, radius: int = COPY_RADIUS, share: float = COPY_SHARE) -> DataFrame:
-    """Edges ``(u, v)`` between nodes ``(node, fp)`` whose texts ``(node, text)`` share ``share`` of their shingles.
+def _common(sets: DataFrame) -> np.ndarray:
+    """The shingles that are frequent in a sample of the sets ``(node, h)``, frequent ones last."""
+    seen = sets.where(F.pmod("node", F.lit(ORDER_ONE_IN)) == 0).select(F.explode("h").alias("x")).groupBy("x").agg(F.count("*").alias("n"))
+    rows = seen.where(F.col("n") >= ORDER_LEAST).orderBy(F.desc("n"), "x").limit(ORDER_MOST).collect()
+    return np.array([r["x"] for r in reversed(rows)], np.int64)
+
 
-    Nodes that collide in a covering table are held against ``PIVOTS`` members of their bucket, others in each of
-    the tables; pairs within the radius are then held against their shingles. No bucket is gathered or paired up, so
-    a large group costs as many rows as it has members in each table.
+def prefixes(sets: DataFrame, share: float = COPY_SHARE) -> DataFrame:
+    """``(token, node, n, at, cold)``: the first shingles of each set ``(node, h)``, rare ones first, and their places.
+
+    Two sets with ``share`` of their union in common have one of these in common: all orders are the same, and a
+    set of n must share ``share * n`` with the other. ``n`` is the size, ``cold`` how many in the prefix are rare.
     """
-    masks = F.array(*[F.lit(m).cast("long") for m in covering_masks(radius)])
-    tables = nodes.select("node", "fp", F.posexplode(masks).alias("t", "mask"))
-    tables = tables.select("node", "fp", F.xxhash64("t", F.col("fp").bitwiseAND(F.col("mask"))).alias("bucket")).repartition("bucket")
-    own = F.struct("fp", "node")
-    # one order for all buckets: those of a large group then agree on their pivots
-    picks = [F.min_by(own, F.xxhash64("node", F.lit(k))) for k in range(PIVOTS)]
-    pivots = tables.groupBy("bucket").agg(F.count("*").alias("n"), F.array_distinct(F.array(*picks)).alias("pivots")).where("n > 1")
-    pairs = tables.join(pivots, "bucket").select("node", "fp", F.explode("pivots").alias("p"))
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("p.fp"))) <= radius
-    pairs = pairs.where(near).where("node <> p.node")
-    pairs = written(pairs.select(F.greatest("node", "p.node").alias("u"), F.least("node", "p.node").alias("v")).distinct())
-    wanted = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-    rows = texts.join(wanted, "node", "left_semi").select("node", F.col("text").cast("binary").alias("text"))
-
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shingle_hashes(x.as_py()).view(np.int64) for x in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.list_(pa.int64()))], names=["node", "h"])
+    common = _common(sets)
+    by_value = np.argsort(common)
+    values = common[by_value]
 
-    sketches = written(rows.mapInArrow(sketch, "node long, h array<long>").dropDuplicates(["node"]))
-    return judged(pairs, sketches, share)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list[np.ndarray]] = [[] for _ in range(5)]
+            for node, h in zip(batch.column("node").to_pylist(), batch.column("h"), strict=True):
+                h = h.values.to_numpy(zero_copy_only=False)
+                n = len(h)
+                size = n - math.ceil(share * n - 1e-9) + 1
+                rank = np.full(n, -1)
+                if len(values):
+                    at = np.minimum(np.searchsorted(values, h), len(values) - 1)
+                    rank = np.where(values[at] == h, by_value[at], -1)
+                first = np.lexsort((h, rank))[:size]
+                cold = int((rank[first] < 0).sum())
+                for column, x in zip(out, (h[first], np.full(size, node), np.full(size, n), np.arange(size), np.full(size, cold)), strict=True):
+                    column.append(x)
+            if out[0]:
+                columns = [pa.array(np.concatenate(x).astype(k)) for x, k in zip(out, ("i8", "i8", "i4", "i4", "i4"), strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["token", "node", "n", "at", "cold"])
+
+    return sets.mapInArrow(cut, "token long, node long, n int, at int, cold int")
+
+
+def _possible(a: str, b: str, share: float) -> Column:
+    """Whether sets of these sizes that have their first common shingle at these places can share enough."""
+    n, m, i, j = (F.col(x) for x in (f"{a}.n", f"{b}.n", f"{a}.at", f"{b}.at"))
+    return F.least(n - i, m - j) >= share / (1 + share) * (n + m) - 1e-6
+
+
+def copy_links(sets: DataFrame, share: float = COPY_SHARE) -> DataFrame:
+    """Edges ``(u, v)`` between nodes whose sets ``(node, h)`` of shingles share ``share`` of their union.
+
+    The nodes that have a prefix shingle in common are a bucket. First they are held against ``PIVOTS`` of them: the
+    ones with fewest rare shingles, which in a group around one text is that text. No bucket is gathered or paired
+    up in this.
+    """
+    tokens = prefixes(sets, share).repartition("token")
+    own = F.struct("node", "n", "at")
+    # one order for all buckets: those of a large group then agree on their pivots
+    picks = [F.min_by(own, F.struct(F.col("cold") / F.col("n"), F.xxhash64("node", F.lit(k)))) for k in range(PIVOTS)]
+    pivots = tokens.groupBy("token").agg(F.count("*").alias("size"), F.array_distinct(F.array(*picks)).alias("pivots")).where("size > 1")
+    shared = written(tokens.join(pivots, "token").select("token", "node", "n", "at", "pivots"))
+    first = shared.select(F.struct("node", "n", "at").alias("a"), F.explode("pivots").alias("b")).where("a.node <> b.node")
+    first = first.where(_possible("a", "b", share))
+    first = written(first.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct())
+    return judged(first, sets, share)
 
 
 def judged(pairs: DataFrame, sets: DataFrame, share: float = COPY_SHARE) -> DataFrame:
@@ -197,12 +219,18 @@ def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     # the digest of the whole row tells rows with one key apart, that of the text makes equal texts one node
     node = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     whole = docs.where(F.col(key).isNotNull()).withColumn("_digest", F.xxhash64(*docs.columns)).withColumn("_node", node)
-    fps = written(fingerprints(whole, text, [key, "_digest", "_node"], word_fingerprint).withColumnRenamed(key, "_key"))
-    nodes = fps.groupBy("_node").agg(F.first("fp").alias("fp"), F.min(F.struct("_key", "_digest")).alias("low"))
-    nodes = written(nodes.withColumnRenamed("_node", "node"))
+    nodes = whole.groupBy(F.col("_node").alias("node")).agg(F.min(F.struct(F.col(key).alias("_key"), "_digest")).alias("low"))
+    nodes = written(nodes)
     firsts = whole.join(nodes.select(F.col("low._key").alias(key), F.col("low._digest").alias("_digest")), [key, "_digest"], "left_semi")
-    texts = firsts.select(F.col("_node").alias("node"), F.col(text).alias("text"))
-    roots = connected_components(copy_links(nodes.select("node", "fp"), texts))
+    texts = firsts.select(F.col("_node").alias("node"), F.col(text).cast("binary").alias("text"))
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_hashes(x.as_py()).view(np.int64) for x in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.list_(pa.int64()))], names=["node", "h"])
+
+    sets = written(texts.mapInArrow(gather, "node long, h array<long>").dropDuplicates(["node"]))
+    roots = connected_components(copy_links(sets))
     best = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("low").alias("b"))
     best = best.select(F.col("b._key").alias(key), F.col("b._digest").alias("_digest"))
     # the join has dealt the rows out by the columns that repeated rows agree on

@@ -185,6 +185,16 @@ def test_long_texts_just_below_the_share_are_kept(spark):
     assert simhash.keep_one_of_each(docs(spark, rows)).count() == len(rows)
 
 
+def test_every_pair_just_above_the_share_is_caught(spark):
+    rows = []
+    for i in range(24):
+        size, edits = ((3000, 66), (104, 2), (50, 1))[i % 3]  # shares of 0.8016, 0.8182 and 0.8039
+        words = [f"t{i}w{k}" for k in range(size)]
+        rows += [(2 * i, " ".join(words), "s"), (2 * i + 1, edited(words, edits, f"t{i}"), "s")]
+    kept = simhash.keep_one_of_each(docs(spark, rows))
+    assert {r["doc_id"] for r in kept.collect()} == {2 * i for i in range(24)}
+
+
 def test_components_of_a_long_chain(spark):
     chain = spark.range(60).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v")).union(spark.createDataFrame([(100, 100), (201, 200), (201, 200)], "u long, v long"))
     got = {r["node"]: r["root"] for r in connected_components(chain).collect()}
