@@ -39,6 +39,8 @@ PIVOTS = 3
 ORDER_ONE_IN, ORDER_LEAST, ORDER_MOST = 16, 3, 200_000
 #: Shingles whose hashes are held at once.
 PIECE = 1 << 16
+#: Texts whose shingles a worker holds at once.
+ROWS = 256
 #: Fixed odd multipliers that make a shingle's hash of its words' hashes.
 BASE, MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
@@ -137,28 +139,47 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return fps.join(named, "fp").select(F.col("_key").alias(key), "fp", "component_id")
 
 
-def _common(sets: DataFrame) -> np.ndarray:
-    """The shingles that are frequent in a sample of the sets ``(node, h)``, frequent ones last."""
-    seen = sets.where(F.pmod("node", F.lit(ORDER_ONE_IN)) == 0).select(F.explode("h").alias("x")).groupBy("x").agg(F.count("*").alias("n"))
+def _sets(texts: DataFrame) -> DataFrame:
+    """``(node, h)``: all distinct shingles of each node of ``(node, text)``, whose repeated rows count once."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            found = [shingle_hashes(x.as_py()).view(np.int64) for x in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.list_(pa.int64()))], names=["node", "h"])
+
+    return texts.dropDuplicates(["node"]).mapInArrow(gather, "node long, h array<long>")
+
+
+def _common(texts: DataFrame) -> np.ndarray:
+    """The shingles that are frequent in a sample of ``(node, text)``, frequent ones last."""
+    sample = _sets(texts.where(F.pmod("node", F.lit(ORDER_ONE_IN)) == 0))
+    seen = sample.select(F.explode("h").alias("x")).groupBy("x").agg(F.count("*").alias("n"))
     rows = seen.where(F.col("n") >= ORDER_LEAST).orderBy(F.desc("n"), "x").limit(ORDER_MOST).collect()
     return np.array([r["x"] for r in reversed(rows)], np.int64)
 
 
-def prefixes(sets: DataFrame, share: float = COPY_SHARE) -> DataFrame:
-    """``(token, node, n, at, cold)``: the first shingles of each set ``(node, h)``, rare ones first, and their places.
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``ROWS`` rows, so that a worker holds little at once."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, ROWS):
+            yield batch.slice(k, ROWS)
+
+
+def prefixes(texts: DataFrame, share: float = COPY_SHARE) -> DataFrame:
+    """``(token, node, n, at, cold)``: the first shingles of each row of ``(node, text)``, rare ones first, and their places.
 
     Two sets with ``share`` of their union in common have one of these in common: all orders are the same, and a
     set of n must share ``share * n`` with the other. ``n`` is the size, ``cold`` how many in the prefix are rare.
     """
-    common = _common(sets)
+    common = _common(texts)
     by_value = np.argsort(common)
     values = common[by_value]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             out: list[list[np.ndarray]] = [[] for _ in range(5)]
-            for node, h in zip(batch.column("node").to_pylist(), batch.column("h"), strict=True):
-                h = h.values.to_numpy(zero_copy_only=False)
+            for node, x in zip(batch.column("node").to_pylist(), batch.column("text"), strict=True):
+                h = shingle_hashes(x.as_py()).view(np.int64)
                 n = len(h)
                 size = n - math.ceil(share * n - 1e-9) + 1
                 rank = np.full(n, -1)
@@ -173,7 +194,7 @@ def prefixes(sets: DataFrame, share: float = COPY_SHARE) -> DataFrame:
                 columns = [pa.array(np.concatenate(x).astype(k)) for x, k in zip(out, ("i8", "i8", "i4", "i4", "i4"), strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names=["token", "node", "n", "at", "cold"])
 
-    return sets.mapInArrow(cut, "token long, node long, n int, at int, cold int")
+    return texts.mapInArrow(cut, "token long, node long, n int, at int, cold int")
 
 
 def _possible(a: str, b: str, share: float) -> Column:
@@ -182,14 +203,17 @@ def _possible(a: str, b: str, share: float) -> Column:
     return F.least(n - i, m - j) >= share / (1 + share) * (n + m) - 1e-6
 
 
-def copy_links(sets: DataFrame, share: float = COPY_SHARE) -> DataFrame:
-    """Edges ``(u, v)`` between nodes whose sets ``(node, h)`` of shingles share ``share`` of their union.
+def copy_links(texts: DataFrame, share: float = COPY_SHARE) -> DataFrame:
+    """Edges ``(u, v)`` between nodes ``(node, text)`` whose sets of shingles share ``share`` of their union.
 
     The nodes that have a prefix shingle in common are a bucket. First they are held against ``PIVOTS`` of them: the
     ones with fewest rare shingles, which in a group around one text is that text. No bucket is gathered or paired
-    up in this.
+    up in this. Then what that has linked is one component, and the nodes outside their bucket's main component are
+    held against all of the bucket that is not in theirs. So every pair is settled: judged, ruled out by sizes and
+    places, or already in one component.
     """
-    tokens = prefixes(sets, share).repartition("token")
+    # texts and sets are read again rather than kept: they would be most of the disk
+    tokens = prefixes(texts, share).repartition("token").dropDuplicates(["token", "node"])
     own = F.struct("node", "n", "at")
     # one order for all buckets: those of a large group then agree on their pivots
     picks = [F.min_by(own, F.struct(F.col("cold") / F.col("n"), F.xxhash64("node", F.lit(k)))) for k in range(PIVOTS)]
@@ -198,11 +222,23 @@ def copy_links(sets: DataFrame, share: float = COPY_SHARE) -> DataFrame:
     first = shared.select(F.struct("node", "n", "at").alias("a"), F.explode("pivots").alias("b")).where("a.node <> b.node")
     first = first.where(_possible("a", "b", share))
     first = written(first.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct())
-    return judged(first, sets, share)
-
-
-def judged(pairs: DataFrame, sets: DataFrame, share: float = COPY_SHARE) -> DataFrame:
-    """Those of the pairs ``(u, v)`` whose sets ``(node, h)`` of all distinct shingles have ``share`` of their union in common."""
+    links = written(judged(first, texts, share))
+    found = connected_components(links)
+    roots = shared.join(found, "node", "left").select(F.struct("node", "n", "at", F.coalesce("root", "node").alias("root")).alias("a"), "token", F.col("pivots")[0]["node"].alias("p"))
+    roots = roots.join(found.select(F.col("node").alias("p"), F.col("root").alias("main")), "p", "left").select("token", "a", F.coalesce("main", "p").alias("main"))
+    few = roots.where("a.root <> main").select("token", F.col("a").alias("b"), "main")
+    rest = few.join(roots.select("token", "a"), "token").where("a.root <> b.root and (a.root = main or a.node < b.node)")
+    rest = rest.where(_possible("a", "b", share))
+    rest = rest.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct()
+    rest = written(rest.join(first, ["u", "v"], "left_anti"))
+    return links.union(judged(rest, texts, share))
+
+
+def judged(pairs: DataFrame, texts: DataFrame, share: float = COPY_SHARE) -> DataFrame:
+    """Those of the pairs ``(u, v)`` whose texts ``(node, text)`` have, of all distinct shingles, ``share`` of their union in common."""
+    # few texts are in a pair: the join by both ends moves their sets alone
+    wanted = written(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
+    sets = written(_sets(texts.join(wanted, "node", "left_semi")))
     both = pairs.join(sets.select(F.col("node").alias("u"), F.col("h").alias("a")), "u")
     both = both.join(sets.select(F.col("node").alias("v"), F.col("h").alias("b")), "v")
     both = both.select("u", "v", (F.size("a") + F.size("b")).alias("n"), F.size(F.array_intersect("a", "b")).alias("equal"))
@@ -221,16 +257,8 @@ def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     whole = docs.where(F.col(key).isNotNull()).withColumn("_digest", F.xxhash64(*docs.columns)).withColumn("_node", node)
     nodes = whole.groupBy(F.col("_node").alias("node")).agg(F.min(F.struct(F.col(key).alias("_key"), "_digest")).alias("low"))
     nodes = written(nodes)
-    firsts = whole.join(nodes.select(F.col("low._key").alias(key), F.col("low._digest").alias("_digest")), [key, "_digest"], "left_semi")
-    texts = firsts.select(F.col("_node").alias("node"), F.col(text).cast("binary").alias("text"))
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shingle_hashes(x.as_py()).view(np.int64) for x in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.list_(pa.int64()))], names=["node", "h"])
-
-    sets = written(texts.mapInArrow(gather, "node long, h array<long>").dropDuplicates(["node"]))
-    roots = connected_components(copy_links(sets))
+    texts = whole.select(F.col("_node").alias("node"), F.col(text).cast("binary").alias("text"))
+    roots = connected_components(copy_links(texts))
     best = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("low").alias("b"))
     best = best.select(F.col("b._key").alias(key), F.col("b._digest").alias("_digest"))
     # the join has dealt the rows out by the columns that repeated rows agree on

@@ -195,6 +195,20 @@ def test_every_pair_just_above_the_share_is_caught(spark):
     assert {r["doc_id"] for r in kept.collect()} == {2 * i for i in range(24)}
 
 
+def test_a_crowded_bucket_around_one_text_is_settled(spark):
+    base = [f"w{k}" for k in range(60)]
+    rows = [(0, " ".join(base), "s")]
+    for k in range(250):  # each shares 0.84 with the base, and most some 0.70 with one another
+        words = list(base)
+        words[5 + k % 50] = f"v{k}"
+        rows.append((1 + k, " ".join(words), "s"))
+    # beside the group: shares most of its shingles with all, and is near to none but its own copy
+    far = base[:45] + [f"far{k}" for k in range(15)]
+    rows += [(1000, " ".join(far), "s"), (1001, " ".join(far[:-1] + ["end"]), "s")]
+    kept = simhash.keep_one_of_each(docs(spark, rows))
+    assert {r["doc_id"] for r in kept.collect()} == {0, 1000}
+
+
 def test_components_of_a_long_chain(spark):
     chain = spark.range(60).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v")).union(spark.createDataFrame([(100, 100), (201, 200), (201, 200)], "u long, v long"))
     got = {r["node"]: r["root"] for r in connected_components(chain).collect()}
