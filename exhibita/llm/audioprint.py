@@ -4,6 +4,11 @@ A recording becomes frames of twelve pitch-class energies. Sixteen rectangle fil
 image of the frames, each give two bits for every frame; the 32 bits are packed into one integer. Two recordings
 that share integers are aligned by a histogram of the offsets between them, and the bits that differ over the
 overlap at the most frequent offset say how alike they are.
+
+Recordings with equal prints are one class, looked up once. The queries, a stated set, are broadcast as an index from
+integers to runs of positions, in blocks of bounded size; each task holds its own classes against a block. A run of
+equal integers is one posting with a length, so silence costs no more than a change of tone. What a task finds it sums
+up for each query before anything is shuffled: no pairs of recordings are shuffled or kept.
 """
 
 from __future__ import annotations
@@ -16,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import table, without, written
+from .common import in_blocks, named, spare, table, without, written
 
 WINDOW, HOP = 1024, 256
 #: Frames that a filter window spans.
@@ -31,6 +37,8 @@ FLIPS = 1
 #: Of the overlap's bits, the share that may differ, and the least number of integers in the overlap.
 MAX_ERROR, LEAST_OVERLAP = 0.2, 16
 QUERY_STEP = 50
+#: Integers of queries that are broadcast at once, and cells of a histogram or of an overlap that a task holds at once.
+BLOCK_INTS, CELLS = 1 << 19, 1 << 21
 #: Rendering of the registered query: samples a second, seconds a segment, segments.
 RATE, SECONDS, SEGMENTS = 4000, 0.25, 16
 
@@ -112,15 +120,19 @@ def probes(ints: np.ndarray, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def decode(audio: bytes | None) -> tuple[np.ndarray, int]:
-    """Samples between -1 and 1 of 16-bit PCM WAV data, channels averaged; nothing for null or unreadable data."""
+    """Samples between -1 and 1 of 16-bit PCM WAV data, channels averaged; nothing for null or unreadable data.
+
+    Data of another width, without channels or with a frame rate of zero count as unreadable.
+    """
     try:
         with wave.open(io.BytesIO(audio or b"")) as w:
-            if w.getsampwidth() != 2:
-                return np.zeros(0), w.getframerate()
-            data = np.frombuffer(w.readframes(w.getnframes()), "<i2").astype(np.float64) / 32768
-            n = w.getnchannels()
-            return data[: len(data) // n * n].reshape(-1, n).mean(1), w.getframerate()
-    except (wave.Error, EOFError):
+            n, rate = w.getnchannels(), w.getframerate()
+            if w.getsampwidth() != 2 or rate < 1 or n < 1:
+                return np.zeros(0), RATE
+            data = w.readframes(w.getnframes())
+            data = np.frombuffer(data[: len(data) // 2 * 2], "<i2").astype(np.float64) / 32768
+            return data[: len(data) // n * n].reshape(-1, n).mean(1), rate
+    except (wave.Error, EOFError, ValueError, ZeroDivisionError):
         return np.zeros(0), RATE
 
 
@@ -151,7 +163,7 @@ def render(vector: list[float] | None) -> bytes | None:
 
 def with_audio(vectors: DataFrame, vector: str = "embedding", key: str = "vec_id") -> DataFrame:
     """``(key, audio)``: a media column derived from a vector table."""
-    rows = vectors.select(F.col(key).alias("key"), F.col(vector).alias("vector"))
+    rows = vectors.select(named(key).alias("key"), named(vector).alias("vector"))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,13 +184,14 @@ def fingerprints(media: DataFrame, audio: str = "audio", keep: list[str] | None
     new = ["print", *(["probe_at", "probe"] if probing else [])]
     base = without(media, *new)
     kept = [c for c in base.columns if (c != audio if keep is None else c in keep)]
-    rows = base.select(*kept, F.col(audio).alias("_audio"))
-    schema = rows.drop("_audio").withColumns({c: F.array().cast("array<int>") for c in new}).schema
+    (own,) = spare(base, "_audio")
+    rows = base.select(*map(named, kept), named(audio).alias(own))
+    schema = base.select(*map(named, kept), *(F.array().cast("array<int>").alias(c) for c in new)).schema
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made: list[list] = [[] for _ in new]
-            for x in batch.column("_audio"):
+            for x in batch.column(own):
                 ints, masks = fingerprint(*decode(x.as_py()))
                 made[0].append(ints.view(np.int32))
                 if probing:
@@ -191,55 +204,220 @@ def fingerprints(media: DataFrame, audio: str = "audio", keep: list[str] | None
     return rows.mapInArrow(score, schema)
 
 
-def aligned(prints: DataFrame, queries: DataFrame, key: str, max_error: float = MAX_ERROR, least: int = LEAST_OVERLAP) -> DataFrame:
-    """``(query, other, offset, error)`` for the recordings ``(key, print)`` that align with a query recording.
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First position and length of each run of equal neighbours."""
+    first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.zeros(0, np.int64)
+    return first, np.diff(np.concatenate((first, [len(values)])))
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``start, start + 1, ...`` of each size, one after the other."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+class Queries:
+    """The prints of some queries, and an index from integers to runs of positions in them."""
+
+    def __init__(self, prints: list[np.ndarray], probe_at: list[np.ndarray], probe: list[np.ndarray]):
+        self.size = np.array([len(p) for p in prints], np.int64)
+        self.begin = np.cumsum(self.size) - self.size
+        self.ints = np.concatenate([np.zeros(0, np.int32), *prints])
+        parts = []
+        for q, (at, x) in enumerate(zip(probe_at, probe, strict=True)):
+            order = np.lexsort((at, x))
+            at, x = at[order].astype(np.int64), x[order]
+            once = np.flatnonzero(np.concatenate(([True], (x[1:] != x[:-1]) | (at[1:] != at[:-1])))) if len(x) else []
+            at, x = at[once], x[once]
+            # of one integer, positions that follow one another are a run
+            new = np.flatnonzero(np.concatenate(([True], (x[1:] != x[:-1]) | (at[1:] != at[:-1] + 1)))) if len(x) else np.zeros(0, np.int64)
+            parts.append((x[new], np.full(len(new), q), at[new], np.diff(np.concatenate((new, [len(x)])))))
+        value, self.query, self.at, self.length = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.argsort(value, kind="stable")
+        value, self.query, self.at, self.length = value[order], self.query[order], self.at[order], self.length[order]
+        self.first = _runs(value)[0]
+        self.values = value[self.first]
+        self.count = np.diff(np.concatenate((self.first, [len(value)])))
+
+    def align(self, p: np.ndarray, max_error: float, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The queries that align with a print: their numbers, offsets and errors."""
+        none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        if not len(p) or not len(self.values):
+            return none
+        starts, lengths = _runs(p)
+        at = np.minimum(np.searchsorted(self.values, p[starts]), len(self.values) - 1)
+        met = np.flatnonzero(self.values[at] == p[starts])
+        if not len(met):
+            return none
+        n = self.count[at[met]]
+        post, own = _ranges(self.first[at[met]], n), np.repeat(met, n)
+        order = np.argsort(self.query[post], kind="stable")
+        post, own = post[order], own[order]
+        asked, edges = np.unique(self.query[post], return_index=True)
+        edges = np.concatenate((edges, [len(post)]))
+        width = int(self.size[asked].max()) + len(p) + 3
+        step, out = max(1, CELLS // width), []
+        for k in range(0, len(asked), step):
+            part = slice(edges[k], edges[min(k + step, len(asked))])
+            out.append(self._peaks(p, asked[k : k + step], post[part], starts[own[part]], lengths[own[part]], width, max_error, least))
+        return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+    def _peaks(self, p, asked, post, j, m, width, max_error, least):
+        """Offsets with most shared integers and the errors there, for the queries ``asked``."""
+        row = np.searchsorted(asked, self.query[post]) * width
+        zero = len(p)
+        near, length = row + self.at[post] - j + zero, self.length[post]
+        # two runs meet at a trapezoid of offsets, which is four steps of the second difference
+        codes = np.concatenate((near - m + 1, near + length + 1, near + length - m + 1, near + 1))
+        signs = np.repeat(np.array([1, 1, -1, -1]), len(near))
+        table = np.bincount(codes, signs, len(asked) * width).reshape(-1, width).cumsum(1).cumsum(1).round().astype(np.int64)
+        offset = np.arange(width) - zero
+        size = self.size[asked][:, None]
+        over = np.minimum(size, len(p) + offset) - np.maximum(offset, 0)
+        table[over < least] = 0
+        order = np.lexsort((offset, np.abs(offset)))  # of equal peaks the one nearest to zero
+        best = order[table[:, order].argmax(1)]
+        rows = np.flatnonzero(table[np.arange(len(asked)), best] > 0)
+        offset, over = offset[best[rows]], over[rows, best[rows]]
+        error, group = np.zeros(len(rows)), np.cumsum(over) // CELLS
+        for g in np.unique(group):
+            own = np.flatnonzero(group == g)
+            first, n = np.maximum(offset[own], 0), over[own]
+            a = self.ints[_ranges(self.begin[asked[rows[own]]] + first, n)]
+            b = p[_ranges(first - offset[own], n)]
+            bits = np.bitwise_count((a ^ b).view(np.uint32)).astype(np.int64)
+            error[own] = np.add.reduceat(bits, np.cumsum(n) - n) / (32.0 * n)
+        good = error <= max_error
+        return asked[rows[good]], offset[good], error[good]
+
+
+def classes(prints: DataFrame, key: str = "vec_id") -> tuple[DataFrame, DataFrame]:
+    """``(class, print, n, low, next)`` of the different prints, and the membership ``(key, class)``.
+
+    ``n`` counts the distinct keys of a class, ``low`` and ``next`` are the smallest two. Null keys, and empty or null
+    prints, are in no class. Equal rows count once; a key with several prints is in the class of each.
+    """
+    rows = prints.where(named(key).isNotNull() & (F.size("print") > 0))
+    digest = F.md5(F.array_join(F.col("print").cast("array<string>"), ",").cast("binary"))
+    members = written(rows.select(named(key).alias("key"), digest.alias("class")).distinct())
+    low = members.groupBy("class").agg(F.count("*").alias("n"), F.min("key").alias("low"))
+    # dealt by key and class, so that a large class is spread
+    rest = members.join(low.select("class", F.col("low").alias("key")), ["class", "key"], "left_anti")
+    low = low.join(rest.groupBy("class").agg(F.min("key").alias("next")), "class", "left")
+    different = rows.groupBy(digest.alias("class")).agg(F.first("print").alias("print"))
+    return different.join(low, "class"), members
+
+
+def _scan(found: DataFrame, queries: DataFrame, schema: str, report, max_error: float, least: int) -> DataFrame:
+    """``report`` of each task's classes ``found`` held against ``queries``, block by block of the queries."""
+    spark = found.sparkSession
+    asked = queries.where(F.size("print") > 0)
+    total = asked.agg(F.coalesce(F.sum(F.size("print")), F.lit(0))).first()[0]
+    n = -(-total // BLOCK_INTS)
+
+    def blocks():
+        for k in range(n):
+            block = asked if n == 1 else asked.where(F.pmod(F.xxhash64("class"), F.lit(n)) == k)
+            rows = block.select("class", "print", "probe_at", "probe").collect()
+            if rows:
+                arrays = [[np.array(r[c], np.int32) for r in rows] for c in ("print", "probe_at", "probe")]
+                yield [r["class"] for r in rows], Queries(*arrays)
+
+    def scan(shared) -> DataFrame:
+        def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names, index = shared.value
+
+            def matches():
+                for batch in batches:
+                    for k in range(batch.num_rows):
+                        row = {c: batch.column(c)[k] for c in batch.schema.names}
+                        p = row.pop("print").values.to_numpy(zero_copy_only=False).astype(np.int32)
+                        q, offset, error = index.align(p, max_error, least)
+                        if len(q):
+                            yield {c: v.as_py() for c, v in row.items()}, q, offset, error
+
+            yield from report(names, matches())
+
+        return found.mapInArrow(hold, schema)
+
+    out = in_blocks(spark, blocks(), scan)
+    return spark.createDataFrame([], schema) if out is None else out
+
+
+def aligned(found: DataFrame, queries: DataFrame, max_error: float = MAX_ERROR, least: int = LEAST_OVERLAP) -> DataFrame:
+    """``(query, other, offset, error)``: the classes that align with a query's class; with ``classes``' membership
+    these are the recordings.
+
+    ``found`` are classes, ``queries`` has ``class``, ``print``, ``probe_at`` and ``probe``, a row for each. Candidates
+    share a probed integer; ``offset`` is the most frequent difference of positions of shared integers among those
+    with an overlap of ``least`` integers or more (of equal ones the one nearest to zero, then the smaller one),
+    ``error`` the share of differing bits over the overlap there, ``max_error`` at most. A class aligns with itself.
+    Recordings that share nothing with a query are not found: tests hold the recall against brute force.
+    """
+
+    def report(names, matches):
+        for row, q, offset, error in matches:
+            own = pa.array([row["class"]] * len(q), pa.string())
+            columns = [pa.array([names[k] for k in q], pa.string()), own, pa.array(offset, pa.int32()), pa.array(error, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["query", "other", "offset", "error"])
 
-    ``queries`` has ``probe_at`` and ``probe`` too. Candidates share a probed integer; ``offset`` is the most
-    frequent difference of positions of shared integers (on ties the one with fewest differing bits), ``error`` the
-    share of differing bits over the overlap there. A recording is not aligned with itself. Recordings that share
-    nothing with a query are not found: tests hold the recall against brute force. Empty prints align with nothing.
+    return _scan(found.select("class", "print"), queries, "query string, other string, offset int, error double", report, max_error, least)
+
+
+def counted(found: DataFrame, queries: DataFrame, max_error: float = MAX_ERROR, least: int = LEAST_OVERLAP) -> DataFrame:
+    """``(query, n, best)``: for each query's class how many recordings of other classes align with it, and the best.
+
+    ``best`` is the smallest of ``(error, other, offset)`` over those classes, ``other`` the smallest key of a class.
+    Every task sums up what it has found, so a row for each query and task is shuffled.
     """
-    q = queries.select(F.col(key).alias("query"), F.col("print").alias("qp")).where("query IS NOT NULL")
-    o = prints.select(F.col(key).alias("other"), F.col("print").alias("op")).where("other IS NOT NULL")
-    looked = queries.where(F.col(key).isNotNull()).select(F.col(key).alias("query"), F.explode(F.arrays_zip("probe_at", "probe")).alias("p"))
-    left = looked.select("query", F.col("p.probe_at").alias("i"), F.col("p.probe").alias("x"))
-    right = o.select("other", F.posexplode("op").alias("j", "x"))
-    shared = left.join(right, "x").where("query <> other").groupBy("query", "other", (F.col("i") - F.col("j")).alias("offset"))
-    histogram = shared.agg(F.count("*").alias("n"))
-    # a pair's bins are bounded by the lengths of its two recordings
-    bins = histogram.groupBy("query", "other").agg(F.collect_list(F.struct("n", "offset")).alias("bins"))
-    top = F.filter("bins", lambda b: b["n"] == F.array_max("bins.n"))
-    peaks = bins.select("query", "other", F.explode(top).alias("b")).select("query", "other", F.col("b.offset").alias("offset"))
-    both = peaks.join(q, "query").join(o, "other")
-    first, last = F.greatest(F.col("offset"), F.lit(0)), F.least(F.size("qp"), F.size("op") + F.col("offset"))
-    over = F.expr("zip_with(slice(qp, first + 1, n), slice(op, first - offset + 1, n), (a, b) -> bit_count(CAST(a ^ b AS BIGINT) & 4294967295L))")
-    both = both.withColumn("first", first).withColumn("n", last - F.col("first")).where(F.col("n") >= least)
-    error = F.aggregate(over, F.lit(0), lambda s, x: s + x) / (32.0 * F.col("n"))
-    found = both.withColumn("error", error).where(F.col("error") <= max_error)
-    best = found.groupBy("query", "other").agg(F.min(F.struct("error", F.abs("offset").alias("size"), "offset")).alias("b"))
-    return best.select("query", "other", F.col("b.offset").alias("offset"), F.col("b.error").alias("error"))
+    kind = found.schema["low"].dataType
+    schema = f"query string, n long, error double, other {kind.simpleString()}, offset int"
+    types = (pa.string(), pa.int64(), pa.float64(), to_arrow_type(kind), pa.int32())
+
+    def report(names, matches):
+        n, best = {}, {}
+        for row, q, offset, error in matches:
+            for k, d, e in zip(q.tolist(), offset.tolist(), error.tolist(), strict=True):
+                if names[k] != row["class"]:
+                    n[k] = n.get(k, 0) + row["n"]
+                    here = (e, row["low"], d)
+                    if k not in best or here < best[k]:
+                        best[k] = here
+        made = [[names[k] for k in n], list(n.values()), *([best[k][i] for k in n] for i in range(3))]
+        yield pa.RecordBatch.from_arrays([pa.array(m, t) for m, t in zip(made, types, strict=True)], names=["query", "n", "error", "other", "offset"])
+
+    out = _scan(found.select("class", "print", "n", "low"), queries, schema, report, max_error, least)
+    return out.groupBy("query").agg(F.sum("n").alias("n"), F.min(F.struct("error", "other", "offset")).alias("best"))
 
 
 def op5_audio_align(spark, sf_dir: str) -> DataFrame:
-    """For every recording whose id is divisible by 50: how many others align with it, and which one does best."""
-    recordings = with_audio(table(spark, sf_dir, "embeddings"))
-    prints = written(fingerprints(recordings, keep=["vec_id"]))
-    asked = with_audio(table(spark, sf_dir, "embeddings").where(F.col("vec_id") % QUERY_STEP == 0))
-    queries = written(fingerprints(asked, keep=["vec_id"], probing=True))
-    found = aligned(prints, queries, "vec_id")
-    best = F.min(F.struct("error", "other", "offset")).alias("b")
-    counted = found.groupBy(F.col("query").alias("vec_id")).agg(F.count("*").alias("n_aligned"), best)
-    digest = F.sha2(F.array_join(F.col("print").cast("array<string>"), ",").cast("binary"), 256)
-    return (
-        queries.select("vec_id", F.size("print").alias("n_ints"), digest.alias("print_sha256"))
-        .join(counted, "vec_id", "left")
-        .select(
-            "vec_id",
-            "n_ints",
-            "print_sha256",
-            F.coalesce("n_aligned", F.lit(0).cast("long")).alias("n_aligned"),
-            F.col("b.other").alias("best_id"),
-            F.col("b.offset").alias("best_offset"),
-            F.col("b.error").alias("best_error"),
-        )
+    """For every recording whose id is divisible by 50: how many others align with it, and which one does best.
+
+    A recording is a distinct id and print; its own class counts without itself. Equal rows give equal rows.
+    """
+    vectors = table(spark, sf_dir, "embeddings")
+    found, _ = classes(written(fingerprints(with_audio(vectors), keep=["vec_id"])))
+    found = written(found)
+    asked = with_audio(vectors.where(F.col("vec_id") % QUERY_STEP == 0))
+    asked = written(fingerprints(asked, keep=["vec_id"], probing=True))
+    joined = F.array_join(F.col("print").cast("array<string>"), ",").cast("binary")
+    asked = asked.withColumn("class", F.md5(joined))
+    different = asked.dropDuplicates(["class"])
+    others = counted(found, different)
+    own = found.select("class", (F.col("n") - 1).alias("twins"), "low", "next")
+    rows = asked.join(own, "class", "left").join(others.withColumnRenamed("query", "class"), "class", "left")
+    # its own class aligns with it wherever there is enough to overlap
+    enough = (F.size("print") >= LEAST_OVERLAP) & (F.col("twins") > 0)
+    twin = F.when(F.col("low") != F.col("vec_id"), F.col("low")).otherwise(F.col("next"))
+    kind = f"struct<error: double, other: {found.schema['low'].dataType.simpleString()}, offset: int>"
+    copy = F.when(enough, F.struct(F.lit(0.0).alias("error"), twin.alias("other"), F.lit(0).alias("offset"))).cast(kind)
+    best = F.least(F.col("best").cast(kind), copy)
+    number = F.coalesce("n", F.lit(0).cast("long")) + F.when(enough, F.col("twins")).otherwise(0)
+    return rows.select("vec_id", F.size("print").alias("n_ints"), F.sha2(joined, 256).alias("print_sha256"), number.alias("n_aligned"), best.alias("best")).select(
+        "vec_id",
+        "n_ints",
+        "print_sha256",
+        "n_aligned",
+        F.col("best.other").alias("best_id"),
+        F.col("best.offset").alias("best_offset"),
+        F.col("best.error").alias("best_error"),
     )

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,34 +17,73 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
+    """The folder that driver and executors share: the session's ``spark.checkpoint.dir``.
 
-    It is the session's ``spark.checkpoint.dir``. Only where that is unset (a local test session) a
-    temporary folder takes its place.
+    Only a session in one process (``local``) may leave it unset; a temporary folder then takes its place. On a
+    cluster that is an error, since each machine would write to a disk of its own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         context = spark.sparkContext
         path = context.getCheckpointDir()
         if not path:
+            if not (context.master == "local" or context.master.startswith("local[")):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
             context.setCheckpointDir(tempfile.mkdtemp(prefix="exhibita-"))
             path = context.getCheckpointDir()
     return path.rstrip("/")
 
 
+def new_path(spark: SparkSession) -> str:
+    """A path in the shared folder that nothing has yet."""
+    return f"{shared_dir(spark)}/exhibita-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     This cuts the lineage: a lost executor costs a re-read of the files, and what was computed is neither
     computed twice nor able to come out differently the second time.
     """
-    path = f"{shared_dir(df.sparkSession)}/exhibita-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_blocks(spark: SparkSession, blocks: Iterator, scan: Callable[[Broadcast], DataFrame]) -> DataFrame | None:
+    """What ``scan`` makes of each of ``blocks``, one after the other; None where there are no blocks.
+
+    A block is broadcast, its result is written, and its broadcast is destroyed before the next one is built: driver
+    and executors hold one block at a time, however many there are.
+    """
+    path, schema = new_path(spark), None
+    for block in blocks:
+        shared = spark.sparkContext.broadcast(block)
+        found = scan(shared)
+        schema = found.schema
+        found.write.mode("append").parquet(path)
+        shared.destroy()
+    return None if schema is None else spark.read.schema(schema).parquet(path)
+
+
+def named(column: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` less the columns an operator is about to add; names compare without regard to case."""
     taken = {n.lower() for n in names}
-    clash = [c for c in df.columns if c.lower() in taken]
-    return df.drop(*clash) if clash else df
+    kept = [c for c in df.columns if c.lower() not in taken]
+    return df if len(kept) == len(df.columns) else df.select(*map(named, kept))
+
+
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """Names for an operator's own columns that no column of ``df`` has: ``names``, marked further where taken."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -260,7 +260,45 @@ def melody(seed, n=40):
     return np.concatenate([np.sin(2 * np.pi * 523.25 * 2 ** (rnd.integers(0, 12) / 12) * time) * 0.5 for _ in range(n)])
 
 
-def test_alignment_finds_offset_and_noise(spark):
+def brute_alignments(prints, probing, queries):
+    """``(query row, other row) -> (offset, error)`` of distinct ``(key, print)`` rows, by trying every offset."""
+    rows, out = sorted({(k, p) for k, p in prints if k is not None and p}), {}
+    for key, own in rows:
+        if key not in queries:
+            continue
+        looked = {}
+        for i, x in zip(*probing[key, own], strict=True):
+            looked.setdefault(x, set()).add(i)
+        for other, theirs in rows:
+            if (other, theirs) == (key, own):
+                continue
+            histogram = Counter(i - j for j, x in enumerate(theirs) for i in looked.get(x, ()))
+            over = {d: min(len(own), len(theirs) + d) - max(d, 0) for d in histogram}
+            ranked = sorted((-n, abs(d), d) for d, n in histogram.items() if over[d] >= audioprint.LEAST_OVERLAP)
+            if ranked:
+                d = ranked[0][2]
+                bits = sum(((own[i] ^ theirs[i - d]) & 0xFFFFFFFF).bit_count() for i in range(max(d, 0), max(d, 0) + over[d]))
+                if bits / (32 * over[d]) <= audioprint.MAX_ERROR:
+                    out[(key, own), (other, theirs)] = d, bits / (32 * over[d])
+    return out
+
+
+def pairs_of(prints, queries):
+    """The operator's alignments by rows: classes expanded by their members."""
+    found, members = audioprint.classes(prints)
+    asked = queries.withColumn("class", F.md5(F.array_join(F.col("print").cast("array<string>"), ",").cast("binary"))).dropDuplicates(["class"])
+    got = audioprint.aligned(found.cache(), asked)
+    prints_of = {r["class"]: tuple(r["print"]) for r in found.collect()}
+    inside = {}
+    for r in members.collect():
+        inside.setdefault(r["class"], []).append((r["key"], prints_of[r["class"]]))
+    return {(q, o): (r["offset"], r["error"]) for r in got.collect() for q in inside[r["query"]] for o in inside[r["other"]] if q != o}
+
+
+@pytest.mark.parametrize("block,cells", [(1 << 19, 1 << 21), (300, 1000)])
+def test_alignment_matches_brute_force(spark, tmp_path, monkeypatch, block, cells):
+    monkeypatch.setattr(audioprint, "BLOCK_INTS", block)
+    monkeypatch.setattr(audioprint, "CELLS", cells)
     song, rnd = melody(1), np.random.default_rng(9)
     shift = 20 * audioprint.HOP
     media = [
@@ -269,38 +307,72 @@ def test_alignment_finds_offset_and_noise(spark):
         (2, song + rnd.normal(0, 0.02, len(song))),
         (3, melody(2)),
         (4, np.zeros(9000)),
+        (14, np.zeros(30_000)),
+        (24, np.zeros(9000)),
         (5, song[:500]),
         (6, None),
         (7, song),
+        (7, song),
+        (0, melody(3)),
+        (10, np.concatenate([np.zeros(9000), song, np.ones(9000) * 0.5])),
+        (None, song),
     ]
     rows = [(i, None if s is None else audioprint.encode(s, 4000)) for i, s in media] + [(8, b"no audio"), (9, b"")]
-    df = spark.createDataFrame(rows, "vec_id long, audio binary").withColumn("print", F.lit("mine"))
+    df = spark.createDataFrame(rows, "vec_id long, audio binary").withColumn("print", F.lit("mine")).withColumn("_audio", F.lit("theirs"))
     prints = audioprint.fingerprints(df, probing=True).cache()
-    assert prints.columns == ["vec_id", "print", "probe_at", "probe"] and audioprint.fingerprints(df).columns == ["vec_id", "print"]
-    size = {r["vec_id"]: len(r["print"]) for r in prints.collect()}
-    assert size[5] == size[6] == size[8] == size[9] == 0 and size[0] == (len(song) - audioprint.WINDOW) // audioprint.HOP + 2 - audioprint.SPAN
-    found = {r["other"]: r for r in audioprint.aligned(prints, prints.where("vec_id = 0"), "vec_id").collect()}
-    assert set(found) == {1, 2, 7}
-    assert (found[1]["offset"], found[2]["offset"], found[7]["offset"]) == (20, 0, 0)
-    assert found[7]["error"] == 0 and found[1]["error"] < 0.02 and found[2]["error"] < 0.15
-    assert audioprint.aligned(prints.limit(0), prints, "vec_id").count() == 0
-
-
-def test_alignment_recall_against_brute_force(spark):
+    assert prints.columns == ["vec_id", "_audio", "print", "probe_at", "probe"] and audioprint.fingerprints(df).columns == ["vec_id", "_audio", "print"]
+    known = prints.collect()
+    size = {r["vec_id"]: len(r["print"]) for r in known if r["vec_id"] != 0}
+    assert size[5] == size[6] == size[8] == size[9] == 0 and size[7] == (len(song) - audioprint.WINDOW) // audioprint.HOP + 2 - audioprint.SPAN
+    probing = {(r["vec_id"], tuple(r["print"])): (r["probe_at"], r["probe"]) for r in known}
+    queries = prints.where("vec_id % 2 = 0")
+    got = pairs_of(prints, queries)
+    # a class is asked for all of its members
+    asked = {r["vec_id"] for r in known if r["vec_id"] is not None}
+    expected = brute_alignments([(r["vec_id"], tuple(r["print"])) for r in known], probing, asked)
+    even = {tuple(r["print"]) for r in known if r["vec_id"] is not None and r["vec_id"] % 2 == 0}
+    assert {k: (d, round(e, 9)) for k, (d, e) in got.items()} == {k: (d, round(e, 9)) for k, (d, e) in expected.items() if k[0][1] in even}
+    assert got[(7, probing and next(p for k, p in probing if k == 7)), (1, next(p for k, p in probing if k == 1))][0] == 20
+    found, _ = audioprint.classes(prints.limit(0))
+    assert audioprint.aligned(found, prints.where("vec_id = 7").withColumn("class", F.lit("c"))).count() == 0
+
+
+def test_alignment_query_matches_brute_force(spark, tmp_path):
     rnd = np.random.default_rng(4)
     base = rnd.normal(0, 0.125, (12, 64))
-    vectors = [(k, (base[k % 12] + rnd.normal(0, 0.016, 64)).tolist()) for k in range(120)] + [(500, None), (501, [])]
-    media = audioprint.with_audio(spark.createDataFrame(vectors, "vec_id long, embedding array<double>"))
-    prints = audioprint.fingerprints(media, probing=True).cache()
-    data = {r["vec_id"]: np.array(r["print"], np.int32).view(np.uint32) for r in prints.collect()}
-    near = set()
-    for a in range(0, 120, 10):
-        for b in range(120):
-            x, y = data[a], data[b]
-            if a != b and np.unpackbits((x ^ y).view(np.uint8)).mean() <= audioprint.MAX_ERROR:
-                near.add((a, b))
-    got = {(r["query"], r["other"]) for r in audioprint.aligned(prints, prints.where("vec_id % 10 = 0"), "vec_id").collect()}
-    assert len(near) > 80 and len(near & got) >= 0.9 * len(near)
+    vectors = [(k, (base[k % 12] + rnd.normal(0, 0.016, 64)).tolist()) for k in range(400)] + [(500, None), (550, []), (600, [0.0] * 64)]
+    vectors += [(k, vectors[0][1]) for k in (50, 401, 402)] + [(100, vectors[100][1]), (150, vectors[3][1]), (700, vectors[9][1]), (None, vectors[0][1])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").withColumn("key", F.lit(1)).withColumn("vector", F.lit(1))
+    df.write.parquet(f"{tmp_path}/embeddings.parquet")
+    media = audioprint.with_audio(df)
+    known = audioprint.fingerprints(media, probing=True).collect()
+    probing = {(r["vec_id"], tuple(r["print"])): (r["probe_at"], r["probe"]) for r in known}
+    prints = [(r["vec_id"], tuple(r["print"])) for r in known]
+    expected = brute_alignments(prints, probing, {k for k, _ in prints if k is not None and k % 50 == 0})
+    best, count = {}, Counter()
+    for (q, o), (d, e) in expected.items():
+        count[q] += 1
+        best[q] = min(best.get(q, (9.0, 0, 0)), (e, o[0], d))
+    out = audioprint.op5_audio_align(spark, str(tmp_path)).collect()
+    assert Counter(r["vec_id"] for r in out) == Counter(k for k, _ in vectors if k is not None and k % 50 == 0)
+    for r in out:
+        # the print is told apart by its digest
+        q = next((k, p) for k, p in prints if k == r["vec_id"] and hashlib.sha256(",".join(map(str, p)).encode()).hexdigest() == r["print_sha256"])
+        e, o, d = best.get(q, (None, None, None))
+        assert (r["n_ints"], r["n_aligned"], r["best_id"], r["best_offset"]) == (len(q[1]), count[q], o, d)
+        assert r["best_error"] == (None if e is None else pytest.approx(e))
+    # recall against all pairs at the true offset
+    near = {(a, b) for a in prints for b in prints if a != b and a[0] is not None and b[0] is not None and a[0] % 50 == 0 and a[1] and len(a[1]) == len(b[1])
+            and np.unpackbits((np.array(a[1], np.int32) ^ np.array(b[1], np.int32)).view(np.uint8)).mean() <= audioprint.MAX_ERROR}
+    assert len(near) > 200 and len(near & set(expected)) >= 0.9 * len(near)
+
+
+def test_silence_costs_no_more_than_its_runs(spark):
+    silent = [(k, audioprint.encode(np.zeros(80_000 + 256 * k), 4000)) for k in range(60)]
+    prints = audioprint.fingerprints(spark.createDataFrame(silent, "vec_id long, audio binary"), probing=True).cache()
+    index = audioprint.Queries(*[[np.array(r[c], np.int32) for r in prints.collect()] for c in ("print", "probe_at", "probe")])
+    assert len(index.query) <= 4 * 60  # a run or two for each recording and probe
+    assert len(pairs_of(prints, prints)) == 60 * 59
 
 
 def test_stereo_is_averaged_and_other_widths_give_nothing():
@@ -320,3 +392,6 @@ def test_stereo_is_averaged_and_other_widths_give_nothing():
     samples, rate = audioprint.decode(wav(2, 2, both.tobytes()))
     assert rate == 8000 and samples.tolist() == [0.25, -0.25]
     assert len(audioprint.decode(wav(1, 1, b"\x80" * 10))[0]) == 0
+    still = bytearray(wav(2, 1, b"\1\0" * 9000))
+    still[24:28] = bytes(4)  # a frame rate of zero
+    assert len(audioprint.decode(bytes(still))[0]) == 0 and len(audioprint.decode(bytes(still)[:60])[0]) == 0
