@@ -21,9 +21,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import in_blocks, named, spare, table, without, written
+from .common import in_blocks, named, table, with_made, without, written
 
 WINDOW, HOP = 1024, 256
 #: Frames that a filter window spans.
@@ -184,24 +185,19 @@ def fingerprints(media: DataFrame, audio: str = "audio", keep: list[str] | None
     new = ["print", *(["probe_at", "probe"] if probing else [])]
     base = without(media, *new)
     kept = [c for c in base.columns if (c != audio if keep is None else c in keep)]
-    (own,) = spare(base, "_audio")
-    rows = base.select(*map(named, kept), named(audio).alias(own))
-    schema = base.select(*map(named, kept), *(F.array().cast("array<int>").alias(c) for c in new)).schema
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made: list[list] = [[] for _ in new]
-            for x in batch.column(own):
-                ints, masks = fingerprint(*decode(x.as_py()))
-                made[0].append(ints.view(np.int32))
-                if probing:
-                    at, found = probes(ints, masks)
-                    made[1].append(at.astype(np.int32))
-                    made[2].append(found.view(np.int32))
-            arrays = [pa.array(m, pa.list_(pa.int32())) for m in made]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *arrays], names=[*kept, *new])
-
-    return rows.mapInArrow(score, schema)
+    def score(batch: pa.Array) -> list[list]:
+        made: list[list] = [[] for _ in new]
+        for x in batch:
+            ints, masks = fingerprint(*decode(x.as_py()))
+            made[0].append(ints.view(np.int32))
+            if probing:
+                at, found = probes(ints, masks)
+                made[1].append(at.astype(np.int32))
+                made[2].append(found.view(np.int32))
+        return made
+
+    return with_made(base, kept, [named(audio)], dict.fromkeys(new, T.ArrayType(T.IntegerType())), lambda: score)
 
 
 def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -6,9 +6,12 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,3 +90,24 @@ def spare(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def with_made(df: DataFrame, kept: list[str], inputs: list[Column], new: dict[str, T.DataType], make: Callable[[], Callable]) -> DataFrame:
+    """The columns ``kept`` of ``df`` and what a function makes of ``inputs``, one Arrow batch after the other.
+
+    ``make`` is called once in each task and returns the function; that takes an Arrow array for each input and
+    returns values for each of the ``new`` columns. Names stay out of the job, so any will do.
+    """
+    rows = df.select(*(named(c).alias(f"k{i}") for i, c in enumerate(kept)), *(x.alias(f"i{i}") for i, x in enumerate(inputs)))
+    fields = [T.StructField(f"k{i}", df.schema[c].dataType) for i, c in enumerate(kept)]
+    fields += [T.StructField(f"n{i}", kind) for i, kind in enumerate(new.values())]
+    names, n, types = [f.name for f in fields], len(kept), [to_arrow_type(kind) for kind in new.values()]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = make()
+        for batch in batches:
+            made = function(*batch.columns[n:])
+            arrays = [m if isinstance(m, pa.Array) else pa.array(m, t) for m, t in zip(made, types, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *arrays], names=names)
+
+    return rows.mapInArrow(scan, T.StructType(fields)).toDF(*kept, *new)

@@ -1,13 +1,15 @@
 """Toxicity: a counterfactually regularised classifier of whole texts.
 
-Features are words and word prefixes that are markedly more frequent in toxic labelled documents, each as
-presence and as density. A logistic regression is fitted to them with a penalty on the squared change of the
-logit when the identity terms of a labelled sentence are swapped for others of their group, so that a neutral
-mention of a group does not move the score.
+Features are words and word prefixes that are markedly more frequent in toxic labelled documents, and all identity
+terms, each as presence and as density. A logistic regression is fitted to them with a penalty on the squared change
+of the logit when the identity terms of a labelled sentence are swapped for others of their group. Both terms of
+every swap are features, whatever the labels say about them, so the penalty always has something to hold together:
+a group that is mentioned more often in toxic texts does not get a score of its own.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -15,17 +17,18 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import table, without, written
+from .common import named, table, with_made, without, written
 
-#: Labelled rows that the classifier is fitted on at most: those with the lowest hash of their id.
+#: Labelled texts that the classifier is fitted on at most: those with the lowest hashes.
 MAX_TRAINING_ROWS = 20_000
 #: Features that are selected at most, and candidates that are looked at for them.
 MAX_FEATURES, CANDIDATES = 300, 3_000
-#: A feature must be in so many toxic training documents and pass so high a chi-square.
-LEAST_TOXIC, LEAST_CHI2 = 5, 40.0
+#: The chance that any word without a bearing on the labels becomes a feature, over all words and prefixes looked at.
+CHANCE = 0.01
 RIDGE = 0.1
 COUNTERFACTUAL = 10.0
 THRESHOLD = 0.7
@@ -126,23 +129,38 @@ class Model:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, limit: int) -> DataFrame:
-    """``(text, toxic)`` of the labelled rows that may be learnt from, each text once.
+    """``(text, toxic)`` of the labelled rows that may be learnt from: ``limit`` different texts at most.
 
-    The rows whose crc32 of the id is 1 modulo 3 are held out. Of the others, ``limit`` with the lowest hash of
-    the id are taken; null ids, labels and texts are left out.
+    The rows whose crc32 of the id is 1 modulo 3 are held out. Of the others, the ``limit`` ids and then the
+    ``limit`` texts with the lowest hashes are taken, however often an id is repeated. A text with several labels is
+    toxic if one of them says so. Null ids, labels and texts are left out.
     """
-    ids = labels.select(F.col(key).alias("_id"), F.col(label).cast("int").alias("toxic"))
-    ids = ids.where("_id IS NOT NULL AND toxic IS NOT NULL").where(F.crc32(F.col("_id").cast("string").cast("binary")) % 3 != 1)
-    ids = ids.groupBy("_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("_id"), "_id").limit(limit)
+    ids = labels.select(named(key).alias("id"), named(label).cast("int").alias("toxic"))
+    ids = ids.where("id IS NOT NULL AND toxic IS NOT NULL").where(F.crc32(F.col("id").cast("string").cast("binary")) % 3 != 1)
+    ids = ids.groupBy("id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(limit)
     # limit bounds what is broadcast
-    rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("text")).where("text IS NOT NULL")
-    rows = rows.join(F.broadcast(ids), "_id")
-    once = rows.withColumn("_h", F.xxhash64("text")).groupBy("_h").agg(F.max("toxic").alias("toxic"), F.min("_id").alias("_id"))
-    return rows.drop("toxic").join(F.broadcast(once), "_id").where(F.xxhash64("text") == F.col("_h")).select("text", "toxic")
+    rows = docs.select(named(key).alias("id"), named(text).alias("text")).where("text IS NOT NULL").join(F.broadcast(ids), "id")
+    rows = written(rows.select("toxic", "text", F.md5(F.col("text").cast("binary")).alias("h")))
+    once = rows.groupBy("h").agg(F.max("toxic").alias("toxic")).orderBy("h").limit(limit)
+    return rows.drop("toxic").join(F.broadcast(once), "h").groupBy("h").agg(F.first("text").alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic")
+
+
+def least_chi2(tested: int) -> float:
+    """The chi-square that one of ``tested`` features without a bearing passes with the chance ``CHANCE``."""
+    low, high = 0.0, 1000.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if math.erfc(math.sqrt(middle / 2)) * tested > CHANCE else (low, middle)
+    return high
+
+
+def identity_features() -> list[str]:
+    """Both terms of every swap as features."""
+    return [f"={t}" for t in SWAP]
 
 
 def _select(rows: DataFrame, n_toxic: int, n: int) -> dict[str, int]:
-    """The features with the highest chi-square among those that toxic documents have more often."""
+    """The features with the highest chi-square among those that toxic documents have more often, and all identity terms."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic: Counter = Counter()
@@ -164,10 +182,16 @@ def _select(rows: DataFrame, n_toxic: int, n: int) -> dict[str, int]:
         yield out()
 
     found = rows.mapInArrow(count, "f string, t long, c long").groupBy("f").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+    tested = Observation()
+    found = found.observe(tested, F.count("*").alias("n"))
     a, b, d = F.col("t").cast("double"), F.col("c").cast("double"), float(n - n_toxic)
-    chi2 = n * F.pow(a * (d - b) - b * (n_toxic - a), 2) / (n_toxic * max(d, 1.0) * (a + b) * (n - a - b + 1e-9) + 1e-9)
-    found = found.withColumn("chi2", chi2).where((a >= LEAST_TOXIC) & (F.col("chi2") >= LEAST_CHI2) & (a * d > b * n_toxic))
-    best = found.orderBy(F.desc("chi2"), F.desc(F.length("f")), "f").limit(CANDIDATES).collect()
+    # with the correction for small counts
+    gap = F.greatest(F.abs(a * (d - b) - b * (n_toxic - a)) - n / 2, F.lit(0.0))
+    chi2 = n * gap * gap / (n_toxic * max(d, 1.0) * (a + b) * (n - a - b + 1e-9) + 1e-9)
+    ranked = found.withColumn("chi2", chi2).where(a * d > b * n_toxic).orderBy(F.desc("chi2"), F.desc(F.length("f")), "f")
+    best = ranked.limit(CANDIDATES).collect()
+    floor = least_chi2(tested.get["n"])
+    best = [r for r in best if r["chi2"] >= floor]
     # a prefix that stands for the same documents as a longer one, or as one word, says nothing more
     by_counts: dict[tuple, list[str]] = {}
     kept: list[str] = []
@@ -178,7 +202,7 @@ def _select(rows: DataFrame, n_toxic: int, n: int) -> dict[str, int]:
             continue
         same.append(f)
         kept.append(f)
-    return {f: i for i, f in enumerate(kept[:MAX_FEATURES])}
+    return {f: i for i, f in enumerate(dict.fromkeys(kept[:MAX_FEATURES] + identity_features()))}
 
 
 def fit(
@@ -198,7 +222,7 @@ def fit(
     rows = written(training_rows(docs, labels, key, text, label, max_rows))
     n, n_toxic = rows.agg(F.count("*"), F.coalesce(F.sum((F.col("toxic") == 1).cast("int")), F.lit(0))).first()
     if not n_toxic or n_toxic == n:
-        share = n_toxic / n if n else 0.0
+        share = n_toxic / n if n else 0.0  # as far as that can be told from no rows of one kind
         return Model({}, np.zeros(0), float(np.log((share + 1e-6) / (1 - share + 1e-6))))
     chosen = _select(rows, n_toxic, n)
     blank = Model(chosen, np.zeros(2 * len(chosen)), 0.0)
@@ -235,7 +259,7 @@ def fit(
             [pa.array(made[0], pa.int32()), pa.array(made[1], pa.int32()), pa.array(made[2], pa.float64())], names=["i", "j", "s"]
         )
 
-    # at most max_rows rows, and at most (2 * MAX_FEATURES) ** 2 sums
+    # at most max_rows rows, and at most as many sums as pairs of features
     sample = rows.mapInArrow(vectors, "toxic int, at array<int>, value array<float>").collect()
     pairs = rows.mapInArrow(changes, "i int, j int, s double").groupBy("i", "j").agg(F.sum("s").alias("s")).collect()
     k = 2 * len(chosen)
@@ -275,22 +299,19 @@ def _newton(x: np.ndarray, y: np.ndarray, penalty: np.ndarray) -> np.ndarray:
 def classify(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``score`` (0 to 1, higher: toxic likelier) and ``predicted`` (1 from ``threshold`` on).
 
-    Null and empty texts have no features and get the score of the bias alone. Input columns with one of the two
-    names are replaced.
+    Null and empty texts have no features and get the score of the bias alone. Repeated rows get equal scores, long
+    texts are scored whole, an empty table stays empty, and input columns with one of the two names are replaced.
     """
     base = without(docs, *COLUMNS)
     kept = [c for c in base.columns if keep is None or c in keep]
-    base = base.select(*kept, F.col(text).alias("_score_text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = base.drop("_score_text").withColumn("score", F.lit(0.0)).schema
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         judge = shared.value.score
-        for batch in batches:
-            scores = pa.array([judge(t.as_py()) for t in batch.column("_score_text")], pa.float64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), scores], names=[*kept, "score"])
+        return lambda texts: [[judge(t.as_py()) for t in texts]]
 
-    return base.mapInArrow(score, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    scored = with_made(base, kept, [named(text)], {"score": T.DoubleType()}, make)
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def op1_toxicity(spark, sf_dir: str) -> DataFrame:

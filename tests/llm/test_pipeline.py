@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from exhibita.llm import mixing, toxicity
+from exhibita.llm import mixing
 
 
 @pytest.fixture(scope="module")
@@ -36,8 +36,7 @@ def tables(spark, tmp_path_factory):
     return str(path), {"toxic": {r[0] for r in rows if r[0] % 8 == 0}, "clean": {r[0] for r in clean}, "copies": range(1000, 1020), "near": range(1100, 1120), "leaks": range(1200, 1210)}
 
 
-def test_stages_take_effect_and_keep_the_rest(spark, tables, monkeypatch):
-    monkeypatch.setattr(toxicity, "LEAST_CHI2", 20.0)
+def test_stages_take_effect_and_keep_the_rest(spark, tables):
     path, planted = tables
     docs = spark.read.parquet(f"{path}/documents.parquet")
     columns, kept = docs.columns, []

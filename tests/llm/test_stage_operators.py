@@ -319,7 +319,6 @@ def corpus(n=600):
 def test_toxicity_learns_and_ignores_identity(spark, monkeypatch):
     rows, labels = corpus()
     df, known = docs(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
-    monkeypatch.setattr(toxicity, "LEAST_CHI2", 5.0)
     model = toxicity.fit(df, known)
     assert "=idiotic" in model.features or "^idiotic" in model.features
     base = rows[1][1]
@@ -334,7 +333,7 @@ def test_toxicity_learns_and_ignores_identity(spark, monkeypatch):
 
 
 def test_toxicity_edge_cases(spark):
-    odd = docs(spark, [(1, None, "s"), (2, "", "s"), (None, "word " * 300_000, "s"), (1, None, "s")]).withColumn("score", F.lit("mine"))
+    odd = docs(spark, [(1, None, "s"), (2, "", "s"), (None, "word " * 300_000, "s"), (1, None, "s")]).withColumn("score", F.lit("mine")).withColumn("_text", F.lit("x")).withColumn("a.b", F.lit(1))
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     model = toxicity.fit(odd, none)
     out = toxicity.classify(odd, model).collect()
@@ -348,3 +347,81 @@ def test_held_out_rows_are_never_learnt(spark):
     used = toxicity.training_rows(docs(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), "doc_id", "text", "toxic", 1000)
     texts = {r["text"] for r in used.collect()}
     assert texts == {t for i, t, _ in rows if zlib.crc32(str(i).encode()) % 3 != 1}
+
+
+def test_training_rows_are_distinct_and_bounded(spark):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1][:10]
+    rows = [(ids[0], "same", "s")] * 50 + [(ids[1], f"text {k}", "s") for k in range(40)] + [(i, "same", "s") for i in ids[2:]]
+    labels = spark.createDataFrame([(i, 1, int(i == ids[5])) for i in ids], "doc_id long, quality int, toxic int")
+    every = toxicity.training_rows(docs(spark, rows), labels, "doc_id", "text", "toxic", 1000).collect()
+    assert Counter(r["text"] for r in every) == Counter({t for _, t, _ in rows}) and {r["text"]: r["toxic"] for r in every}["same"] == 1
+    for limit in (1, 2, 7):
+        assert toxicity.training_rows(docs(spark, rows), labels, "doc_id", "text", "toxic", limit).count() <= limit
+
+
+def brute_vector(words, features):
+    """Feature values of a list of words, written out."""
+    total, out = len(words), [0.0] * (2 * len(features))
+    for f, k in features.items():
+        heavy = sum(words.count(w) ** 0.5 for w in set(words) if (w == f[1:] if f[0] == "=" else w.startswith(f[1:])))
+        if heavy:
+            out[k], out[len(features) + k] = 1.0, min(2.0, 100 * heavy / (total + 50))
+    return np.array(out)
+
+
+def brute_features(rows):
+    """The selected words and prefixes, straight from the definition."""
+    held = [({f for w in re.findall(r"[^\W\d_]+", t.lower()) for f in toxicity.candidates(w)}, y) for t, y in rows]
+    n, p = len(held), sum(y for _, y in held)
+    tested = {f for fs, _ in held for f in fs}
+    ranked = []
+    for f in tested:
+        a, b = sum(f in fs for fs, y in held if y), sum(f in fs for fs, y in held if not y)
+        gap = max(0.0, abs(a * (n - p - b) - b * (p - a)) - n / 2)
+        chi2 = n * gap**2 / (p * (n - p) * (a + b) * (n - a - b)) if 0 < a + b < n else 0.0
+        if a * (n - p) > b * p and math.erfc(math.sqrt(chi2 / 2)) * len(tested) <= toxicity.CHANCE:
+            ranked.append((-chi2, -len(f), f, (a, b)))
+    kept, same = [], defaultdict(list)
+    for _, _, f, counts in sorted(ranked):
+        if not (f[0] == "^" and any(x[1:].startswith(f[1:]) for x in same[counts])):
+            same[counts].append(f)
+            kept.append(f)
+    return kept
+
+
+def test_toxicity_is_the_minimum_of_its_loss(spark):
+    rows, labels = corpus(300)
+    toxic = {i: t for i, _, t in labels}
+    used = [(t, toxic[i]) for i, t, _ in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    model = toxicity.fit(docs(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert list(model.features)[: len(brute_features(used))] == brute_features(used) and set(model.features) >= {"=woman", "=man", "=she", "=frau"}
+    words = lambda t: re.findall(r"[^\W\d_]+", t.lower())
+    w = np.concatenate((model.weights, [model.bias]))
+    gradient = np.array([*[toxicity.RIDGE] * len(model.weights), 1e-6]) * w
+    for t, y in used:
+        x = np.append(brute_vector(words(t), model.features), 1.0)
+        gradient += (1 / (1 + math.exp(-x @ w)) - y) * x
+        for sentence in re.findall(r"[^.!?\n]+", t):
+            other = [toxicity.SWAP.get(u, u) for u in words(sentence)]
+            if other != words(sentence):
+                change = np.append(brute_vector(words(sentence), model.features) - brute_vector(other, model.features), 0.0)
+                gradient += toxicity.COUNTERFACTUAL * (change @ w) * change
+    assert np.abs(gradient).max() < 1e-2
+    for t, _ in used[:20]:
+        assert model.score(t) == pytest.approx(1 / (1 + math.exp(-np.append(brute_vector(words(t), model.features), 1.0) @ w)))
+
+
+def test_penalty_acts_on_the_given_tables(spark, monkeypatch):
+    path = "/root/testdata/sf0.01"
+    given = [spark.read.parquet(f"{path}/{t}.parquet") for t in ("documents", "labels")]
+    kept = {}
+    monkeypatch.setattr(toxicity, "_newton", lambda x, y, penalty, fit=toxicity._newton: (kept.update(penalty=penalty), fit(x, y, penalty))[1])
+    model = toxicity.fit(*given)
+    outside = kept["penalty"] - np.diag(np.diag(kept["penalty"]))
+    assert np.count_nonzero(outside) >= 2
+    monkeypatch.setattr(toxicity, "COUNTERFACTUAL", 0.0)
+    free = toxicity.fit(*given)
+    assert model.features == free.features and np.abs(model.weights - free.weights).max() > 1e-3
+    met = [f for f in toxicity.identity_features() if outside[model.features[f]].any()]
+    gap = lambda m: sum(abs(m.weights[m.features[f]] - m.weights[m.features["=" + toxicity.SWAP[f[1:]]]]) for f in met)
+    assert met and gap(model) < gap(free)
