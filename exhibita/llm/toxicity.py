@@ -27,8 +27,8 @@ from .common import named, table, with_made, without, written
 MAX_TRAINING_ROWS = 20_000
 #: Features that are selected at most, and candidates that are looked at for them.
 MAX_FEATURES, CANDIDATES = 300, 3_000
-#: The chance that any word without a bearing on the labels becomes a feature, over all words and prefixes looked at.
-CHANCE = 0.01
+#: How many words and prefixes without a bearing on the labels may be expected among the features, whatever the number looked at.
+FALSE_FEATURES = 1.0
 RIDGE = 0.1
 COUNTERFACTUAL = 10.0
 THRESHOLD = 0.7
@@ -146,11 +146,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label
 
 
 def least_chi2(tested: int) -> float:
-    """The chi-square that one of ``tested`` features without a bearing passes with the chance ``CHANCE``."""
+    """The chi-square that ``FALSE_FEATURES`` of ``tested`` features without a bearing are expected to pass."""
     low, high = 0.0, 1000.0
     for _ in range(60):
         middle = (low + high) / 2
-        low, high = (middle, high) if math.erfc(math.sqrt(middle / 2)) * tested > CHANCE else (low, middle)
+        low, high = (middle, high) if math.erfc(math.sqrt(middle / 2)) * tested > FALSE_FEATURES else (low, middle)
     return high
 
 

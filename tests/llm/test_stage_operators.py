@@ -379,7 +379,7 @@ def brute_features(rows):
         a, b = sum(f in fs for fs, y in held if y), sum(f in fs for fs, y in held if not y)
         gap = max(0.0, abs(a * (n - p - b) - b * (p - a)) - n / 2)
         chi2 = n * gap**2 / (p * (n - p) * (a + b) * (n - a - b)) if 0 < a + b < n else 0.0
-        if a * (n - p) > b * p and math.erfc(math.sqrt(chi2 / 2)) * len(tested) <= toxicity.CHANCE:
+        if a * (n - p) > b * p and math.erfc(math.sqrt(chi2 / 2)) * len(tested) <= toxicity.FALSE_FEATURES:
             ranked.append((-chi2, -len(f), f, (a, b)))
     kept, same = [], defaultdict(list)
     for _, _, f, counts in sorted(ranked):
