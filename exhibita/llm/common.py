@@ -53,6 +53,33 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, on any file system that Spark knows."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+class Scratch:
+    """Tables that one computation needs only until its own result is written; they go when it ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.path, self.n = spark, new_path(spark), 0
+
+    def written(self, df: DataFrame) -> DataFrame:
+        """``df`` written and read back, see ``written``."""
+        self.n += 1
+        path = f"{self.path}/{self.n}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        remove(self.spark, self.path)
+
+
 def in_blocks(spark: SparkSession, blocks: Iterator, scan: Callable[[Broadcast], DataFrame]) -> DataFrame | None:
     """What ``scan`` makes of each of ``blocks``, one after the other; None where there are no blocks.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import Scratch, written
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -19,9 +19,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Each round shuffles the edges by node and keeps only stars; the number of rounds grows with the logarithm of
     the longest path. A hub's edges are one row each and are never gathered into one value, so a component that
     holds a third of all nodes is split like any skewed join. Self loops and repeated edges do no harm; an empty
-    table has no nodes. Every round is written to the shared folder.
+    table has no nodes. Every round is written to the shared folder, and goes when the result is written.
     """
-    edges = written(edges.select("u", "v").where("u <> v").distinct())
+    with Scratch(edges.sparkSession) as scratch:
+        return written(_stars(edges, scratch))
+
+
+def _stars(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    edges = scratch.written(edges.select("u", "v").where("u <> v").distinct())
     before = _state(edges)
     while before[0]:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -35,7 +40,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(low.select("u", F.col("m").alias("v")))
         )
-        edges = written(small.distinct())
+        edges = scratch.written(small.distinct())
         after = _state(edges)
         if after == before:
             break

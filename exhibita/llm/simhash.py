@@ -5,9 +5,10 @@ vectors v, table v looks at the positions whose vector has an odd product with v
 v with even products to both, so two fingerprints at 2 or fewer differing bits agree on the whole mask of some
 table: every such pair collides. Fingerprints that collide nowhere are alone.
 
-The exact check of the others needs no pairs either: fingerprints at 2 or fewer differing bits are exactly those
-that lie together in a ball of radius 1 around some 64-bit centre. A ball holds 65 fingerprints at most, all
-linked with one another, so linking each to the smallest in the ball loses nothing and has a fixed bound.
+A table keeps 36 bits, which chance alone makes equal once there are billions of fingerprints. So a bucket with
+several fingerprints is split by the same seven masks over the bits that are left: what differs inside it lies there,
+and the guarantee holds again. After ``LEVELS`` of this six bits are left, a bucket has ``2 ** 6`` fingerprints at
+most, and the ones in it at 2 or fewer differing bits are linked. Only fingerprints that still share a bucket go on.
 
 ``keep_one_of_each`` finds near copies in the usual sense, by a share of equal five-word shingles, and takes no
 fingerprints: an exact prefix join on the shingles finds every pair, see ``copy_links``.
@@ -23,12 +24,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import table, without, written
+from .common import Scratch, named, spare, table, with_made, without, written
 from .components import connected_components
 
 SHINGLE = 3
 RADIUS = 2
+#: How often buckets are split, and the bits that may be left then at most: a bucket has no more fingerprints than these can tell apart.
+LEVELS, MOST_LEFT = 3, 6
 SEED = 42
 #: For near copies: words in a shingle, and least share of equal shingles.
 COPY_SHINGLE, COPY_SHARE = 5, 0.8
@@ -37,6 +41,8 @@ PIVOTS = 3
 #: One text in ``ORDER_ONE_IN`` is read for the order of shingles; those seen ``ORDER_LEAST`` times, ``ORDER_MOST`` at
 #: most, come last. The order decides how many candidates there are, never which pairs are found.
 ORDER_ONE_IN, ORDER_LEAST, ORDER_MOST = 16, 3, 200_000
+#: Different texts with one 64-bit hash that are told apart at most; of 1e12 texts some 30,000 would be.
+MOST_SHARED = 100_000
 #: Shingles whose hashes are held at once.
 PIECE = 1 << 16
 #: Texts whose shingles a worker holds at once.
@@ -81,62 +87,77 @@ def shingle_hashes(text: bytes | None, shingle: int = COPY_SHINGLE) -> np.ndarra
     return np.unique(out ^ (out >> np.uint64(29)))
 
 
-def covering_masks(radius: int = RADIUS, bits: int = 64) -> list[int]:
-    """The ``2 ** (radius + 1) - 1`` masks, as signed integers of ``bits`` bits."""
+def covering_masks(positions: list[int] | range = range(64), radius: int = RADIUS) -> list[int]:
+    """The ``2 ** (radius + 1) - 1`` masks over some bit positions, unsigned."""
     size = 1 << (radius + 1)
-    at = [1 + i % (size - 1) for i in range(bits)]
-    masks = [sum(1 << i for i in range(bits) if (at[i] & v).bit_count() % 2) for v in range(1, size)]
-    return [m - (1 << bits) if m >> (bits - 1) else m for m in masks]
+    at = {p: 1 + i % (size - 1) for i, p in enumerate(positions)}
+    return [sum(1 << p for p in positions if (at[p] & v).bit_count() % 2) for v in range(1, size)]
+
+
+def split_masks(levels: int, radius: int = RADIUS) -> list[list[list[int]]]:
+    """For each level and each table of the level before, the masks that split its buckets: all bits kept so far."""
+    out, whole = [], [0]
+    for _ in range(levels):
+        out.append([[m | n for n in covering_masks([p for p in range(64) if not m >> p & 1], radius)] for m in whole])
+        whole = [m for masks in out[-1] for m in masks]
+    return out
 
 
 def fingerprints(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``fp``, the SimHash as a signed long. Null and empty texts get 0."""
     base = without(docs, "fp")
     kept = [c for c in base.columns if keep is None or c in keep]
-    base = base.select(*kept, F.col(text).cast("binary").alias("_fp_text"))
-    schema = base.drop("_fp_text").withColumn("fp", F.lit(0).cast("long")).schema
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fps = [fingerprint(x.as_py()) for x in batch.column("_fp_text")]
-            columns = [*(batch.column(c) for c in kept), pa.array(np.array(fps, np.uint64).view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "fp"])
+    def score(texts: pa.Array) -> list[np.ndarray]:
+        return [np.array([fingerprint(x.as_py()) for x in texts], np.uint64).view(np.int64)]
+
+    return with_made(base, kept, [named(text).cast("binary")], {"fp": T.LongType()}, lambda: score)
 
-    return base.mapInArrow(score, schema)
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
 
 def links(distinct_fps: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Edges ``(u, v)`` that connect the distinct fingerprints ``fp`` at up to 2 differing bits."""
-    if radius != RADIUS:
-        raise ValueError("balls of radius 1 link at 2 differing bits")
-    masks = F.array(*[F.struct(F.lit(i).alias("t"), F.lit(m).cast("long").alias("mask")) for i, m in enumerate(covering_masks(radius))])
-    tables = distinct_fps.select("fp", F.explode(masks).alias("m")).select(
-        "fp", F.col("m.t").alias("t"), F.col("fp").bitwiseAND(F.col("m.mask")).alias("key")
-    )
-    shared = tables.groupBy("t", "key").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a <> b")
-    near = tables.join(shared.select("t", "key"), ["t", "key"], "left_semi").select("fp").distinct()
-    centres = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit((1 << i) - (1 << 64) * (i == 63)).cast("long")) for i in range(64)])
-    balls = near.select("fp", F.explode(centres).alias("centre"))
-    balls = balls.groupBy("centre").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
-    return balls.select(F.explode("fps").alias("u"), F.array_min("fps").alias("v")).where("u <> v").distinct()
+    """Edges ``(u, v)`` between the distinct fingerprints ``fp`` at up to ``radius`` differing bits.
+
+    All that share a bucket at the last level are linked there; a pair may come from several tables but is given
+    once. No bucket is gathered before it is bounded by the bits that are left.
+    """
+    found = distinct_fps.select("fp", F.lit(0).alias("t"))
+    for level in split_masks(LEVELS, radius):
+        masks = F.array(*[F.array(*[F.lit(_signed(m)).cast("long") for m in own]) for own in level])
+        tables = found.select("fp", "t", F.posexplode(F.element_at(masks, F.col("t") + 1)).alias("v", "mask"))
+        tables = tables.select("fp", (F.col("t") * len(level[0]) + F.col("v")).alias("t"), F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
+        shared = tables.groupBy("t", "key").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a <> b")
+        found = written(tables.join(shared.select("t", "key"), ["t", "key"], "left_semi"))
+    left = 64 - min(m.bit_count() for own in level for m in own)
+    if left > MOST_LEFT:
+        raise ValueError(f"{left} bits are left after {LEVELS} levels; a bucket could hold 2 ** {left} fingerprints")
+    buckets = found.groupBy("t", "key").agg(F.collect_list("fp").alias("fps"))
+    near = F.transform("fps", lambda u: F.struct(u.alias("u"), F.filter("fps", lambda v: (v < u) & (F.bit_count(u.bitwiseXOR(v)) <= radius)).alias("vs")))
+    rows = buckets.select(F.explode(near).alias("x")).select(F.col("x.u").alias("u"), F.explode("x.vs").alias("v"))
+    return rows.distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, fp, component_id)`` for every row of ``docs``.
 
     ``component_id`` is the smallest key that can be reached over links of 2 or fewer differing bits. Texts
-    without words share fingerprint zero and are linked like any others. Repeated rows keep one row each; a null
-    key counts only where no other key is in the component. An empty table gives an empty result.
+    without words share fingerprint zero and are linked like any others; long texts are hashed whole. Repeated rows
+    keep one row each; a null key counts only where no other key is in the component. An empty table gives an empty
+    result. Other input columns, whatever their names, are left out.
     """
-    fps = written(fingerprints(docs, text, [key]).withColumnRenamed(key, "_key"))
+    rows = docs.select(named(key).alias("_key"), named(text).alias("_text"))
+    fps = written(fingerprints(rows, "_text", ["_key"]))
     # equal fingerprints are one node, so copies cost nothing further on
     classes = fps.groupBy("fp").agg(F.min("_key").alias("low"))
     roots = connected_components(links(classes.select("fp")))
     rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     rooted = rooted.select("fp", "low", F.coalesce("root", "fp").alias("root"))
     low = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.join(low, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select(F.col("_key").alias(key), "fp", "component_id")
+    own = rooted.join(low, "root").select("fp", "component_id")
+    return fps.join(own, "fp").select(F.col("_key").alias(key), "fp", "component_id")
 
 
 def _sets(texts: DataFrame) -> DataFrame:
@@ -203,14 +224,14 @@ def _possible(a: str, b: str, share: float) -> Column:
     return F.least(n - i, m - j) >= share / (1 + share) * (n + m) - 1e-6
 
 
-def copy_links(texts: DataFrame, share: float = COPY_SHARE) -> DataFrame:
+def copy_links(texts: DataFrame, scratch: Scratch, share: float = COPY_SHARE) -> DataFrame:
     """Edges ``(u, v)`` between nodes ``(node, text)`` whose sets of shingles share ``share`` of their union.
 
     The nodes that have a prefix shingle in common are a bucket. First they are held against ``PIVOTS`` of them: the
     ones with fewest rare shingles, which in a group around one text is that text. No bucket is gathered or paired
     up in this. Then what that has linked is one component, and the nodes outside their bucket's main component are
     held against all of the bucket that is not in theirs. So every pair is settled: judged, ruled out by sizes and
-    places, or already in one component.
+    places, or already in one component. The result can be read while ``scratch`` is open.
     """
     # texts and sets are read again rather than kept: they would be most of the disk
     tokens = prefixes(texts, share).repartition("token").dropDuplicates(["token", "node"])
@@ -218,11 +239,11 @@ def copy_links(texts: DataFrame, share: float = COPY_SHARE) -> DataFrame:
     # one order for all buckets: those of a large group then agree on their pivots
     picks = [F.min_by(own, F.struct(F.col("cold") / F.col("n"), F.xxhash64("node", F.lit(k)))) for k in range(PIVOTS)]
     pivots = tokens.groupBy("token").agg(F.count("*").alias("size"), F.array_distinct(F.array(*picks)).alias("pivots")).where("size > 1")
-    shared = written(tokens.join(pivots, "token").select("token", "node", "n", "at", "pivots"))
+    shared = scratch.written(tokens.join(pivots, "token").select("token", "node", "n", "at", "pivots"))
     first = shared.select(F.struct("node", "n", "at").alias("a"), F.explode("pivots").alias("b")).where("a.node <> b.node")
     first = first.where(_possible("a", "b", share))
-    first = written(first.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct())
-    links = written(judged(first, texts, share))
+    first = scratch.written(first.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct())
+    links = scratch.written(judged(first, texts, scratch, share))
     found = connected_components(links)
     roots = shared.join(found, "node", "left").select(F.struct("node", "n", "at", F.coalesce("root", "node").alias("root")).alias("a"), "token", F.col("pivots")[0]["node"].alias("p"))
     roots = roots.join(found.select(F.col("node").alias("p"), F.col("root").alias("main")), "p", "left").select("token", "a", F.coalesce("main", "p").alias("main"))
@@ -230,40 +251,57 @@ def copy_links(texts: DataFrame, share: float = COPY_SHARE) -> DataFrame:
     rest = few.join(roots.select("token", "a"), "token").where("a.root <> b.root and (a.root = main or a.node < b.node)")
     rest = rest.where(_possible("a", "b", share))
     rest = rest.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct()
-    rest = written(rest.join(first, ["u", "v"], "left_anti"))
-    return links.union(judged(rest, texts, share))
+    rest = scratch.written(rest.join(first, ["u", "v"], "left_anti"))
+    return links.union(judged(rest, texts, scratch, share))
 
 
-def judged(pairs: DataFrame, texts: DataFrame, share: float = COPY_SHARE) -> DataFrame:
+def judged(pairs: DataFrame, texts: DataFrame, scratch: Scratch, share: float = COPY_SHARE) -> DataFrame:
     """Those of the pairs ``(u, v)`` whose texts ``(node, text)`` have, of all distinct shingles, ``share`` of their union in common."""
     # few texts are in a pair: the join by both ends moves their sets alone
-    wanted = written(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
-    sets = written(_sets(texts.join(wanted, "node", "left_semi")))
+    wanted = scratch.written(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
+    sets = scratch.written(_sets(texts.join(wanted, "node", "left_semi")))
     both = pairs.join(sets.select(F.col("node").alias("u"), F.col("h").alias("a")), "u")
     both = both.join(sets.select(F.col("node").alias("v"), F.col("h").alias("b")), "v")
     both = both.select("u", "v", (F.size("a") + F.size("b")).alias("n"), F.size(F.array_intersect("a", "b")).alias("equal"))
     return both.where(F.col("equal") >= share * (F.col("n") - F.col("equal"))).select("u", "v")
 
 
+def _nodes(text: Column, docs: DataFrame) -> Column:
+    """A long for each different text; null and empty texts are equal.
+
+    It is the text's hash, or where different texts share that (their MD5 tells), a hash of the MD5.
+    """
+    own = F.coalesce(text, F.lit("")).cast("binary")
+    node, digest = F.xxhash64(own), F.md5(own)
+    hashed = docs.select(node.alias("node"), digest.alias("digest")).groupBy("node").agg(F.min("digest").alias("a"), F.max("digest").alias("b"))
+    shared = [r[0] for r in hashed.where("a <> b").select("node").limit(MOST_SHARED + 1).collect()]
+    if len(shared) > MOST_SHARED:
+        raise ValueError("too many different texts have one hash")
+    return F.when(node.isin(shared), F.xxhash64(digest)).otherwise(node) if shared else node
+
+
 def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts and near copies: the one with the smallest key.
 
-    Near copies share at least ``COPY_SHARE`` of all their distinct five-word shingles; groups are the components over such links. Null and empty texts are equal. Rows without a key
-    cannot be told apart and are kept. Where rows with different texts share the smallest key, the one with the
-    lowest hash stays; of repeated rows one stays. An empty table stays empty.
+    Near copies share at least ``COPY_SHARE`` of all their distinct five-word shingles; groups are the components
+    over such links. Null and empty texts are equal; long texts count whole. Rows without a key cannot be told apart
+    and are kept. Where rows with different texts share the smallest key, the one with the lowest hash stays; of
+    repeated rows one stays. An empty table stays empty. All columns are kept as they are, whatever their names.
     """
-    # the digest of the whole row tells rows with one key apart, that of the text makes equal texts one node
-    node = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    whole = docs.where(F.col(key).isNotNull()).withColumn("_digest", F.xxhash64(*docs.columns)).withColumn("_node", node)
-    nodes = whole.groupBy(F.col("_node").alias("node")).agg(F.min(F.struct(F.col(key).alias("_key"), "_digest")).alias("low"))
-    nodes = written(nodes)
-    texts = whole.select(F.col("_node").alias("node"), F.col(text).cast("binary").alias("text"))
-    roots = connected_components(copy_links(texts))
-    best = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("low").alias("b"))
-    best = best.select(F.col("b._key").alias(key), F.col("b._digest").alias("_digest"))
+    # the digest of the whole row tells rows with one key apart
+    digest, node = spare(docs, "_digest", "_node")
+    whole = docs.where(named(key).isNotNull())
+    whole = whole.withColumn(digest, F.xxhash64(*map(named, docs.columns))).withColumn(node, _nodes(named(text), whole))
+    nodes = whole.groupBy(named(node).alias("node")).agg(F.min(F.struct(named(key).alias("k"), named(digest).alias("d"))).alias("low"))
+    texts = whole.select(named(node).alias("node"), named(text).cast("binary").alias("text"))
+    with Scratch(docs.sparkSession) as scratch:
+        nodes = scratch.written(nodes)
+        roots = connected_components(copy_links(texts, scratch))
+        best = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("low").alias("b"))
+        best = written(best.select(F.col("b.k").alias(key), F.col("b.d").alias(digest)))
     # the join has dealt the rows out by the columns that repeated rows agree on
-    one = whole.join(best, [key, "_digest"], "left_semi").dropDuplicates([key, "_digest"]).select(*docs.columns)
-    return one.union(docs.where(F.col(key).isNull()))
+    one = whole.join(best, [key, digest], "left_semi").dropDuplicates([key, digest]).select(*map(named, docs.columns))
+    return one.union(docs.where(named(key).isNull()))
 
 
 def op6_simhash(spark, sf_dir: str) -> DataFrame:

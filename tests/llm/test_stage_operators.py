@@ -110,11 +110,17 @@ def test_fingerprint(text):
 
 
 def test_masks_cover_every_pair():
-    masks = [m % (1 << 64) for m in simhash.covering_masks()]
-    assert len(masks) == 7
+    for level in simhash.split_masks(simhash.LEVELS):
+        assert all(len(masks) == 7 for masks in level)
+    first, *_, last = simhash.split_masks(simhash.LEVELS)
+    assert max(64 - m.bit_count() for masks in last for m in masks) <= simhash.MOST_LEFT
     for i in range(64):
         for j in range(i, 64):
-            assert any(not (1 << i | 1 << j) & m for m in masks)
+            both = 1 << i | 1 << j
+            own = [0]
+            for level in simhash.split_masks(simhash.LEVELS):  # the tables in which the pair still collides
+                own = [7 * t + v for t in own for v, m in enumerate(level[t]) if not both & m]
+                assert own
 
 
 def test_links_match_brute_force(spark):
@@ -144,6 +150,18 @@ def test_near_duplicates_and_survivors(spark):
     twice = simhash.keep_one_of_each(docs(spark, [(1, long, "s"), (1, "quite another text", "s"), (1, long, "s"), (None, long, "s")]))
     assert Counter(r["text"] for r in twice.collect()) == Counter([long, "quite another text", long])
     assert simhash.near_duplicates(df.limit(0)).count() == 0 and simhash.keep_one_of_each(docs(spark, [])).count() == 0
+    clash = docs(spark, rows).withColumns({"_digest": F.lit("mine"), "_node": F.lit(7), "a.b": F.lit(1.5), "token": F.lit("t")})
+    kept = simhash.keep_one_of_each(clash)
+    assert kept.columns == clash.columns and Counter(map(tuple, kept.collect())) <= Counter(map(tuple, clash.collect()))
+    assert sorted(r[0] for r in kept.collect()) == [1, 2, 3, 7]
+
+
+def test_different_texts_with_one_hash_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(simhash.F, "xxhash64", lambda *c, real=F.xxhash64: F.lit(5).cast("long") if len(c) == 1 and "md5" not in str(c[0]) else real(*c))
+    rows = [(k, f"text number {k} of some words that differ {k}", "s") for k in range(20)]
+    df = docs(spark, rows + [(100, rows[0][1], "s")])
+    node = simhash._nodes(F.col("text"), df)
+    assert df.select(node.alias("n")).distinct().count() == 20
 
 
 def test_near_copies_are_caught_and_others_kept(spark):
