@@ -1,33 +1,51 @@
 """Main text of web pages by wrappers inferred for each host.
 
-A page becomes a tree of labelled elements and text slots. Runs of like siblings fold into repeated groups, and the
-trees of a host are aligned one after the other: what only one side has becomes optional, what follows itself
-becomes repeated, differing texts become a slot. The outcome is a union-free regular expression over tags, the
-host's wrapper. It is inferred from the distinct folded trees only, in groups of bounded size whose wrappers are
-aligned in turn, so a host with a third of all pages is no heavier than its number of different layouts. The
-wrapper's slots are then divided into article and surroundings, and each page gives the texts of its article slots.
+A page becomes a stream of block tags and text slots; inline markup belongs to the text. Neighbouring elements of one
+shape fold into repeated groups, and the streams of a host are aligned one after the other, level by level so that
+groups stay balanced: what only one side has becomes optional, what follows itself becomes repeated, texts become a
+slot. The outcome is a union-free regular expression over tags, the host's wrapper. It is inferred from the distinct
+folded streams only, in groups of bounded size whose wrappers are aligned in turn, so a host with a third of all pages
+is no heavier than its number of different layouts.
+
+Every page is then matched against its host's wrapper, which says to which slot each of its texts belongs. What a slot
+holds over all pages of the host decides: text that never changes is the template's, not the article's; lists of links
+are menus; the article is where most of the text stands that changes and is not in links. Names of elements and classes
+take out what no count can tell (adverts, comments, forms), and where the text leaves it open they say which container
+is the article.
 """
 
 from __future__ import annotations
 
+import functools
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import table, without, written
+from .common import named, spare, table, with_made, without, written
 
-#: Trees or partial wrappers that one task aligns at once.
+#: Streams or partial wrappers that one task aligns at once.
 GROUP = 500
 #: Bytes of wrappers up to which they are broadcast.
 BROADCAST_BYTES = 8 << 20
-#: Elements nested more deeply count as part of their ancestor at this depth.
+#: Blocks nested more deeply than this are aligned as part of their ancestor at this depth; their text is not lost.
 DEPTH = 60
+#: Pairs of siblings that are compared at most to align two levels; longer ones are aligned by their labels alone.
+PAIRS = 100_000
+#: Pages of a host that must have a slot before text that never changes there is the template's.
+LEAST_PAGES = 5
+#: The share of the text that a container must hold to be followed, and of link text that makes a list a menu.
+MOST, LINKS = 0.75, 0.9
+#: How much text that never changes weighs beside text that does.
+FIXED_WEIGHT = 0.1
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""",
@@ -68,6 +86,9 @@ _AROUND_WORDS = frozenset(
 )
 _ARTICLE_WORDS = frozenset("article articlebody content entry main post story".split())
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Blocks of running text, which are no container.
+_CONTAINERS = frozenset(("div", "section", "main*", "div*", "section*"))
+_TEXTUAL = frozenset(("#", "p", "li", "pre", "td", "dd", "dt", "blockquote", *_HEADING))
 
 
 def _label(tag: str, attributes: str) -> str:
@@ -90,28 +111,84 @@ def _label(tag: str, attributes: str) -> str:
     return tag
 
 
-def events(source: str) -> Iterator[tuple[str, str, tuple[str, ...]]]:
-    """``("open" | "close" | "text", tag or text, path of labels)`` through a page; unclosed elements are closed.
+_remembered = functools.lru_cache(10_000)(_label)
 
-    Text inside elements without markup, and comments, give nothing.
+
+class Node:
+    """An element of a stream, or a text slot (``#``), or a group of siblings (``()``), with what it holds.
+
+    ``items`` are pairs of a node and its quantifier: ``1``, ``?``, ``+`` or ``*``. ``lines`` are a page's texts in a slot.
+    """
+
+    __slots__ = ("label", "items", "lines", "_shape", "_below")
+
+    def __init__(self, label: str, items: list | None = None, lines: list[int] | None = None):
+        self.label, self.items, self.lines = label, items if items is not None else [], lines or []
+        self._shape = self._below = None
+
+    def shape(self) -> int:
+        """Equal for nodes that differ in how often things are repeated alone."""
+        if self._shape is None:
+            own, last = [], None
+            for x, _ in self.items:
+                if x.shape() != last:
+                    own.append(last := x.shape())
+            self._shape = hash((self.label, *own))
+        return self._shape
+
+    def below(self) -> frozenset[str]:
+        """The labels of children and grandchildren."""
+        if self._below is None:
+            self._below = frozenset([x.label for x, _ in self.items] + [f"{x.label}/{y.label}" for x, _ in self.items for y, _ in x.items])
+        return self._below
+
+    def plain(self) -> list:
+        """For JSON."""
+        return [self.label, [[x.plain(), q] for x, q in self.items]]
+
+
+def node_of(plain: list) -> Node:
+    """A node from its JSON form."""
+    return Node(plain[0], [(node_of(x), q) for x, q in plain[1]])
+
+
+def parse(source: str) -> tuple[Node, list[tuple[str, int]]]:
+    """The blocks of a page that may belong to an article, and its texts: each line with its characters in links.
+
+    Surroundings, hidden elements and elements without markup give nothing; of a header within an article its headings
+    count. White space inside a line is one space, character references are decoded.
     """
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    path: tuple[str, ...] = ()
-    at = 0
+    root = Node("")
+    stack: list[tuple] = []  # tag, node, surroundings, header, heading, article, link
+    opened: Counter = Counter()
+    lines: list[tuple[str, int]] = []
+    pieces: list[tuple[str, bool]] = []
+    node, depth, around, header, heading, article, link = root, 0, False, False, False, False, False
+    at, end = 0, len(source)
 
-    def pop(to: int) -> Iterator[tuple[str, str, tuple[str, ...]]]:
-        nonlocal path
+    def flush() -> None:
+        text = " ".join("".join(x for x, _ in pieces).split())
+        if text:
+            linked = sum(len(x.strip()) for x, own in pieces if own)
+            node.items.append((Node("#", lines=[len(lines)]), "1"))
+            lines.append((text, min(linked, len(text))))
+        pieces.clear()
+
+    def pop(to: int) -> None:
+        nonlocal node, depth, around, header, heading, article, link
         while len(stack) > to:
-            tag, own = stack.pop()
-            path = stack[-1][1] if stack else ()
-            yield "close", tag, own
+            if pieces and stack[-1][0] in _BLOCK:
+                flush()
+            tag, node, depth, around, header, heading, article, link = stack.pop()
+            opened[tag] -= 1
 
-    end = len(source)
     while at < end:
         m = _TOKEN.search(source, at)
         start = m.start() if m else end
-        if start > at:
-            yield "text", source[at:start], path
+        if start > at and not around and (not header or heading):
+            text = source[at:start]
+            if pieces or not text.isspace():
+                pieces.append((html.unescape(text), link))
         if not m:
             break
         at = m.end()
@@ -119,34 +196,54 @@ def events(source: str) -> Iterator[tuple[str, str, tuple[str, ...]]]:
         if not tag:
             continue
         tag = tag.lower()
+        if tag in _BLOCK and pieces:
+            flush()
         if close:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    yield from pop(k)
-                    break
+            if opened[tag]:
+                k = len(stack) - 1
+                while stack[k][0] != tag:
+                    k -= 1
+                pop(k)
             continue
         if tag in _VOID:
-            yield "open", tag, path
             continue
         if tag in _RAW:
             ends = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at)
             at = ends.end() if ends else (end if tag in ("script", "style") else at)
-            yield "open", tag, path
             continue
         implied = _ENDS.get(tag, ("p",) if tag in _BLOCK else ())
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in implied:
-                yield from pop(k)
-                break
-            if stack[k][0] in _WALL:
-                break
-        path = (*path, _label(tag, attributes)) if len(path) < DEPTH else path
-        stack.append((tag, path))
-        yield "open", tag, path
-    yield from pop(0)
+        if any(opened[x] for x in implied):
+            for k in range(len(stack) - 1, -1, -1):
+                if stack[k][0] in implied:
+                    pop(k)
+                    break
+                if stack[k][0] in _WALL:
+                    break
+        name = _remembered(tag, attributes) if len(attributes) < 300 else _label(tag, attributes)
+        stack.append((tag, node, depth, around, header, heading, article, link))
+        opened[tag] += 1
+        mark = name[-1]
+        around, link, heading = around or mark == "!", link or tag == "a", heading or tag in _HEADING
+        header = header or mark == "~"
+        if header and not article:
+            around = True
+        article = article or name in ("article*", "main*")
+        if tag in _BLOCK and not around and depth < DEPTH:
+            inner = Node(name)
+            node.items.append((inner, "1"))
+            node, depth = inner, depth + 1
+    pop(0)
+    flush()
+    return _folded(root), lines
 
 
-# ---- wrappers: a node is [label, [[node, quantifier], ...]] ----
+def _folded(node: Node) -> Node:
+    """The node with its levels folded, from the inside out; blocks without text are left out."""
+    items = [(x if x.label == "#" else _folded(x), q) for x, q in node.items]
+    return Node(node.label, _fold([(x, q) for x, q in items if x.label == "#" or x.items]))
+
+
+# ---- alignment ----
 
 
 def _optional(q: str) -> str:
@@ -157,248 +254,387 @@ def _both(a: str, b: str) -> str:
     return a if a == b else ("*" if "*" in (a, b) or "+" in (a, b) and "?" in (a, b) else "+" if "+" in (a, b) else "?")
 
 
-def _fold(children: list) -> list:
-    """Siblings that follow themselves become one repeated child; so do repeated groups of two to four."""
-    out: list = []
-    for node, q in children:
-        if out and out[-1][0][0] == node[0]:
-            out[-1] = [merge(out[-1][0], node), "*" if _optional(out[-1][1]) == out[-1][1] and _optional(q) == q else "+"]
+def _twice(a: str, b: str) -> str:
+    return "*" if _optional(a) == a and _optional(b) == b else "+"
+
+
+def _fold(items: list[tuple[Node, str]]) -> list[tuple[Node, str]]:
+    """Siblings of one shape that follow one another become one repeated child; so do groups of two to four.
+
+    Containers that hold a line of text each stay apart: what they have in common says nothing.
+    """
+    out: list[tuple[Node, str]] = []
+    for node, q in items:
+        if out and out[-1][0].label == node.label and out[-1][0].shape() == node.shape() and not (node.label in _CONTAINERS and node.below() == {"#"}):
+            out[-1] = (merge(out[-1][0], node), _twice(out[-1][1], q))
         else:
-            out.append([node, q])
+            out.append((node, q))
     for size in (2, 3, 4):
         i = 0
         while i + 2 * size <= len(out):
-            a, b = out[i : i + size], out[i + size : i + 2 * size]
-            if [x[0][0] for x in a] == [x[0][0] for x in b] and a[0][0][0] != "()":
-                group = ["()", [[merge(x[0], y[0]), _both(x[1], y[1])] for x, y in zip(a, b, strict=True)]]
-                j = i + 2 * size
-                while [x[0][0] for x in out[j : j + size]] == [x[0][0] for x in a]:
-                    group = ["()", [[merge(x[0], y[0]), _both(x[1], y[1])] for x, y in zip(group[1], out[j : j + size], strict=True)]]
-                    j += size
-                out[i:j] = [[group, "+"]]
+            if any(x.label in _CONTAINERS for x, _ in out[i : i + size]):
+                i += 1
+                continue
+            shapes = [x.shape() for x, _ in out[i : i + size]]
+            j = i + size
+            while [x.shape() for x, _ in out[j : j + size]] == shapes and "()" not in [x.label for x, _ in out[j : j + size]]:
+                j += size
+            if j > i + size:
+                group = Node("()", out[i : i + size])
+                for k in range(i + size, j, size):
+                    group = Node("()", [(merge(x, y), _both(p, q)) for (x, p), (y, q) in zip(group.items, out[k : k + size], strict=True)])
+                out[i:j] = [(group, "+")]
             i += 1
     return out
 
 
-def merge(a: list, b: list) -> list:
+def _grouped(items: list[tuple[Node, str]], other: list[tuple[Node, str]]) -> list[tuple[Node, str]]:
+    """``items`` with siblings that stand for one of ``other``'s groups taken together as that group."""
+    for group in [x for x, _ in other if x.label == "()"]:
+        names, i = [x.label for x, _ in group.items], 0
+        while i + len(names) <= len(items):
+            if [x.label for x, _ in items[i : i + len(names)]] == names:
+                items = [*items[:i], (Node("()", items[i : i + len(names)]), "1"), *items[i + len(names) :]]
+            i += 1
+    return items
+
+
+def _likeness(a: Node, b: Node) -> float:
+    if a.label != b.label:
+        return 0.0
+    if a.label == "#":
+        return 1.0
+    x, y = a.below(), b.below()
+    return (1 + len(x & y)) / (1 + len(x | y))
+
+
+def pairs(left: list[tuple[Node, str]], right: list[tuple[Node, str]]) -> Iterator[tuple]:
+    """Both levels in order, like with like: ``(item, item)``, or None on the side that lacks it."""
+    a, b = [x for x, _ in left], [y for y, _ in right]
+    if len(a) == len(b) and all(x.label == y.label and x.below() == y.below() for x, y in zip(a, b, strict=True)):
+        yield from zip(left, right, strict=True)
+        return
+    if len(a) * len(b) > PAIRS:
+        for kind, i, j, k, n in SequenceMatcher(None, [x.label for x in a], [y.label for y in b], autojunk=False).get_opcodes():
+            if kind == "equal":
+                yield from zip(left[i:j], right[k:n], strict=True)
+            else:
+                yield from ((x, None) for x in left[i:j])
+                yield from ((None, y) for y in right[k:n])
+        return
+    best = [[0.0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    same = [[_likeness(x, y) for y in b] for x in a]
+    for i in range(len(a) - 1, -1, -1):
+        for j in range(len(b) - 1, -1, -1):
+            best[i][j] = max(best[i + 1][j], best[i][j + 1], same[i][j] and best[i + 1][j + 1] + same[i][j])
+    i = j = 0
+    while i < len(a) and j < len(b):
+        if same[i][j] and best[i][j] == best[i + 1][j + 1] + same[i][j]:
+            yield left[i], right[j]
+            i, j = i + 1, j + 1
+        elif best[i][j] == best[i + 1][j]:
+            yield left[i], None
+            i += 1
+        else:
+            yield None, right[j]
+            j += 1
+    yield from ((x, None) for x in left[i:])
+    yield from ((None, y) for y in right[j:])
+
+
+def merge(a: Node, b: Node) -> Node:
     """The wrapper that covers two nodes with one label."""
-    if a == b:
-        return a
-    left, right = a[1], b[1]
-    names = [x[0][0] for x in left], [x[0][0] for x in right]
-    out: list = []
-    for kind, i, j, k, n in SequenceMatcher(None, *names, autojunk=False).get_opcodes():
-        if kind == "equal":
-            out += [[merge(x[0], y[0]), _both(x[1], y[1])] for x, y in zip(left[i:j], right[k:n], strict=True)]
+    if a.label == "#":
+        return Node("#", lines=a.lines + b.lines)
+    out = []
+    for x, y in pairs(_grouped(a.items, b.items), _grouped(b.items, a.items)):
+        if x is None or y is None:
+            node, q = x or y
+            out.append((node, _optional(q)))
         else:
-            out += [[x, _optional(q)] for x, q in (*left[i:j], *right[k:n])]
-    return [a[0], _fold(out)]
-
-
-def tree(source: str) -> list:
-    """The folded tree of a page."""
-    root: list = ["", []]
-    open_: list = [root]
-    for kind, what, path in events(source):
-        if kind == "text":
-            if not what.isspace() and open_[-1][1][-1:] != [[["#", []], "1"]]:
-                open_[-1][1].append([["#", []], "1"])
-        elif kind == "open" and what not in _VOID and what not in _RAW:
-            node: list = [path[-1], []]
-            open_[-1][1].append([node, "1"])
-            open_.append(node)
-        elif kind == "close":
-            node = open_.pop()
-            node[1][:] = _fold(node[1])
-    root[1][:] = _fold(root[1])
-    return root
-
-
-def expression(node: list) -> str:
+            out.append((merge(x[0], y[0]), _both(x[1], y[1])))
+    return Node(a.label, _fold(out))
+
+
+def expression(node: Node) -> str:
     """A wrapper as a regular expression over tags, for people to read."""
-    if node[0] == "#":
+    if node.label == "#":
         return "TEXT"
-    inner = " ".join(f"({expression(x)}){q if q != '1' else ''}" if q != "1" else expression(x) for x, q in node[1])
-    return inner if node[0] in ("", "()") else f"<{node[0]}> {inner} </{node[0]}>"
+    inner = " ".join(f"({expression(x)}){q}" if q != "1" else expression(x) for x, q in node.items)
+    return inner if node.label in ("", "()") else f"<{node.label}> {inner} </{node.label}>"
 
 
-def slots(node: list, path: tuple[str, ...] = ()) -> Iterator[tuple[str, ...]]:
-    """The paths of a wrapper's text slots."""
-    for x, _ in node[1]:
-        if x[0] == "#":
-            yield path
-        else:
-            yield from slots(x, path if x[0] == "()" else (*path, x[0]))
+def numbered(wrapper: Node) -> dict[int, int]:
+    """The wrapper's text slots, numbered in order: ``id(node) -> number``."""
+    found: dict[int, int] = {}
+    stack = [wrapper]
+    while stack:
+        node = stack.pop()
+        if node.label == "#":
+            found[id(node)] = len(found)
+        stack.extend(x for x, _ in reversed(node.items))
+    return found
 
 
-def article_slots(found: list[tuple[tuple[str, ...], float, float]]) -> list[tuple[str, ...]]:
-    """Which slots belong to the article: ``found`` has each slot's path, characters and characters in links.
+def matched(page: Node, wrapper: Node) -> dict[int, int]:
+    """A page held against its host's wrapper: the slot of each of the page's texts, ``id(node) -> number``.
 
-    Surroundings are out wherever they stand. Of the rest, the slots inside the outermost ``article`` elements are
-    the article, else those inside ``main``, else those inside the marked container with the most text outside
-    links; where a host marks nothing, from the body down the one child that holds most of such text is followed.
-    A header counts only inside an article, and only its headings.
+    A text that the wrapper has no place for is left out.
     """
+    numbers, found, stack = numbered(wrapper), {}, [(page, wrapper)]
+    while stack:
+        a, b = stack.pop()
+        for x, y in pairs(_grouped(a.items, b.items), _grouped(b.items, a.items)):
+            if x is not None and y is not None:
+                if x[0].label == "#":
+                    found[id(x[0])] = numbers[id(y[0])]
+                else:
+                    stack.append((x[0], y[0]))
+    return found
 
-    def inside(path: tuple[str, ...]) -> bool:
-        if any(x[-1:] == "!" for x in path):
-            return False
-        heads = [k for k, x in enumerate(path) if x[-1:] == "~"]
-        return not heads or any(x in ("article*", "main*") for x in path[: heads[0]]) and any(x in _HEADING for x in path[heads[0] :])
-
-    kept = [(p, max(0.0, n - linked)) for p, n, linked in found if inside(p)]
-    for mark in ("article*", "main*"):
-        marked = [p for p, _ in kept if mark in p]
-        if marked:
-            return marked
-    weight: dict[tuple[str, ...], float] = {}
-    for p, n in kept:
-        for k, x in enumerate(p):
-            if x[-1:] == "*":
-                weight[p[: k + 1]] = weight.get(p[: k + 1], 0.0) + n
-                break
-    total = sum(n for _, n in kept)
-    if weight and max(weight.values()) > 0.3 * total:
-        best = max(weight, key=lambda p: (weight[p], p))
-        return [p for p, _ in kept if p[: len(best)] == best]
-    at: tuple[str, ...] = ()
-    while True:
-        below: dict[tuple[str, ...], float] = {}
-        for p, n in kept:
-            if p[: len(at)] == at and len(p) > len(at):
-                below[p[: len(at) + 1]] = below.get(p[: len(at) + 1], 0.0) + n
-        here = sum(n for p, n in kept if p[: len(at)] == at)
-        best = max(below, key=lambda p: (below[p], p), default=None)
-        if best is None or below[best] < 0.75 * here or best[-1] in _HEADING or best[-1] in ("p", "b", "i", "em", "strong", "span", "li"):
-            return [p for p, _ in kept if p[: len(at)] == at]
-        at = best
 
+# ---- slots ----
 
-def extract(source: str | None, article: frozenset[tuple[str, ...]]) -> str:
-    """The text of a page's article slots, a line for each block."""
-    blocks: list[str] = []
-    pieces: list[str] = []
 
-    def flush() -> None:
-        line = " ".join("".join(pieces).split())
-        pieces.clear()
-        if line:
-            blocks.append(line)
-
-    for kind, what, path in events(source or ""):
-        if kind == "text":
-            if path in article:
-                pieces.append(html.unescape(what))
-            elif pieces and what.isspace() and not any(x[-1:] == "!" for x in path):
-                pieces.append(" ")  # white space between two elements of a block is no slot of its own
-        elif what in _BLOCK and pieces:
-            flush()
-    flush()
-    return "\n".join(blocks)
+def article_texts(page: Node, slot_of: dict[int, int], slots: dict[int, tuple[int, int, int, bool]]) -> set[int]:
+    """The texts of a page's article, as ``id``s of its nodes.
 
-
-SLOTS = "host string, path string, chars long, linked long"
+    ``slots`` has for each slot the pages of the host that have it, its characters, those in links, and whether it holds
+    the same text on all of them. A slot weighs as much as a page has in it on average, outside links, and little where
+    the text never changes. From the root the child that holds most of the weight is followed, up to an ``article``, or
+    to a block with a heading of its own that changes from page to page. If articles further inside hold most of the
+    weight, they are the article. Left out are texts that never change, but for headings, and lists of links.
+    """
+    weights: dict[int, float] = {}
+    dull: set[int] = set()
+
+    def of(node: Node) -> tuple[int, int, int, bool]:
+        pages, chars, linked, fixed = slots.get(slot_of.get(id(node), -1), (0, 0, 0, False))
+        return pages, chars, linked, fixed and pages >= LEAST_PAGES
+
+    def weigh(node: Node, listed: bool, headed: bool) -> float:
+        total = 0.0
+        if node.label == "#":
+            pages, chars, linked, fixed = of(node)
+            total = (chars - linked) / max(pages, 1) * (FIXED_WEIGHT if fixed else 1.0)
+            if pages >= LEAST_PAGES and (fixed and not headed or listed and linked >= LINKS * chars):
+                dull.add(id(node))
+        for x, _ in node.items:
+            total += weigh(x, listed or x.label.rstrip("*") in ("ul", "ol", "menu", "dl"), headed or x.label.rstrip("*") in _HEADING)
+        weights[id(node)] = total
+        return total
+
+    def spread(node: Node) -> list[Node]:
+        """Its children, those of groups included."""
+        return [y for x, _ in node.items for y in (spread(x) if x.label == "()" else [x])]
+
+    def changes(node: Node) -> bool:
+        return any(not of(x)[3] for x in spread(node) if x.label == "#")
+
+    weigh(page, False, False)
+    at, headed = page, False
+    while at.label != "article*":
+        own = spread(at)
+        headed = any(x.label.rstrip("*") in _HEADING and changes(x) for x in own)
+        if headed:
+            break
+        best = max(own, key=lambda x: weights[id(x)], default=None)
+        if best is None or best.label.rstrip("*") in _TEXTUAL or weights[id(best)] < MOST * weights[id(at)] or not weights[id(at)]:
+            break
+        at = best
+    inside, stack = [], [at]
+    while stack:  # the outermost articles
+        node = stack.pop()
+        if node.label == "article*":
+            inside.append(node)
+        else:
+            stack.extend(x for x, _ in node.items)
+    if not inside or sum(weights[id(x)] for x in inside) <= 0.5 * weights[id(at)]:
+        inside = [at] if headed or at.label[-1:] == "*" else _marked(at, weights)
+    found, stack = set(), list(inside)
+    while stack:
+        node = stack.pop()
+        if node.label == "#" and id(node) not in dull:
+            found.add(id(node))
+        stack.extend(x for x, _ in node.items)
+    return found
+
+
+def _marked(at: Node, weights: dict[int, float]) -> list[Node]:
+    """Where no article stands out: the outermost containers with a telling name, if they hold most of the text."""
+    inside, stack = [], [x for x, _ in at.items]
+    while stack:
+        node = stack.pop()
+        if node.label[-1:] == "*":
+            inside.append(node)
+        else:
+            stack.extend(x for x, _ in node.items)
+    best = max(inside, key=lambda x: weights[id(x)], default=None)
+    return [best] if best is not None and weights[id(best)] > 0.5 * weights[id(at)] else [at]
 
 
-def _slots_of(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each host and slot of a batch of pages the characters of text, and those in links."""
-    for batch in stream:
-        sums: dict[tuple[str, tuple[str, ...]], list[int]] = {}
-        for host, page in zip(batch.column("host"), batch.column("html"), strict=True):
-            host = host.as_py()
-            for kind, what, path in events(page.as_py() or ""):
-                if kind == "text" and not what.isspace():
-                    x = sums.setdefault((host, path), [0, 0])
-                    x[0] += len(what)
-                    x[1] += len(what) * ("a" in path)
-        columns = [[h for h, _ in sums], ["/".join(p) for _, p in sums], [n for n, _ in sums.values()], [n for _, n in sums.values()]]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64()), strict=True)],
-            names=["host", "path", "chars", "linked"],
-        )
+SLOTS = "host string, slot int, pages long, chars long, linked long, low long, high long"
+_SLOTS = ("host", "slot", "pages", "chars", "linked", "low", "high")
 
 
 def _trees_of(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in stream:
-        seen = {(h.as_py(), json.dumps(tree(p.as_py() or ""))) for h, p in zip(batch.column("host"), batch.column("html"), strict=True)}
+        seen = {(h.as_py(), json.dumps(parse(p.as_py() or "")[0].plain())) for h, p in zip(batch.column("host"), batch.column("html"), strict=True)}
         columns = [[h for h, _ in seen], [w for _, w in seen]]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["host", "wrapper"])
 
 
 def _align(group: pa.Table) -> pa.Table:
-    """One wrapper for all trees or wrappers of a group."""
-    trees = sorted((json.loads(w.as_py()) for w in group["wrapper"]), key=lambda t: len(json.dumps(t)))
-    out = trees[0]
-    for t in trees[1:]:
-        out = merge(out, t)
-    return pa.table({"host": pa.array([group["host"][0].as_py()], pa.string()), "wrapper": pa.array([json.dumps(out)], pa.string())})
+    """One wrapper for all streams or wrappers of a group."""
+    sources = sorted((w.as_py() for w in group["wrapper"]), key=lambda w: (len(w), w))
+    out = node_of(json.loads(sources[0]))
+    for w in sources[1:]:
+        out = merge(out, node_of(json.loads(w)))
+    return pa.table({"host": pa.array([group["host"][0].as_py()], pa.string()), "wrapper": pa.array([json.dumps(out.plain())], pa.string())})
 
 
 def infer_wrappers(pages: DataFrame, host: str = "host", source: str = "html") -> DataFrame:
     """``(host, wrapper)``: each host's union-free expression as JSON, see ``expression``.
 
-    The trees are made distinct for each host before any are aligned. They are then aligned in groups of about
+    The folded streams are made distinct for each host before any are aligned. They are then aligned in groups of about
     ``GROUP``, and the groups' wrappers again, until each host has one.
     """
-    rows = pages.select(F.col(host).alias("host"), F.col(source).alias("html"))
+    rows = pages.select(named(host).alias("host"), named(source).alias("html"))
     found = written(rows.mapInArrow(_trees_of, "host string, wrapper string").distinct())
     while True:
         most = found.groupBy("host").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
         if most == 1:
             return found
         if most <= GROUP:
-            return found.groupBy("host").applyInArrow(_align, "host string, wrapper string")
+            return written(found.groupBy("host").applyInArrow(_align, "host string, wrapper string"))
         dealt = found.withColumn("salt", F.expr(f"pmod(xxhash64(wrapper), {-(-most // GROUP)})"))
         found = written(dealt.groupBy("host", "salt").applyInArrow(_align, "host string, wrapper string").distinct())
 
 
+class _Known:
+    """What a task remembers of wrappers and of pages' streams under them."""
+
+    def __init__(self) -> None:
+        self.wrappers: dict[str, Node] = {}
+        self.found: dict[tuple, object] = {}
+
+    def wrapper(self, source: str | None) -> Node:
+        if source not in self.wrappers:
+            if len(self.wrappers) > 200:
+                self.wrappers.clear()
+            self.wrappers[source] = node_of(json.loads(source)) if source else Node("")
+        return self.wrappers[source]
+
+    def of(self, key: tuple, make):
+        if key not in self.found:
+            if len(self.found) > 5000:
+                self.found.clear()
+            self.found[key] = make()
+        return self.found[key]
+
+
+def leaves(page: Node) -> list[Node]:
+    """A stream's texts in order."""
+    found, stack = [], [page]
+    while stack:
+        node = stack.pop()
+        if node.label == "#":
+            found.append(node)
+        stack.extend(x for x, _ in reversed(node.items))
+    return found
+
+
+def _slots_of(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each host and slot of a batch of pages: pages, characters, characters in links, least and greatest hash of a page's text in it."""
+    known = _Known()
+    for batch in stream:
+        sums: dict[tuple[str, int], list[int]] = {}
+        for host, page, wrapper in zip(batch.column("host"), batch.column("html"), batch.column("wrapper"), strict=True):
+            tree, lines = parse(page.as_py() or "")
+            host, wrapper, own = host.as_py(), wrapper.as_py(), leaves(tree)
+
+            def slots(tree=tree, own=own, wrapper=wrapper) -> list[int | None]:
+                met = matched(tree, known.wrapper(wrapper))
+                return [met.get(id(x)) for x in own]
+
+            texts: dict[int, list[int]] = {}
+            for x, slot in zip(own, known.of((host, json.dumps(tree.plain())), slots), strict=True):
+                if slot is not None:
+                    texts.setdefault(slot, []).extend(x.lines)
+            for slot, at in texts.items():
+                h = xxhash.xxh64_intdigest("\n".join(lines[k][0] for k in at).encode("utf-8", "replace")) >> 1
+                n, linked = sum(len(lines[k][0]) for k in at), sum(lines[k][1] for k in at)
+                x = sums.setdefault((host, slot), [0, 0, 0, h, h])
+                sums[host, slot] = [x[0] + 1, x[1] + n, x[2] + linked, min(x[3], h), max(x[4], h)]
+        columns = [[h for h, _ in sums], [k for _, k in sums], *([x[i] for x in sums.values()] for i in range(5))]
+        kinds = (pa.string(), pa.int32(), *[pa.int64()] * 5)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=list(_SLOTS))
+
+
+def extract(source: str | None, wrapper: Node, slots: dict[int, tuple[int, int, int, bool]]) -> str:
+    """The text of one page's article, a line for each block."""
+    tree, lines = parse(source or "")
+    chosen = article_texts(tree, matched(tree, wrapper), slots)
+    kept = sorted(k for x in leaves(tree) if id(x) in chosen for k in x.lines)
+    return "\n".join(lines[k][0] for k in kept)
+
+
+def slot_table(rows) -> dict[int, tuple[int, int, int, bool]]:
+    """Slots as ``article_texts`` takes them, from rows ``(slot, pages, chars, linked, low, high)``."""
+    return {k: (pages, chars, linked, low == high) for k, pages, chars, linked, low, high in rows}
+
+
+def _bounded(df: DataFrame) -> DataFrame:
+    """``df``, marked for a broadcast if its texts are small enough."""
+    size = df.agg(F.coalesce(F.sum(sum(F.length(c) for c in df.columns)), F.lit(0))).first()[0]
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
 def main_text(pages: DataFrame, url: str = "url", source: str = "html", keep: list[str] | None = None) -> DataFrame:
     """``pages`` with ``text``, the article of each page, and ``n_chars``, its code points.
 
-    Null and empty pages have the empty text. A page without a host in its URL belongs to the host ''. Repeated
-    rows give equal rows. Input columns with one of the two names are replaced.
+    Null and empty pages have the empty text. A page without a host in its URL, or without a URL, belongs to the host
+    ''. Repeated rows give equal rows. A page of any size is taken whole, one nested however deeply too. An empty table
+    stays empty; input columns with one of the two names are replaced.
     """
-    spark = pages.sparkSession
     base = without(pages, "text", "n_chars")
     kept = [c for c in base.columns if keep is None or c in keep]
-    host = F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
-    hosted = base.select(*kept, host.alias("_host"), F.col(source).alias("_html"))
-    plain = hosted.select(F.col("_host").alias("host"), F.col("_html").alias("html"))
-    sizes = plain.mapInArrow(_slots_of, SLOTS).groupBy("host", "path").agg(F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
-    measured = sizes.groupBy("host").agg(F.collect_list(F.struct("path", "chars", "linked")).alias("sizes"))
-    wrappers = infer_wrappers(plain).join(measured, "host", "left")
-
-    def choose(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            chosen = []
-            for wrapper, known in zip(batch.column("wrapper"), batch.column("sizes"), strict=True):
-                size = {x["path"]: (x["chars"], x["linked"]) for x in known.as_py() or ()}
-                paths = dict.fromkeys(slots(json.loads(wrapper.as_py())))
-                found = [(p, *size.get("/".join(p), (0, 0))) for p in paths]
-                chosen.append(json.dumps(sorted(set(article_slots(found)))))
-            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(chosen, pa.string())], names=["host", "slots"])
-
-    chosen = written(wrappers.mapInArrow(choose, "host string, slots string"))
-    size = chosen.agg(F.coalesce(F.sum(F.length("slots") + F.length("host")), F.lit(0))).first()[0]
-    if size <= BROADCAST_BYTES:
-        chosen = F.broadcast(chosen)
-    joined = hosted.join(chosen.withColumnRenamed("host", "_host"), "_host", "left")
-    schema = base.select(*kept, F.lit("").alias("text")).schema
-
-    def apply(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str | None, frozenset] = {None: frozenset()}
-        for batch in stream:
-            texts = []
-            for page, chosen in zip(batch.column("_html"), batch.column("slots"), strict=True):
-                chosen = chosen.as_py()
-                if chosen not in known:
-                    if len(known) > 1000:
-                        known = {None: frozenset()}
-                    known[chosen] = frozenset(map(tuple, json.loads(chosen)))
-                texts.append(extract(page.as_py(), known[chosen]))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(texts, pa.string())], names=[*kept, "text"])
-
-    return joined.select(*kept, "_html", "slots").mapInArrow(apply, schema).withColumn("n_chars", F.length("text").cast("long"))
+    own_host, own_html, own_wrapper, own_slots = spare(base, "_host", "_html", "_wrapper", "_slots")
+    host = F.coalesce(F.lower(F.regexp_extract(named(url), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
+    hosted = base.select(*map(named, kept), host.alias(own_host), named(source).alias(own_html))
+    plain = hosted.select(named(own_host).alias("host"), named(own_html).alias("html"))
+    wrappers = infer_wrappers(plain)
+    seen = plain.join(_bounded(wrappers), "host")
+    sizes = seen.mapInArrow(_slots_of, SLOTS).groupBy("host", "slot")
+    sizes = sizes.agg(*[F.sum(c).alias(c) for c in ("pages", "chars", "linked")], F.min("low").alias("low"), F.max("high").alias("high"))
+    # as many entries as the host's wrapper has slots
+    slots = F.to_json(F.collect_list(F.array(F.col("slot").cast("long"), "pages", "chars", "linked", "low", "high"))).alias("slots")
+    chosen = written(wrappers.join(sizes.groupBy("host").agg(slots), "host", "left").select("host", "wrapper", F.coalesce("slots", F.lit("[]")).alias("slots")))
+    chosen = _bounded(chosen).select(F.col("host").alias(own_host), F.col("wrapper").alias(own_wrapper), F.col("slots").alias(own_slots))
+    joined = hosted.join(chosen, own_host, "left")
+
+    def make():
+        known = _Known()
+
+        def texts(pages: pa.Array, wrappers: pa.Array, slots: pa.Array) -> list[list[str]]:
+            out = []
+            for page, wrapper, own in zip(pages, wrappers, slots, strict=True):
+                tree, lines = parse(page.as_py() or "")
+                wrapper, own, at = wrapper.as_py(), own.as_py(), leaves(tree)
+
+                def choose(tree=tree, wrapper=wrapper, own=own, at=at) -> list[bool]:
+                    found = article_texts(tree, matched(tree, known.wrapper(wrapper)), slot_table(json.loads(own or "[]")))
+                    return [id(x) in found for x in at]
+
+                good = known.of((wrapper, own, json.dumps(tree.plain())), choose)
+                kept = sorted(k for x, yes in zip(at, good, strict=True) if yes for k in x.lines)
+                out.append("\n".join(lines[k][0] for k in kept))
+            return [out]
+
+        return texts
+
+    found = with_made(joined, kept, [named(own_html), named(own_wrapper), named(own_slots)], {"text": T.StringType()}, make)
+    return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def op8_main_text(spark, sf_dir: str) -> DataFrame:
