@@ -1,34 +1,59 @@
 """Anchors: numbered tables, bullets and sentences of a text with exact code-point spans.
 
-Everything is rows and running sums over windows of one item. Items are dealt out once; all windows partition by the
-item, so they reuse that and only sort. What a later step needs of a text goes along with its pieces; nothing is joined.
+Everything is worked out inside the row: a text becomes an array of blocks, a block an array of pieces, and offsets are
+running sums over those arrays. Nothing is shuffled and no key is needed, so repeated or missing item ids do no harm,
+and the place of an anchor in the exploded array is its number.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import ABBREVIATIONS, SENTENCE_END, SPACE, TABLE, is_blank, is_bullet, strip
 
-#: What tells the units of an item apart.
-KEY = ["seg", "block", "kind"]
 #: A block that is one sentence of more characters is cut once.
 LONG = 400
 #: A sentence of fewer characters joins the one before.
 SHORT = 10
+#: The columns of ``units``, besides the item.
+UNIT = ("seg", "block", "kind", "start", "end", "block_text")
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value worked out once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _at(values: Column, index: Column) -> Column:
+    """The element at a 0-based index, null beyond the end."""
+    return F.get(values, index)
 
 
-def _before(order: list[str], within: list[str]) -> Window:
-    return Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+def running(lengths: Column) -> Column:
+    """For each element of an array of ints the sum of those before it.
 
+    The array is cut into as many parts as each part has elements, so that no long array is grown element by element.
+    """
+
+    def grown(start: Column, values: Column) -> Column:
+        return F.aggregate(values, F.array(start), lambda sums, x: F.concat(sums, F.array(F.element_at(sums, -1) + x)))
+
+    def by_parts(values: Column) -> Column:
+        step = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(values)))).cast("int")
+        part = lambda k: F.slice(values, k * step + 1, step)
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / step).cast("int")), part)
+        total = lambda p: F.aggregate(p, F.lit(0), lambda s, x: s + x)
 
-def _upto(order: list[str], within: list[str]) -> Window:
-    return Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        def joined(ps: Column) -> Column:
+            begin = F.slice(grown(F.lit(0), F.transform(ps, total)), 1, F.size(ps))
+            return F.flatten(F.zip_with(ps, begin, lambda p, s: F.slice(grown(s, p), 1, F.size(p))))
 
+        return F.when(F.size(values) == 0, F.array().cast("array<int>")).otherwise(let(parts, joined))
 
-def _sum(value: Column, window: Window) -> Column:
-    return F.coalesce(F.sum(value).over(window), F.lit(0)).cast("int")
+    return let(lengths, by_parts)
 
 
 def _left(text: Column, pattern: str) -> Column:
@@ -36,70 +61,65 @@ def _left(text: Column, pattern: str) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, rf"(?U)^{pattern}+", ""))
 
 
-def segments(texts: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
-    """``(item, seg, seg_start, is_table, seg_text)``: fenced tables and what lies between them, empty ones too."""
-    rows = texts.select(item, F.col(text).alias("_t")).repartition(item)
-    both = F.struct(F.split("_t", TABLE, -1).alias("between"), F.regexp_extract_all("_t", F.lit(TABLE), F.lit(0)).alias("tables"))
-    rows = rows.select(item, both.alias("p"))
-    one = lambda k: F.when(k % 2 == 0, F.element_at("p.between", (k / 2).cast("int") + 1)).otherwise(
-        F.element_at("p.tables", ((k + 1) / 2).cast("int"))
-    )
-    pieces = F.transform(F.sequence(F.lit(0), 2 * F.size("p.tables")), one)
-    rows = rows.select(item, F.posexplode(pieces).alias("seg", "seg_text"))
-    start = _sum(F.length("seg_text"), _before(["seg"], [item]))
-    return rows.select(item, "seg", start.alias("seg_start"), (F.col("seg") % 2 == 1).alias("is_table"), "seg_text")
+def _right(text: Column) -> Column:
+    """Number of white-space characters at the end."""
+    return F.length(text) - F.length(F.regexp_replace(text, rf"(?U){SPACE}+$", ""))
 
 
-def table_spans(texts: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
-    """``(item, start, end)`` of the fenced tables."""
-    end = (F.col("seg_start") + F.length("seg_text")).alias("end")
-    return segments(texts, item, text).where("is_table").select(item, F.col("seg_start").alias("start"), end)
+def segments_of(text: Column) -> Column:
+    """A text as an array of strings: what lies between fenced tables, empty or not, and at odd places the tables."""
+    between, tables = F.split(text, TABLE, -1), F.regexp_extract_all(text, F.lit(TABLE), F.lit(0))
+    pairs = F.arrays_zip(between.alias("b"), tables.alias("t"))
+    both = F.flatten(F.transform(pairs, lambda p: F.array(p["b"], p["t"])))
+    return F.filter(both, lambda x: x.isNotNull())
 
 
-def units(segs: DataFrame, item: str = "item_id") -> DataFrame:
-    """``(item, seg, block, kind, start, end, block_text, halves)``: tables, and the blocks between them.
+def blocks_of(text: Column) -> Column:
+    """A text as an array of structs ``UNIT``: tables, and the blocks between them that are not blank.
 
     ``kind`` is ``table``, ``bullet`` for a block of which two lines or more, and more than half, are list items, or
-    ``sentence``. Blank blocks are left out. ``halves`` are the spans of a long block's halves, see ``long_blocks``.
+    ``sentence``.
     """
-    parts = F.when(F.col("is_table"), F.array("seg_text")).otherwise(F.split("seg_text", "\n\n", -1))
-    rows = segs.select(item, "seg", "seg_start", "is_table", F.posexplode(parts).alias("block", "part"))
-    offset = F.col("seg_start") + _sum(F.length("part") + 2, _before(["block"], [item, "seg"]))
-    rows = rows.select(
-        item, "seg", "block", "is_table", (offset + _left(F.col("part"), "\n")).alias("start"), F.regexp_replace("part", "^\n+|\n+$", "").alias("block_text")
-    )
-    rows = rows.where(~is_blank(F.col("block_text")))
-    lines = F.split("block_text", "\n")
-    items = F.size(F.filter(lines, is_bullet))
-    kind = F.when(F.col("is_table"), "table").when((items >= 2) & (items * 2 > F.size(lines)), "bullet").otherwise("sentence")
-    rows = rows.select(item, "seg", "block", kind.alias("kind"), "start", (F.col("start") + F.length("block_text")).alias("end"), "block_text")
-    return rows.withColumn("halves", F.when(F.col("kind") == "sentence", _halves(F.col("block_text"), F.col("start"))))
 
+    def parts(segment: Column, k: Column) -> Column:
+        cut = F.when(k % 2 == 1, F.array(segment)).otherwise(F.split(segment, "\n\n", -1))
 
-def _halves(text: Column, start: Column) -> Column:
-    """The spans of a long block's two halves, cut at the first mark with white space after it; null for others."""
-    halves = F.split(text, rf"(?U)(?<=[.!?]){SPACE}+", 2)
-    lead, whole = _left(text, SPACE), F.length(strip(text))
-    span = lambda a, b: F.struct(a.cast("int").alias("start"), b.cast("int").alias("end"))
-    both = F.array(
-        span(start + lead, start + F.length(F.element_at(halves, 1))),
-        span(start + lead + whole - F.length(strip(F.element_at(halves, 2))), start + lead + whole),
-    )
-    return F.when((F.length(text) > LONG) & (F.size(halves) > 1), F.filter(both, lambda x: x["end"] > x["start"]))
+        def each(ps: Column) -> Column:
+            gap = lambda i: F.when(i < F.size(ps) - 1, 2).otherwise(0)
+            return F.transform(ps, lambda p, i: F.struct(k.alias("seg"), i.alias("block"), p.alias("part"), (F.length(p) + gap(i)).alias("size")))
 
+        return let(cut, each)
 
-def pieces(found: DataFrame, key: list[str]) -> DataFrame:
-    """``(key, piece, piece_start, piece_text, halves)``: units cut at every place where an anchor may begin.
+    def unit(p: Column, start: Column) -> Column:
+        bare = F.regexp_replace(p["part"], "^\n+|\n+$", "")
+        lead, lines = _left(p["part"], "\n"), F.split(bare, "\n")
+        items = F.size(F.filter(lines, is_bullet))
+        kind = F.when(p["seg"] % 2 == 1, "table").when((items >= 2) & (items * 2 > F.size(lines)), "bullet").otherwise("sentence")
+        values = (p["seg"], p["block"], kind, start + lead, start + lead + F.length(bare), bare)
+        return F.struct(*[v.alias(n) for v, n in zip(values, UNIT, strict=True)])
+
+    def placed(ps: Column) -> Column:
+        whole = F.zip_with(ps, running(F.transform(ps, lambda p: p["size"])), unit)
+        return F.filter(whole, lambda u: ~is_blank(u["block_text"]))
+
+    return let(F.flatten(F.transform(segments_of(text), parts)), placed)
+
+
+def pieces_of(unit: Column) -> Column:
+    """A unit as an array of structs ``(start, text)``, cut at every place where an anchor may begin.
 
     Prose is cut at every possible sentence end, and its pieces make it up again; lists are cut into lines; a table
-    is one piece. ``halves`` goes along, so that the text is not needed once more.
+    is one piece.
     """
-    kind, text = F.col("kind"), F.col("block_text")
-    parts = F.when(kind == "table", F.array(text)).when(kind == "bullet", F.split(text, "\n")).otherwise(F.split(text, SENTENCE_END, -1))
-    rows = found.select(*key, F.col("start").alias("_start"), "halves", F.posexplode(parts).alias("piece", "piece_text"))
-    size = F.length("piece_text") + (kind == "bullet").cast("int")
-    begin = F.col("_start") + _sum(size, _before(["piece"], key))
-    return rows.select(*key, "piece", begin.alias("piece_start"), "piece_text", "halves")
+    kind, text = unit["kind"], unit["block_text"]
+    cut = F.when(kind == "table", F.array(text)).when(kind == "bullet", F.split(text, "\n")).otherwise(F.split(text, SENTENCE_END, -1))
+    gap = (kind == "bullet").cast("int")
+
+    def placed(ps: Column) -> Column:
+        begin = running(F.transform(ps, lambda p: F.length(p) + gap))
+        return F.zip_with(ps, begin, lambda p, s: F.struct((unit["start"] + s).alias("start"), p.alias("text")))
+
+    return let(cut, placed)
 
 
 def last_word(text: Column) -> Column:
@@ -107,70 +127,151 @@ def last_word(text: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_extract(text, rf"(?U)([^\s\x1c-\x1f]+){SPACE}*$", 1), r"[.!?]+$", ""))
 
 
-def joined(cut: DataFrame, key: list[str]) -> DataFrame:
-    """``(key, sentence, start, end, size, halves)``: pieces joined into sentences and list items.
+def _groups(values: Column, begins: Callable[[Column, Column], Column], make: Callable[[Column, Column], Column]) -> Column:
+    """Neighbours taken together from each element that begins a group: ``make(first index, last index)``.
+
+    Elements before the first that begins one are a group too.
+    """
+    at = F.filter(F.transform(values, lambda x, i: F.when((i == 0) | begins(x, i), i)), lambda i: i.isNotNull())
+    last = lambda own, k: F.coalesce(_at(own, k + 1), F.size(values)) - 1
+    return let(at, lambda own: F.transform(own, lambda i, k: make(i, last(own, k))))
+
+
+def sentences_of(unit: Column) -> Column:
+    """A unit's pieces joined into sentences and list items: structs ``(start, end, size)``.
 
     A sentence does not end after an abbreviation, and the white space before it is not part of it. A list item has
     the lines up to the next one; lines before the first item stand together. ``size`` counts a sentence's characters
     without white space at either end.
     """
-    window = Window.partitionBy(*key).orderBy("piece")
-    own, at, kind = F.col("piece_text"), F.col("piece_start"), F.col("kind")
-    ended = F.lag(last_word(own)).over(window)
-    begins = F.when(kind == "bullet", is_bullet(own)).otherwise((F.col("piece") == 0) | ~ended.isin(*ABBREVIATIONS))
-    rows = cut.withColumn("begins", begins.cast("int"))
-    rows = rows.withColumn("sentence", _sum(F.col("begins"), _upto(["piece"], key)))
-    lead = F.when((F.col("begins") == 1) & (kind == "sentence"), _left(own, SPACE)).otherwise(0)
-    skip = F.when(F.col("piece") > 0, lead).otherwise(0)
-    tail = F.length(own) - F.length(F.regexp_replace(own, rf"(?U){SPACE}+$", ""))
-    return rows.groupBy(*key, "sentence").agg(
-        F.min(at + skip).cast("int").alias("start"),
-        F.max(at + F.length(own)).cast("int").alias("end"),
-        (F.max(at + F.length(own) - tail) - F.min(at + lead)).alias("size"),
-        F.first("halves").alias("halves"),
-    )
+    prose = unit["kind"] == "sentence"
+
+    def joined(ps: Column) -> Column:
+        def begins(p: Column, i: Column) -> Column:
+            ended = last_word(_at(ps, i - 1)["text"])
+            return F.when(unit["kind"] == "bullet", is_bullet(p["text"])).otherwise(~ended.isin(*ABBREVIATIONS))
+
+        def make(i: Column, j: Column) -> Column:
+            first, last = _at(ps, i), _at(ps, j)
+            lead = F.when(prose, _left(first["text"], SPACE)).otherwise(0)
+            start = first["start"] + F.when(i > 0, lead).otherwise(0)
+            end = last["start"] + F.length(last["text"])
+            size = end - _right(last["text"]) - first["start"] - lead
+            return F.struct(start.alias("start"), end.alias("end"), size.alias("size"))
+
+        return _groups(ps, begins, make)
+
+    return let(pieces_of(unit), joined)
+
+
+def _halves(text: Column, start: Column) -> Column:
+    """The spans of a long block's two halves, cut at the first mark with white space after it; null for others."""
+
+    def spans(halves: Column) -> Column:
+        lead, whole = _left(text, SPACE), F.length(strip(text))
+        span = lambda a, b: F.struct(a.alias("start"), b.alias("end"), (b - a).alias("size"))
+        both = F.array(
+            span(start + lead, start + F.length(_at(halves, F.lit(0)))),
+            span(start + lead + whole - F.length(strip(_at(halves, F.lit(1)))), start + lead + whole),
+        )
+        return F.when(F.size(halves) > 1, F.filter(both, lambda x: x["end"] > x["start"]))
+
+    return let(F.split(text, rf"(?U)(?<=[.!?]){SPACE}+", 2), spans)
+
+
+def cut_of(unit: Column) -> Column:
+    """A unit's sentences, where the one sentence of a long block is replaced by its halves."""
+
+    def cut(sents: Column) -> Column:
+        alone = (unit["kind"] == "sentence") & (F.size(sents) == 1) & (sents[0]["end"] - sents[0]["start"] > LONG)
+        return F.when(alone, F.coalesce(_halves(unit["block_text"], unit["start"]), sents)).otherwise(sents)
+
+    return let(sentences_of(unit), cut)
+
+
+def spans_of(unit: Column) -> Column:
+    """A unit's anchors ``(start, end)``: a sentence of fewer than ``SHORT`` stripped characters joins the one before."""
+
+    def merged(sents: Column) -> Column:
+        begins = lambda s, i: (unit["kind"] != "sentence") | (s["size"] >= SHORT)
+        make = lambda i, j: F.struct(_at(sents, i)["start"].alias("start"), _at(sents, j)["end"].alias("end"))
+        return _groups(sents, begins, make)
 
+    return let(cut_of(unit), merged)
 
-def long_blocks(sents: DataFrame, key: list[str]) -> DataFrame:
-    """``sents`` with the one sentence of a long block replaced by its halves."""
-    alone = F.count("*").over(Window.partitionBy(*key)) == 1
-    rows = sents.withColumn("_cut", alone & F.col("halves").isNotNull() & (F.col("end") - F.col("start") > LONG))
-    spans = F.when(F.col("_cut"), F.col("halves")).otherwise(F.array(F.struct("start", "end")))
-    rows = rows.select(*key, "sentence", "size", "_cut", F.posexplode(spans).alias("half", "s"))
-    size = F.when(F.col("_cut"), F.col("s.end") - F.col("s.start")).otherwise(F.col("size"))
-    return rows.select(*key, (F.col("sentence") + F.col("half")).alias("sentence"), "s.start", "s.end", size.alias("size"))
 
+def anchors_of(text: Column) -> Column:
+    """A text's anchors in order: structs ``(kind, start, end)``."""
+    one = lambda u: F.transform(spans_of(u), lambda s: F.struct(u["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    return F.flatten(F.transform(blocks_of(text), one))
 
-def merge_fragments(sents: DataFrame, key: list[str]) -> DataFrame:
-    """``sents`` where one of fewer than SHORT stripped characters joins the one before it in its block."""
-    first = F.row_number().over(Window.partitionBy(*key).orderBy("sentence")) == 1
-    rows = sents.withColumn("_own", F.when(first | (F.col("kind") != "sentence"), 1).otherwise((F.col("size") >= SHORT).cast("int")))
-    rows = rows.withColumn("sentence", _sum(F.col("_own"), _upto(["sentence"], key)))
-    return rows.groupBy(*key, "sentence").agg(F.min("start").alias("start"), F.max("end").alias("end"))
 
+def label(number: Column) -> Column:
+    """A0001 and so on, from 0-based numbers."""
+    return F.format_string("A%04d", number + 1)
 
-def numbered(spans: DataFrame, item: str = "item_id") -> DataFrame:
-    """``spans`` with ``anchor_id`` A0001 and so on in order of start."""
-    rank = F.row_number().over(Window.partitionBy(item).orderBy("start", "end"))
-    return spans.withColumn("anchor_id", F.format_string("A%04d", rank))
+
+# ---- rows ----
+
+
+def segments(texts: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
+    """``(item, seg, seg_start, is_table, seg_text)``: fenced tables and what lies between them, empty ones too."""
+    found = let(segments_of(F.col(text)), lambda ss: F.zip_with(ss, running(F.transform(ss, F.length)), lambda s, at: F.struct(at.alias("at"), s.alias("text"))))
+    rows = texts.select(item, F.posexplode(found).alias("seg", "s"))
+    return rows.select(item, "seg", F.col("s.at").alias("seg_start"), (F.col("seg") % 2 == 1).alias("is_table"), F.col("s.text").alias("seg_text"))
+
+
+def table_spans(texts: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
+    """``(item, start, end)`` of the fenced tables."""
+    end = (F.col("seg_start") + F.length("seg_text")).alias("end")
+    return segments(texts, item, text).where("is_table").select(item, F.col("seg_start").alias("start"), end)
+
+
+def units(texts: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
+    """``(item, seg, block, kind, start, end, block_text)``, a row for each table and block, see ``blocks_of``."""
+    return texts.select(item, F.explode(blocks_of(F.col(text))).alias("u")).select(item, *[f"u.{c}" for c in UNIT])
+
+
+def _exploded(found: DataFrame, of: Callable[[Column], Column], item: str, number: str) -> DataFrame:
+    rows = found.select(item, F.struct(*UNIT).alias("u")).select(item, "u.seg", "u.block", "u.kind", F.posexplode(of(F.col("u"))).alias(number, "x"))
+    return rows.select(item, "seg", "block", "kind", number, "x.*")
+
+
+def pieces(found: DataFrame, item: str = "item_id") -> DataFrame:
+    """``units`` as rows ``(item, seg, block, kind, piece, start, text)``, see ``pieces_of``."""
+    return _exploded(found, pieces_of, item, "piece")
+
+
+def sentences(found: DataFrame, item: str = "item_id") -> DataFrame:
+    """``units`` as rows ``(item, seg, block, kind, sentence, start, end, size)``, see ``sentences_of``."""
+    return _exploded(found, sentences_of, item, "sentence")
+
+
+def long_blocks(found: DataFrame, item: str = "item_id") -> DataFrame:
+    """The same with long blocks cut in two, see ``cut_of``."""
+    return _exploded(found, cut_of, item, "sentence")
+
+
+def merged(found: DataFrame, item: str = "item_id") -> DataFrame:
+    """``units`` as rows ``(item, seg, block, kind, sentence, start, end)``, short sentences joined, see ``spans_of``."""
+    return _exploded(found, spans_of, item, "sentence")
 
 
 def anchors(texts: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
-    """``(item, anchor_id, anchor_type, start, end)`` of every text. Null, empty and blank texts have none."""
-    key = [item, *KEY]
-    found = units(segments(texts.where(F.col(text).isNotNull()), item, text), item)
-    spans = merge_fragments(long_blocks(joined(pieces(found, key), key), key), key)
-    return numbered(spans, item).select(item, "anchor_id", F.col("kind").alias("anchor_type"), F.col("start").cast("int"), F.col("end").cast("int"))
-
-
-def annotated(found: DataFrame, texts: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
-    """``(item, text)``: each text's anchors in order, each under its ``[[Annnn]]``."""
-    rows = found.join(texts.select(item, F.col(text).alias("_t")), item)
-    block = F.substring("_t", F.col("start") + 1, F.col("end") - F.col("start"))
-    part = F.concat(F.lit("[["), "anchor_id", F.lit("]]\n"), block, F.lit("\n"))
-    # an item's anchors make up one text again, no larger than the text they were cut from
-    parts = rows.groupBy(item).agg(F.array_sort(F.collect_list(F.struct("start", "end", part.alias("part")))).alias("parts"))
-    return parts.select(item, F.array_join("parts.part", "\n").alias("text"))
+    """``(item, anchor_id, anchor_type, start, end)`` of every text, numbered from A0001 in each row of ``texts``.
+
+    Null, empty and blank texts have none. Rows with one item id are texts of their own.
+    """
+    rows = texts.select(item, F.posexplode(anchors_of(F.col(text))).alias("n", "a"))
+    return rows.select(item, label(F.col("n")).alias("anchor_id"), F.col("a.kind").alias("anchor_type"), "a.start", "a.end")
+
+
+def annotated(texts: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
+    """``(item, text)``: each text's anchors in order, each under its ``[[Annnn]]``; texts without anchors go."""
+    rows = texts.select(item, F.col(text).alias("_t"), anchors_of(F.col(text)).alias("_a")).where(F.size("_a") > 0)
+    block = lambda a: F.substring(F.col("_t"), a["start"] + 1, a["end"] - a["start"])
+    part = lambda a, n: F.concat(F.lit("[["), label(n), F.lit("]]\n"), block(a), F.lit("\n"))
+    return rows.select(item, F.array_join(F.transform("_a", part), "\n").alias("text"))
 
 
 def violations(snippets: DataFrame, texts: DataFrame, item: str = "item_id") -> DataFrame:

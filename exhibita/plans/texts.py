@@ -105,7 +105,7 @@ _SENTENCES = "WITH " + PROSE + r""", blk AS (
 _SNIPPETS = _SENTENCES + """, snippets AS (
   SELECT item_id, anchor_id, anchor_type AS label, anchor_type AS type, start, "end", substring(text, greatest(0, start - 400) + 1, least(length(text), "end" + 400) - greatest(0, start - 400)) AS snippet,
          greatest(0, start - 400) AS snippet_start, CAST(least(length(text), "end" + 400) AS INT) AS snippet_end
-  FROM anchors JOIN prose USING (item_id) WHERE anchor_id LIKE '%3')"""
+  FROM anchors JOIN prose USING (item_id))"""
 
 
 def _md5(column, name: str):
@@ -194,10 +194,7 @@ def ascii_table(spark, sf_dir):
 
 
 def _blocks(spark, sf_dir):
-    return A.units(A.segments(inputs.prose(spark, sf_dir)))
-
-
-_KEY = ["item_id", *A.KEY]
+    return A.units(inputs.prose(spark, sf_dir))
 
 
 @query("blocks", _SENTENCES + ' SELECT item_id, block, start, "end", md5(block_text) AS block_md5 FROM blocks')
@@ -217,29 +214,25 @@ def block_offsets(spark, sf_dir):
 @query("sentence_split", _SENTENCES + " SELECT item_id, block, piece, piece_start, md5(piece_text) AS piece_md5 FROM pieces")
 def sentence_split(spark, sf_dir):
     """Texts cut at every possible sentence end."""
-    return A.pieces(_blocks(spark, sf_dir), _KEY).select("item_id", "block", "piece", "piece_start", _md5("piece_text", "piece_md5"))
+    return A.pieces(_blocks(spark, sf_dir)).select("item_id", "block", "piece", F.col("start").alias("piece_start"), _md5("text", "piece_md5"))
 
 
 @query("sentence_abbrev", _SENTENCES + ' SELECT item_id, block, sentence, start, "end" FROM sents')
 def sentence_abbrev(spark, sf_dir):
     """Sentences that abbreviations do not end."""
-    return A.joined(A.pieces(_blocks(spark, sf_dir), _KEY), _KEY).select("item_id", "block", "sentence", "start", "end")
-
-
-def _long(spark, sf_dir):
-    return A.long_blocks(A.joined(A.pieces(_blocks(spark, sf_dir), _KEY), _KEY), _KEY)
+    return A.sentences(_blocks(spark, sf_dir)).select("item_id", "block", (F.col("sentence") + 1).alias("sentence"), "start", "end")
 
 
 @query("long_block_split", _SENTENCES + ' SELECT item_id, block, start, "end" FROM split_')
 def long_block_split(spark, sf_dir):
     """Long blocks of one sentence cut in two."""
-    return _long(spark, sf_dir).select("item_id", "block", F.col("start").cast("int"), F.col("end").cast("int"))
+    return A.long_blocks(_blocks(spark, sf_dir)).select("item_id", "block", "start", "end")
 
 
 @query("fragment_merge", _SENTENCES + ' SELECT item_id, block, sentence, start, "end" FROM merged')
 def fragment_merge(spark, sf_dir):
     """Short sentences joined with the ones before."""
-    return A.merge_fragments(_long(spark, sf_dir), _KEY).select("item_id", "block", "sentence", F.col("start").cast("int"), F.col("end").cast("int"))
+    return A.merged(_blocks(spark, sf_dir)).select("item_id", "block", (F.col("sentence") + 1).alias("sentence"), "start", "end")
 
 
 _LIST_TEXT = f"WITH {LISTS}, canon AS (SELECT item_id, {_bullets(_paragraphs('text'))} AS text FROM lists)"
@@ -263,8 +256,7 @@ SELECT item_id, CAST(min(s) AS INT) AS start, CAST(max(s + length(line_text)) AS
 def bullet_anchors(spark, sf_dir):
     """Bullets of list blocks."""
     texts = inputs.lists(spark, sf_dir).select("item_id", T.canonical(F.col("text")).alias("text"))
-    found = A.units(A.segments(texts)).where("kind = 'bullet'")
-    return A.joined(A.pieces(found, _KEY), _KEY).select("item_id", F.col("start").cast("int"), F.col("end").cast("int"))
+    return A.sentences(A.units(texts).where("kind = 'bullet'")).select("item_id", "start", "end")
 
 
 @query("anchors", _SENTENCES + " SELECT * FROM anchors")
@@ -295,8 +287,7 @@ FROM anchors JOIN prose USING (item_id) GROUP BY item_id""",
 )
 def annotated_view(spark, sf_dir):
     """Texts with the number above each anchor."""
-    texts = inputs.prose(spark, sf_dir)
-    return A.annotated(A.anchors(texts), texts).select("item_id", _md5("text", "text_md5"))
+    return A.annotated(inputs.prose(spark, sf_dir)).select("item_id", _md5("text", "text_md5"))
 
 
 # ---- snippets and hooks ----
@@ -304,14 +295,13 @@ def annotated_view(spark, sf_dir):
 
 def _snippets(spark, sf_dir):
     texts = inputs.prose(spark, sf_dir)
-    chosen = A.anchors(texts).where("anchor_id LIKE '%3'")
-    chosen = chosen.select("item_id", "anchor_id", F.col("anchor_type").alias("label"), F.col("anchor_type").alias("type"), "start", "end")
+    chosen = A.anchors(texts).select("item_id", "anchor_id", F.col("anchor_type").alias("label"), F.col("anchor_type").alias("type"), "start", "end")
     return evidence.snippets(chosen, texts)
 
 
 @query("snippets", _SNIPPETS + ' SELECT item_id, anchor_id, label, type, start, "end", snippet, snippet_start, snippet_end FROM snippets')
 def snippets(spark, sf_dir):
-    """Selected anchors with 400 characters on either side."""
+    """Anchors with 400 characters on either side."""
     return _snippets(spark, sf_dir).select(*evidence.SNIPPET_FIELDS)
 
 
