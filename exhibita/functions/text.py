@@ -79,16 +79,35 @@ def canonical(fenced: Column) -> Column:
     return bullet_normalize(F.array_join(F.filter(parts, lambda x: x != ""), "\n\n"))
 
 
+_NO_TEXT = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<!doctype[^>]*>"
+#: A tag whose attributes hold no angle brackets.
+_TAG = r"""</?[a-zA-Z][^<>"']*+(?:(?:"[^"<>]*+"|'[^'<>]*+')[^<>"']*+)*+>"""
+#: References that ``html_to_text`` decodes, in this order.
+_REFERENCES = (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
+
+
+def is_plain_page(html: Column) -> Column:
+    """Whether ``html_to_text`` says all about a page: no tables or preformatted text, no other references, no stray
+    brackets, and no runs of white space between tags."""
+    bare = F.regexp_replace(F.regexp_replace(html, _NO_TEXT, ""), _TAG, "")
+    known = "|".join(r[1:-1] for r, _ in _REFERENCES)
+    odd = rf"(?i)<(?:table|pre|textarea|template|plaintext|xmp|title/)|&(?!(?:{known});)|>\s\s+<"
+    return ~html.rlike(odd) & ~bare.rlike("[<>]")
+
+
 def html_to_text(html: Column) -> Column:
-    """Text nodes of a page without tables, one to a line, by expressions alone.
+    """Text nodes of a plain page, one to a line, by expressions alone; see ``is_plain_page``.
 
-    Decodes the entities that occur in such pages' text; pages with others, or with tables, go through
-    ``sources.html.fenced_text``.
+    ``sources.html.page_text`` takes any page, and this way only those it is right for.
     """
-    text = F.regexp_replace(html, r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<!doctype[^>]*>", "<x>")
-    text = F.regexp_replace(text, r"(?:<[^>]*>)+", "\n")
-    for entity, char in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(entity), F.lit(char))
+    text = F.regexp_replace(F.regexp_replace(html, _NO_TEXT, "<x>"), r"(?:<[^>]*>)+", "\n")
+    for reference, char in _REFERENCES:
+        text = F.replace(text, F.lit(reference), F.lit(char))
+    return outer_newlines(text)
+
+
+def outer_newlines(text: Column) -> Column:
+    """Without newlines at both ends."""
     return F.regexp_replace(text, "^\n+|\n+$", "")
 
 

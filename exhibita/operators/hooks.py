@@ -8,8 +8,10 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-SELECTED = "item_id long, anchor_id string, label string, type string, start int, end int"
+#: What an indexing function gives for each anchor.
+SELECTED = "anchor_id string, label string, type string, start int, end int"
 
 
 def filter_documents(docs: DataFrame, predicate: Callable[[DataFrame], Column] | None = None) -> DataFrame:
@@ -28,14 +30,18 @@ def filter_callable(docs: DataFrame, keep: Callable[[dict, dict], bool], submiss
 
 
 def index_items(views: DataFrame, prompt: str, select: Callable[[str, str], list[dict]], item: str = "item_id") -> DataFrame:
-    """Anchors that ``select(prompt, view)`` picks in each item's view, with the prompt's fingerprint."""
+    """Anchors that ``select(prompt, view)`` picks in each item's view, with the prompt's fingerprint.
+
+    Item ids keep the type that they have in ``views``, and the name ``item``.
+    """
+    schema = T.StructType([T.StructField(item, views.schema[item].dataType), *T.StructType.fromDDL(SELECTED)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [{"item_id": i, **a} for i, v in zip(batch[item], batch["text"], strict=True) for a in select(prompt, v or "")]
-            yield pd.DataFrame(rows, columns=["item_id", "anchor_id", "label", "type", "start", "end"])
+            rows = [{item: i, **a} for i, v in zip(batch[item], batch["text"], strict=True) for a in select(prompt, v or "")]
+            yield pd.DataFrame(rows, columns=schema.names)
 
-    found = views.select(item, "text").mapInPandas(run, SELECTED)
+    found = views.select(item, "text").mapInPandas(run, schema)
     return found.withColumn("prompt_sha256", F.lit(hashlib.sha256(prompt.encode()).hexdigest()))
 
 

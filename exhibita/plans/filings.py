@@ -59,6 +59,14 @@ def archive_scan(spark, sf_dir):
     return S.members(inputs.packed(spark, sf_dir)).select("tarball", "member_pos", "member_name", F.md5("content").alias("content_md5"))
 
 
+@query("WITH " + FILED + """ SELECT replace(own_accession, '-', '') AS accession, 'archive-' || max(sub // 16) AS tarball FROM subs GROUP BY 1""")
+def archive_order(spark, sf_dir):
+    """The archive that each accession is first read from, where the archives are given in reverse."""
+    given = inputs.packed(spark, sf_dir).withColumn("tar_pos", -F.substring("tarball", 9, 20).cast("int"))
+    rows = S.members(given).withColumn("accession", F.regexp_extract(F.lower("member_name"), "f/(.*)[.]nc", 1)).drop("content")
+    return S.first_per_key(rows, "accession", list(S.READ_ORDER)).select("accession", "tarball")
+
+
 @query("SELECT doc_id, md5(coalesce(text, '') || 'z') AS text_md5 FROM documents")
 def decode_lossy(spark, sf_dir):
     """Texts with bytes that are no UTF-8 put between them and a last letter."""

@@ -161,3 +161,17 @@ TABLES = """tables AS (
   SELECT item_id, array_to_string(list_concat([padded[1]], [CASE width WHEN 3 THEN '| --- | --- | --- |' ELSE '| --- | --- |' END], padded[2:]), chr(10)) AS table_text
   FROM (SELECT item_id, width, list_transform(range(1, len(rows) + 1), lambda i: rows[i] || CASE WHEN width = 3 AND short[i] THEN ' |  |' ELSE ' |' END) AS padded FROM tables)
 )"""
+
+
+#: Both dialects: pages of which some have further references in their headline, and some a table at the article's end.
+_RICH = """replace(CASE WHEN page_id % 3 = 0 THEN replace(html, '</h1>', ' &eacute;&#8212;&#x41;&nbsp;x&hellip;</h1>') ELSE html END, '</article>',
+  CASE WHEN page_id % 4 = 1 THEN concat('<table><tr><th>No.</th><td> p&amp;q </td></tr>{nl}<tr><td>', page_id, '</td></tr></table></article>') ELSE '</article>' END)"""
+
+
+def rich_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(page_id, html)``."""
+    return table(spark, sf_dir, "pages").selectExpr("page_id", _RICH.format(nl="\\n") + " AS html")
+
+
+#: DuckDB: the table's Markdown, never taken from the page.
+RICH_TABLE = "'[[TABLE]]' || chr(10) || '| No. | p&q |' || chr(10) || '| --- | --- |' || chr(10) || '| ' || page_id || ' |{gap}|' || chr(10) || '[[/TABLE]]'"

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import anchors as A
 from ..operators import evidence, hooks
-from ..sources.html import fenced_text, with_parts
-from ..sources.tables import table, work_dir
+from ..sources.html import fenced_text, page_text, with_parts
+from ..sources.tables import read_canonical, read_prompt_views, table, work_dir, write_views
 from . import inputs
 from .inputs import LISTS, PROSE, TABLES
 
@@ -115,16 +115,52 @@ def _md5(column, name: str):
 # ---- canonical text ----
 
 
-@query("html_to_text", f"SELECT page_id, {_TEXT_OF_PAGE} AS text FROM pages")
+#: DuckDB: the text before and after the place where some pages have a table; the further references stand in the headline.
+_RICH = (
+    "rich AS (SELECT page_id, page_id % 4 = 1 AS tabled, "
+    + ", ".join(
+        f"replace({_TEXT_OF_PAGE.replace('html', own, 1)}, '&eacute;&#8212;&#x41;&nbsp;x&hellip;', 'é—A' || chr(160) || 'x…') AS {name}"
+        for name, own in (
+            ("front", "CASE WHEN page_id % 3 = 0 THEN replace(parts[1], '</h1>', ' &eacute;&#8212;&#x41;&nbsp;x&hellip;</h1>') ELSE parts[1] END"),
+            ("back", "parts[2]"),
+            ("whole", "CASE WHEN page_id % 3 = 0 THEN replace(html, '</h1>', ' &eacute;&#8212;&#x41;&nbsp;x&hellip;</h1>') ELSE html END"),
+        )
+    )
+    + " FROM (SELECT page_id, html, string_split(html, '</article>') AS parts FROM pages))"
+)
+
+
+@query(
+    "html_to_text",
+    f"""WITH {_RICH} SELECT page_id, CASE WHEN tabled THEN front || chr(10) || chr(10) || {inputs.RICH_TABLE.format(gap='  ')} || chr(10) || chr(10) || back ELSE whole END AS text FROM rich""",
+)
 def html_to_text(spark, sf_dir):
-    """Text nodes of pages without tables."""
-    return table(spark, sf_dir, "pages").select("page_id", T.html_to_text(F.col("html")).alias("text"))
+    """Text nodes of pages, some with tables and all kinds of references."""
+    return page_text(inputs.rich_pages(spark, sf_dir))
+
 
+_CANONICAL = f"""WITH {_RICH} SELECT page_id, CASE WHEN tabled
+  THEN {_bullets(_paragraphs('front'))} || chr(10) || chr(10) || {inputs.RICH_TABLE.format(gap=' ')} || chr(10) || chr(10) || {_bullets(_paragraphs('back'))}
+  ELSE {_bullets(_paragraphs('whole'))} END AS text FROM rich"""
 
-@query("canonical_text", f"SELECT page_id, {_bullets(_paragraphs('t'))} AS text FROM (SELECT page_id, {_TEXT_OF_PAGE} AS t FROM pages)")
+
+def _canonical(spark, sf_dir):
+    return page_text(inputs.rich_pages(spark, sf_dir)).select("page_id", T.canonical(F.col("text")).alias("text"))
+
+
+@query("canonical_text", _CANONICAL)
 def canonical_text(spark, sf_dir):
-    """Canonical text of pages."""
-    return table(spark, sf_dir, "pages").select("page_id", T.canonical(T.html_to_text(F.col("html"))).alias("text"))
+    """Canonical text of pages, some with tables and all kinds of references."""
+    return _canonical(spark, sf_dir)
+
+
+@query("canonical_views", f"SELECT page_id AS item_id, text, text AS prompt_view FROM ({_CANONICAL})")
+def canonical_views(spark, sf_dir):
+    """Canonical texts of a run written, and read back with their prompt views."""
+    path = work_dir(spark)
+    write_views(_canonical(spark, sf_dir).withColumnRenamed("page_id", "item_id"), path, "r1")
+    write_views(spark.createDataFrame([(-1, "other")], "item_id long, text string"), path, "r2")
+    return read_canonical(spark, path, "r1").join(read_prompt_views(spark, path, "r1"), "item_id")
 
 
 @query("newline_cleanup", f"WITH {LISTS} SELECT item_id, {_CLEAN.format('text')} AS text FROM lists")
@@ -331,7 +367,7 @@ _WORD = "Inc."
 
 @query(
     "index_hook",
-    f"""WITH {PROSE} SELECT item_id, 'A0001' AS anchor_id, 'hit' AS label, 'sentence' AS type, CAST(position('{_WORD}' IN text) - 1 AS INT) AS start,
+    f"""WITH {PROSE} SELECT item_id || '_01' AS item_id, 'A0001' AS anchor_id, 'hit' AS label, 'sentence' AS type, CAST(position('{_WORD}' IN text) - 1 AS INT) AS start,
 CAST(position('{_WORD}' IN text) - 1 + {len(_WORD)} AS INT) AS "end", sha256('{_WORD}') AS prompt_sha256 FROM prose WHERE contains(text, '{_WORD}')""",
 )
 def index_hook(spark, sf_dir):
@@ -341,7 +377,7 @@ def index_hook(spark, sf_dir):
         at = view.find(prompt)
         return [] if at < 0 else [{"anchor_id": "A0001", "label": "hit", "type": "sentence", "start": at, "end": at + len(prompt)}]
 
-    return hooks.index_items(inputs.prose(spark, sf_dir), _WORD, select)
+    return hooks.index_items(inputs.prose(spark, sf_dir).withColumn("item_id", F.concat("item_id", F.lit("_01"))), _WORD, select)
 
 
 @query("extract_hook", _SNIPPETS + " SELECT item_id, count(*) AS n, CAST(sum(length(snippet)) AS BIGINT) AS chars FROM snippets GROUP BY 1")

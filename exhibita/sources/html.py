@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import markdown_table
+from ..functions.text import html_to_text, is_plain_page, markdown_table, outer_newlines
 
 _SILENT = ("script", "style", "template")
 _KEEPS = ("pre", "textarea")
@@ -148,3 +148,15 @@ def fenced_text(parts: Column) -> Column:
         return F.when(p["rows"].isNotNull(), table).otherwise(p["text"])
 
     return F.array_join(F.transform(parts, one), "\n")
+
+
+def page_text(pages: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:
+    """``pages`` with ``text`` in place of ``html``: text nodes one to a line, all references decoded, tables fenced.
+
+    Plain pages stay in expressions; the others alone go through the Arrow job. A null page has the empty text.
+    """
+    kept = [c for c in pages.columns if c not in (html, "text") and (keep is None or c in keep)]
+    plain = is_plain_page(F.col(html))
+    rows = pages.select(*kept, F.when(plain, html_to_text(F.col(html))).alias("_plain"), F.when(~plain, F.col(html)).alias("_page"))
+    text = F.coalesce("_plain", outer_newlines(fenced_text(F.col("parts"))))
+    return with_parts(rows, "_page").select(*kept, text.alias("text"))

@@ -2,46 +2,72 @@
 
 from __future__ import annotations
 
-import io
+import functools
 import tarfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import LINE_END, strip
 
-MEMBERS = "tarball string, member_pos int, member_name string, content binary"
+MEMBERS = "tar_pos int, tarball string, member_pos int, member_name string, content binary"
 _LINE = LINE_END.replace(r"\r\n|", "")
+#: The order in which members are read: archives as they were given, files of one argument by name.
+READ_ORDER = ("tar_pos", "tarball", "member_pos")
 
 
-def archives(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """``(tarball, content)`` of archive files; a path that does not exist is an error."""
-    return spark.read.format("binaryFile").load(paths).select(F.col("path").alias("tarball"), "content")
+def archives(spark: SparkSession, paths: list[str], content: bool = True) -> DataFrame:
+    """``(tar_pos, tarball, content)`` of archive files, ``tar_pos`` by the order of the arguments.
+
+    An argument is a file, a folder or a pattern; one that does not exist is an error. A value holds 2 GB at most. For
+    larger archives leave ``content`` out: ``members`` then opens the files itself and reads them as streams.
+    """
+    columns = [F.col("path").alias("tarball"), *(["content"] if content else [])]
+    each = [spark.read.format("binaryFile").load(p).select(F.lit(k).alias("tar_pos"), *columns) for k, p in enumerate(paths)]
+    return functools.reduce(DataFrame.unionByName, each)
 
 
 def members(found: DataFrame, accessions: list[str] | None = None, suffix: str = ".nc") -> DataFrame:
-    """Regular members of archives ``(tarball, content)`` of any compression whose names end in ``suffix`` in any case.
+    """Regular members of ``archives``, of any compression, whose names end in ``suffix`` in any case.
 
-    With a list, only members whose name holds one of its accessions are read. Rows are dealt out anew, since one
-    archive is one task's work.
+    Without a ``content`` column the archives are opened where they lie and read as streams, a member at a time, so
+    they may have any size. With a list, only members whose name holds one of its accessions are read. Rows are dealt
+    out anew, since one archive is one task's work.
     """
     wanted = [_plain(a) for a in accessions or ()]
+    inside = "content" in found.columns
+
+    def opened(path: str, content) -> tarfile.TarFile:
+        if inside:
+            return tarfile.open(fileobj=pa.BufferReader(content.as_buffer()), mode="r:*")
+        files, name = fs.FileSystem.from_uri(path)
+        return tarfile.open(fileobj=files.open_input_stream(name, compression=None), mode="r|*")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, content in zip(batch.column("tarball"), batch.column("content"), strict=True):
-                with tarfile.open(fileobj=io.BytesIO(content.as_py()), mode="r:*") as archive:
+            for row in range(batch.num_rows):
+                tar_pos, name = batch.column("tar_pos")[row].as_py(), batch.column("tarball")[row].as_py()
+                with opened(name, batch.column("content")[row] if inside else None) as archive:
                     for k, m in enumerate(archive):
+                        archive.members = []  # or all headers of a long archive would be kept
                         plain = _plain(m.name)
                         if not m.isfile() or not m.name.lower().endswith(suffix) or wanted and not any(a in plain for a in wanted):
                             continue
-                        row = [[name.as_py()], [k], [m.name], [archive.extractfile(m).read()]]
-                        kinds = (pa.string(), pa.int32(), pa.string(), pa.binary())
-                        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, kinds, strict=True)], names=["tarball", "member_pos", "member_name", "content"])
+                        values = [[tar_pos], [name], [k], [m.name], [archive.extractfile(m).read()]]
+                        kinds = (pa.int32(), pa.string(), pa.int32(), pa.string(), pa.binary())
+                        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, kinds, strict=True)], names=MEMBER_NAMES)
+
+    rows = found if "tar_pos" in found.columns else found.withColumn("tar_pos", F.lit(0))
+    rows = rows.select("tar_pos", "tarball", *(["content"] if inside else []))
+    # files to be opened are dealt out one by one
+    rows = rows if inside else rows.repartition("tarball")
+    return rows.mapInArrow(read, MEMBERS).repartition("tarball", "member_pos")
 
-    return found.select("tarball", "content").mapInArrow(read, MEMBERS).repartition("tarball", "member_pos")
+
+MEMBER_NAMES = [c.split()[0] for c in MEMBERS.split(", ")]
 
 
 def _plain(name: str) -> str:
@@ -62,12 +88,15 @@ def decode_lossy(df: DataFrame, content: str = "content", text: str = "text") ->
 
 
 def accession_list(lines: DataFrame, line: str = "value") -> DataFrame:
-    """``(list_pos, accession)`` from lines: trimmed, blank ones dropped, in order. An empty list is an error on use.
+    """``(list_pos, accession)`` from lines: trimmed, blank ones dropped, in order. A list without any is an error.
 
     The position comes from the order of the lines in their files; a list is far smaller than one partition.
     """
     kept = lines.select(F.monotonically_increasing_id().alias("list_pos"), strip(F.col(line)).alias("accession"))
-    return kept.where("accession <> ''")
+    kept = kept.where("accession <> ''")
+    if kept.isEmpty():
+        raise ValueError("the list has no accessions")
+    return kept
 
 
 def header_field(text: Column, tag: str) -> Column:
@@ -118,16 +147,18 @@ def documents(subs: DataFrame, text: str = "text") -> DataFrame:
 BROADCAST_LIST = 100_000
 
 
-def match_accessions(found: DataFrame, accessions: DataFrame, name: str = "member_name") -> DataFrame:
+def match_accessions(found: DataFrame, accessions: DataFrame | None, name: str = "member_name") -> DataFrame:
     """``found`` with ``matched``: the first accession of ``(list_pos, accession)`` that ``name`` holds.
 
-    Dashes and underscores do not count. Rows without a match go; an empty list keeps all rows with a null match.
-    The match is no equality, so every task holds the list, or a block of it after the other where it has more than
+    Dashes and underscores do not count. Rows without a match go. Without a list (None) all rows stay with a null
+    match; a list without entries is an error, so that a list gone wrong does not let everything pass. The match is no equality, so every task holds the list, or a block of it after the other where it has more than
     ``BROADCAST_LIST`` entries.
     """
+    if accessions is None:
+        return found.withColumn("matched", F.lit(None).cast("string"))
     size = accessions.count()
     if not size:
-        return found.withColumn("matched", F.lit(None).cast("string"))
+        raise ValueError("the list has no accessions")
     n = -(-size // BROADCAST_LIST)
     plain = lambda c: F.translate(c, "-_", "")
     out, best = found, []

@@ -15,8 +15,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """A new folder under the session's ``spark.checkpoint.dir``, or under a temporary one where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="exhibita-")
+    """A new folder under the session's ``spark.checkpoint.dir``.
+
+    Only a session in one process may leave that unset and gets a temporary folder; on a cluster it is an error, since
+    each machine would write to a disk of its own.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        base = tempfile.mkdtemp(prefix="exhibita-")
     return f"{base.rstrip('/')}/exhibita-{uuid.uuid4().hex}"
 
 
@@ -29,3 +38,24 @@ def read_exhibits(spark: SparkSession, path: str, run_id: str) -> DataFrame:
     """``(item_id, html)`` of a run; only its partition is read."""
     rows = spark.read.parquet(path).where(F.col("run_id") == run_id)
     return rows.groupBy("item_id").agg(F.max_by("html", "order").alias("html"))
+
+
+def write_views(texts: DataFrame, path: str, run_id: str) -> None:
+    """Adds the canonical texts ``(item_id, text)`` of a run to the table at ``path``, a partition for each run.
+
+    The prompt view of an item is its canonical text, so it is no second copy but a read of this table.
+    """
+    texts.select(F.lit(run_id).alias("run_id"), "item_id", "text").write.mode("append").partitionBy("run_id").parquet(path)
+
+
+def read_canonical(spark: SparkSession, path: str, run_id: str) -> DataFrame:
+    """``(item_id, text)`` of a run; only its partition is read. A run that is not in the table is an error."""
+    rows = spark.read.parquet(path).where(F.col("run_id") == run_id).select("item_id", "text")
+    if rows.isEmpty():
+        raise ValueError(f"no canonical texts of run {run_id}")
+    return rows
+
+
+def read_prompt_views(spark: SparkSession, path: str, run_id: str) -> DataFrame:
+    """``(item_id, prompt_view)`` of a run: its canonical texts under the name that prompts are made from."""
+    return read_canonical(spark, path, run_id).withColumnRenamed("text", "prompt_view")

@@ -7,7 +7,7 @@ import pytest
 
 from exhibita.operators import evidence, hooks, runs
 from exhibita.sources import submissions as S
-from exhibita.sources.tables import read_exhibits, write_exhibits
+from exhibita.sources.tables import read_canonical, read_exhibits, read_prompt_views, write_exhibits, write_views
 
 FULL = """<SUBMISSION>
 <ACCESSION-NUMBER> 0001-20-000001\x20
@@ -70,10 +70,41 @@ def test_archives(spark, tmp_path, mode):
     assert [(r["member_pos"], r["member_name"], r["text"]) for r in rows] == [(1, "x/0001-20-1.nc", "ok é"), (2, "Y_2.NC", "")]
     some = S.members(found, ["0001_201"]).collect()
     assert [r["member_name"] for r in some] == ["x/0001-20-1.nc"]
+    streamed = S.members(S.archives(spark, [str(tmp_path / "a.tar")], content=False))
+    assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, S.members(found).collect()))
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         S.archives(spark, [str(tmp_path / "none.tar")]).collect()
 
 
+@pytest.mark.parametrize("content", [True, False])
+def test_archives_keep_the_order_of_the_arguments(spark, tmp_path, content):
+    for name, text in (("a.tar", b"from a"), ("b.tar.gz", b"from b")):
+        (tmp_path / name).write_bytes(archive("w:gz" if name.endswith("gz") else "w", [("x/1.nc", text), (f"x/{name}.nc", b"own"), ("x/1.nc", b"again")]))
+    rows = S.members(S.archives(spark, [str(tmp_path / "b.tar.gz"), str(tmp_path / "a.tar")], content=content))
+    got = {(r["tar_pos"], r["tarball"].rsplit("/", 1)[1], r["member_pos"]) for r in rows.collect()}
+    assert got == {(k, n, m) for k, n in ((0, "b.tar.gz"), (1, "a.tar")) for m in range(3)}
+    first = S.first_per_key(rows, "member_name", list(S.READ_ORDER)).collect()
+    assert {r["member_name"]: bytes(r["content"]) for r in first}["x/1.nc"] == b"from b" and len(first) == 3
+
+
+def test_hooks_keep_the_type_of_item_ids(spark):
+    pick = lambda prompt, view: [{"anchor_id": "A0001", "label": "l", "type": "sentence", "start": 0, "end": len(view)}]
+    views = spark.createDataFrame([("0001-20-1_02", "abc"), ("x", None)], "item_id string, text string")
+    assert [tuple(r)[:6] for r in hooks.index_items(views, "p", pick).orderBy("item_id").collect()] == [("0001-20-1_02", "A0001", "l", "sentence", 0, 3), ("x", "A0001", "l", "sentence", 0, 0)]
+    renamed = hooks.index_items(views.withColumnRenamed("item_id", "doc"), "p", pick, item="doc")
+    assert renamed.columns[0] == "doc" and renamed.count() == 2
+
+
+def test_views_are_kept_by_run(spark, tmp_path):
+    texts = spark.createDataFrame([("a", "one"), ("b", None)], "item_id string, text string")
+    write_views(texts, str(tmp_path / "views"), "r1")
+    write_views(texts.limit(1), str(tmp_path / "views"), "r2")
+    assert {tuple(r) for r in read_prompt_views(spark, str(tmp_path / "views"), "r1").collect()} == {("a", "one"), ("b", None)}
+    assert read_prompt_views(spark, str(tmp_path / "views"), "r2").columns == ["item_id", "prompt_view"]
+    with pytest.raises(ValueError, match="r3"):
+        read_canonical(spark, str(tmp_path / "views"), "r3")
+
+
 @pytest.mark.parametrize("block", [100_000, 1])
 def test_accession_list_and_match(spark, tmp_path, monkeypatch, block):
     monkeypatch.setattr(S, "BROADCAST_LIST", block)
@@ -82,7 +113,12 @@ def test_accession_list_and_match(spark, tmp_path, monkeypatch, block):
     assert [r["accession"] for r in listed.orderBy("list_pos").collect()] == ["00-1", "0"]
     names = spark.createDataFrame([("a_0-01.nc",), ("b0",), ("c",)], "member_name string")
     assert {r[0]: r[1] for r in S.match_accessions(names, listed).collect()} == {"a_0-01.nc": "00-1", "b0": "0"}
-    assert {r[0]: r[1] for r in S.match_accessions(names, listed.limit(0)).collect()} == {"a_0-01.nc": None, "b0": None, "c": None}
+    assert {r[0]: r[1] for r in S.match_accessions(names, None).collect()} == {"a_0-01.nc": None, "b0": None, "c": None}
+    with pytest.raises(ValueError, match="no accessions"):
+        S.match_accessions(names, listed.limit(0))
+    (tmp_path / "blank").write_text("\n  \n")
+    with pytest.raises(ValueError, match="no accessions"):
+        S.accession_list(spark.read.text(str(tmp_path / "blank")))
 
 
 def test_primary_document(spark):

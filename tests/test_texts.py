@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from exhibita.functions import text as T
 from exhibita.operators import anchors as A
-from exhibita.sources.html import fenced_text, with_parts
+from exhibita.sources.html import fenced_text, page_text, with_parts
 
 
 def canonical(spark, *pages):
@@ -90,6 +90,47 @@ def test_tables_and_bullets_in_order(spark):
     ]
 
 
+def test_repeated_and_missing_item_ids(spark):
+    text = "First sentence here. Second one.\n\n[[TABLE]]\nx\n[[/TABLE]]"
+    df = spark.createDataFrame([(1, text), (1, text), (None, text), (None, "Another text."), (2, None)], "item_id long, text string")
+    rows = [(r["item_id"], r["anchor_id"], r["start"], r["end"]) for r in A.anchors(df).collect()]
+    own = [("A0001", 0, 20), ("A0002", 21, 32), ("A0003", 34, 56)]
+    assert sorted(rows, key=str) == sorted([(i, *x) for i in (1, 1, None) for x in own] + [(None, "A0001", 0, 13)], key=str)
+    views = [r["text"] for r in A.annotated(df).collect()]
+    assert sorted(views) == sorted(["[[A0001]]\nFirst sentence here.\n\n[[A0002]]\nSecond one.\n\n[[A0003]]\n[[TABLE]]\nx\n[[/TABLE]]\n"] * 3 + ["[[A0001]]\nAnother text.\n"])
+    plan = A.anchors(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 10, 257])
+def test_running_sums(spark, n):
+    values = [(7 * k) % 5 for k in range(n)]
+    got = spark.createDataFrame([(values,)], "v array<int>").select(A.running(F.col("v"))).first()[0]
+    assert got == [sum(values[:k]) for k in range(n)]
+
+
+def test_pages_of_any_kind(spark):
+    pages = [
+        "<p>plain &amp; simple</p><p>two</p>",
+        "<p>caf&eacute; &#8212; &nbsp;x</p>",
+        "<p title='a>b'>odd</p>",
+        "<p>a < b</p>",
+        "<pre>a\n\n\nb</pre>",
+        "<p>x</p>\n   <p>y</p>",
+        None,
+        "",
+        "<table><tr><td>c</td></tr></table>",
+    ]
+    df = spark.createDataFrame(list(enumerate(pages)), "item_id long, html string").withColumn("text", F.lit("mine"))
+    got = {r["item_id"]: r["text"] for r in page_text(df).collect()}
+    parts = with_parts(df.drop("text"))
+    general = {r["item_id"]: r["t"] for r in parts.select("item_id", T.outer_newlines(fenced_text(F.col("parts"))).alias("t")).collect()}
+    assert got == general
+    assert got[0] == "plain & simple\ntwo" and got[1] == "café — \xa0x" and got[2] == "odd" and got[6] == "" and got[8] == "[[TABLE]]\n| c |\n| --- |\n[[/TABLE]]"
+    plain = {r[0] for r in df.where(T.is_plain_page(F.col("html"))).select("item_id").collect()}
+    assert plain == {0, 7}
+
+
 @pytest.mark.parametrize("text", ["", " \n\n ", None])
 def test_nothing_to_anchor(spark, text):
     df = spark.createDataFrame([(1, text)], "item_id long, text string")
