@@ -2,7 +2,9 @@
 
 The n-gram windows of a block of test items form a hash set that is broadcast; every task scans the word
 windows of its own documents against it. Nothing is shuffled. A block is bounded by ``BLOCK_BYTES`` of item
-text; a larger benchmark is scanned in several blocks, one after the other, each over all documents.
+text. A larger benchmark is scanned in blocks, one after the other, each over all documents: a block's hits are
+written, by the digest of the text that has them, before the next block is built, so driver and executors hold one
+block at a time. In the end each document gets the hits of its text.
 """
 
 from __future__ import annotations
@@ -15,12 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import without
+from .common import in_blocks, named, with_made, without
 
 #: Words in a window.
 WINDOW = 10
 #: Item text that one broadcast hash set may come from.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
+#: Bytes of hits that are broadcast to the documents at most, where there are several blocks.
+BROADCAST_BYTES = 32 << 20
 #: Bytes of a document that are held as a list of words at once.
 PIECE = 1 << 20
 
@@ -80,18 +84,29 @@ class Windows:
         return items
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str, window: int) -> Iterator[Windows]:
-    """The benchmark's windows, as hash sets of bounded size. Null item ids and empty texts have none."""
-    items = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).cast("binary").alias("text"))
-    items = items.where("item IS NOT NULL AND length(text) > 0")
-    size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    n = max(1, -(-size // (BLOCK_BYTES // 2)))
+def count_words(text: bytes | None) -> int:
+    """The number of a text's words, a piece of it at a time."""
+    if not text:
+        return 0
+    folded, start, n = text.translate(_FOLD), 0, 0
+    while start < len(folded):
+        cut = folded.find(b" ", start + PIECE)
+        cut = len(folded) if cut < 0 else cut
+        n += len(folded[start:cut].split())
+        start = cut
+    return n
+
+
+def _blocks(items: DataFrame, n: int, window: int) -> Iterator[Windows]:
+    """The windows of items ``(item, text)`` as ``n`` hash sets of about one size."""
     for k in range(n):
         block = items if n == 1 else items.where(F.expr(f"pmod(xxhash64(item, text), {n}) = {k}"))
-        yield Windows([(r["item"], bytes(r["text"])) for r in block.toLocalIterator()], window)
+        rows = [(r["item"], bytes(r["text"])) for r in block.toLocalIterator()]
+        if rows or n == 1:
+            yield Windows(rows, window)
 
 
-def _spans(covered: np.ndarray) -> list[int]:
+def _edges(covered: np.ndarray) -> list[int]:
     """Starts and ends of the runs of marked words, alternating."""
     edge = np.flatnonzero(np.diff(np.concatenate(([0], covered.astype(np.int8), [0]))))
     return edge.tolist()
@@ -110,47 +125,60 @@ def find_contamination(
 
     ``hit_spans`` alternates starts and ends (word numbers, half open) of the maximal runs of words that lie in
     an occurrence of a window; ``hit_items`` are the items with occurring windows, sorted as strings. Null and
-    empty texts have no words and no hits; an empty benchmark hits nothing; repeated rows are judged each on
-    its own. Input columns with one of the three new names are replaced. ``keep`` limits the other columns.
+    empty texts have no words and no hits, nor do items without an id or a text; an empty benchmark hits nothing, an
+    empty table stays empty. Repeated rows are judged each on its own, texts of any length whole. Input columns with
+    one of the three new names are replaced, all others may have any name. ``keep`` limits them.
     """
     base = without(docs, *COLUMNS)
     kept = [c for c in base.columns if keep is None or c in keep]
-    spark = docs.sparkSession
-    out = base.select(
-        *kept,
-        F.col(text).cast("binary").alias("_scan_text"),
-        F.lit(0).cast("long").alias("n_words"),
-        F.array().cast("array<int>").alias("hit_spans"),
-        F.array().cast("array<string>").alias("hit_items"),
-    )
-    for block in _blocks(benchmark, item, item_text, window):
-        shared = spark.sparkContext.broadcast(block)
-
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            windows = shared.value
-            for batch in batches:
-                n_words, spans, items = [], [], []
-                for data, before, known in zip(
-                    batch.column("_scan_text"), batch.column("hit_spans"), batch.column("hit_items"), strict=True
-                ):
-                    ids = windows.numbers(data.as_py())
-                    covered = np.zeros(len(ids), bool)
-                    edges = before.as_py()
-                    for a, b in zip(edges[::2], edges[1::2], strict=True):
-                        covered[a:b] = True
-                    items.append(sorted(windows.scan(ids, covered).union(known.as_py())))
-                    n_words.append(len(ids))
-                    spans.append(_spans(covered))
-                new = {
-                    "n_words": pa.array(n_words, pa.int64()),
-                    "hit_spans": pa.array(spans, pa.list_(pa.int32())),
-                    "hit_items": pa.array(items, pa.list_(pa.string())),
-                }
-                columns = [new.get(c, batch.column(c)) for c in batch.schema.names]
-                yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
-
-        out = out.mapInArrow(scan, out.schema)
-    return out.drop("_scan_text")
+    spark, body = docs.sparkSession, named(text).cast("binary")
+    items = benchmark.select(named(item).cast("string").alias("item"), named(item_text).cast("binary").alias("text"))
+    items = items.where("item IS NOT NULL AND length(text) > 0")
+    size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    n = max(1, -(-size // BLOCK_BYTES))
+    new = dict(zip(COLUMNS, (T.LongType(), T.ArrayType(T.IntegerType()), T.ArrayType(T.StringType())), strict=True))
+    if n == 1:
+        shared = spark.sparkContext.broadcast(next(_blocks(items, 1, window)))
+        return with_made(base, kept, [body], new, lambda: lambda texts: _scan(shared.value, texts))
+
+    def scan(shared) -> DataFrame:
+        rows = base.select(body.alias("text")).where("text IS NOT NULL").select("text", F.md5("text").alias("digest"))
+        found = with_made(rows, ["digest"], [F.col("text")], new, lambda: lambda texts: _scan(shared.value, texts))
+        return found.where(F.size("hit_spans") > 0).select("digest", "hit_spans", "hit_items").distinct()
+
+    hits = in_blocks(spark, _blocks(items, n, window), scan)
+    # a text has one row for each block at most
+    hits = hits.groupBy("digest").agg(F.collect_set("hit_spans").alias("spans"), F.flatten(F.collect_set("hit_items")).alias("items"))
+    size = hits.agg(F.coalesce(F.sum(F.length(F.to_json(F.struct("spans", "items"))) + 50), F.lit(0))).first()[0]
+    hits = F.broadcast(hits) if size <= BROADCAST_BYTES else hits
+    inner = base.select(*(named(c).alias(f"k{i}") for i, c in enumerate(kept)), body.alias("text"), F.md5(body).alias("digest"))
+    inner = inner.join(hits, "digest", "left")
+
+    def gather(texts: pa.Array, spans: pa.Array, items: pa.Array) -> list[list]:
+        made: list[list] = [[], [], []]
+        for data, own, known in zip(texts, spans, items, strict=True):
+            total = count_words(data.as_py())
+            covered = np.zeros(total if own.is_valid else 0, bool)
+            for edges in own.as_py() or ():
+                for a, b in zip(edges[::2], edges[1::2], strict=True):
+                    covered[a:b] = True
+            for column, value in zip(made, (total, _edges(covered), sorted(set(known.as_py() or ()))), strict=True):
+                column.append(value)
+        return made
+
+    found = with_made(inner, [f"k{i}" for i in range(len(kept))], [F.col("text"), F.col("spans"), F.col("items")], new, lambda: gather)
+    return found.toDF(*kept, *COLUMNS)
+
+
+def _scan(windows: Windows, texts: pa.Array) -> list[list]:
+    made: list[list] = [[], [], []]
+    for data in texts:
+        ids = windows.numbers(data.as_py())
+        covered = np.zeros(len(ids), bool)
+        items = sorted(windows.scan(ids, covered))
+        for column, value in zip(made, (len(ids), _edges(covered), items), strict=True):
+            column.append(value)
+    return made
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -170,7 +198,7 @@ def digest(found: DataFrame) -> DataFrame:
 def remove_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` less the documents with any word in an occurrence of a benchmark window; columns unchanged."""
     found = find_contamination(docs, benchmark, **options)
-    return found.where(F.size("hit_spans") == 0).select(*[F.col(f"`{c}`") for c in without(docs, *COLUMNS).columns])
+    return found.where(F.size("hit_spans") == 0).select(*map(named, without(docs, *COLUMNS).columns))
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
@@ -183,7 +211,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **op
 
         return pd.Series([None if t is None else cut_words(t, s) for t, s in zip(texts, spans, strict=True)])
 
-    clean = F.when(F.size("hit_spans") == 0, F.col(text)).otherwise(cut(F.col(text), F.col("hit_spans")))
+    clean = F.when(F.size("hit_spans") == 0, named(text)).otherwise(cut(named(text), F.col("hit_spans")))
     return found.withColumn(text, clean).drop(*COLUMNS)
 
 

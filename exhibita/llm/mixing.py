@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, without, written
+from .common import named, spare, table, without, written
 
 SEED = 42
 #: Sources whose rates are broadcast; beyond that the rates are joined like any table.
@@ -20,6 +20,8 @@ BROADCAST_SOURCES = 10_000
 MEAN = 16
 #: Terms of the distribution function. Beyond these lies less than 1e-40 of a Poisson with mean ``MEAN``.
 TERMS = 100
+#: Elements of an array that a row makes at once, however often it is drawn or repeated.
+AT_ONCE = 4096
 COLUMNS = ("replica", "shuffle_key")
 #: Target weights of the registered query; sources without an entry weigh 1.
 WEIGHTS = {"src0": 3.0, "src1": 2.0, "src2": 0.5}
@@ -36,8 +38,8 @@ def rates(docs: DataFrame, weights: dict[str, float], default: float = 1.0, sour
     Copies keep the total of bytes as it is, in expectation. A null source is a source of its own with the
     default weight; a source whose texts are all empty or null counts one byte a row.
     """
-    size = F.coalesce(F.length(F.col(text).cast("binary")), F.lit(0)).cast("long") + 1
-    sizes = written(docs.groupBy(F.col(source).alias("_source")).agg(F.sum(size).alias("_bytes")))
+    size = F.coalesce(F.length(named(text).cast("binary")), F.lit(0)).cast("long") + 1
+    sizes = written(docs.groupBy(named(source).alias("_source")).agg(F.sum(size).alias("_bytes")))
     weight = F.lit(float(default))
     for name, value in weights.items():
         weight = F.when(F.col("_source") == name, F.lit(float(value))).otherwise(weight)
@@ -61,30 +63,41 @@ def replicate(
     """``docs`` with each row repeated by its Poisson count, in shuffled order, with ``replica`` (from 1) and
     ``shuffle_key``.
 
-    Rows with equal keys get equal counts (a null key counts as the empty string). Sources with weight 0 get no
-    copies. An empty table stays empty; input columns with one of the two names are replaced.
+    Rows with equal keys get equal counts and equal shuffle keys (a null key counts as the empty string); rows that tie
+    in shuffle key and replica come in any order. Sources with weight 0 get no copies. Texts of any length are repeated
+    whole, null and empty ones too. An empty table stays empty; input columns with one of the two names are replaced,
+    all others may have any name.
     """
     base = without(docs, *COLUMNS)
-    names = base.columns
-    table_of_rates = rates(base, weights, default, source, text).withColumn(
-        "_parts", F.greatest(F.lit(1), F.ceil(F.col("_rate") / MEAN)).cast("int")
+    own_source, rate, parts, below, count, begin = spare(base, "_source", "_rate", "_parts", "_below", "_count", "_begin")
+    table_of_rates = rates(base, weights, default, source, text).select(
+        F.col("_source").alias(own_source), F.col("_rate").alias(rate), F.greatest(F.lit(1), F.ceil(F.col("_rate") / MEAN)).cast("int").alias(parts)
     )
-    step = "named_struct('p', s.p * (_rate / _parts) / k, 'c', concat(s.c, array(element_at(s.c, -1) + s.p * (_rate / _parts) / k)))"
-    first = "named_struct('p', exp(-_rate / _parts), 'c', array(exp(-_rate / _parts)))"
+    mean = f"({rate} / {parts})"
+    step = f"named_struct('p', s.p * {mean} / k, 'c', concat(s.c, array(element_at(s.c, -1) + s.p * {mean} / k)))"
+    first = f"named_struct('p', exp(-{rate} / {parts}), 'c', array(exp(-{rate} / {parts})))"
     table_of_rates = table_of_rates.withColumn(
-        "_below", F.expr(f"aggregate(sequence(1, {TERMS}), {first}, (s, k) -> {step}, s -> s.c)")
+        below, F.expr(f"aggregate(sequence(1, {TERMS}), {first}, (s, k) -> {step}, s -> s.c)")
     )
     if table_of_rates.count() <= BROADCAST_SOURCES:
         table_of_rates = F.broadcast(table_of_rates)
-    rated = base.join(table_of_rates, base[source].eqNullSafe(F.col("_source")))
-    name = F.coalesce(F.col(key).cast("string"), F.lit(""))
-    draws = F.transform(
-        F.sequence(F.lit(1), F.col("_parts")),
-        lambda j: (_bits(F.lit(str(seed)), F.lit("count"), j.cast("string"), name) + 0.5) / float(1 << 52),
-    )
-    counts = F.transform(draws, lambda u: F.size(F.filter("_below", lambda c: c < u)))
-    counted = rated.withColumn("_count", F.aggregate(counts, F.lit(0), lambda a, b: a + b)).where("_count > 0")
-    copies = counted.select(*[F.col(f"`{c}`") for c in names], F.explode(F.sequence(F.lit(1), F.col("_count"))).alias("replica"))
+    rated = base.join(table_of_rates, named(source).eqNullSafe(F.col(own_source)))
+    name = F.coalesce(named(key).cast("string"), F.lit(""))
+
+    def drawn(j: Column) -> Column:
+        u = (_bits(F.lit(str(seed)), F.lit("count"), j.cast("string"), name) + 0.5) / float(1 << 52)
+        return F.size(F.filter(below, lambda c: c < u))
+
+    def some(from_: Column) -> Column:
+        js = F.sequence(from_, F.least(F.col(parts), from_ + (AT_ONCE - 1)))
+        return F.aggregate(js, F.lit(0), lambda s, j: s + drawn(j))
+
+    # a large mean is the sum of many draws, taken some at a time
+    counts = F.aggregate(F.sequence(F.lit(1), F.col(parts), F.lit(AT_ONCE)), F.lit(0), lambda s, at: s + some(at))
+    counted = rated.withColumn(count, counts).where(F.col(count) > 0)
+    spread = counted.select(*map(named, base.columns), count, F.explode(F.sequence(F.lit(1), F.col(count), F.lit(AT_ONCE))).alias(begin))
+    copies = F.sequence(F.col(begin), F.least(F.col(count), F.col(begin) + (AT_ONCE - 1)))
+    copies = spread.select(*map(named, base.columns), F.explode(copies).alias("replica"))
     order = _bits(F.lit(str(seed)), F.lit("order"), F.col("replica").cast("string"), name)
     shuffled = copies.withColumn("shuffle_key", order)
     return shuffled.repartitionByRange("shuffle_key", "replica").sortWithinPartitions("shuffle_key", "replica")

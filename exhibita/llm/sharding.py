@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table, without, written
+from .common import named, spare, table, without, written
 
 ROUNDS = 6
 SHARDS = 8
@@ -66,21 +66,22 @@ def numbered(df: DataFrame, key: str) -> DataFrame:
     The last sort column spreads one very frequent key over several partitions.
     """
     base = without(df, *COLUMNS)
-    values = [F.col(f"`{c}`") for c in base.columns]
-    order = [F.col(f"`{key}`").asc_nulls_first(), F.xxhash64(*values), F.monotonically_increasing_id()]
+    values = [named(c) for c in base.columns]
+    part, own, begin = spare(base, "_part", "_local", "_start")
+    order = [named(key).asc_nulls_first(), F.xxhash64(*values), F.monotonically_increasing_id()]
     local = F.monotonically_increasing_id()
     mask = (1 << 33) - 1
     dealt = base.repartitionByRange(*order).sortWithinPartitions(*order)
-    dealt = written(dealt.select(*values, F.spark_partition_id().alias("_part"), local.bitwiseAND(F.lit(mask)).alias("_local")))
+    dealt = written(dealt.select(*values, F.spark_partition_id().alias(part), local.bitwiseAND(F.lit(mask)).alias(own)))
     # one small row for each partition, whatever the number of rows
-    counts = dealt.groupBy("_part").agg(F.count("*").alias("n")).orderBy("_part").collect()
+    counts = dealt.groupBy(part).agg(F.count("*").alias("n")).orderBy(part).collect()
     starts, total = {}, 0
     for row in counts:
-        starts[row["_part"]] = total
+        starts[row[part]] = total
         total += row["n"]
-    schema = T.StructType([T.StructField("_part", T.IntegerType()), T.StructField("_start", T.LongType())])
+    schema = T.StructType([T.StructField(part, T.IntegerType()), T.StructField(begin, T.LongType())])
     start = df.sparkSession.createDataFrame(list(starts.items()), schema)
-    out = dealt.join(F.broadcast(start), "_part").withColumn("row_number", F.col("_start") + F.col("_local"))
+    out = dealt.join(F.broadcast(start), part).withColumn("row_number", F.col(begin) + F.col(own))
     return out.select(*values, "row_number").withMetadata("row_number", {"rows": total})
 
 
@@ -89,7 +90,8 @@ def shards(df: DataFrame, key: str = "doc_id", n_shards: int = SHARDS, seed: int
 
     ``position`` is the row's place in the shuffled order; ``shard = position % n_shards`` and ``slot = position //
     n_shards``, so shard sizes differ by one row at most and slots have no gaps. Null keys come first, repeated
-    rows get a place each, an empty table stays empty, and input columns with one of the four names are replaced.
+    rows get a place each, texts of any length go along whole, an empty table stays empty, and input columns with one
+    of the four names are replaced.
     """
     out = numbered(df, key)
     total = out.schema["row_number"].metadata["rows"]

@@ -60,18 +60,25 @@ def test_decontamination_matches_brute_force_and_blocks(spark, monkeypatch):
     expected = brute_windows(TEXTS, BENCH)
     whole = {r[0]: tuple(r)[1:] for r in decontaminate.digest(decontaminate.find_contamination(rows, bench)).collect()}
     assert whole == expected
-    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 40)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 20)
     blocks = {r[0]: tuple(r)[1:] for r in decontaminate.digest(decontaminate.find_contamination(rows, bench)).collect()}
     assert blocks == expected
 
 
-def test_decontamination_removes_and_keeps(spark):
+def test_decontamination_removes_and_keeps(spark, monkeypatch):
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
     rows = docs(spark, [(i, t, "s") for i, t in TEXTS]).withColumn("n_words", F.lit("x"))
     kept = decontaminate.remove_documents(rows.drop("n_words"), bench)
     assert sorted(r[0] for r in kept.collect()) == [3, 4, 5] and kept.columns == rows.drop("n_words").columns
     spans = {r["doc_id"]: r["text"] for r in decontaminate.remove_spans(rows, bench).collect()}
     assert spans[1] == "a  b" and spans[3] == "nothing here" and spans[4] is None and spans[6] == "the ! and É漢 x1, "
+    clash = rows.drop("n_words").withColumns({"_scan_text": F.lit(1), "a.b": F.lit(2), "k0": F.lit(3), "digest": F.lit(4), "spans": F.lit(5)})
+    for block in (1 << 20, 40):
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+        out = decontaminate.find_contamination(clash, bench)
+        assert out.columns == [*clash.columns, *decontaminate.COLUMNS]
+        assert {(r["_scan_text"], r["a.b"], r["k0"], r["digest"], r["spans"]) for r in out.collect()} == {(1, 2, 3, 4, 5)}
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.digest(decontaminate.find_contamination(rows, none)).where("contaminated").count() == 0
     assert decontaminate.find_contamination(rows.limit(0), bench).count() == 0
@@ -272,6 +279,18 @@ def test_mixing_matches_its_formula(spark):
     assert mixing.replicate(docs(spark, []), {}).count() == 0
 
 
+def test_mixing_of_a_tiny_source_with_a_huge_weight(spark, monkeypatch):
+    rows = [(i, "x" * 500, "big") for i in range(100)] + [(1000, "t", "tiny")]
+    df = docs(spark, rows).withColumns({c: F.lit(c) for c in ("_rate", "_parts", "_below", "_source", "_weight", "_bytes", "_count", "_begin", "a.b")})
+    whole = mixing.replicate(df, {"tiny": 1.0}).collect()
+    rate = 0.5 * sum(len(t) + 1 for _, t, _ in rows) / 2
+    copies = [r["replica"] for r in whole if r["doc_id"] == 1000]
+    assert sorted(copies) == list(range(1, draw(mixing.SEED, 1000, rate) + 1)) and len(copies) > 10_000
+    assert whole[0]["_rate"] == "_rate" and whole[0]["a.b"] == "a.b"
+    monkeypatch.setattr(mixing, "AT_ONCE", 7)
+    assert Counter(map(tuple, mixing.replicate(df, {"tiny": 1.0}).collect())) == Counter(map(tuple, whole))
+
+
 def test_mixing_beyond_the_broadcast_bound(spark, monkeypatch):
     df = docs(spark, [(i, "text", f"s{i % 5}") for i in range(50)])
     near = sorted(map(tuple, mixing.replicate(df, {"s1": 5.0}).collect()))
@@ -291,7 +310,7 @@ def test_permutation(n):
 
 def test_shards(spark):
     rows = [(i % 90, f"t{i % 40}" if i % 11 else None, "s") for i in range(203)] + [(None, "n", "s"), (7, "é" * 1000, "s")]
-    df = docs(spark, rows).withColumn("slot", F.lit("mine")).repartition(6)
+    df = docs(spark, rows).withColumns({"slot": F.lit("mine"), "_part": F.lit(1), "_local": F.lit(2), "_start": F.lit(3), "a.b": F.lit(4)}).repartition(6)
     out = sharding.shards(df).collect()
     assert Counter((r["doc_id"], r["text"]) for r in out) == Counter((i, t) for i, t, _ in rows)
     assert sorted(r["row_number"] for r in out) == list(range(len(rows)))
