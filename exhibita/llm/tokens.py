@@ -3,21 +3,23 @@
 An Aho-Corasick automaton lists every vocabulary piece that ends at each character of a word; dynamic programming
 carries the best score and its number of pieces, without ever building the pieces. Ties go to the piece that
 starts first, as in the tokenizers' own Viterbi, which keeps the first of equal candidates in order of start.
+
+A best score needs no more than the scores as far back as the longest piece reaches. So a word of any length, such as
+a text without spaces, is read slice by slice and only that many scores go on from one slice to the next.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 from math import inf
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import table, without
+from .common import named, table, with_made, without
 
 SPACE = "▁"
 #: What an unknown character scores below the worst piece.
@@ -26,10 +28,14 @@ UNKNOWN_PENALTY = 10.0
 REMEMBERED = 300_000
 #: Characters of a text that are held as words at once.
 PIECE = 1 << 20
+#: Characters of a word that are looked at at once.
+SLICE = 1 << 14
 COLUMNS = ("n_tokens", "n_unknown", "score")
 
 #: Pieces hold the space mark at their start only, so a text falls apart before each run of marks.
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+#: Where a run of spaces begins.
+_GAP = re.compile(f"(?<![ {SPACE}])[ {SPACE}]")
 
 
 @dataclass
@@ -41,6 +47,7 @@ class Vocabulary:
     automaton: ahocorasick.Automaton = field(init=False, repr=False)
     single: frozenset[str] = field(init=False, repr=False)
     unknown: float = field(init=False)
+    longest: int = field(init=False)
     seen: dict[str, tuple[float, int, int]] = field(default_factory=dict, init=False, repr=False)
 
     def __post_init__(self) -> None:
@@ -53,6 +60,7 @@ class Vocabulary:
         if self.scores:
             self.automaton.make_automaton()
         self.single = frozenset(p for p in self.scores if len(p) == 1)
+        self.longest = max(map(len, self.scores), default=1)
         self.unknown = min(self.scores.values(), default=0.0) - UNKNOWN_PENALTY
 
     def best(self, word: str) -> tuple[float, int, int]:
@@ -60,7 +68,7 @@ class Vocabulary:
         found = self.seen.get(word)
         if found is not None:
             return found
-        found = self._known(word) if self.single.issuperset(word) else self._any(word)
+        found = self._known(word) if len(word) <= SLICE and self.single.issuperset(word) else self._any(word)
         if len(word) <= 64:
             if len(self.seen) >= REMEMBERED:
                 self.seen.clear()
@@ -78,28 +86,39 @@ class Vocabulary:
         return score[-1], count[-1], 0
 
     def _any(self, word: str) -> tuple[float, int, int]:
-        n = len(word)
-        ends: list[list[tuple[int, float]]] = [[] for _ in range(n)]
-        if self.scores:
-            for end, piece in self.automaton.iter(word):
-                ends[end].append(piece)
-        score, count, strange, odd = [0.0] * (n + 1), [0] * (n + 1), [0] * (n + 1), [False] * (n + 1)
-        for i, pieces in enumerate(ends, 1):
-            top, at = -inf, 0
-            for length, value in pieces:
-                total = score[i - length] + value
-                if total > top:
-                    top, at = total, i - length
-            if word[i - 1] not in self.single and score[i - 1] + self.unknown > top:
-                # no piece is this character alone: it may stand as unknown, after all pieces that start before it
-                score[i] = score[i - 1] + self.unknown
-                fused = not self.byte_fallback and odd[i - 1]
-                count[i] = count[i - 1] + (len(word[i - 1].encode()) if self.byte_fallback else 0 if fused else 1)
-                strange[i] = strange[i - 1] + 1
-                odd[i] = True
-            else:
-                score[i], count[i], strange[i] = top, count[at] + 1, strange[at]
-        return score[n], count[n], strange[n]
+        """For any word, in slices; lists hold a slice and what a piece can reach back to, by distance from ``base``."""
+        reach, base = self.longest, 0
+        score, count, strange, odd = [0.0], [0], [0], [False]
+        for start in range(0, len(word), SLICE):
+            part = word[max(0, start - reach + 1) : start + SLICE]
+            first = start - max(0, start - reach + 1)  # characters of the part that came before
+            ends: list[list[tuple[int, float]]] = [[] for _ in part]
+            if self.scores:
+                for end, piece in self.automaton.iter(part):
+                    ends[end].append(piece)
+            for k in range(first, len(part)):
+                at, top, before = start + k - first + 1 - base, -inf, 0
+                for length, value in ends[k]:
+                    total = score[at - length] + value
+                    if total > top:
+                        top, before = total, at - length
+                char = part[k]
+                if char not in self.single and score[at - 1] + self.unknown > top:
+                    # no piece is this character alone: it may stand as unknown, after all pieces that start before it
+                    score.append(score[at - 1] + self.unknown)
+                    fused = not self.byte_fallback and odd[at - 1]
+                    count.append(count[at - 1] + (len(char.encode("utf-8", "replace")) if self.byte_fallback else 0 if fused else 1))
+                    strange.append(strange[at - 1] + 1)
+                    odd.append(True)
+                else:
+                    score.append(top)
+                    count.append(count[before] + 1)
+                    strange.append(strange[before])
+                    odd.append(False)
+            base += max(0, len(score) - reach - 1)
+            for values in (score, count, strange, odd):
+                del values[: max(0, len(values) - reach - 1)]
+        return score[-1], count[-1], strange[-1]
 
     def count(self, text: str | None) -> tuple[int, int, float]:
         """Tokens, unknown characters and score of a whole text. Nothing comes before an empty text."""
@@ -108,9 +127,8 @@ class Vocabulary:
         tokens, strange, score, start, best = 0, 0, 0.0, 0, self.best
         while start < len(text):
             # a piece of text ends before a run of spaces, so no word is cut
-            cut = start + PIECE
-            while 0 < cut < len(text) and (text[cut] not in (" ", SPACE) or text[cut - 1] in (" ", SPACE)):
-                cut += 1
+            gap = _GAP.search(text, start + PIECE)
+            cut = gap.start() if gap else len(text)
             part = (SPACE if not start else "") + text[start:cut].replace(" ", SPACE)
             for word in _WORDS.findall(part):
                 s, n, u = best(word)
@@ -140,24 +158,25 @@ def default_path() -> str:
 def count_tokens(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``n_tokens``, ``n_unknown`` and ``score`` of each whole text.
 
-    Null and empty texts have no tokens and score 0. Repeated rows count alike. Input columns with one of the three
-    names are replaced.
+    Null and empty texts have no tokens and score 0. Repeated rows count alike, an empty table stays empty. A text of any
+    length is counted whole, in memory that its longest word adds nothing to but its characters. Input columns with one
+    of the three names are replaced, all others may have any name.
     """
     base = without(docs, *COLUMNS)
     kept = [c for c in base.columns if keep is None or c in keep]
-    base = base.select(*kept, F.col(text).alias("_count_text"))
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary.scores, vocabulary.byte_fallback))
-    schema = base.select(*kept, F.lit(0).cast("long").alias("n_tokens"), F.lit(0).cast("long").alias("n_unknown"), F.lit(0.0).alias("score")).schema
+    new = dict(zip(COLUMNS, (T.LongType(), T.LongType(), T.DoubleType()), strict=True))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         vocabulary = Vocabulary(*shared.value)
-        for batch in batches:
-            found = [vocabulary.count(t.as_py()) for t in batch.column("_count_text")]
-            columns = list(zip(*found, strict=True)) if found else [(), (), ()]
-            new = [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *new], names=[*kept, *COLUMNS])
 
-    return base.mapInArrow(count, schema)
+        def count(texts: pa.Array) -> list:
+            found = [vocabulary.count(t.as_py()) for t in texts]
+            return list(zip(*found, strict=True)) if found else [(), (), ()]
+
+        return count
+
+    return with_made(base, kept, [named(text)], new, make)
 
 
 def op10_tokens(spark, sf_dir: str) -> DataFrame:

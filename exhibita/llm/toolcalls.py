@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,15 +56,19 @@ def levels(calls: DataFrame) -> DataFrame:
 
     A call whose parents are all absent has level 0, any other one more than its highest parent. Calls on a cycle,
     and those that depend on one, have no level. Equal ids in a conversation are one node with the parents of all.
-    Chains of single parents are seen through by doubling; after that there is a round for each call with several
-    parents on the longest way. Nothing is gathered by conversation.
+    Chains of single parents are seen through by doubling; after that there is a round of two small jobs for each call
+    with several parents on the longest way. A round reads what still waits and what the round before has found, so all
+    rounds together take time with the number of such calls on the longest way times the calls that wait for them: say
+    100 rounds for a conversation in which 100 calls in a row each name two earlier ones, whatever the number of
+    conversations. Nothing is gathered by conversation.
     """
     nodes = written(calls.select(*_ID).distinct())
     edges = calls.select(*_ID, F.explode("parents").alias("parent")).distinct()
     edges = written(edges.join(nodes.withColumnRenamed("call_id", "parent"), ["conv_id", "parent"], "left_semi").select(*_ID, "parent"))
     several = edges.groupBy(*_ID).agg(F.count("*").alias("n"), F.min("parent").alias("parent"))
     tops = written(_tops(several.where("n = 1").select(*_ID, "parent")))
-    known = written(nodes.join(edges, _ID, "left_anti").withColumn("level", F.lit(0)))
+    fresh = written(nodes.join(edges, _ID, "left_anti").withColumn("level", F.lit(0)))
+    found = [fresh]
     # calls with several parents: each parent stands for the top that it hangs on
     rest = edges.join(several.where("n > 1").select(*_ID), _ID, "left_semi")
     hung = tops.select("conv_id", F.col("call_id").alias("parent"), "top", "dist")
@@ -70,19 +76,22 @@ def levels(calls: DataFrame) -> DataFrame:
     rest = rest.join(hung, ["conv_id", "parent"], "left").join(one, ["conv_id", "parent"], "left")
     # a parent that is itself a top counts as one step; one that leads into a cycle never gets a level
     top = F.when(F.col("top").isNotNull(), F.col("top")).when(F.col("_one").isNull(), F.col("parent"))
-    rest = written(rest.select(*_ID, top.alias("top"), (F.coalesce("dist", F.lit(0)) + 1).alias("dist")))
+    rest = written(rest.select(*_ID, top.alias("top"), (F.coalesce("dist", F.lit(0)) + 1).alias("dist"), F.lit(None).cast("int").alias("met")))
     while not rest.isEmpty():
-        own = known.select("conv_id", F.col("call_id").alias("top"), "level")
-        met = rest.join(own, ["conv_id", "top"], "left")
-        ready = met.groupBy(*_ID).agg(F.max(F.col("level") + F.col("dist")).alias("level"), F.max(F.col("level").isNull()).alias("waits"))
-        ready = written(ready.where("NOT waits").select(*_ID, "level"))
-        if ready.isEmpty():
+        # only what the round before has found can settle anything now
+        own = fresh.select("conv_id", F.col("call_id").alias("top"), "level")
+        seen = rest.join(own, ["conv_id", "top"], "left")
+        seen = written(seen.select(*_ID, "top", "dist", F.coalesce("met", F.col("level") + F.col("dist")).alias("met")))
+        ready = seen.groupBy(*_ID).agg(F.max("met").alias("level"), F.max(F.col("met").isNull()).alias("waits"))
+        fresh = written(ready.where("NOT waits").select(*_ID, "level"))
+        if fresh.isEmpty():
             break
-        rest = written(rest.join(ready, _ID, "left_anti").select(*_ID, "top", "dist"))
-        known = written(known.union(ready))
+        found.append(fresh)
+        rest = written(seen.join(fresh.select(*_ID), _ID, "left_anti"))
+    known = functools.reduce(DataFrame.union, found)
     below = tops.join(known.select("conv_id", F.col("call_id").alias("top"), "level"), ["conv_id", "top"])
-    found = known.union(below.select(*_ID, (F.col("level") + F.col("dist")).alias("level")))
-    return nodes.join(found, _ID, "left").select(*_ID, "level")
+    both = known.union(below.select(*_ID, (F.col("level") + F.col("dist")).alias("level")))
+    return nodes.join(both, _ID, "left").select(*_ID, "level")
 
 
 def errors_of(name: Column, arguments: Column, schemas: Schemas) -> Column:
@@ -111,8 +120,9 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
     call_id, content. ``status`` is ``linked``, ``unanswered`` or ``orphan`` (a result without a call; all that
     comes from the call is null there). A call with several results takes the smallest content and counts them in
     ``n_results``; repeated calls keep a row each. Null ids match nothing. The canonical JSON has sorted keys, no
-    white space and explicit nulls; arguments that are no JSON stand in it as a string. Rows are in order of
-    conversation, level, and call. Other input columns are left out; empty tables give an empty result.
+    white space and explicit nulls; arguments that are no JSON stand in it as a string. Arguments and contents of any
+    length are taken whole. Rows are in order of conversation, level, and call; those that tie come in any order. Other
+    input columns, whatever their names, are left out; empty tables give an empty result.
     """
     calls = calls.select("conv_id", "call_id", "name", "arguments", F.coalesce("parents", F.array().cast("array<string>")).alias("parents"))
     answers = results.where("conv_id IS NOT NULL AND call_id IS NOT NULL").groupBy("conv_id", "call_id")

@@ -98,7 +98,7 @@ def test_counts_match_the_library(byte_fallback):
 def test_counts_with_the_public_vocabulary(spark, monkeypatch):
     vocabulary = tokens.load_vocabulary(tokens.default_path())
     texts = ["", None, " ", "Hello world", "é漢\n\t x", "  two  spaces  ", "▁mark", "word " * 50_000, "x" * 5000]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("n_tokens", F.lit("mine"))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumns({"n_tokens": F.lit("mine"), "_count_text": F.lit(1), "a.b": F.lit(2)})
     got = {r["doc_id"]: r["n_tokens"] for r in tokens.count_tokens(df, vocabulary).collect()}
     import sentencepiece
     from tokenizers import Tokenizer, models
@@ -113,6 +113,31 @@ def test_counts_with_the_public_vocabulary(spark, monkeypatch):
     assert tokens.count_tokens(df.limit(0), vocabulary).count() == 0
 
 
+@pytest.mark.parametrize("byte_fallback", [True, False])
+def test_slices_of_a_word_make_no_difference(monkeypatch, byte_fallback):
+    scores = {"▁": -3.0, "a": -2.0, "b": -2.0, "ab": -4.0, "ba": -3.5, "aba": -6.0, "▁a": -4.5, "bab": -5.5, "abababa": -9.0}
+    vocabulary, rnd = tokens.Vocabulary(scores, byte_fallback), random.Random(3)
+    for _ in range(200):
+        word = "".join(rnd.choice("aabbé漢z") for _ in range(rnd.randrange(1, 60)))
+        monkeypatch.setattr(tokens, "SLICE", 1 << 14)
+        whole = vocabulary._any(word)
+        for size in (1, 2, 5, 13):
+            monkeypatch.setattr(tokens, "SLICE", size)
+            assert vocabulary._any(word) == pytest.approx(whole)
+
+
+def test_a_long_text_without_spaces_takes_little_memory():
+    import tracemalloc
+
+    vocabulary = tokens.Vocabulary({"a": -1.0, "b": -1.5, "ab": -2.0, "▁": -3.0})
+    text = "ab" * 500_000 + "é"
+    tracemalloc.start()
+    n, unknown, _ = vocabulary.count(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (n, unknown) == (500_003, 1) and peak < 30 << 20
+
+
 def test_a_mark_inside_a_piece_is_refused():
     with pytest.raises(ValueError):
         tokens.Vocabulary({"a▁b": -1.0})
@@ -315,6 +340,15 @@ def test_levels_of_chains_and_graphs(spark):
     assert got == expected
 
 
+def test_long_arguments_and_clashing_names(spark):
+    long = "x" * 300_000
+    calls = spark.createDataFrame([(1, "a", "search", json.dumps({"turn": 1, "query": long}), None, 0)], CALL)
+    results = spark.createDataFrame([(1, "a", long)], "conv_id long, call_id string, content string")
+    clash = {c: F.lit(c) for c in ("_call", "level", "status", "n_results", "top", "dist", "_one", "a.b")}
+    (r,) = toolcalls.link(calls.withColumns(clash), results.withColumns(clash), toolcalls.TOOLS).collect()
+    assert (r["status"], r["level"], r["errors"]) == ("linked", 0, []) and json.loads(r["canonical"])["arguments"]["query"] == long == json.loads(r["canonical"])["result"]
+
+
 def test_tool_calls_of_empty_tables(spark):
     calls, results = spark.createDataFrame([], CALL), spark.createDataFrame([], "conv_id long, call_id string, content string")
     assert toolcalls.link(calls, results, toolcalls.TOOLS).count() == 0
