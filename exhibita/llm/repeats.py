@@ -3,17 +3,23 @@
 Every window of ``LENGTH`` bytes is assigned to the smallest hash among the ``GRAM``-byte strings in it, so equal
 windows are assigned alike wherever they stand. A maximal run of windows with one assignment is a *segment*, one
 for about 17 bytes: segments are the sampled suffixes. They are dealt out by their assignment, so that windows
-that could be equal meet in one partition, whose size follows from the total of bytes.
+that could be equal meet in one partition, whose size follows from the total of bytes. An assignment that very many
+different segments share (a short notice, a run of dashes) would fill one partition; a count finds such ones first,
+and their windows are dealt out each by itself, by their own hash.
 
-Round one indexes segments as they are. In each partition every batch of documents gets an array of its distinct
-segments in order; arrays form a family of levels, where a new one is merged with those of its size or smaller,
-geometrically. The scan of a batch against the family gives the smallest document of each segment, which settles
-every segment that a smaller document has as a whole. Round two takes the others that share an assignment with
-different segments (some 5 %): the first holder of each sends its bytes, and a family of arrays of real 50-byte
-suffixes, in byte order, settles their windows one by one.
+Round one indexes segments as they are. In each partition the batches come in order of their smallest document. Each
+becomes an array of its distinct segments in order, is merge-scanned against the existing levels of the family for
+segments that a smaller document has, and then becomes a level itself; levels of like size merge, so that their sizes
+grow geometrically. Batches whose documents overlap in number with later ones are scanned once more when those are in.
+Round two takes the segments that share an assignment with different ones (some 5 %): the first holder of each sends
+its bytes, and a family of arrays of real 50-byte suffixes, in byte order, settles their windows one by one.
+
+With ``index`` the batches and levels are kept as Parquet, and later documents are scanned against them: the levels
+that a generation merges are superseded, the others stay as they were written.
 
 A suffix array of every byte would cost 8 bytes and more of shuffle for each byte of text; this takes about one.
-Hot passages cost nothing extra: equal segments of a batch travel once.
+Hot passages cost nothing extra: equal segments of a batch travel once. Segments count as equal where 96 bits of
+hashes agree; of 1e12 segments, each held against those of its own assignment, that errs once in some 1e7 runs.
 """
 
 from __future__ import annotations
@@ -24,10 +30,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import named, new_path, table, written
 
 LENGTH = 50
 GRAM = 20
@@ -37,6 +45,11 @@ BATCH_BYTES, PART_BYTES = 8 << 20, 24 << 20
 PIECE = 1 << 16
 #: Windows in a segment at most, so that its first and last window cover all of it.
 RUN = LENGTH - GRAM + 1
+#: Different segments of one assignment from which on its windows are dealt out each by itself, and such assignments
+#: at most; with more, the most frequent ones are, and the partitions of the others are larger.
+HOT_SEGMENTS, HOT_MOST = 150_000, 1 << 20
+#: Smaller than any document: stored documents come before all new ones.
+STORED = np.iinfo(np.int64).min
 #: Fixed odd multipliers of the hashes.
 BASE, MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
@@ -84,10 +97,11 @@ def _lowest(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(low[:n], low[width - s : width - s + n])
 
 
-def segments(data: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def segments(data: bytes, start: np.ndarray, end: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Assignment, content hash, first window, number of windows and text of each segment of several texts.
 
     The texts stand one after the other in ``data``, from ``start`` to ``end``; no window reaches across two of them.
+    Windows with an assignment in ``hot`` (in order) are segments of their own, assigned to their own hash.
     """
     blank = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     which = np.flatnonzero(end - start >= LENGTH)
@@ -98,6 +112,9 @@ def segments(data: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarra
     for at in range(0, len(raw) - LENGTH + 1, PIECE):
         grams, windows = _hashes(raw[at : at + PIECE + LENGTH - 1])
         low = _lowest(_mixed(grams), RUN)
+        if len(hot):
+            at_hot = np.minimum(np.searchsorted(hot, low), len(hot) - 1)
+            low = np.where(hot[at_hot] == low, _mixed(windows ^ np.uint64(MIX)), low)
         edges = [start, beyond]
         edges = [x[np.searchsorted(x, at) : np.searchsorted(x, at + len(low))] - at for x in edges]
         cut = np.zeros(len(low) + 1, bool)
@@ -121,41 +138,80 @@ def segments(data: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarra
 
 
 class Family:
-    """Sorted arrays of distinct keys with their smallest document, in levels of geometrically growing size."""
+    """Sorted arrays of distinct keys in levels of geometrically growing size, largest first.
 
-    def __init__(self) -> None:
-        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
+    A level has keys, a check that equal keys must share (or None), the smallest document of each key, and the batch
+    that this document came in. ``made`` are the stored levels that went into it.
+    """
 
-    def insert(self, keys: np.ndarray, docs: np.ndarray) -> None:
-        """A new batch; keys may repeat and come in any order."""
-        new = self._array(keys, docs)
+    def __init__(self) -> None:
+        self.levels: list[tuple[np.ndarray, np.ndarray | None, np.ndarray, np.ndarray]] = []
+        self.made: list[set[int]] = []
+
+    def stored(self, level: tuple, made: int) -> None:
+        """A level as it was written."""
+        self.levels.append(level)
+        self.made.append({made})
+        order = sorted(range(len(self.levels)), key=lambda k: -len(self.levels[k][0]))
+        self.levels, self.made = [self.levels[k] for k in order], [self.made[k] for k in order]
+
+    def insert(self, keys: np.ndarray, check: np.ndarray | None, docs: np.ndarray, batch: int = 0) -> np.ndarray:
+        """Scans a new batch against the levels and itself and makes it a level; keys may repeat and come in any order.
+
+        Returns the smallest document of each key so far.
+        """
+        new, made = self._array(keys, check, docs, np.full(len(keys), batch)), set()
+        found = np.minimum(self.smallest(keys, check), self._look(new, keys, check))
         while self.levels and len(self.levels[-1][0]) <= 2 * len(new[0]):
-            old = self.levels.pop()
-            new = self._array(np.concatenate((old[0], new[0])), np.concatenate((old[1], new[1])))
+            new, made = self._both(self.levels.pop(), new), made | self.made.pop()
         self.levels.append(new)
+        self.made.append(made)
+        return found
 
     @staticmethod
-    def _array(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _array(keys, check, docs, batches) -> tuple:
         if not len(keys):
-            return keys, docs
+            return keys, check, docs, batches
         order = np.argsort(keys, kind="stable")  # merges runs that are in order already
-        keys, docs = keys[order], docs[order]
-        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-        return keys[first], np.minimum.reduceat(docs, first)
+        keys, docs, batches = keys[order], docs[order], batches[order]
+        new = np.concatenate(([True], keys[1:] != keys[:-1]))
+        if check is not None:
+            check = check[order]
+            new[1:] |= check[1:] != check[:-1]
+        first = np.flatnonzero(new)
+        low = np.minimum.reduceat(docs, first)
+        group = np.cumsum(new) - 1
+        at = np.flatnonzero(docs == low[group])
+        holder = at[np.unique(group[at], return_index=True)[1]]
+        return keys[first], None if check is None else check[first], low, batches[holder]
+
+    def _both(self, a: tuple, b: tuple) -> tuple:
+        return self._array(*(None if x is None else np.concatenate((x, y)) for x, y in zip(a, b, strict=True)))
+
+    def whole(self) -> tuple:
+        """All levels as one array; the levels stay."""
+        out = self.levels[-1]
+        for level in self.levels[-2::-1]:
+            out = self._both(level, out)
+        return out
 
-    def collapse(self) -> None:
-        """All levels as one, once no more batches come."""
-        while len(self.levels) > 1:
-            (a, x), (b, y) = self.levels.pop(), self.levels.pop()
-            self.levels.append(self._array(np.concatenate((b, a)), np.concatenate((y, x))))
+    @staticmethod
+    def _look(level: tuple, keys: np.ndarray, check: np.ndarray | None) -> np.ndarray:
+        have, checks, docs, _ = level
+        out = np.full(len(keys), np.iinfo(np.int64).max)
+        if len(have):
+            at = np.minimum(np.searchsorted(have, keys), len(have) - 1)
+            if checks is None:
+                return np.where(have[at] == keys, docs[at], out)
+            for near in (at, np.minimum(at + 1, len(have) - 1)):  # two that share a key differ in the check
+                out = np.where((have[near] == keys) & (checks[near] == check), docs[near], out)
+        return out
 
-    def smallest(self, keys: np.ndarray) -> np.ndarray:
+    def smallest(self, keys: np.ndarray, check: np.ndarray | None = None) -> np.ndarray:
         """The smallest document of each key over all levels."""
         out = np.full(len(keys), np.iinfo(np.int64).max)
-        for have, docs in self.levels:
-            if len(have):
-                at = np.minimum(np.searchsorted(have, keys), len(have) - 1)
-                out = np.where(have[at] == keys, np.minimum(out, docs[at]), out)
+        for level in self.levels:
+            out = np.minimum(out, self._look(level, keys, check))
         return out
 
 
@@ -179,14 +235,14 @@ class Batch:
     The same batch always gives the same order, so verdicts travel back as bits without addresses.
     """
 
-    def __init__(self, row: dict, n_parts: int):
+    def __init__(self, row: dict, n_parts: int, hot: np.ndarray):
         self.ids = np.array([x if x is not None else -1 for x in row["ids"]], np.int64)
         self.known = np.array([x is not None for x in row["ids"]], bool)
         self.ends = np.cumsum(np.array([0, *row["sizes"]], np.int64))
         self.data = zstandard.ZstdDecompressor().decompress(row["blob"]) if self.ends[-1] else b""
         start = np.where(self.known, self.ends[:-1], self.ends[1:])  # without an id a text has no windows
-        low, content, first, size, doc = segments(self.data, start, self.ends[1:])
-        low = _mixed(low)
+        assigned, content, first, size, doc = segments(self.data, start, self.ends[1:], hot)
+        low = _mixed(assigned)
         part = ((low >> np.uint64(32)) % np.uint64(n_parts)).astype(np.uint16 if n_parts <= 1 << 16 else np.uint64)
         key = _mixed(content ^ (low * np.uint64(BASE)))
         order = np.argsort(key)
@@ -196,11 +252,12 @@ class Batch:
         new = np.concatenate(([True], (key[1:] != key[:-1]) | (part[1:] != part[:-1]))) if len(key) else np.zeros(0, bool)
         self.head = np.flatnonzero(new)  # one of each distinct segment
         self.group = np.cumsum(new) - 1
-        self.key, self.low = key[self.head], low[order][self.head].astype(np.uint32)
+        self.key, self.low, self.assigned = key[self.head], low[order][self.head].astype(np.uint32), assigned[order][self.head]
         self.holder = np.minimum.reduceat(self.ids[self.doc], self.head) if len(key) else np.zeros(0, np.int64)
         parts = part[self.head].astype(np.int64)
         cuts = np.flatnonzero(np.concatenate(([True], parts[1:] != parts[:-1]))) if len(parts) else np.zeros(0, np.int64)
-        self.parts = dict(zip(parts[cuts].tolist(), zip(cuts.tolist(), [*cuts[1:].tolist(), len(parts)], strict=True), strict=True))
+        ends = np.concatenate((cuts[1:], [len(parts)]))[: len(cuts)]
+        self.parts = {p: (a, e) for p, a, e in zip(parts[cuts].tolist(), cuts.tolist(), ends.tolist(), strict=True)}
 
     def verdicts(self, packed: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
         """For each distinct segment: whether a smaller document than its holder has it; whether it goes to round two."""
@@ -233,13 +290,13 @@ def _rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
-def batches_of(docs: DataFrame, key: str, text: str) -> DataFrame:
+def batches_of(docs: DataFrame, key: str, text: str, path: str, generation: int = 0) -> DataFrame:
     """Documents in compressed batches of about ``BATCH_BYTES``, written once so that every pass sees the same ones."""
 
     def pack(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        number, ids, texts, held = TaskContext.get().partitionId() << 32, [], [], 0
+        number, ids, texts, held = (generation << 44) + (TaskContext.get().partitionId() << 20), [], [], 0
 
         def out() -> pa.RecordBatch:
             blob = zstandard.ZstdCompressor(level=3).compress(b"".join(texts))
@@ -259,8 +316,9 @@ def batches_of(docs: DataFrame, key: str, text: str) -> DataFrame:
         if ids:
             yield out()
 
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
-    return written(rows.mapInArrow(pack, BATCH))
+    rows = docs.select(named(key).cast("long").alias("id"), named(text).cast("binary").alias("text"))
+    rows.mapInArrow(pack, BATCH).write.mode("overwrite").parquet(path)
+    return docs.sparkSession.read.schema(BATCH).parquet(path)
 
 
 def _each(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -269,10 +327,29 @@ def _each(stream: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {name: batch.column(name)[k].as_py() for name in batch.schema.names}
 
 
-def _round_one(chunks: DataFrame, n_parts: int) -> DataFrame:
+def _hot(chunks: DataFrame) -> np.ndarray:
+    """The assignments that very many different segments share, in order."""
+
+    def count(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.uint64)
+        for row in _each(stream):
+            low, n = np.unique(Batch(row, 1, none).assigned, return_counts=True)
+            several = n > 1
+            yield pa.RecordBatch.from_arrays([pa.array(low[several].view(np.int64)), pa.array(n[several].astype(np.int64))], names=["low", "n"])
+
+    found = chunks.mapInArrow(count, "low long, n long").groupBy("low").agg(F.sum("n").alias("n")).where(F.col("n") >= HOT_SEGMENTS)
+    rows = found.orderBy(F.desc("n"), "low").limit(HOT_MOST).collect()
+    return np.sort(np.array([r["low"] for r in rows], np.int64).view(np.uint64))
+
+
+def _round_one(chunks: DataFrame, n_parts: int, hot: Broadcast, levels: DataFrame | None = None, generation: int = 0) -> DataFrame:
+    """Verdicts on the batches (kind 0); with stored levels also what later batches need: new levels (1), and the keys of
+    segments that stored batches have to send (2)."""
+    keeps = levels is not None
+
     def send(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _each(stream):
-            b = Batch(row, n_parts)
+            b = Batch(row, n_parts, hot.value)
             base = int(b.holder.min()) if len(b.holder) else 0
             yield _rows(
                 [
@@ -283,30 +360,70 @@ def _round_one(chunks: DataFrame, n_parts: int) -> DataFrame:
             )
 
     def settle(group: pa.Table) -> pa.Table:
-        sent = [(c.as_py(), *_keys(x.as_py())) for c, x in zip(group["chunk"], group["blob"], strict=True)]
-        family = Family()
-        for _, key, _, doc in sent:
-            family.insert(key, doc)
-        family.collapse()
+        part, family, sent = group["part"][0].as_py(), Family(), []
+        stored = {}
+        for chunk, kind, covers, blob in zip(*(group[c] for c in ("chunk", "kind", "covers", "blob")), strict=True):
+            if kind.as_py():
+                stored[chunk.as_py()] = (covers.as_py(), blob)
+            else:
+                sent.append((chunk.as_py(), *_keys(blob.as_py())))
+        gone = {m for covers, _ in stored.values() for m in covers}
+        for made, (_, blob) in stored.items():
+            if made not in gone:
+                key, low, chunk = _unpack(blob.as_py(), "u8", "u4", "i8")
+                family.stored((key, low, np.full(len(key), STORED), chunk), made)
+        sent.sort(key=lambda x: (int(x[3].min()), x[0]))
+        least = np.array([int(x[3].min()) for x in sent])
+        earlier = []
+        for chunk, key, low, doc in sent:
+            earlier.append(family.insert(key, low, doc, chunk) < doc)
+        for k, (_, key, low, doc) in enumerate(sent):
+            if (least[k + 1 :] < doc.max()).any():  # a later batch has smaller documents
+                earlier[k] |= family.smallest(key, low) < doc
         # how many different segments, and documents, share an assignment
-        key, low, doc = (np.concatenate([x[k] for x in sent]) for k in (1, 2, 3))
-        order = np.lexsort((key, low))
-        key, low, doc = key[order], low[order], doc[order]
-        new = np.concatenate(([True], low[1:] != low[:-1]))
+        key, low, doc, chunk = family.whole() if family.levels else (np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        order = np.argsort(low, kind="stable")
+        new = np.concatenate(([True], low[order][1:] != low[order][:-1])) if len(low) else np.zeros(0, bool)
         first = np.flatnonzero(new)
-        several = np.add.reduceat(np.concatenate(([True], (key[1:] != key[:-1]) | new[1:])).astype(np.int64), first) > 1
-        several &= np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)
-        shared = low[first][several]
-        part, rows = group["part"][0].as_py(), []
-        for chunk, key, low, doc in sent:
-            earlier = family.smallest(key) < doc
-            at = np.minimum(np.searchsorted(shared, low), max(len(shared) - 1, 0))
-            open_ = ~earlier & (shared[at] == low) if len(shared) else np.zeros(len(low), bool)
-            if earlier.any() or open_.any():
-                rows.append((part, chunk, _pack(np.packbits(earlier), np.packbits(open_))))
-        return pa.Table.from_batches([_rows(rows, _SENT)])
-
-    return chunks.mapInArrow(send, SENT).groupBy("part").applyInArrow(settle, SENT)
+        several = np.diff(np.concatenate((first, [len(low)]))) > 1
+        if len(first):
+            several &= np.minimum.reduceat(doc[order], first) != np.maximum.reduceat(doc[order], first)
+        shared, rows, opened = low[order][first][several], [], []
+        for (own, key_, low_, _), settled in zip(sent, earlier, strict=True):
+            at = np.minimum(np.searchsorted(shared, low_), max(len(shared) - 1, 0))
+            open_ = ~settled & (shared[at] == low_) if len(shared) else np.zeros(len(low_), bool)
+            opened.append(low_[open_])
+            if settled.any() or open_.any():
+                rows.append((part, own, 0, [], _pack(np.packbits(settled), np.packbits(open_))))
+        if keeps:
+            asked = np.isin(low, np.concatenate([np.zeros(0, np.uint32), *opened])) & (doc == STORED)
+            for own in np.unique(chunk[asked]):
+                rows.append((part, int(own), 2, [], _pack(key[asked & (chunk == own)])))
+            fresh = [k for k, made in enumerate(family.made) if len(made) != 1 or not any(m in stored and family.levels[k][2].max(initial=STORED) == STORED for m in made)]
+            if fresh and sent:
+                merged, covers = Family(), set()
+                for k in fresh:
+                    level = family.levels[k]
+                    merged.levels.append(level)
+                    covers |= family.made[k]
+                key, low, _, chunk = merged.whole()
+                rows.append((part, generation, 1, sorted(covers), _pack(key, low, chunk)))
+        return pa.Table.from_batches([_kinds(rows)])
+
+    rows = chunks.mapInArrow(send, SENT).select("part", "chunk", F.lit(0).alias("kind"), F.array().cast("array<long>").alias("covers"), "blob")
+    if keeps:
+        rows = rows.union(levels.select(*_KINDS))
+    return rows.groupBy("part").applyInArrow(settle, KINDS)
+
+
+KINDS = "part long, chunk long, kind int, covers array<long>, blob binary"
+_KINDS = ["part", "chunk", "kind", "covers", "blob"]
+
+
+def _kinds(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
+    columns = list(zip(*rows, strict=True)) if rows else [()] * 5
+    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=_KINDS)
 
 
 def _narrow(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -320,18 +437,29 @@ def _keys(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return key, low, (doc.astype(np.uint64) + (high.astype(np.uint64) << np.uint64(32))).astype(np.int64) + base[0]
 
 
-def _round_two(chunks: DataFrame, n_parts: int) -> DataFrame:
+def _round_two(chunks: DataFrame, n_parts: int, hot: Broadcast, stored: DataFrame | None = None) -> DataFrame:
+    """Verdicts on the open windows of the batches, and of ``stored`` ones the segments that they are asked for."""
+
+    def bytes_of(b: Batch, row: dict, chosen, holder) -> pa.RecordBatch:
+        rows = []
+        for p, (s, e) in b.parts.items():
+            which = chosen(p, s, e)
+            if len(which):
+                rows.append((p, row["chunk"], _pack(b.size[b.head[which]].astype(np.uint8), holder(which), b.text(which))))
+        return _rows(rows, _SENT)
+
     def send(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _each(stream):
-            b = Batch(row, n_parts)
+            b = Batch(row, n_parts, hot.value)
             _, open_ = b.verdicts(row["one"])
-            rows = []
-            for p, (s, e) in b.parts.items():
-                which = s + np.flatnonzero(open_[s:e])
-                if len(which):
-                    size = b.size[b.head[which]].astype(np.uint8)
-                    rows.append((p, row["chunk"], _pack(size, b.holder[which], b.text(which))))
-            yield _rows(rows, _SENT)
+            yield bytes_of(b, row, lambda p, s, e, open_=open_: s + np.flatnonzero(open_[s:e]), lambda which, b=b: b.holder[which])
+
+    def send_stored(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _each(stream):
+            b = Batch(row, n_parts, hot.value)
+            asked = {x["part"]: _unpack(x["blob"], "u8")[0] for x in row["asked"]}
+            none = np.zeros(0, np.uint64)
+            yield bytes_of(b, row, lambda p, s, e, b=b, asked=asked: s + np.flatnonzero(np.isin(b.key[s:e], asked.get(p, none))), lambda which: np.full(len(which), STORED))
 
     def settle(group: pa.Table) -> pa.Table:
         def suffixes(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -343,17 +471,30 @@ def _round_two(chunks: DataFrame, n_parts: int) -> DataFrame:
             view = np.lib.stride_tricks.sliding_window_view(text, LENGTH)[at]
             return np.ascontiguousarray(view).view(f"S{LENGTH}").ravel(), np.repeat(doc, size)
 
-        family = Family()
-        for blob in group["blob"]:
-            family.insert(*suffixes(blob.as_py()))
-        family.collapse()
-        part, rows = group["part"][0].as_py(), []
-        for chunk, blob in zip(group["chunk"], group["blob"], strict=True):
-            key, doc = suffixes(blob.as_py())
-            rows.append((part, chunk.as_py(), _pack(np.packbits(family.smallest(key) < doc))))
+        def order(k: int) -> tuple:
+            doc = _unpack(group["blob"][k].as_py(), "u1", "i8", "u1")[1]
+            return int(doc.min()), int(doc.max()), k
+
+        part, family, rows = group["part"][0].as_py(), Family(), []
+        ranges = sorted(order(k) for k in range(group.num_rows))
+        least = np.array([x[0] for x in ranges])
+        found: dict[int, np.ndarray] = {}
+        for _, _, k in ranges:
+            key, doc = suffixes(group["blob"][k].as_py())
+            found[k] = family.insert(key, None, doc) < doc
+        for n, (_, most, k) in enumerate(ranges):
+            if (least[n + 1 :] < most).any():  # a later batch has smaller documents
+                key, doc = suffixes(group["blob"][k].as_py())
+                found[k] |= family.smallest(key) < doc
+        for _, most, k in ranges:
+            if most != STORED:
+                rows.append((part, group["chunk"][k].as_py(), _pack(np.packbits(found[k]))))
         return pa.Table.from_batches([_rows(rows, _SENT)])
 
-    return chunks.mapInArrow(send, SENT).groupBy("part").applyInArrow(settle, SENT)
+    rows = chunks.mapInArrow(send, SENT)
+    if stored is not None:
+        rows = rows.union(stored.mapInArrow(send_stored, SENT))
+    return rows.groupBy("part").applyInArrow(settle, SENT)
 
 
 def _removed(b: Batch, one: list[dict] | None, two: list[dict] | None) -> Iterator[tuple[int, np.ndarray]]:
@@ -395,30 +536,75 @@ def _removed(b: Batch, one: list[dict] | None, two: list[dict] | None) -> Iterat
         yield k, np.stack((first[s:e][at], np.concatenate((top[at[1:] - 1], top[-1:]))), axis=1).ravel()
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", keep_bytes: bool = False) -> DataFrame:
+class Index:
+    """Batches and levels that were kept at a path, generation by generation; a generation counts once its row is written."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        try:
+            rows = spark.read.parquet(f"{path}/generations").orderBy("generation").collect()
+        except AnalysisException as failure:
+            if failure.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            rows = []
+        self.known = [r["generation"] for r in rows]
+        self.n_parts = rows[0]["n_parts"] if rows else None
+        self.hot = np.array(rows[0]["hot"] if rows else [], np.int64).view(np.uint64)
+        self.generation = len(rows) + 1
+
+    def read(self, what: str, schema: str) -> DataFrame:
+        """``batches`` or ``levels`` of all generations."""
+        paths = [f"{self.path}/{what}-{g}" for g in self.known]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def close(self, n_parts: int, hot: np.ndarray) -> None:
+        """The generation counts from now on."""
+        row = [(self.generation, n_parts, hot.view(np.int64).tolist())]
+        self.spark.createDataFrame(row, "generation long, n_parts long, hot array<long>").coalesce(1).write.mode("append").parquet(f"{self.path}/generations")
+
+
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", keep_bytes: bool = False, index: str | None = None, expected_bytes: int = 0) -> DataFrame:
     """``(key, n_bytes, spans, n_removed, n_spans, kept_sha256)`` for every row, and ``kept`` on demand.
 
     ``spans`` alternates starts and ends of the maximal byte runs that are removed: the bytes of every 50-byte
     string that also starts in a document with a smaller key. Null texts are empty; texts under 50 bytes lose
     nothing; a null key is neither smaller nor larger than any other, so its row is left alone; rows with equal
-    keys do not remove one another. The key must be an integer.
+    keys do not remove one another. Texts of any length are taken whole. The key must be an integer. An empty table
+    gives an empty result; other input columns, whatever their names, are left out.
+
+    With ``index``, a path, the documents also lose what any document has that an earlier call kept there, whatever
+    their keys, and are kept there themselves (with their keys and texts). ``expected_bytes``, of the first call, is
+    the size of all the texts to come, so that the index has partitions enough.
     """
-    chunks = batches_of(docs, key, text)
-    total = chunks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
-    n_parts = max(8, -(-total // PART_BYTES))
+    spark = docs.sparkSession
+    kept = Index(spark, index) if index else None
+    path = f"{index}/batches-{kept.generation}" if kept else new_path(spark)
+    chunks = batches_of(docs, key, text, path, kept.generation if kept else 0)
+    if kept and kept.n_parts:
+        n_parts, hot = kept.n_parts, kept.hot
+    else:
+        total = chunks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
+        n_parts = max(8, -(-max(total, expected_bytes) // PART_BYTES))
+        hot = _hot(chunks)
+    shared = spark.sparkContext.broadcast(hot)
 
     def by_chunk(verdicts: DataFrame, name: str) -> DataFrame:
         # as many entries as index partitions that the batch has segments in
         return verdicts.groupBy("chunk").agg(F.collect_list(F.struct("part", "blob")).alias(name))
 
-    one = by_chunk(written(_round_one(chunks, n_parts)), "one")
+    settled = written(_round_one(chunks, n_parts, shared, kept.read("levels", KINDS) if kept else None, kept.generation if kept else 0))
+    one = by_chunk(settled.where("kind = 0"), "one")
+    asked = kept.read("batches", BATCH).join(by_chunk(settled.where("kind = 2"), "asked"), "chunk") if kept else None
     opened = chunks.join(one, "chunk")
-    two = by_chunk(written(_round_two(opened, n_parts)), "two")
+    two = by_chunk(written(_round_two(opened, n_parts, shared, asked)), "two")
     judged = chunks.join(one, "chunk", "left").join(two, "chunk", "left")
+    if kept:
+        settled.where("kind = 1").write.mode("overwrite").parquet(f"{index}/levels-{kept.generation}")
+        kept.close(n_parts, hot)
 
     def finish(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _each(stream):
-            b = Batch(row, n_parts)
+            b = Batch(row, n_parts, shared.value)
             out: list[list] = [[] for _ in range(7)]
             for k, edges in _removed(b, row["one"], row["two"]):
                 data = b.data[b.ends[k] : b.ends[k + 1]]

@@ -64,14 +64,50 @@ def test_family_levels_grow_geometrically():
     family, rnd, smallest = repeats.Family(), np.random.default_rng(0), {}
     for doc in range(64):
         keys = rnd.integers(0, 500, 40).astype(np.uint64)
-        family.insert(keys, np.full(40, doc))
+        # what a new batch meets in the levels is what came before it
+        assert family.smallest(keys, keys % np.uint64(7)).tolist() == [smallest.get(k, np.iinfo(np.int64).max) for k in keys.tolist()]
+        family.insert(keys, keys % np.uint64(7), np.full(40, doc), doc)
         for k in keys.tolist():
             smallest.setdefault(k, doc)
-        sizes = [len(k) for k, _ in family.levels]
+        sizes = [len(level[0]) for level in family.levels]
         assert all(a > 2 * b for a, b in zip(sizes, sizes[1:]))
     keys = np.arange(500, dtype=np.uint64)
     expected = [smallest.get(k, np.iinfo(np.int64).max) for k in range(500)]
-    assert family.smallest(keys).tolist() == expected
+    assert family.smallest(keys, keys % np.uint64(7)).tolist() == expected
+    assert family.smallest(keys, keys % np.uint64(7) + np.uint64(9)).min() == np.iinfo(np.int64).max, "equal keys with another check"
+    whole = family.whole()
+    assert whole[0].tolist() == sorted(smallest) and whole[2].tolist() == whole[3].tolist() == [smallest[k] for k in sorted(smallest)]
+
+
+def test_hot_assignments_are_dealt_by_window(spark, monkeypatch):
+    rnd = random.Random(8)
+    notice = "= all rights reserved here ="
+    rows = [(k, "".join(rnd.choice("abcdefgh ") for _ in range(60)) + notice + "".join(rnd.choice("abcdefgh ") for _ in range(60))) for k in range(60)]
+    rows += [(100 + k, rows[k][1][20:140] + "-" * 90) for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(repeats, "BATCH_BYTES", 3000)
+    monkeypatch.setattr(repeats, "HOT_SEGMENTS", 8)
+    chunks = repeats.batches_of(df, "doc_id", "text", repeats.new_path(spark))
+    assert len(repeats._hot(chunks)) >= 1
+    got = Counter(map(tuple, repeats.remove_repeats(df).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()))
+    assert got == brute_repeats([(i, t.encode()) for i, t in rows])
+
+
+@pytest.mark.parametrize("hot", [150_000, 3])
+def test_new_batches_meet_a_stored_index(spark, tmp_path, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "BATCH_BYTES", 900)
+    monkeypatch.setattr(repeats, "HOT_SEGMENTS", hot)
+    rows, stored = [(i, t) for i, t in repeat_rows() if i is not None], []
+    for generation in range(4):
+        own = rows[generation::4]
+        df = spark.createDataFrame(own, "doc_id long, text string").repartition(2)
+        got = Counter(map(tuple, repeats.remove_repeats(df, index=str(tmp_path / "index"), expected_bytes=1 << 20).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()))
+        # stored documents come before all new ones
+        order = [(i - 10_000, (t or "").encode()) for i, t in stored] + [(i, (t or "").encode()) for i, t in own]
+        assert got == Counter({k: n for k, n in brute_repeats(order).items() if k[0] > -1000})
+        stored += own
+    levels = repeats.Index(spark, str(tmp_path / "index")).read("levels", repeats.KINDS).collect()
+    assert {r["chunk"] for r in levels} == {1, 2, 3, 4} and any(r["covers"] for r in levels)
 
 
 # ---- token counts ----
