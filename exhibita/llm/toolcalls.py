@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import Scratch, table, written
 
 #: Per tool the fields of its arguments: name, JSON type, required. Types: string, integer, number, boolean, array, object.
 Schemas = dict[str, list[tuple[str, str, bool]]]
@@ -32,13 +32,13 @@ _TYPES = {
 _ID = ["conv_id", "call_id"]
 
 
-def _tops(single: DataFrame) -> DataFrame:
+def _tops(single: DataFrame, scratch: Scratch) -> DataFrame:
     """``(conv_id, call_id, top, dist)`` of calls ``(conv_id, call_id, parent)`` with one parent each.
 
     ``top`` is the nearest ancestor without a single parent. Each round doubles how far a call sees, so rounds grow
     with the logarithm of the longest chain. Calls that only lead round in a cycle are left out.
     """
-    seen = written(single.select(*_ID, F.col("parent").alias("top"), F.lit(1).alias("dist")))
+    seen = scratch.written(single.select(*_ID, F.col("parent").alias("top"), F.lit(1).alias("dist")))
     before = None
     while True:
         further = seen.select("conv_id", F.col("call_id").alias("top"), F.col("top").alias("next"), F.col("dist").alias("more"))
@@ -48,7 +48,7 @@ def _tops(single: DataFrame) -> DataFrame:
             return found.where("next IS NULL").select(*_ID, "top", "dist")
         before = after
         step = [F.coalesce("next", "top").alias("top"), (F.col("dist") + F.coalesce("more", F.lit(0))).alias("dist")]
-        seen = written(found.select(*_ID, *step))
+        seen = scratch.written(found.select(*_ID, *step))
 
 
 def levels(calls: DataFrame) -> DataFrame:
@@ -62,12 +62,17 @@ def levels(calls: DataFrame) -> DataFrame:
     100 rounds for a conversation in which 100 calls in a row each name two earlier ones, whatever the number of
     conversations. Nothing is gathered by conversation.
     """
-    nodes = written(calls.select(*_ID).distinct())
+    with Scratch(calls.sparkSession) as scratch:
+        return written(_levels(calls, scratch))
+
+
+def _levels(calls: DataFrame, scratch: Scratch) -> DataFrame:
+    nodes = scratch.written(calls.select(*_ID).distinct())
     edges = calls.select(*_ID, F.explode("parents").alias("parent")).distinct()
-    edges = written(edges.join(nodes.withColumnRenamed("call_id", "parent"), ["conv_id", "parent"], "left_semi").select(*_ID, "parent"))
+    edges = scratch.written(edges.join(nodes.withColumnRenamed("call_id", "parent"), ["conv_id", "parent"], "left_semi").select(*_ID, "parent"))
     several = edges.groupBy(*_ID).agg(F.count("*").alias("n"), F.min("parent").alias("parent"))
-    tops = written(_tops(several.where("n = 1").select(*_ID, "parent")))
-    fresh = written(nodes.join(edges, _ID, "left_anti").withColumn("level", F.lit(0)))
+    tops = scratch.written(_tops(several.where("n = 1").select(*_ID, "parent"), scratch))
+    fresh = scratch.written(nodes.join(edges, _ID, "left_anti").withColumn("level", F.lit(0)))
     found = [fresh]
     # calls with several parents: each parent stands for the top that it hangs on
     rest = edges.join(several.where("n > 1").select(*_ID), _ID, "left_semi")
@@ -76,18 +81,18 @@ def levels(calls: DataFrame) -> DataFrame:
     rest = rest.join(hung, ["conv_id", "parent"], "left").join(one, ["conv_id", "parent"], "left")
     # a parent that is itself a top counts as one step; one that leads into a cycle never gets a level
     top = F.when(F.col("top").isNotNull(), F.col("top")).when(F.col("_one").isNull(), F.col("parent"))
-    rest = written(rest.select(*_ID, top.alias("top"), (F.coalesce("dist", F.lit(0)) + 1).alias("dist"), F.lit(None).cast("int").alias("met")))
+    rest = scratch.written(rest.select(*_ID, top.alias("top"), (F.coalesce("dist", F.lit(0)) + 1).alias("dist"), F.lit(None).cast("int").alias("met")))
     while not rest.isEmpty():
         # only what the round before has found can settle anything now
         own = fresh.select("conv_id", F.col("call_id").alias("top"), "level")
         seen = rest.join(own, ["conv_id", "top"], "left")
-        seen = written(seen.select(*_ID, "top", "dist", F.coalesce("met", F.col("level") + F.col("dist")).alias("met")))
+        seen = scratch.written(seen.select(*_ID, "top", "dist", F.coalesce("met", F.col("level") + F.col("dist")).alias("met")))
         ready = seen.groupBy(*_ID).agg(F.max("met").alias("level"), F.max(F.col("met").isNull()).alias("waits"))
-        fresh = written(ready.where("NOT waits").select(*_ID, "level"))
+        fresh = scratch.written(ready.where("NOT waits").select(*_ID, "level"))
         if fresh.isEmpty():
             break
         found.append(fresh)
-        rest = written(seen.join(fresh.select(*_ID), _ID, "left_anti"))
+        rest = scratch.written(seen.join(fresh.select(*_ID), _ID, "left_anti"))
     known = functools.reduce(DataFrame.union, found)
     below = tops.join(known.select("conv_id", F.col("call_id").alias("top"), "level"), ["conv_id", "top"])
     both = known.union(below.select(*_ID, (F.col("level") + F.col("dist")).alias("level")))

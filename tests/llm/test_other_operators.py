@@ -58,6 +58,8 @@ def test_repeats_keep_bytes_and_empty_table(spark):
     found = {r["doc_id"]: bytes(r["kept"]).decode() for r in repeats.remove_repeats(df, keep_bytes=True).collect()}
     assert found == {1: text, 2: "<<>>"}
     assert repeats.remove_repeats(df.limit(0)).count() == 0
+    short = spark.createDataFrame([(1, "short"), (2, None)], "doc_id long, text string").withColumns({"key": F.lit(1), "id": F.lit(2), "a.b": F.lit(3)})
+    assert {tuple(r)[:3] for r in repeats.remove_repeats(short).select("doc_id", "n_bytes", "n_removed").collect()} == {(1, 5, 0), (2, 0, 0)}
 
 
 def test_family_levels_grow_geometrically():
