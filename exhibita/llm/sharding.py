@@ -122,3 +122,35 @@ def op7_sharding(spark, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+def _rounds_sql(rows: str) -> str:
+    """DuckDB SQL: ``rows`` (with v, a and b) after one pass of the network."""
+    m, steps = 1 << 31, f"SELECT * EXCLUDE (v), v // b AS x, v % b AS y FROM ({rows})"
+    for r in range(ROUNDS):
+        key, (own, other, side) = (SEED * 7919 + r * 104729) % m, (("y", "x", "b"), ("x", "y", "a"))[r % 2 == 0]
+        steps = f"SELECT *, (({other} % {m} + {key}) % {m} * {MULTIPLIER} + {INCREMENT}) % {m} AS t FROM ({steps})"
+        steps = f"SELECT * REPLACE ((xor(t, t >> 15) * {MULTIPLIER} + {INCREMENT}) % {m} AS t) FROM ({steps})"
+        steps = f"SELECT * EXCLUDE (t) REPLACE (({own} + xor(t, t >> 13)) % {side} AS {own}) FROM ({steps})"
+    return f"SELECT * EXCLUDE (x, y), x * b + y AS v FROM ({steps})"
+
+
+#: Document ids tell all rows apart here, so they alone make the order.
+ORACLE = f"""
+WITH RECURSIVE size AS (SELECT count(*) AS n, CAST(floor(sqrt(count(*) - 1)) AS BIGINT) + 1 AS a FROM documents
+), sides AS (SELECT n, a, CAST(ceil(n / a) AS BIGINT) AS b FROM size
+), numbered AS (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id NULLS FIRST) - 1 AS row FROM documents
+), walk AS (
+  SELECT row, 0 AS pass, row AS v FROM numbered
+  UNION ALL SELECT row, pass + 1, v FROM ({_rounds_sql("SELECT row, pass, v, a, b FROM walk, sides WHERE pass = 0 OR v >= n")})
+), crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crcs
+), bytes AS (
+  SELECT row, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT)) AS data FROM numbered
+), sums AS (
+  SELECT row, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], data), lambda c, x: xor(c >> 8, crcs[(xor(c, x) & 255) + 1])), CAST(4294967295 AS BIGINT)) AS text_crc32 FROM bytes, crc_table
+)
+SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 1 AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law,
+       CAST(v % {SHARDS} AS INT) AS shard, CAST(v // {SHARDS} AS BIGINT) AS slot, CAST(NULL AS INT) AS grown_shard
+FROM numbered JOIN sums USING (row) JOIN (SELECT row, v FROM walk, sides WHERE pass > 0 AND v < n) USING (row)
+"""
