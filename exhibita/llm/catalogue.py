@@ -20,6 +20,7 @@ ORACLES = {
     "op2_tool_calls": toolcalls.ORACLE,
     "op3_mixing": mixing.ORACLE,
     "op4_decontaminate": decontaminate.ORACLE,
+    "op6_simhash": simhash.ORACLE,
     "op7_sharding": sharding.ORACLE,
     "op8_main_text": wrappers.ORACLE,
     "op9_repeats": repeats.ORACLE,

@@ -308,3 +308,80 @@ def op6_simhash(spark, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# fixed values: the primes of XXH64
+_PRIMES = (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261)
+_WIDE = "CAST(18446744073709551616 AS UHUGEINT)"
+
+
+def _whole(x: int | str) -> str:
+    return f"CAST({x} AS UHUGEINT)"
+
+
+def _times(x: str, n: int) -> str:
+    return f"(({x}) * {_whole(n)} % {_WIDE})"
+
+
+def _plus(x: str, n: int | str) -> str:
+    return f"((({x}) + {_whole(n)}) % {_WIDE})"
+
+
+def _turned(x: str, n: int) -> str:
+    return f"(({x}) * {_whole(1 << n)} % {_WIDE} + ({x}) // {_whole(1 << 64 - n)})"
+
+
+def _round(acc: str, lane: str) -> str:
+    return _times(_turned(f"(({acc}) + {_times(lane, _PRIMES[1])}) % {_WIDE}", 31), _PRIMES[0])
+
+
+def _lanes(first: str, count: str, step: int = 8, size: int = 8) -> str:
+    """DuckDB SQL: little-endian numbers of ``size`` bytes from a list ``b``."""
+    one = " + ".join(f"CAST(b[{first} + {step} * i + {j + 1}] AS UHUGEINT) * {_whole(1 << 8 * j)}" for j in range(size))
+    return f"list_transform(range({count}), lambda i: {one})"
+
+
+def _reduced(start: str, items: str, step: str) -> str:
+    return f"list_reduce(list_concat([{start}], {items}), lambda h, x: {step})"
+
+
+def _oracle() -> str:
+    """DuckDB SQL of op6: XXH64 of every shingle, majorities by bit, links by comparing all fingerprints."""
+    p1, p2, p3, p4, p5 = _PRIMES
+    begin = [SEED + p1 + p2, SEED + p2, SEED, SEED - p1]
+    stripes = ", ".join(f"{_reduced(_whole(v % (1 << 64)), _lanes(str(8 * k), 'n // 32', 32), _round('h', 'x'))} AS v{k}" for k, v in enumerate(begin))
+    mixed = " + ".join(_turned(f"v{k}", r) for k, r in enumerate((1, 7, 12, 18)))
+    for k in range(4):
+        mixed = _reduced(f"({mixed}) % {_WIDE}", f"[{_round(_whole(0), f'v{k}')}]", _plus(_times("xor(h, x)", p1), p4))
+    eight = _plus(_times(_turned(f"xor(h, {_round(_whole(0), 'x')})", 27), p1), p4)
+    four = _plus(_times(_turned(f"xor(h, {_times('x', p1)})", 23), p2), p3)
+    byte = _times(_turned(f"xor(h, {_times('x', p5)})", 11), p1)
+    final = _reduced("h", f"[{_whole(p2)}, {_whole(p3)}, {_whole(1)}]", f"CASE WHEN x = {_whole(p2)} THEN xor(h, h // {_whole(1 << 33)}) * x % {_WIDE} WHEN x = {_whole(p3)} THEN xor(h, h // {_whole(1 << 29)}) * x % {_WIDE} ELSE xor(h, h // {_whole(1 << 32)}) END")
+    bits = " + ".join(f"CASE WHEN 2 * sum(CAST(h // {_whole(1 << k)} % 2 AS BIGINT)) > count(*) THEN {_whole(1 << k)} ELSE {_whole(0)} END" for k in range(64))
+    return rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS words FROM documents
+), s AS (
+  SELECT doc_id, array_to_string(words[i:i + {SHINGLE - 1}], ' ') AS shingle FROM w, unnest(range(1, greatest(2, len(words) - {SHINGLE - 2}))) AS t(i) WHERE len(words) > 0
+), d AS (
+  SELECT shingle, list_transform(regexp_extract_all(hex(encode(shingle)), '..'), lambda x: CAST('0x' || x AS BIGINT)) AS b FROM (SELECT DISTINCT shingle FROM s)
+), sized AS (SELECT *, len(b) AS n FROM d
+), striped AS (SELECT *, {stripes} FROM sized
+), started AS (SELECT shingle, b, n, ((CASE WHEN n >= 32 THEN {mixed} ELSE {_whole(SEED + p5)} END) + CAST(n AS UHUGEINT)) % {_WIDE} AS h FROM striped
+), lanes8 AS (SELECT shingle, b, n, {_reduced('h', _lanes('32 * (n // 32)', 'n % 32 // 8'), eight)} AS h FROM started
+), lanes4 AS (SELECT shingle, b, n, {_reduced('h', _lanes('8 * (n // 8)', 'n % 8 // 4', 4, 4), four)} AS h FROM lanes8
+), lanes1 AS (SELECT shingle, {_reduced('h', _lanes('4 * (n // 4)', 'n % 4', 1, 1), byte)} AS h FROM lanes4
+), hashed AS (SELECT shingle, {final} AS h FROM lanes1
+), prints AS (
+  SELECT w.doc_id, coalesce(fp, 0) AS fp FROM w LEFT JOIN (SELECT doc_id, CAST({bits} AS UBIGINT) AS fp FROM s JOIN hashed USING (shingle) GROUP BY doc_id) USING (doc_id)
+), different AS (SELECT fp, min(doc_id) AS low FROM prints GROUP BY fp
+), links AS (
+  SELECT a.fp AS u, b.fp AS v FROM different a, different b WHERE bit_count(CAST(xor(a.fp, b.fp) AS HUGEINT)) <= {RADIUS}
+), reached AS (SELECT fp AS u, fp AS v FROM different UNION SELECT r.u, l.v FROM reached r JOIN links l ON r.v = l.u
+), components AS (SELECT r.u AS fp, min(low) AS component_id FROM reached r JOIN different d ON r.v = d.fp GROUP BY r.u
+)
+SELECT doc_id, lower(lpad(hex(CAST(fp AS UBIGINT)), 16, '0')) AS fingerprint, component_id FROM prints JOIN components USING (fp)
+"""
+
+
+ORACLE = _oracle()
