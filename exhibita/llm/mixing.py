@@ -86,7 +86,8 @@ def replicate(
 
     def drawn(j: Column) -> Column:
         u = (_bits(F.lit(str(seed)), F.lit("count"), j.cast("string"), name) + 0.5) / float(1 << 52)
-        return F.size(F.filter(below, lambda c: c < u))
+        # a bound variable, or the hash would be taken for every term
+        return F.transform(F.array(u), lambda v: F.size(F.filter(below, lambda c: c < v)))[0]
 
     def some(from_: Column) -> Column:
         js = F.sequence(from_, F.least(F.col(parts), from_ + (AT_ONCE - 1)))
