@@ -43,6 +43,8 @@ PIVOTS = 3
 ORDER_ONE_IN, ORDER_LEAST, ORDER_MOST = 16, 3, 200_000
 #: Different texts with one 64-bit hash that are told apart at most; of 1e12 texts some 30,000 would be.
 MOST_SHARED = 100_000
+#: Nodes that are broadcast at most, 8 bytes each; beyond that they are joined like any table.
+BROADCAST_NODES = 1 << 21
 #: Shingles whose hashes are held at once.
 PIECE = 1 << 16
 #: Texts whose shingles a worker holds at once.
@@ -257,8 +259,10 @@ def copy_links(texts: DataFrame, scratch: Scratch, share: float = COPY_SHARE) ->
 
 def judged(pairs: DataFrame, texts: DataFrame, scratch: Scratch, share: float = COPY_SHARE) -> DataFrame:
     """Those of the pairs ``(u, v)`` whose texts ``(node, text)`` have, of all distinct shingles, ``share`` of their union in common."""
-    # few texts are in a pair: the join by both ends moves their sets alone
+    # few texts are in a pair: only theirs are moved, and the join by both ends moves their sets alone
     wanted = scratch.written(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
+    if wanted.count() <= BROADCAST_NODES:
+        wanted = F.broadcast(wanted)
     sets = scratch.written(_sets(texts.join(wanted, "node", "left_semi")))
     both = pairs.join(sets.select(F.col("node").alias("u"), F.col("h").alias("a")), "u")
     both = both.join(sets.select(F.col("node").alias("v"), F.col("h").alias("b")), "v")
@@ -360,7 +364,8 @@ def _oracle() -> str:
     bits = " + ".join(f"CASE WHEN 2 * sum(CAST(h // {_whole(1 << k)} % 2 AS BIGINT)) > count(*) THEN {_whole(1 << k)} ELSE {_whole(0)} END" for k in range(64))
     return rf"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS words FROM documents
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS words FROM documents
 ), s AS (
   SELECT doc_id, array_to_string(words[i:i + {SHINGLE - 1}], ' ') AS shingle FROM w, unnest(range(1, greatest(2, len(words) - {SHINGLE - 2}))) AS t(i) WHERE len(words) > 0
 ), d AS (

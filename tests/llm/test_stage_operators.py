@@ -210,7 +210,9 @@ def test_long_texts_just_below_the_share_are_kept(spark):
     assert simhash.keep_one_of_each(docs(spark, rows)).count() == len(rows)
 
 
-def test_every_pair_just_above_the_share_is_caught(spark):
+@pytest.mark.parametrize("limit", [1 << 21, 0])
+def test_every_pair_just_above_the_share_is_caught(spark, monkeypatch, limit):
+    monkeypatch.setattr(simhash, "BROADCAST_NODES", limit)
     rows = []
     for i in range(24):
         size, edits = ((3000, 66), (104, 2), (50, 1))[i % 3]  # shares of 0.8016, 0.8182 and 0.8039
