@@ -88,6 +88,8 @@ _ARTICLE_WORDS = frozenset("article articlebody content entry main post story".s
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Blocks of running text, which are no container.
 _CONTAINERS = frozenset(("div", "section", "main*", "div*", "section*"))
+#: Elements of which neighbours are one repeated group, whatever they hold.
+_REPEATED = frozenset(("#", "p", "li", "tr", "td", "th", "dt", "dd", "option"))
 _TEXTUAL = frozenset(("#", "p", "li", "pre", "td", "dd", "dt", "blockquote", *_HEADING))
 
 
@@ -254,35 +256,49 @@ def _both(a: str, b: str) -> str:
     return a if a == b else ("*" if "*" in (a, b) or "+" in (a, b) and "?" in (a, b) else "+" if "+" in (a, b) else "?")
 
 
-def _twice(a: str, b: str) -> str:
-    return "*" if _optional(a) == a and _optional(b) == b else "+"
+def _merged(nodes: list[Node]) -> Node:
+    """Nodes of one label as one, two by two, so that long runs are not copied again and again."""
+    while len(nodes) > 1:
+        nodes = [merge(*nodes[k : k + 2]) if k + 1 < len(nodes) else nodes[k] for k in range(0, len(nodes), 2)]
+    return nodes[0]
+
+
+def _kind(node: Node) -> int | str:
+    """What neighbours must share to be one repeated group: the label of list items and the like, else the shape."""
+    return node.label if node.label in _REPEATED else node.shape()
 
 
 def _fold(items: list[tuple[Node, str]]) -> list[tuple[Node, str]]:
-    """Siblings of one shape that follow one another become one repeated child; so do groups of two to four.
+    """Siblings of one kind that follow one another become one repeated child; so do groups of two to four.
 
     Containers that hold a line of text each stay apart: what they have in common says nothing.
     """
     out: list[tuple[Node, str]] = []
-    for node, q in items:
-        if out and out[-1][0].label == node.label and out[-1][0].shape() == node.shape() and not (node.label in _CONTAINERS and node.below() == {"#"}):
-            out[-1] = (merge(out[-1][0], node), _twice(out[-1][1], q))
+    i = 0
+    while i < len(items):
+        node, j = items[i][0], i + 1
+        if not (node.label in _CONTAINERS and node.below() == {"#"}):
+            while j < len(items) and items[j][0].label == node.label and _kind(items[j][0]) == _kind(node):
+                j += 1
+        if j > i + 1:
+            some = any(_optional(q) != q for _, q in items[i:j])
+            out.append((_merged([x for x, _ in items[i:j]]), "+" if some else "*"))
         else:
-            out.append((node, q))
+            out.append(items[i])
+        i = j
     for size in (2, 3, 4):
         i = 0
         while i + 2 * size <= len(out):
-            if any(x.label in _CONTAINERS for x, _ in out[i : i + size]):
+            if any(x.label in _CONTAINERS or x.label == "()" for x, _ in out[i : i + size]):
                 i += 1
                 continue
-            shapes = [x.shape() for x, _ in out[i : i + size]]
-            j = i + size
-            while [x.shape() for x, _ in out[j : j + size]] == shapes and "()" not in [x.label for x, _ in out[j : j + size]]:
+            kinds, j = [_kind(x) for x, _ in out[i : i + size]], i + size
+            while [_kind(x) for x, _ in out[j : j + size]] == kinds:
                 j += size
             if j > i + size:
-                group = Node("()", out[i : i + size])
-                for k in range(i + size, j, size):
-                    group = Node("()", [(merge(x, y), _both(p, q)) for (x, p), (y, q) in zip(group.items, out[k : k + size], strict=True)])
+                own = [out[i + k : j : size] for k in range(size)]
+                quantifiers = [functools.reduce(_both, (q for _, q in x)) for x in own]
+                group = Node("()", [(_merged([y for y, _ in x]), q) for x, q in zip(own, quantifiers, strict=True)])
                 out[i:j] = [(group, "+")]
             i += 1
     return out
@@ -290,12 +306,16 @@ def _fold(items: list[tuple[Node, str]]) -> list[tuple[Node, str]]:
 
 def _grouped(items: list[tuple[Node, str]], other: list[tuple[Node, str]]) -> list[tuple[Node, str]]:
     """``items`` with siblings that stand for one of ``other``'s groups taken together as that group."""
-    for group in [x for x, _ in other if x.label == "()"]:
-        names, i = [x.label for x, _ in group.items], 0
-        while i + len(names) <= len(items):
-            if [x.label for x, _ in items[i : i + len(names)]] == names:
-                items = [*items[:i], (Node("()", items[i : i + len(names)]), "1"), *items[i + len(names) :]]
-            i += 1
+    for names in dict.fromkeys(tuple(y.label for y, _ in x.items) for x, _ in other if x.label == "()"):
+        out, i = [], 0
+        while i < len(items):
+            if tuple(x.label for x, _ in items[i : i + len(names)]) == names:
+                out.append((Node("()", items[i : i + len(names)]), "1"))
+                i += len(names)
+            else:
+                out.append(items[i])
+                i += 1
+        items = out
     return items
 
 
