@@ -2,12 +2,13 @@
 
 import io
 import tarfile
+from types import SimpleNamespace
 
 import pytest
 
 from exhibita.operators import evidence, hooks, runs
 from exhibita.sources import submissions as S
-from exhibita.sources.tables import read_canonical, read_exhibits, read_prompt_views, write_exhibits, write_views
+from exhibita.sources.tables import read_canonical, read_exhibits, read_prompt_views, work_dir, write_exhibits, write_views
 
 FULL = """<SUBMISSION>
 <ACCESSION-NUMBER> 0001-20-000001\x20
@@ -173,3 +174,9 @@ def test_filters(spark):
     assert hooks.filter_documents(docs).count() == 2
     assert hooks.filter_documents(docs, lambda d: d["type"] == "EX-1").count() == 1
     assert hooks.filter_callable(docs, lambda s, d: s["cik"] == 2, ["cik"], ["type"]).collect()[0][0] == 2
+
+
+def test_a_cluster_needs_a_shared_folder():
+    unset = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_dir(unset)

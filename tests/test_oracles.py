@@ -2,6 +2,9 @@
 
 import glob
 import os
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -40,3 +43,16 @@ def test_query_equals_oracle(spark, duck, name):
 def test_entry(spark):
     assert entry.entry(spark).columns == ["item_id", "anchor_id", "anchor_type", "start", "end"]
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_the_optional_subpackage_may_be_missing_but_not_broken(tmp_path):
+    top = os.path.dirname(os.path.abspath(entry.__file__))
+    shutil.copytree(f"{top}/exhibita", tmp_path / "exhibita", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(f"{top}/__spark_entry__.py", tmp_path)
+    run = lambda: subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()))"], cwd=tmp_path, capture_output=True, text=True)
+    assert run().stdout.split()[-1] == str(len(registry.QUERIES))
+    (tmp_path / "exhibita" / "llm").mkdir()
+    (tmp_path / "exhibita" / "llm" / "__init__.py").write_text("")
+    (tmp_path / "exhibita" / "llm" / "catalogue.py").write_text("import no_such_module")
+    broken = run()
+    assert broken.returncode and "no_such_module" in broken.stderr
