@@ -1,6 +1,7 @@
 """The pipeline on a small corpus with planted cases, stage by stage, and the registry of queries."""
 
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -8,6 +9,7 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from exhibita.llm import mixing
+from exhibita.llm.common import shared_dir
 
 
 @pytest.fixture(scope="module")
@@ -73,3 +75,10 @@ def test_empty_tables(spark, tables, tmp_path):
 def test_registry():
     names = entry.queries()
     assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in names if k.startswith("op")} and "pipeline" in names
+
+
+@pytest.mark.parametrize("master", ["spark://host:7077", "local-cluster[2,1,1024]", "yarn"])
+def test_a_cluster_needs_a_shared_folder(master):
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default), sparkContext=context))
