@@ -268,10 +268,12 @@ def anchors(texts: DataFrame, item: str = "item_id", text: str = "text") -> Data
 
 def annotated(texts: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
     """``(item, text)``: each text's anchors in order, each under its ``[[Annnn]]``; texts without anchors go."""
-    rows = texts.select(item, F.col(text).alias("_t"), anchors_of(F.col(text)).alias("_a")).where(F.size("_a") > 0)
-    block = lambda a: F.substring(F.col("_t"), a["start"] + 1, a["end"] - a["start"])
+    whole = F.col(text)
+    block = lambda a: F.substring(whole, a["start"] + 1, a["end"] - a["start"])
     part = lambda a, n: F.concat(F.lit("[["), label(n), F.lit("]]\n"), block(a), F.lit("\n"))
-    return rows.select(item, F.array_join(F.transform("_a", part), "\n").alias("text"))
+    # exploded, not filtered: a filter would work the anchors out once more
+    view = let(anchors_of(whole), lambda found: F.when(F.size(found) > 0, F.array(F.array_join(F.transform(found, part), "\n"))))
+    return texts.select(item, F.explode(view).alias("text"))
 
 
 def violations(snippets: DataFrame, texts: DataFrame, item: str = "item_id") -> DataFrame:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import table
+from ..sources.tables import spread, table
 
 #: Both dialects: the fields that each document has in its filing.
 _FIELDS = """
@@ -112,7 +112,7 @@ PROSE = "prose AS (SELECT doc_id AS item_id, " + _PROSE.format(nl="chr(10)", nl2
 def prose(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(item_id, text)``."""
     text = _PROSE.format(nl="'\\n'", nl2="'\\n\\n'", dot="'.\\n'")
-    return table(spark, sf_dir, "documents").selectExpr("doc_id AS item_id", f"{text} AS text")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).selectExpr("doc_id AS item_id", f"{text} AS text")
 
 
 _LINE = """concat(CASE turn % 5 WHEN 0 THEN '(a)  ' WHEN 1 THEN '-   ' WHEN 2 THEN concat('  ', chr(8226), ' ') WHEN 3 THEN '(iv) ' ELSE '' END, coalesce(text, ''),
@@ -170,7 +170,7 @@ _RICH = """replace(CASE WHEN page_id % 3 = 0 THEN replace(html, '</h1>', ' &eacu
 
 def rich_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(page_id, html)``."""
-    return table(spark, sf_dir, "pages").selectExpr("page_id", _RICH.format(nl="\\n") + " AS html")
+    return spread(table(spark, sf_dir, "pages").select("page_id", "html")).selectExpr("page_id", _RICH.format(nl="\\n") + " AS html")
 
 
 #: DuckDB: the table's Markdown, never taken from the page.

@@ -14,6 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt out to all cores where it is read in fewer pieces than there are; large inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def work_dir(spark: SparkSession) -> str:
     """A new folder under the session's ``spark.checkpoint.dir``.
 
