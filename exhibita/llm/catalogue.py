@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import audioprint, decontaminate, mixing, repeats, sharding, simhash, tokens, toolcalls, toxicity, wrappers
+from . import audioprint, decontaminate, dialogue, mixing, repeats, sharding, simhash, spelling, tokens, toolcalls, toxicity, warc, wrappers
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_main_text": wrappers.op8_main_text,
     "op9_repeats": repeats.op9_repeats,
     "op10_tokens": tokens.op10_tokens,
+    "op11_spelling": spelling.op11_spelling,
+    "op12_warc": warc.op12_warc,
+    "op13_repair": dialogue.op13_repair,
 }
 ORACLES = {
     "op2_tool_calls": toolcalls.ORACLE,
@@ -24,4 +27,7 @@ ORACLES = {
     "op7_sharding": sharding.ORACLE,
     "op8_main_text": wrappers.ORACLE,
     "op9_repeats": repeats.ORACLE,
+    "op11_spelling": spelling.ORACLE,
+    "op12_warc": warc.ORACLE,
+    "op13_repair": dialogue.ORACLE,
 }
