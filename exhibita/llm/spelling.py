@@ -38,11 +38,13 @@ ONE_IN = 97
 #: A form has at least so many times the occurrences.
 TIMES = 2
 #: Letters of the words in a block, about.
-BLOCK = 600_000
+BLOCK = 250_000
 #: Words of a length that are looked at to choose its upper splits, for each block.
 LOOKED_AT = 64
 #: Vectors in a leaf of a block's tree.
 LEAF = 24
+#: Pairs of words of two classes that are compared one by one at most.
+COMPARED = 24
 #: Vectors times letters that are compared at once.
 AT_ONCE = 4 << 20
 #: Runs and characters that a task counts before it hands them on.
@@ -191,12 +193,25 @@ def _holes(word: str, places: np.ndarray) -> Iterator[tuple[int, str]]:
             yield k, word[:k] + word[k + 1 :]
 
 
+def one_edit(a: str, b: str) -> bool:
+    """Whether two different words are equal but for one letter, ``b`` being as long as ``a`` or one longer."""
+    k = 0
+    for x, y in zip(a, b, strict=False):
+        if x != y:
+            break
+        k += 1
+    return a[k + (len(a) == len(b)) :] == b[k + 1 :]
+
+
 def _near_words(words: list[str], ones: list[int], more: np.ndarray, others: list[str], twos: list[int], fewer: np.ndarray) -> Iterator[tuple[int, int]]:
     """``(one, two)`` of two classes' words that are equal but for one letter: ``ones`` have it at a place of ``more``, ``twos`` at one of ``fewer``.
 
-    Where no place of ``more`` is set ``ones`` lack the letter. Words meet by what is left of them, and at the same
-    position if both had a letter there.
+    Where no place of ``more`` is set ``ones`` lack the letter. A few words are compared; many meet by what is left of
+    them, and at the same position if both had a letter there.
     """
+    if len(ones) * len(twos) <= COMPARED:
+        yield from ((i, j) for i in ones for j in twos if words[i] != others[j] and one_edit(words[i], others[j]))
+        return
     bare = not more.any()
     left = defaultdict(list)
     for i in ones:
@@ -228,9 +243,9 @@ class Block:
             if longer >= 0:
                 yield from _near_words(queries, members[q], apart < 0, self.words, self.members[d], apart > 0)
             else:
-                yield from ((i, j) for j, i in _near_words(self.words, self.members[d], apart > 0, queries, members[q], apart < 0))
+                yield from ((j, i) for i, j in _near_words(self.words, self.members[d], apart > 0, queries, members[q], apart < 0))
         # places that several code points share: a letter may be replaced there without a change of counts
-        if longer == 0:
+        if longer == 0 and self.classes[:, 90:].any():
             for q, d in _near_classes(self.tree, self.leaves, self.classes, found, 0, 0):
                 shared = np.zeros(PLACES, bool)
                 shared[90:] = self.classes[d][90:] > 0

@@ -76,9 +76,10 @@ def test_words_are_counted_with_the_rules_misspellings(spark, monkeypatch):
     assert S.word_counts(df.limit(0)).collect() == []
 
 
-@pytest.mark.parametrize("block", [600_000, 300])
-def test_variants_match_all_pairs(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "compared"), [(250_000, 24), (300, 24), (300, 0)])
+def test_variants_match_all_pairs(spark, monkeypatch, block, compared):
     monkeypatch.setattr(S, "BLOCK", block)
+    monkeypatch.setattr(S, "COMPARED", compared)
     words = vocabulary(random.Random(2), 700)
     words |= {"жаяжа": 9, "жаяжб": 40, "жаящб": 3, "漢漢漢漢漢": 3, "漢漢漢漢字": 8, "漢漢漢字": 20, "𝒳𝒳𝒳𝒳𝒳": 3, "𝒳𝒳𝒳𝒳a": 50}
     assert found(spark, words) == brute(words)
