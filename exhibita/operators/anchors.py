@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.arrays import let
 from ..functions.text import ABBREVIATIONS, SENTENCE_END, SPACE, TABLE, is_blank, is_bullet, strip
 
 #: A block that is one sentence of more characters is cut once.
@@ -22,11 +23,6 @@ SHORT = 10
 UNIT = ("seg", "block", "kind", "start", "end", "block_text")
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)``, with the value worked out once."""
-    return F.transform(F.array(value), use)[0]
-
-
 def _at(values: Column, index: Column) -> Column:
     """The element at a 0-based index, null beyond the end."""
     return F.get(values, index)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import html_wrap, safe_item_id
 from ..operators import evidence, hooks, runs
 from ..sources import submissions as S
+from ..sources.archives import expanded, read_members
 from ..sources.tables import read_exhibits, table, work_dir, write_exhibits
 from . import inputs
 from .inputs import FILED
@@ -55,15 +56,20 @@ _MEMBER = """
 SELECT tarball, CAST(2 * row_number() OVER (PARTITION BY tarball ORDER BY sub) - 1 AS INT) AS member_pos,
        CASE WHEN sub % 2 = 1 THEN member_name ELSE upper(member_name) END AS member_name, md5(text) AS content_md5 FROM m""")
 def archive_scan(spark, sf_dir):
-    """Members of gzipped archives, folders and other files left out."""
-    return S.members(inputs.packed(spark, sf_dir)).select("tarball", "member_pos", "member_name", F.md5("content").alias("content_md5"))
+    """Members of gzipped archive files, folders and other files left out."""
+    found = read_members(spark, [inputs.packed_files(spark, sf_dir)])
+    name = F.regexp_extract("tarball", "(archive-\\d+)[.]tar[.]gz$", 1)
+    return found.select(name.alias("tarball"), "member_pos", "member_name", F.md5("content").alias("content_md5"))
 
 
 @query("WITH " + FILED + """ SELECT replace(own_accession, '-', '') AS accession, 'archive-' || max(sub // 16) AS tarball FROM subs GROUP BY 1""")
 def archive_order(spark, sf_dir):
     """The archive that each accession is first read from, where the archives are given in reverse."""
-    given = inputs.packed(spark, sf_dir).withColumn("tar_pos", -F.substring("tarball", 9, 20).cast("int"))
-    rows = S.members(given).withColumn("accession", F.regexp_extract(F.lower("member_name"), "f/(.*)[.]nc", 1)).drop("content")
+    number = lambda path: int(path.rsplit("-", 1)[1].split(".")[0])
+    files = [f for _, f in expanded(spark, [inputs.packed_files(spark, sf_dir)])]
+    given = read_members(spark, sorted(files, key=number, reverse=True))
+    rows = given.withColumn("accession", F.regexp_extract(F.lower("member_name"), "f/(.*)[.]nc", 1)).drop("content")
+    rows = rows.withColumn("tarball", F.regexp_extract("tarball", "(archive-\\d+)[.]tar[.]gz$", 1))
     return S.first_per_key(rows, "accession", list(S.READ_ORDER)).select("accession", "tarball")
 
 
@@ -172,10 +178,8 @@ WHERE coalesce(accession, CASE WHEN sub % 2 = 0 THEN own_accession END) IS NOT N
 def accession_resolve(spark, sf_dir):
     """The header's accession, else the one that the member's name was matched with; submissions with neither go."""
     found = S.with_header(inputs.submissions(spark, sf_dir)).select(F.col("member_pos").alias("sub"), "accession", "member_name")
-    name = F.regexp_extract("member_name", "f/(\\d{10})20(\\d{6})", 1)
-    rest = F.regexp_extract("member_name", "f/(\\d{10})20(\\d{6})", 2)
-    matched = F.when(F.col("sub") % 2 == 0, F.concat(name, F.lit("-20-"), rest))
-    return found.select("sub", F.coalesce(F.nullif("accession", F.lit("")), matched).alias("resolved")).where("resolved IS NOT NULL")
+    found = found.withColumn("matched", F.when(F.col("sub") % 2 == 0, _accession()))
+    return S.resolve_accessions(found).select("sub", F.col("accession").alias("resolved"))
 
 
 @query("""SELECT 'd' AS kind, doc_id AS id, md5('<html><body><pre>' || coalesce(text, '') || '</pre></body></html>') AS html_md5 FROM documents
@@ -203,28 +207,28 @@ def _accession():
     return F.concat(name, F.lit("-20-"), F.regexp_extract("member_name", "f/(\\d{10})20(\\d{6})", 2))
 
 
-def _kept(spark, sf_dir, wide: bool = False):
-    docs = _parsed(spark, sf_dir).withColumn("accession", F.coalesce("accession", _accession()))
-    docs = docs if wide else docs.drop("content")
-    docs = hooks.filter_documents(docs, lambda d: ~S.doc_type_matches(d["type"], ["ex-1"]) & d["type"].isNotNull())
-    return S.with_ordinal(docs, ["sub"])
+def _nested(spark, sf_dir):
+    """Submissions with their kept documents as an array."""
+    subs = S.with_header(inputs.submissions(spark, sf_dir)).withColumnRenamed("member_pos", "sub")
+    subs = subs.withColumn("accession", F.coalesce("accession", _accession()))
+    return S.with_documents(subs, lambda d: ~S.doc_type_matches(d["type"], ["ex-1"]) & d["type"].isNotNull(), content=False)
 
 
 def _items(spark, sf_dir):
-    docs = S.with_primary(S.with_defaults(_kept(spark, sf_dir)), ["sub"])
-    return docs.withColumn("item_id", safe_item_id(F.col("accession"), F.col("sequence"), F.col("ordinal")))
+    return S.flat(_nested(spark, sf_dir))
 
 
 @query(_KEPT + " SELECT sub, pos, ordinal FROM kept")
 def kept_ordinal(spark, sf_dir):
     """Numbers of the kept documents."""
-    return _kept(spark, sf_dir).select("sub", "pos", "ordinal")
+    return _items(spark, sf_dir).select("sub", "pos", "ordinal")
 
 
 @query(_KEPT + " SELECT sub, pos, type FROM kept")
 def doc_filter(spark, sf_dir):
     """Documents that a column predicate keeps."""
-    return _kept(spark, sf_dir).select("sub", "pos", "type")
+    keep = lambda d: ~S.doc_type_matches(d["type"], ["ex-1"]) & d["type"].isNotNull()
+    return hooks.filter_documents(_parsed(spark, sf_dir).drop("content"), keep).select("sub", "pos", "type")
 
 
 @query(_BOTH + " SELECT sub, pos FROM both_ WHERE cik IS NOT NULL AND starts_with(type, 'EX-1')")
@@ -237,7 +241,7 @@ def filter_udf(spark, sf_dir):
 @query(_KEPT + " SELECT sub, pos, sequence, filename FROM named")
 def seq_defaults(spark, sf_dir):
     """Default sequences and file names."""
-    return S.with_defaults(_kept(spark, sf_dir)).select("sub", "pos", "sequence", "filename")
+    return _items(spark, sf_dir).select("sub", "pos", "sequence", "filename")
 
 
 @query("SELECT s_suppkey, regexp_replace(s_name || '/' || s_nationkey, '[^A-Za-z0-9._-]+', '_', 'g') || '_' || CASE WHEN s_suppkey % 3 = 0 THEN 'doc' || lpad(CAST(s_suppkey % 100 AS VARCHAR), 2, '0') ELSE regexp_replace(s_suppkey || ' é(' || s_nationkey, '[^A-Za-z0-9._-]+', '_', 'g') END AS item_id FROM supplier")
@@ -310,7 +314,7 @@ def items_dedup_last(spark, sf_dir):
 @query(_PRIMARY + """ SELECT sub, string_agg(ordinal || ':' || item_id || ':' || filename || CASE WHEN "primary" THEN '*' ELSE '' END, ' ' ORDER BY ordinal) AS documents FROM p GROUP BY sub""")
 def nest_documents(spark, sf_dir):
     """Documents nested in their submissions, in order."""
-    found = S.nested(_items(spark, sf_dir), ["sub"])
+    found = _nested(spark, sf_dir)
     one = lambda d: F.concat(d["ordinal"].cast("string"), F.lit(":"), d["item_id"], F.lit(":"), d["filename"], F.when(d["primary"], "*").otherwise(""))
     return found.select("sub", F.array_join(F.transform("documents", one), " ").alias("documents"))
 
@@ -318,8 +322,7 @@ def nest_documents(spark, sf_dir):
 @query(_KEPT + " SELECT sub, item_id, sequence, filename FROM named")
 def flatten_items(spark, sf_dir):
     """Items from nested submissions."""
-    found = S.nested(_items(spark, sf_dir), ["sub"]).select("sub", F.explode("documents").alias("d"))
-    return found.select("sub", "d.item_id", "d.sequence", "d.filename")
+    return S.flat(_nested(spark, sf_dir)).select("sub", "item_id", "sequence", "filename")
 
 
 @query(_KEPT + " SELECT DISTINCT own_accession AS accession FROM named")

@@ -7,12 +7,14 @@ from __future__ import annotations
 
 import io
 import tarfile
+import uuid
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import spread, table
+from ..sources.tables import spread, table, work_dir
 
 #: Both dialects: the fields that each document has in its filing.
 _FIELDS = """
@@ -103,6 +105,26 @@ def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return submissions(spark, sf_dir).groupBy("tarball").applyInArrow(pack, "tarball string, content binary")
 
 
+def packed_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of those archives as files ``archive-N.tar.gz``, written by the tasks that pack them."""
+    path = work_dir(spark)
+
+    def write(batches):
+        for batch in batches:
+            for name, content in zip(batch.column("tarball").to_pylist(), batch.column("content"), strict=True):
+                files, folder = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+                files.create_dir(folder, recursive=True)
+                part = f"{folder}/.{name}.{uuid.uuid4().hex}"
+                with files.open_output_stream(part) as out:
+                    out.write(content.as_buffer())
+                files.move(part, f"{folder}/{name}.tar.gz")
+            yield pa.RecordBatch.from_arrays([batch.column("tarball")], names=["tarball"])
+
+    # every archive is written before any is read
+    packed(spark, sf_dir).mapInArrow(write, "tarball string").write.format("noop").mode("overwrite").save()
+    return path
+
+
 #: Prose with blank lines, abbreviations and long sentences; the same expression in both dialects.
 _PROSE = """CASE doc_id % 4 WHEN 0 THEN replace(text, {nl}, {nl2}) WHEN 1 THEN replace(text, ', ', ' Inc. ')
   WHEN 2 THEN replace(replace(text, '. ', ' '), {dot}, ' ') ELSE text END"""

@@ -1,79 +1,21 @@
-"""Filing submissions: archive members, their SGML headers and documents."""
+"""Filing submissions: the texts of archive members, their SGML headers and documents."""
 
 from __future__ import annotations
 
-import functools
-import tarfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import LINE_END, strip
+from ..functions.arrays import let
+from ..functions.text import LINE_END, safe_item_id, strip
 
-MEMBERS = "tar_pos int, tarball string, member_pos int, member_name string, content binary"
 _LINE = LINE_END.replace(r"\r\n|", "")
 #: The order in which members are read: archives as they were given, files of one argument by name.
 READ_ORDER = ("tar_pos", "tarball", "member_pos")
 
 
-def archives(spark: SparkSession, paths: list[str], content: bool = True) -> DataFrame:
-    """``(tar_pos, tarball, content)`` of archive files, ``tar_pos`` by the order of the arguments.
-
-    An argument is a file, a folder or a pattern; one that does not exist is an error. A value holds 2 GB at most. For
-    larger archives leave ``content`` out: ``members`` then opens the files itself and reads them as streams.
-    """
-    columns = [F.col("path").alias("tarball"), *(["content"] if content else [])]
-    each = [spark.read.format("binaryFile").load(p).select(F.lit(k).alias("tar_pos"), *columns) for k, p in enumerate(paths)]
-    return functools.reduce(DataFrame.unionByName, each)
-
-
-def members(found: DataFrame, accessions: list[str] | None = None, suffix: str = ".nc") -> DataFrame:
-    """Regular members of ``archives``, of any compression, whose names end in ``suffix`` in any case.
-
-    Without a ``content`` column the archives are opened where they lie and read as streams, a member at a time, so
-    they may have any size. With a list, only members whose name holds one of its accessions are read. Rows are dealt
-    out anew, since one archive is one task's work.
-    """
-    wanted = [_plain(a) for a in accessions or ()]
-    inside = "content" in found.columns
-
-    def opened(path: str, content) -> tarfile.TarFile:
-        if inside:
-            return tarfile.open(fileobj=pa.BufferReader(content.as_buffer()), mode="r:*")
-        files, name = fs.FileSystem.from_uri(path)
-        return tarfile.open(fileobj=files.open_input_stream(name, compression=None), mode="r|*")
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                tar_pos, name = batch.column("tar_pos")[row].as_py(), batch.column("tarball")[row].as_py()
-                with opened(name, batch.column("content")[row] if inside else None) as archive:
-                    for k, m in enumerate(archive):
-                        archive.members = []  # or all headers of a long archive would be kept
-                        plain = _plain(m.name)
-                        if not m.isfile() or not m.name.lower().endswith(suffix) or wanted and not any(a in plain for a in wanted):
-                            continue
-                        values = [[tar_pos], [name], [k], [m.name], [archive.extractfile(m).read()]]
-                        kinds = (pa.int32(), pa.string(), pa.int32(), pa.string(), pa.binary())
-                        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, kinds, strict=True)], names=MEMBER_NAMES)
-
-    rows = found if "tar_pos" in found.columns else found.withColumn("tar_pos", F.lit(0))
-    rows = rows.select("tar_pos", "tarball", *(["content"] if inside else []))
-    # files to be opened are dealt out one by one
-    rows = rows if inside else rows.repartition("tarball")
-    return rows.mapInArrow(read, MEMBERS).repartition("tarball", "member_pos")
-
-
-MEMBER_NAMES = [c.split()[0] for c in MEMBERS.split(", ")]
-
-
-def _plain(name: str) -> str:
-    return name.replace("-", "").replace("_", "")
-
-
 def decode_lossy(df: DataFrame, content: str = "content", text: str = "text") -> DataFrame:
     """``df`` with ``content`` as UTF-8 ``text``, undecodable bytes dropped."""
     schema = df.drop(content).withColumn(text, F.lit("")).schema
@@ -143,34 +85,115 @@ def documents(subs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-#: Accessions that a task holds at once.
-BROADCAST_LIST = 100_000
+def documents_of(
+    text: Column,
+    accession: Column,
+    keep: Callable[[Column], Column] | None = None,
+    content: bool = True,
+) -> Column:
+    """A submission's kept documents, worked out inside its row: an array of structs ``DOCUMENT`` in order.
+
+    ``keep`` is a predicate over a document's struct, which may use the row's other columns too; a null counts as false.
+    ``ordinal`` numbers the kept documents from 1. An empty or missing sequence becomes the ordinal in two digits, an
+    empty or missing file name follows the sequence. The primary document is the one with the lowest integer sequence,
+    the first on ties, or the first of all where any sequence is no integer. Without ``content`` bodies are not cut out.
+    A null text gives null, a text without documents an empty array.
+    """
+
+    def fields(part: Column, pos: Column) -> Column:
+        own = {"type": document_field(part, "TYPE"), "sequence": document_field(part, "SEQUENCE"), "filename": document_field(part, "FILENAME")}
+        own |= {"content": body(part)} if content else {}
+        return F.struct(pos.alias("pos"), *[c.alias(n) for n, c in own.items()])
+
+    def named(d: Column, k: Column) -> Column:
+        ordinal = k + 1
+        sequence = F.coalesce(F.nullif(d["sequence"], F.lit("")), F.format_string("%02d", ordinal))
+        filename = F.coalesce(F.nullif(d["filename"], F.lit("")), F.concat(F.lit("EX-10-"), sequence, F.lit(".html")))
+        rest = [d["content"].alias("content")] if content else []
+        return F.struct(d["pos"].alias("pos"), ordinal.alias("ordinal"), d["type"].alias("type"), sequence.alias("sequence"), filename.alias("filename"), *rest)
+
+    def marked(docs: Column) -> Column:
+        numbers = F.transform(docs, lambda d: F.trim(d["sequence"]).try_cast("bigint"))
+        whole = F.forall(numbers, lambda n: n.isNotNull())
+        first = let(numbers, lambda n: F.when(whole, F.array_position(n, F.array_min(n))).otherwise(1))
+
+        def one(d: Column, at: Column) -> Column:
+            item = safe_item_id(accession, d["sequence"], d["ordinal"])
+            return F.struct(*[d[c].alias(c) for c in DOCUMENT if c in DOCUMENT[:5] or content and c == "content"], (d["ordinal"] == at).alias("primary"), item.alias("item_id"))
+
+        return let(first, lambda at: F.transform(docs, lambda d: one(d, at)))
+
+    found = F.transform(sections(text), fields)
+    if keep is not None:
+        found = F.filter(found, lambda d: F.coalesce(keep(d), F.lit(False)))
+    return let(F.transform(found, named), marked)
+
+
+#: The fields of a kept document.
+DOCUMENT = ("pos", "ordinal", "type", "sequence", "filename", "content", "primary", "item_id")
+
+
+def with_documents(subs: DataFrame, keep: Callable[[Column], Column] | None = None, text: str = "text", accession: str = "accession", content: bool = True) -> DataFrame:
+    """``subs`` with ``documents`` in place of ``text``, see ``documents_of``; submissions without a kept document go.
+
+    Nothing is shuffled and no key is needed, so submissions that repeat or have no key of their own stay apart.
+    """
+    # worked out once, in the explode; a filter on it would work it out again
+    found = F.filter(F.array(documents_of(F.col(text), F.col(accession), keep, content)), lambda d: F.size(d) > 0)
+    rest = [c for c in subs.columns if c not in (text, "documents")]
+    return subs.select(*rest, F.explode(found).alias("documents"))
+
+
+def flat(subs: DataFrame, documents: str = "documents") -> DataFrame:
+    """A row for each of the nested documents, in order, with the submission's columns beside the document's."""
+    kinds = subs.schema[documents].dataType.elementType.names
+    rest = [c for c in subs.columns if c != documents and c not in kinds]
+    rows = subs.select(*rest, F.explode(documents).alias("_document"))
+    return rows.select(*rest, *[F.col("_document")[c].alias(c) for c in kinds])
+
+
+def plain(name: Column) -> Column:
+    """A name without dashes and underscores, which do not count in a match."""
+    return F.translate(name, "-_", "")
 
 
 def match_accessions(found: DataFrame, accessions: DataFrame | None, name: str = "member_name") -> DataFrame:
     """``found`` with ``matched``: the first accession of ``(list_pos, accession)`` that ``name`` holds.
 
-    Dashes and underscores do not count. Rows without a match go. Without a list (None) all rows stay with a null
-    match; a list without entries is an error, so that a list gone wrong does not let everything pass. The match is no equality, so every task holds the list, or a block of it after the other where it has more than
-    ``BROADCAST_LIST`` entries.
+    Dashes and underscores do not count. Rows without a match go, those with a null name too. Without a list (None) all
+    rows stay with a null match; a list without entries is an error, so that a list gone wrong does not let everything
+    pass.
+
+    An entry can only be found as a substring of its own length. So each name is cut into its substrings of the lengths
+    that the list has, these meet the list in an equality join, and the entry that is listed first is taken. A name costs
+    as many rows as it has such substrings, however long the list is, and names are looked up once however often they
+    occur; what else the rows hold stays out of it.
     """
     if accessions is None:
         return found.withColumn("matched", F.lit(None).cast("string"))
-    size = accessions.count()
-    if not size:
+    found = found.drop("matched")
+    key, wanted, cut = "_name", "_plain", "_cut"
+    listed = accessions.select(F.struct("list_pos", "accession").alias("_entry"), plain(F.col("accession")).alias(wanted)).where(f"{wanted} IS NOT NULL")
+    lengths = [r[0] for r in listed.select(F.length(wanted)).distinct().collect()]
+    if not lengths:
         raise ValueError("the list has no accessions")
-    n = -(-size // BROADCAST_LIST)
-    plain = lambda c: F.translate(c, "-_", "")
-    out, best = found, []
-    for k in range(n):
-        block = accessions.where(F.pmod(F.xxhash64("accession"), F.lit(n)) == k)
-        # one row, of bounded size
-        listed = block.groupBy().agg(F.array_sort(F.collect_list(F.struct("list_pos", "accession"))).alias("_list"))
-        hits = F.filter("_list", lambda a: F.contains(plain(F.col(name)), plain(a["accession"])))
-        out = out.join(F.broadcast(listed)).withColumn(f"_best{k}", F.try_element_at(hits, F.lit(1))).drop("_list")
-        best.append(f"_best{k}")
-    first = F.array_min(F.array(*best))["accession"]
-    return out.withColumn("matched", first).where("matched IS NOT NULL").drop(*best)
+    entries = listed.groupBy(wanted).agg(F.min("_entry").alias("_entry"))
+
+    def windows(text: Column) -> Column:
+        last = lambda n: F.length(text) - n
+        of = lambda n: F.when(last(n) >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last(n), F.lit(0))), lambda k: F.substring(text, k + 1, F.lit(n))))
+        return F.array_distinct(F.flatten(F.filter(F.array(*[of(n) for n in lengths]), lambda w: w.isNotNull())))
+
+    names = found.select(F.col(name).alias(key)).distinct()
+    names = names.select(key, F.explode(let(plain(F.col(key)), windows)).alias(cut))
+    first = names.join(entries, F.col(cut) == F.col(wanted)).groupBy(key).agg(F.min("_entry").alias("_entry"))
+    rows = found.join(first.select(F.col(key), F.col("_entry.accession").alias("matched")), F.col(name) == F.col(key))
+    return rows.drop(key)
+
+
+def resolve_accessions(subs: DataFrame, own: str = "accession", matched: str = "matched") -> DataFrame:
+    """``subs`` with ``own`` filled up: the header's accession, else the listed one; submissions with neither go."""
+    return subs.withColumn(own, F.coalesce(F.nullif(F.col(own), F.lit("")), F.col(matched))).where(F.col(own).isNotNull())
 
 
 def doc_type_matches(kind: Column, prefixes: list[str] | None = None, part: str | None = None) -> Column:
@@ -185,28 +208,6 @@ def doc_type_matches(kind: Column, prefixes: list[str] | None = None, part: str
     return F.coalesce(found, F.lit(False))
 
 
-def with_ordinal(docs: DataFrame, submission: list[str], order: str = "pos") -> DataFrame:
-    """``docs`` with ``ordinal``, 1-based within each submission."""
-    return docs.withColumn("ordinal", F.row_number().over(Window.partitionBy(*submission).orderBy(order)))
-
-
-def with_defaults(docs: DataFrame) -> DataFrame:
-    """``docs`` with default ``sequence`` (the ordinal, two digits) and ``filename``."""
-    docs = docs.withColumn("sequence", F.coalesce(F.nullif("sequence", F.lit("")), F.format_string("%02d", "ordinal")))
-    name = F.concat(F.lit("EX-10-"), "sequence", F.lit(".html"))
-    return docs.withColumn("filename", F.coalesce(F.nullif("filename", F.lit("")), name))
-
-
-def with_primary(docs: DataFrame, submission: list[str]) -> DataFrame:
-    """``docs`` with ``primary``: the lowest integer sequence, the first on ties, or the first document where any
-    sequence is no integer."""
-    every = Window.partitionBy(*submission)
-    number = F.expr("try_cast(trim(sequence) AS BIGINT)")
-    docs = docs.withColumn("_number", number).withColumn("_whole", F.min(F.col("_number").isNotNull()).over(every))
-    rank = F.row_number().over(every.orderBy(F.when(F.col("_whole"), F.col("_number")), "ordinal"))
-    return docs.withColumn("primary", rank == 1).drop("_number", "_whole")
-
-
 def last_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The last row of each key; aggregates before the shuffle, so a frequent key is no burden."""
     rest = [c for c in df.columns if c != key]
@@ -221,7 +222,17 @@ def first_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return df.groupBy(key).agg(best).select(key, "_row.*")
 
 
-def nested(docs: DataFrame, submission: list[str]) -> DataFrame:
-    """One row for each submission with its ``documents`` in order."""
-    one = F.struct("ordinal", "type", "filename", "sequence", "primary", "item_id")
-    return docs.groupBy(*submission).agg(F.array_sort(F.collect_list(one)).alias("documents"))
+def items_of(
+    found: DataFrame,
+    accessions: DataFrame | None = None,
+    keep: Callable[[Column], Column] | None = None,
+) -> DataFrame:
+    """From members of archives to items in one call: a row for each kept document of each submission that is listed.
+
+    Members are matched with the list, unless the reader has done that, decoded, and taken apart; the accession is the header's or else the listed one.
+    Items of repeated submissions repeat; ``first_per_key`` over ``READ_ORDER`` and ``last_per_key`` choose among them.
+    """
+    if accessions is not None or "matched" not in found.columns:
+        found = match_accessions(found, accessions)
+    subs = with_header(decode_lossy(found))
+    return flat(with_documents(resolve_accessions(subs), keep)).drop("matched")

@@ -1,12 +1,14 @@
 """Filings and archives on shapes that the given tables lack."""
 
 import io
+import random
 import tarfile
 from types import SimpleNamespace
 
 import pytest
 
 from exhibita.operators import evidence, hooks, runs
+from exhibita.sources import archives as R
 from exhibita.sources import submissions as S
 from exhibita.sources.tables import read_canonical, read_exhibits, read_prompt_views, work_dir, write_exhibits, write_views
 
@@ -66,26 +68,45 @@ def archive(mode, members):
 def test_archives(spark, tmp_path, mode):
     made = archive(mode, [("d.nc", None), ("x/0001-20-1.nc", b"ok \xff\xc3\xa9"), ("Y_2.NC", b""), ("z.txt", b"z")])
     (tmp_path / "a.tar").write_bytes(made)
-    found = S.archives(spark, [str(tmp_path / "a.tar")])
-    rows = S.decode_lossy(S.members(found)).orderBy("member_pos").collect()
+    found = R.archives(spark, [str(tmp_path / "a.tar")])
+    rows = S.decode_lossy(R.members(found)).orderBy("member_pos").collect()
     assert [(r["member_pos"], r["member_name"], r["text"]) for r in rows] == [(1, "x/0001-20-1.nc", "ok é"), (2, "Y_2.NC", "")]
-    some = S.members(found, ["0001_201"]).collect()
+    some = R.members(found, ["0001_201"]).collect()
     assert [r["member_name"] for r in some] == ["x/0001-20-1.nc"]
-    streamed = S.members(S.archives(spark, [str(tmp_path / "a.tar")], content=False))
-    assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, S.members(found).collect()))
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        S.archives(spark, [str(tmp_path / "none.tar")]).collect()
+    streamed = R.read_members(spark, [str(tmp_path / "a.tar")])
+    assert {r["matched"] for r in streamed.collect()} == {None}
+    assert sorted(map(tuple, streamed.drop("matched").collect())) == sorted(map(tuple, R.members(found).collect()))
+    listed = R.read_members(spark, [str(tmp_path / "a.tar")], ["none", "20-1", "0001_201"])
+    assert [(r["member_name"], r["matched"]) for r in listed.collect()] == [("x/0001-20-1.nc", "20-1")]
+    for wrong in ("none.tar", "none/*.tar"):
+        with pytest.raises(FileNotFoundError, match="none"):
+            R.read_members(spark, [str(tmp_path / "a.tar"), str(tmp_path / wrong)])
+    with pytest.raises(ValueError, match="no accessions"):
+        R.read_members(spark, [str(tmp_path / "a.tar")], [])
 
 
-@pytest.mark.parametrize("content", [True, False])
-def test_archives_keep_the_order_of_the_arguments(spark, tmp_path, content):
+def test_archives_keep_the_order_of_the_arguments(spark, tmp_path):
     for name, text in (("a.tar", b"from a"), ("b.tar.gz", b"from b")):
         (tmp_path / name).write_bytes(archive("w:gz" if name.endswith("gz") else "w", [("x/1.nc", text), (f"x/{name}.nc", b"own"), ("x/1.nc", b"again")]))
-    rows = S.members(S.archives(spark, [str(tmp_path / "b.tar.gz"), str(tmp_path / "a.tar")], content=content))
-    got = {(r["tar_pos"], r["tarball"].rsplit("/", 1)[1], r["member_pos"]) for r in rows.collect()}
-    assert got == {(k, n, m) for k, n in ((0, "b.tar.gz"), (1, "a.tar")) for m in range(3)}
-    first = S.first_per_key(rows, "member_name", list(S.READ_ORDER)).collect()
-    assert {r["member_name"]: bytes(r["content"]) for r in first}["x/1.nc"] == b"from b" and len(first) == 3
+    paths = [str(tmp_path / "b.tar.gz"), str(tmp_path / "a.tar")]
+    for rows in (R.read_members(spark, paths), R.members(R.archives(spark, paths))):
+        got = {(r["tar_pos"], r["tarball"].rsplit("/", 1)[1], r["member_pos"]) for r in rows.collect()}
+        assert got == {(k, n, m) for k, n in ((0, "b.tar.gz"), (1, "a.tar")) for m in range(3)}
+        first = S.first_per_key(rows, "member_name", list(S.READ_ORDER)).collect()
+        assert {r["member_name"]: bytes(r["content"]) for r in first}["x/1.nc"] == b"from b" and len(first) == 3
+
+
+def test_many_archives_are_one_scan_with_a_partition_each(spark, tmp_path):
+    (tmp_path / "some").mkdir()
+    for k in range(40):
+        (tmp_path / "some" / f"{k:02d}.tar").write_bytes(archive("w", [(f"{k}.nc", b"x")]))
+    (tmp_path / "some" / "_SUCCESS").write_bytes(b"")
+    rows = R.read_members(spark, [str(tmp_path / "some" / "3*.tar"), str(tmp_path / "some"), str(tmp_path / "some" / "07.tar")])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchScan") == 1 and "Union" not in plan
+    assert rows.rdd.getNumPartitions() == 10 + 40 + 1
+    got = [(r["tar_pos"], r["member_name"]) for r in rows.collect()]
+    assert got == [(0, f"{k}.nc") for k in range(30, 40)] + [(1, f"{k}.nc") for k in range(40)] + [(2, "7.nc")]
 
 
 def test_hooks_keep_the_type_of_item_ids(spark):
@@ -106,15 +127,15 @@ def test_views_are_kept_by_run(spark, tmp_path):
         read_canonical(spark, str(tmp_path / "views"), "r3")
 
 
-@pytest.mark.parametrize("block", [100_000, 1])
-def test_accession_list_and_match(spark, tmp_path, monkeypatch, block):
-    monkeypatch.setattr(S, "BROADCAST_LIST", block)
-    (tmp_path / "list").write_text("\n  00-1 \n\n0 \n")
+def test_accession_list_and_match(spark, tmp_path):
+    (tmp_path / "list").write_text("\n  00-1 \n\n0 \n")
     listed = S.accession_list(spark.read.text(str(tmp_path / "list")))
     assert [r["accession"] for r in listed.orderBy("list_pos").collect()] == ["00-1", "0"]
-    names = spark.createDataFrame([("a_0-01.nc",), ("b0",), ("c",)], "member_name string")
-    assert {r[0]: r[1] for r in S.match_accessions(names, listed).collect()} == {"a_0-01.nc": "00-1", "b0": "0"}
-    assert {r[0]: r[1] for r in S.match_accessions(names, None).collect()} == {"a_0-01.nc": None, "b0": None, "c": None}
+    names = spark.createDataFrame([("a_0-01.nc",), ("b0",), ("c",), ("b0",), (None,)], "member_name string")
+    matched = S.match_accessions(names, listed)
+    assert sorted(map(tuple, matched.collect())) == [("a_0-01.nc", "00-1"), ("b0", "0"), ("b0", "0")]
+    assert "NestedLoop" not in matched._jdf.queryExecution().executedPlan().toString()
+    assert {r[0]: r[1] for r in S.match_accessions(names, None).collect()} == {"a_0-01.nc": None, "b0": None, "c": None, None: None}
     with pytest.raises(ValueError, match="no accessions"):
         S.match_accessions(names, listed.limit(0))
     (tmp_path / "blank").write_text("\n  \n")
@@ -122,19 +143,72 @@ def test_accession_list_and_match(spark, tmp_path, monkeypatch, block):
         S.accession_list(spark.read.text(str(tmp_path / "blank")))
 
 
-def test_primary_document(spark):
-    rows = [(1, 1, "3"), (1, 2, " 2"), (1, 3, "2"), (2, 1, "9"), (2, 2, "x"), (3, 1, "-1"), (3, 2, "+0")]
-    docs = spark.createDataFrame(rows, "sub long, ordinal int, sequence string")
-    got = {(r["sub"], r["ordinal"]) for r in S.with_primary(docs, ["sub"]).where("primary").collect()}
-    assert got == {(1, 2), (2, 1), (3, 1)}
+def test_the_first_in_the_list_is_found_among_many_lengths(spark):
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("01-_") for _ in range(n))
+    entries = [word(rng.randint(1, 7)) for _ in range(40)] + ["--", "0123456789" * 30]
+    names = [word(rng.randint(0, 12)) for _ in range(80)]
+    plain = lambda x: x.replace("-", "").replace("_", "")
+    first = {n: next((e for e in entries if plain(e) in plain(n)), None) for n in names}
+    listed = spark.createDataFrame(list(enumerate(entries)), "list_pos long, accession string")
+    found = S.match_accessions(spark.createDataFrame([(n, 1) for n in names], "member_name string, list_pos int"), listed)
+    assert sorted(map(tuple, found.collect())) == sorted((n, 1, first[n]) for n in names if first[n] is not None)
+    assert {n: R.Listed(entries).first(n) for n in names} == first
+
+
+def documents(spark, *sections, keep=None, content=True):
+    """The kept documents of submissions that are given as lists of ``(type, sequence, filename)``."""
+    tag = lambda name, x: "" if x is None else f"<{name}>{x}\n"
+    texts = ["".join(f"<DOCUMENT>\n{tag('TYPE', t)}{tag('SEQUENCE', q)}{tag('FILENAME', f)}<TEXT>{t}</TEXT></DOCUMENT>" for t, q, f in own) for own in sections]
+    subs = spark.createDataFrame([(7, "a-1", x) for x in texts] + [(8, "b", None), (9, "b", "no documents")], "sub long, accession string, text string")
+    return S.with_documents(subs, keep, content=content)
+
+
+def test_primary_documents_and_defaults_inside_the_row(spark):
+    subs = documents(
+        spark,
+        [("A", "3", "f"), ("B", " 2", ""), ("A", "2", None)],
+        [("A", "9", "f"), ("B", "x", "f")],
+        [("A", "-1", "f"), ("B", "+0", "f")],
+        [("B", None, None), ("A", "", "g")],
+        [("A", "5", "f")] * 2,
+    )
+    assert "Exchange" not in subs._jdf.queryExecution().executedPlan().toString()
+    rows = [[(d["pos"], d["ordinal"], d["sequence"], d["filename"], d["primary"], d["item_id"]) for d in r["documents"]] for r in subs.collect()]
+    assert rows == [
+        [(0, 1, "3", "f", False, "a-1_3"), (1, 2, "2", "EX-10-2.html", True, "a-1_2"), (2, 3, "2", "EX-10-2.html", False, "a-1_2")],
+        [(0, 1, "9", "f", True, "a-1_9"), (1, 2, "x", "f", False, "a-1_x")],
+        [(0, 1, "-1", "f", True, "a-1_-1"), (1, 2, "+0", "f", False, "a-1__0")],
+        [(0, 1, "01", "EX-10-01.html", True, "a-1_01"), (1, 2, "02", "g", False, "a-1_02")],
+        [(0, 1, "5", "f", True, "a-1_5"), (1, 2, "5", "f", False, "a-1_5")],
+    ]
+
+
+def test_kept_documents_are_numbered_and_flattened(spark):
+    subs = documents(spark, [("A", None, None), ("B", None, None), ("C", None, None)], [("A", "1", "f")], keep=lambda d: d["type"] != "A")
+    flat = S.flat(subs)
+    assert flat.columns == ["sub", "accession", *S.DOCUMENT]
+    assert [tuple(r) for r in flat.select("pos", "ordinal", "type", "sequence", "content", "primary").collect()] == [(1, 1, "B", "01", "B", True), (2, 2, "C", "02", "C", False)]
+    bare = S.flat(documents(spark, [(f"T{k}", None, None) for k in range(120)], content=False))
+    assert "content" not in bare.columns and [r["sequence"] for r in bare.collect()][98:101] == ["99", "100", "101"]
+
+
+def test_items_from_archives_in_one_call(spark, tmp_path):
+    (tmp_path / "a.tar").write_bytes(archive("w", [("0001-20-000001.nc", FULL.encode()), ("7-7.nc", BARE.encode()), ("8-8.nc", BARE.encode())]))
+    listed = spark.createDataFrame([(0, "0001-20-000001"), (1, "7-7")], "list_pos long, accession string")
+    members = R.read_members(spark, [str(tmp_path / "a.tar")])
+    got = {(r["member_pos"], r["item_id"], r["primary"], r["cik"]) for r in S.items_of(members, listed).collect()}
+    assert got == {(0, "0001-20-000001_3", False, "7"), (0, "0001-20-000001_2", True, "7"), (0, "0001-20-000001_03", False, "7"), (1, "7-7_one", True, None)}
+    pushed = S.items_of(R.read_members(spark, [str(tmp_path / "a.tar")], ["0001-20-000001", "7-7"]))
+    assert sorted(r["item_id"] for r in pushed.collect()) == sorted(x[1] for x in got)
+    # without a list only the header says which submission it is
+    assert {r["member_pos"] for r in S.items_of(members).collect()} == {0}
 
 
-def test_doc_types_and_defaults(spark):
+def test_doc_types(spark):
     kinds = spark.createDataFrame([("EX-10.1",), ("ex-99",), (None,)], "type string")
     keep = lambda *a: [r[0] for r in kinds.where(S.doc_type_matches(kinds["type"], *a)).collect()]
     assert keep() == ["EX-10.1", "ex-99", None] and keep(["Ex-10"]) == ["EX-10.1"] and keep(None, "X-9") == ["ex-99"]
-    docs = spark.createDataFrame([(7, "", None), (100, None, ""), (1, "5", "f")], "ordinal int, sequence string, filename string")
-    assert [tuple(r)[1:] for r in S.with_defaults(docs).collect()] == [("07", "EX-10-07.html"), ("100", "EX-10-100.html"), ("5", "f")]
 
 
 def test_stage_checks_and_errors(spark, tmp_path):
