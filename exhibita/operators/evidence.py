@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.arrays import let
+
 #: Characters of context on either side.
 BANDWIDTH = 400
 ANCHOR_JSON = "anchors array<map<string, string>>"
@@ -29,16 +31,61 @@ def read_anchor_json(docs: DataFrame, item: str = "item_id", text: str = "json")
     return rows.select(item, *named, offset(a, "start").alias("start"), offset(a, "end").alias("end"))
 
 
-def snippets(selected: DataFrame, texts: DataFrame, item: str = "item_id", bandwidth: int = BANDWIDTH) -> DataFrame:
+#: Characters of the pieces that a text is cut into, so that no window is counted out from the text's beginning.
+PIECE = 8192
+#: Anchors of one item are nested by this many characters of its text.
+STRETCH = 1 << 22
+
+
+def windows_of(text: Column, spans: Column, bandwidth: int = BANDWIDTH) -> Column:
+    """For each of an array of structs with ``start`` and ``end``: ``(span, snippet_start, snippet_end, snippet)``.
+
+    The text is cut into pieces once, and each window is taken from those that it lies in, so that the work grows with
+    the text and the windows and not with their product.
+    """
+    size = F.length(text)
+
+    def cut(pieces: Column, a: Column, b: Column) -> Column:
+        first, last = F.floor(a / PIECE).cast("int"), F.floor((F.greatest(b, a + 1) - 1) / PIECE).cast("int")
+        own = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
+        return F.when(b > a, F.substring(own, a - first * PIECE + 1, b - a)).otherwise("")
+
+    def one(pieces: Column, s: Column) -> Column:
+        a, b = F.greatest(F.lit(0), s["start"] - bandwidth), F.least(size, s["end"] + bandwidth)
+        return F.struct(s.alias("span"), a.alias("snippet_start"), b.alias("snippet_end"), cut(pieces, a, b).alias("snippet"))
+
+    return let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)), lambda pieces: F.transform(spans, lambda s: one(pieces, s)))
+
+
+def one_text(texts: DataFrame, key: list[str], order: list[str] | None = None) -> DataFrame:
+    """``(*key, text)`` with one text for each key: where a key repeats the last by ``order``.
+
+    Without an order texts that repeat must be equal; an item with two different texts is an error that names it.
+    """
+    if order:
+        text = F.max_by("text", F.struct(*order))
+    else:
+        wrong = F.raise_error(F.concat(F.lit("two different texts of item "), F.concat_ws(", ", *[F.col(k).cast("string") for k in key]))).cast("string")
+        text = F.when(F.min("text") == F.max("text"), F.max("text")).when(F.max("text").isNotNull(), wrong)
+    return texts.groupBy(*key).agg(text.alias("text"))
+
+
+def snippets(selected: DataFrame, texts: DataFrame, item: str | list[str] = "item_id", bandwidth: int = BANDWIDTH, order: list[str] | None = None) -> DataFrame:
     """``selected`` (anchors with start and end) with the text around each: an inner join on the item.
 
-    A window that starts beyond the text is empty.
+    Every selected anchor gives one snippet, however often its item stands among the texts: of repeated items the last
+    text by ``order`` counts, see ``one_text``. ``item`` may be several columns, such as the id of a text's row. A window
+    that starts beyond the text is empty; null texts and null items have none. An item's anchors are nested before the
+    join, so that its text is joined and read once for each ``STRETCH`` of it.
     """
-    rows = selected.join(texts.select(item, F.col("text").alias("_t")), item)
-    a, b = F.greatest(F.lit(0), F.col("start") - bandwidth), F.least(F.length("_t"), F.col("end") + bandwidth)
-    rows = rows.withColumn("snippet_start", a).withColumn("snippet_end", b)
-    size = F.greatest(F.lit(0), F.col("snippet_end") - F.col("snippet_start"))
-    return rows.withColumn("snippet", F.substring("_t", F.col("snippet_start") + 1, size)).drop("_t")
+    key = [item] if isinstance(item, str) else list(item)
+    made = ("snippet_start", "snippet_end", "snippet")
+    rest = [c for c in selected.columns if c not in key and c not in made]
+    stretch = F.floor(F.col("start") / STRETCH)
+    nested = selected.groupBy(*key, stretch.alias("_stretch")).agg(F.collect_list(F.struct(*rest)).alias("_spans")).drop("_stretch")
+    text = one_text(texts, key, order).select(*key, F.col("text").alias("_text")).where("_text IS NOT NULL")
+    rows = nested.join(text, key).select(*key, F.explode(windows_of(F.col("_text"), F.col("_spans"), bandwidth)).alias("_w"))
+    return rows.select(*key, *[F.col("_w.span")[c].alias(c) for c in rest], *[F.col(f"_w.{c}").alias(c) for c in made])
 
 
 def to_json_lines(found: DataFrame) -> DataFrame:
@@ -47,10 +94,13 @@ def to_json_lines(found: DataFrame) -> DataFrame:
 
 
 def write_anchor_tsv(found: DataFrame, path: str, item: str = "item_id") -> None:
-    """Anchors as tab-separated files with a header; an item's anchors stand together and in order."""
+    """Anchors as tab-separated files with a header, written where they are made: in the order of ``found``.
+
+    ``anchors`` gives an item's anchors together and in order, so they stand so in the files, items in the order in which
+    their texts are read. Nothing is sampled, sorted or shuffled, and each text is worked out once.
+    """
     columns = [F.col(item).alias("item_id"), "anchor_id", "anchor_type", "start", "end", F.col("anchor_type").alias("label")]
-    rows = found.select(*columns).repartitionByRange("item_id", "start").sortWithinPartitions("item_id", "start")
-    rows.write.option("sep", "\t").option("header", True).csv(path)
+    found.select(*columns).write.option("sep", "\t").option("header", True).csv(path)
 
 
 def read_anchor_tsv(spark: SparkSession, path: str) -> DataFrame:

@@ -6,8 +6,9 @@ import tarfile
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
-from exhibita.operators import evidence, hooks, runs
+from exhibita.operators import anchors, evidence, hooks, runs
 from exhibita.sources import archives as R
 from exhibita.sources import submissions as S
 from exhibita.sources.tables import read_canonical, read_exhibits, read_prompt_views, work_dir, write_exhibits, write_views
@@ -243,6 +244,42 @@ def test_snippet_windows(spark):
     assert got == {(1, 0): ("0123", 0, 4), (1, 9): ("789𝒳", 7, 11), (1, 50): ("", 48, 11), (2, 0): ("", 0, 0)}
 
 
+def test_snippets_of_repeated_items(spark):
+    texts = spark.createDataFrame([(1, 1, "old text"), (1, 2, "the new text"), (2, 1, "x" * 30), (2, 2, "x" * 30), (None, 1, "y"), (3, 1, None)], "item_id long, ord int, text string")
+    chosen = spark.createDataFrame([(1, 0, 3, "a"), (1, 4, 7, "b"), (1, 4, 7, "b"), (2, 5, 6, "c"), (None, 0, 1, "d"), (3, 0, 1, "e")], "item_id long, start int, end int, snippet string")
+    with pytest.raises(Exception, match="two different texts of item 1"):
+        evidence.snippets(chosen, texts).collect()
+    got = evidence.snippets(chosen, texts, bandwidth=1, order=["ord"])
+    assert got.columns == ["item_id", "start", "end", "snippet_start", "snippet_end", "snippet"]
+    assert sorted(tuple(r)[:3] + (r["snippet"],) for r in got.collect()) == [(1, 0, 3, "the "), (1, 4, 7, " new "), (1, 4, 7, " new "), (2, 5, 6, "xxx")]
+    # each row of a text by its own key
+    own = evidence.snippets(chosen.withColumn("ord", F.lit(1)), texts, item=["item_id", "ord"], bandwidth=0)
+    assert sorted((r["item_id"], r["snippet"]) for r in own.collect()) == [(1, "old"), (1, "tex"), (1, "tex"), (2, "x")]
+
+
+def test_windows_of_long_texts(spark, monkeypatch):
+    rng = random.Random(4)
+    text = "".join(rng.choice("ab𝒳é\n") for _ in range(500))
+    monkeypatch.setattr(evidence, "PIECE", 7)
+    monkeypatch.setattr(evidence, "STRETCH", 50)
+    spans = [(1, a, a + rng.randint(0, 60)) for a in range(0, 520, 3)]
+    df = spark.createDataFrame(spans, "item_id long, start int, end int")
+    got = evidence.snippets(df, spark.createDataFrame([(1, text)], "item_id long, text string"), bandwidth=5)
+    rows = {(r["start"], r["end"]): (r["snippet"], r["snippet_start"], r["snippet_end"]) for r in got.collect()}
+    assert rows == {(a, b): (text[max(0, a - 5) : min(500, b + 5)], max(0, a - 5), min(500, b + 5)) for _, a, b in spans}
+
+
+def test_anchor_files_are_in_the_order_of_the_texts(spark, tmp_path):
+    texts = spark.createDataFrame([(k, "First sentence here. Second one here. Third one here.") for k in (5, 3, 9, 5)], "item_id long, text string").coalesce(1)
+    found = anchors.anchors(texts)
+    evidence.write_anchor_tsv(found, str(tmp_path / "tsv"))
+    lines = [x.split("\t") for f in sorted((tmp_path / "tsv").glob("*.csv")) for x in f.read_text().splitlines()]
+    assert lines[0] == ["item_id", "anchor_id", "anchor_type", "start", "end", "label"]
+    assert [x[:2] for x in lines[1:]] == [[str(k), f"A000{n}"] for k in (5, 3, 9, 5) for n in (1, 2, 3)]
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, evidence.read_anchor_tsv(spark, str(tmp_path / "tsv")).drop("label", "item_id").collect())) == sorted(map(tuple, found.drop("item_id").collect()))
+
+
 def test_filters(spark):
     docs = spark.createDataFrame([(1, "EX-1"), (2, None)], "cik long, type string")
     assert hooks.filter_documents(docs).count() == 2
