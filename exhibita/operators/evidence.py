@@ -31,8 +31,9 @@ def read_anchor_json(docs: DataFrame, item: str = "item_id", text: str = "json")
     return rows.select(item, *named, offset(a, "start").alias("start"), offset(a, "end").alias("end"))
 
 
-#: Characters of the pieces that a text is cut into, so that no window is counted out from the text's beginning.
-PIECE = 8192
+#: Texts of more than ``2 ** PIECE_BITS`` characters are cut into pieces of so many, so that no window is counted out from
+#: the text's beginning.
+PIECE_BITS = 13
 #: Anchors of one item are nested by this many characters of its text.
 STRETCH = 1 << 22
 
@@ -43,18 +44,25 @@ def windows_of(text: Column, spans: Column, bandwidth: int = BANDWIDTH) -> Colum
     The text is cut into pieces once, and each window is taken from those that it lies in, so that the work grows with
     the text and the windows and not with their product.
     """
-    size = F.length(text)
+    many = 1 << PIECE_BITS
 
-    def cut(pieces: Column, a: Column, b: Column) -> Column:
-        first, last = F.floor(a / PIECE).cast("int"), F.floor((F.greatest(b, a + 1) - 1) / PIECE).cast("int")
+    def cut(pieces: Column, w: Column) -> Column:
+        a, size = w["snippet_start"], w["snippet_end"] - w["snippet_start"]
+        first, last = F.shiftright(a, PIECE_BITS), F.shiftright(w["snippet_end"] - 1, PIECE_BITS)
         own = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
-        return F.when(b > a, F.substring(own, a - first * PIECE + 1, b - a)).otherwise("")
+        whole = F.substring(text, a + 1, size)
+        return F.when(size <= 0, "").when(F.size(pieces) == 0, whole).otherwise(F.substring(own, a.bitwiseAND(many - 1) + 1, size))
 
-    def one(pieces: Column, s: Column) -> Column:
-        a, b = F.greatest(F.lit(0), s["start"] - bandwidth), F.least(size, s["end"] + bandwidth)
-        return F.struct(s.alias("span"), a.alias("snippet_start"), b.alias("snippet_end"), cut(pieces, a, b).alias("snippet"))
+    def placed(size: Column) -> Column:
+        at = lambda s: F.struct(s.alias("span"), F.greatest(F.lit(0), s["start"] - bandwidth).alias("snippet_start"), F.least(size, s["end"] + bandwidth).alias("snippet_end"))
+        return F.transform(spans, at)
 
-    return let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)), lambda pieces: F.transform(spans, lambda s: one(pieces, s)))
+    def windows(pieces: Column) -> Column:
+        own = let(F.length(text), placed)
+        return F.transform(own, lambda w: F.struct(*[w[c].alias(c) for c in ("span", "snippet_start", "snippet_end")], cut(pieces, w).alias("snippet")))
+
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{many}}}"), F.lit(0))
+    return let(F.when(F.length(text) > many, pieces).otherwise(F.array().cast("array<string>")), windows)
 
 
 def one_text(texts: DataFrame, key: list[str], order: list[str] | None = None) -> DataFrame:

@@ -257,10 +257,11 @@ def test_snippets_of_repeated_items(spark):
     assert sorted((r["item_id"], r["snippet"]) for r in own.collect()) == [(1, "old"), (1, "tex"), (1, "tex"), (2, "x")]
 
 
-def test_windows_of_long_texts(spark, monkeypatch):
+@pytest.mark.parametrize("bits", [2, 3, 13])
+def test_windows_of_long_texts(spark, monkeypatch, bits):
     rng = random.Random(4)
     text = "".join(rng.choice("ab𝒳é\n") for _ in range(500))
-    monkeypatch.setattr(evidence, "PIECE", 7)
+    monkeypatch.setattr(evidence, "PIECE_BITS", bits)
     monkeypatch.setattr(evidence, "STRETCH", 50)
     spans = [(1, a, a + rng.randint(0, 60)) for a in range(0, 520, 3)]
     df = spark.createDataFrame(spans, "item_id long, start int, end int")
