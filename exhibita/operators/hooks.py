@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from . import resume
 
 #: What an indexing function gives for each anchor.
 SELECTED = "anchor_id string, label string, type string, start int, end int"
@@ -29,22 +34,87 @@ def filter_callable(docs: DataFrame, keep: Callable[[dict, dict], bool], submiss
     return docs.where(judge(F.struct(*submission), F.struct(*document)))
 
 
-def index_items(views: DataFrame, prompt: str, select: Callable[[str, str], list[dict]], item: str = "item_id") -> DataFrame:
+def _digest(*parts: Column) -> Column:
+    """A digest of texts that tells nulls and boundaries apart."""
+    return F.sha2(F.concat(*[F.coalesce(F.concat(F.lit("="), F.octet_length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts]), 256)
+
+
+def prompt_digest(prompt: str) -> str:
+    """The hex SHA-256 of a prompt."""
+    return hashlib.sha256(prompt.encode()).hexdigest()
+
+
+def index_items(views: DataFrame, prompt: str, select: Callable[[str, str], list[dict]], item: str = "item_id", store: str | None = None) -> DataFrame:
     """Anchors that ``select(prompt, view)`` picks in each item's view, with the prompt's fingerprint.
 
-    Item ids keep the type that they have in ``views``, and the name ``item``.
+    Item ids keep the type that they have in ``views``, and the name ``item``; a null view is empty. With ``store``, a
+    folder that all machines share, the result of each call is kept there under the item, its view and the prompt: calls
+    that have ended are never made again, whatever becomes of the job, and repeated rows are one call. See ``resume``.
     """
-    schema = T.StructType([T.StructField(item, views.schema[item].dataType), *T.StructType.fromDDL(SELECTED)])
+    values = T.StructType.fromDDL(SELECTED)
+    sha256 = prompt_digest(prompt)
+    if store is None:
+        schema = T.StructType([T.StructField(item, views.schema[item].dataType), *values])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                rows = [{item: i, **a} for i, v in zip(batch[item], batch["text"], strict=True) for a in select(prompt, v or "")]
+                yield pd.DataFrame(rows, columns=schema.names)
+
+        return views.select(item, "text").mapInPandas(run, schema).withColumn("prompt_sha256", F.lit(sha256))
+
+    folder, key = f"{store.rstrip('/')}/index-{sha256}", _digest(F.col(item).cast("string"), F.col("text"))
+    todo = views.select(key.alias("key"), F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["key"])
+    todo = todo.join(resume.kept(views.sparkSession, folder, values).where("mark").select("key"), "key", "left_anti")
+
+    def calls(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, Iterator[pd.DataFrame]]]:
         for batch in batches:
-            rows = [{item: i, **a} for i, v in zip(batch[item], batch["text"], strict=True) for a in select(prompt, v or "")]
-            yield pd.DataFrame(rows, columns=schema.names)
+            for own, view in zip(batch["key"], batch["text"], strict=True):
+                yield own, (pd.DataFrame(select(p, view), columns=values.names) for p in (prompt,))
 
-    found = views.select(item, "text").mapInPandas(run, schema)
-    return found.withColumn("prompt_sha256", F.lit(hashlib.sha256(prompt.encode()).hexdigest()))
+    keep = resume.each_call(folder, values, calls)
+    todo.mapInPandas(lambda batches: (pd.DataFrame({"key": [k]}) for k in keep(batches)), "key string").write.format("noop").mode("overwrite").save()
+    found = resume.kept(views.sparkSession, folder, values).where("NOT mark").select("key", "value.*")
+    return views.select(item, key.alias("key")).join(found, "key").drop("key").withColumn("prompt_sha256", F.lit(sha256))
 
 
-def extract_items(snippets: DataFrame, prompt: str, extract: Callable[[str, pd.DataFrame], pd.DataFrame], schema: str, item: str = "item_id") -> DataFrame:
-    """What ``extract(prompt, snippets of one item)`` makes of each item's snippets."""
-    return snippets.groupBy(item).applyInPandas(lambda rows: extract(prompt, rows), schema)
+def extract_items(
+    snippets: DataFrame, prompt: str, extract: Callable[[str, Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str, item: str = "item_id", order: list[str] | None = None, store: str | None = None
+) -> DataFrame:
+    """What ``extract(prompt, snippets)`` makes of each item's snippets, which it gets as a stream of frames in ``order``.
+
+    It may give its rows as a stream too, so an item with any number of snippets takes the memory of one batch; a function
+    that wants them at once can ``pd.concat`` the stream. With ``store`` results are kept as in ``index_items``, under the
+    item, its snippets and the prompt.
+    """
+    order = [c for c in order or () if c != item]
+    values, session = T.StructType.fromDDL(schema), snippets.sparkSession
+    arrow = to_arrow_schema(values)
+
+    if store is None:
+        sorted_ = snippets.repartition(item).sortWithinPartitions(item, *order)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for made in extract(prompt, (b.to_pandas() for b in batches)):
+                yield pa.RecordBatch.from_pandas(made[arrow.names], arrow, preserve_index=False)
+
+        return sorted_.groupBy(item).applyInArrow(run, values)
+
+    folder = f"{store.rstrip('/')}/extract-{prompt_digest(prompt)}"
+    whole = F.struct(*snippets.columns)
+    # equal for equal snippets in whatever order they come
+    sums = snippets.groupBy(item).agg(F.count("*").alias("n"), F.sum(F.xxhash64(whole).cast("decimal(38,0)")).alias("a"), F.sum(F.crc32(F.to_json(whole).cast("binary"))).alias("b"))
+    keys = sums.select(F.col(item).alias("_item"), _digest(*[F.col(c).cast("string") for c in (item, "n", "a", "b")]).alias("_key"))
+    todo = keys.join(resume.kept(session, folder, values).where("mark").select(F.col("key").alias("_key")), "_key", "left_anti")
+    rows = snippets.join(todo, snippets[item].eqNullSafe(todo["_item"])).drop("_item")
+    rows = rows.repartition("_key").sortWithinPartitions("_key", *order)
+
+    def calls(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, Iterator[pd.DataFrame]]]:
+        parts = (x for batch in batches for x in batch.groupby("_key", sort=False))
+        for own, group in itertools.groupby(parts, key=lambda x: x[0]):
+            yield own, extract(prompt, (part.drop(columns="_key") for _, part in group))
+
+    keep = resume.each_call(folder, values, calls)
+    rows.mapInPandas(lambda batches: (pd.DataFrame({"key": [k]}) for k in keep(batches)), "key string").write.format("noop").mode("overwrite").save()
+    found = resume.kept(session, folder, values).where("NOT mark")
+    return found.join(keys.select(F.col("_key").alias("key")), "key", "left_semi").select("value.*")

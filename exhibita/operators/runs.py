@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import exists
+
 
 def run_record(run_id: str, accessions: DataFrame, items: DataFrame, tarballs: list[str], filters: dict[str, str]) -> DataFrame:
     """One row for each accession of a run, with its inputs; items stay a table of their own."""
@@ -36,6 +42,74 @@ def merge_properties(*updates: DataFrame) -> DataFrame:
     return both.groupBy("run_id", "key").agg(F.max_by("value", "seq").alias("value"))
 
 
+class Properties:
+    """Run properties ``(run_id, key, value)`` that are kept in a folder and merged by any number of writers.
+
+    A merge is a generation: its rows are written to a folder of their own, and then one small file in the log names it.
+    Nothing is overwritten and no pointer is shared, so of two merges at once none is lost, and one that fails half way
+    is never seen. Of a key's values that of the latest generation counts, and in a generation that with the highest
+    ``seq``. ``compact`` writes a generation that stands for all before it; its entry in the log names those, which
+    readers then leave out. What has been replaced is removed by ``clean``, when no reader needs it any more.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _commit(self, rows: DataFrame, stamp: int | None = None, replaces: list[str] | None = None) -> None:
+        name = uuid.uuid4().hex
+        rows.write.parquet(f"{self.path}/data/{name}")
+        entry = {"generation": name, "stamp": time.time_ns() if stamp is None else stamp, "replaces": replaces or []}
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/log/.{name}.json")
+        files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        out = files.create(path)
+        out.write(bytearray(json.dumps(entry).encode()))
+        out.close()
+        files.rename(path, context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/log/{name}.json"))
+
+    def _log(self) -> tuple[dict[str, int], set[str]]:
+        """Stamps of the generations that count, and the names of those that do not."""
+        if not exists(self.spark, f"{self.path}/log"):
+            return {}, set()
+        rows = self.spark.read.schema("generation string, stamp long, replaces array<string>").json(f"{self.path}/log").collect()
+        gone = {g for r in rows for g in r["replaces"]}
+        return {r["generation"]: r["stamp"] for r in rows if r["generation"] not in gone}, gone
+
+    def merge(self, updates: DataFrame) -> None:
+        """Adds updates ``(run_id, key, value, seq)``, or without ``seq`` where keys are given once."""
+        seq = F.col("seq").cast("long") if "seq" in updates.columns else F.lit(0).cast("long")
+        self._commit(updates.select("run_id", "key", "value", seq.alias("seq"), F.lit(None).cast("long").alias("stamp")))
+
+    def _rows(self, live: dict[str, int]) -> DataFrame:
+        """The last value of each key, with the stamp of the merge that it came with."""
+        if not live:
+            return self.spark.createDataFrame([], "run_id string, key string, value string, seq long, stamp long")
+        rows = self.spark.read.parquet(*[f"{self.path}/data/{g}" for g in live])
+        stamps = self.spark.createDataFrame(list(live.items()), "_generation string, _stamp long")
+        generation = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+        rows = rows.withColumn("_generation", generation).join(F.broadcast(stamps), "_generation")
+        order = F.struct(F.coalesce("stamp", "_stamp").alias("stamp"), "seq", "_generation")
+        last = rows.groupBy("run_id", "key").agg(F.max_by(F.struct("value", "seq"), order).alias("v"), F.max(order).alias("o"))
+        return last.select("run_id", "key", "v.value", "v.seq", "o.stamp")
+
+    def read(self, run_id: str | None = None) -> DataFrame:
+        """``(run_id, key, value)``, of one run or of all; an empty store has no rows."""
+        rows = self._rows(self._log()[0])
+        return (rows if run_id is None else rows.where(F.col("run_id") == run_id)).select("run_id", "key", "value")
+
+    def compact(self) -> None:
+        """Writes one generation in place of all that there are now; merges that are made meanwhile stay beside it."""
+        live = self._log()[0]
+        if len(live) > 1:
+            self._commit(self._rows(live), max(live.values()), sorted(live))
+
+    def clean(self) -> int:
+        """Removes the rows of generations that others have replaced, and says how many generations they were."""
+        gone, context = self._log()[1], self.spark.sparkContext
+        paths = [context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/data/{g}") for g in gone]
+        return sum(p.getFileSystem(context._jsc.hadoopConfiguration()).delete(p, True) for p in paths)
+
+
 def prompts(spark: SparkSession, paths: list[str]) -> DataFrame:
     """``(path, sha256, content)`` of prompt files; a path that does not exist is an error."""
     return fingerprints(spark.read.format("binaryFile").load(paths), "content")

@@ -361,8 +361,12 @@ def run_record(spark, sf_dir):
 @query("""SELECT 'r' || doc_id % 10 AS run_id, 'k' || doc_id % 7 AS key, arg_max(v, s) AS value FROM (
 SELECT doc_id, source AS v, doc_id AS s FROM documents UNION ALL SELECT doc_id, 'q' || quality, doc_id + 100000000 FROM labels) GROUP BY 1, 2""")
 def run_merge(spark, sf_dir):
-    """Run properties after two rounds of updates."""
+    """Run properties after two merges into a store that is then compacted."""
     keys = ["concat('r', doc_id % 10) AS run_id", "concat('k', doc_id % 7) AS key"]
     first = table(spark, sf_dir, "documents").selectExpr(*keys, "source AS value", "doc_id AS seq")
     second = table(spark, sf_dir, "labels").selectExpr(*keys, "concat('q', quality) AS value", "doc_id + 100000000 AS seq")
-    return runs.merge_properties(first, second)
+    store = runs.Properties(spark, work_dir(spark))
+    store.merge(first)
+    store.merge(second)
+    store.compact()
+    return store.read()

@@ -10,11 +10,10 @@ import tarfile
 import uuid
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import spread, table, work_dir
+from ..sources.tables import file_system, spread, table, work_dir
 
 #: Both dialects: the fields that each document has in its filing.
 _FIELDS = """
@@ -112,7 +111,7 @@ def packed_files(spark: SparkSession, sf_dir: str) -> str:
     def write(batches):
         for batch in batches:
             for name, content in zip(batch.column("tarball").to_pylist(), batch.column("content"), strict=True):
-                files, folder = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+                files, folder = file_system(path)
                 files.create_dir(folder, recursive=True)
                 part = f"{folder}/.{name}.{uuid.uuid4().hex}"
                 with files.open_output_stream(part) as out:

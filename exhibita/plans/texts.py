@@ -377,7 +377,8 @@ def index_hook(spark, sf_dir):
         at = view.find(prompt)
         return [] if at < 0 else [{"anchor_id": "A0001", "label": "hit", "type": "sentence", "start": at, "end": at + len(prompt)}]
 
-    return hooks.index_items(inputs.prose(spark, sf_dir).withColumn("item_id", F.concat("item_id", F.lit("_01"))), _WORD, select)
+    views = inputs.prose(spark, sf_dir).withColumn("item_id", F.concat("item_id", F.lit("_01")))
+    return hooks.index_items(views, _WORD, select, store=work_dir(spark))
 
 
 @query("extract_hook", _SNIPPETS + " SELECT item_id, count(*) AS n, CAST(sum(length(snippet)) AS BIGINT) AS chars FROM snippets GROUP BY 1")
@@ -385,7 +386,11 @@ def extract_hook(spark, sf_dir):
     """What a plugged-in function makes of each item's snippets."""
     import pandas as pd
 
-    def extract(prompt, rows):
-        return pd.DataFrame({"item_id": rows["item_id"].iloc[:1], "n": [len(rows)], "chars": [int(rows["snippet"].str.len().sum())]})
+    def extract(prompt, frames):
+        item, n, chars = None, 0, 0
+        for rows in frames:
+            item, n, chars = rows["item_id"].iloc[0], n + len(rows), chars + int(rows["snippet"].str.len().sum())
+        yield pd.DataFrame({"item_id": [item], "n": [n], "chars": [chars]})
 
-    return hooks.extract_items(_snippets(spark, sf_dir).select("item_id", "snippet"), "count", extract, "item_id long, n long, chars long")
+    found = _snippets(spark, sf_dir).select("item_id", "start", "snippet")
+    return hooks.extract_items(found, "count", extract, "item_id long, n long, chars long", order=["start"])

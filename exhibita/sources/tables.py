@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,15 +37,43 @@ def work_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/exhibita-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, on any file system that Spark knows."""
+    context = spark.sparkContext
+    own = context._jvm.org.apache.hadoop.fs.Path(path)
+    return own.getFileSystem(context._jsc.hadoopConfiguration()).exists(own)
+
+
+def file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path and the path in it, for tasks that write files of their own."""
+    return fs.FileSystem.from_uri(path if path.startswith("file:") or "://" in path else f"file://{os.path.abspath(path)}")
+
+
 def write_exhibits(exhibits: DataFrame, path: str) -> None:
     """Adds exhibits ``(run_id, item_id, order, html)``; of repeated items the last counts when they are read."""
     exhibits.write.mode("append").partitionBy("run_id").parquet(path)
 
 
+#: Rows that are broadcast at most, some 150 bytes each.
+BROADCAST_ROWS = 200_000
+
+
 def read_exhibits(spark: SparkSession, path: str, run_id: str) -> DataFrame:
-    """``(item_id, html)`` of a run; only its partition is read."""
+    """``(item_id, html)`` of a run; only its partition is read. Of repeated items the one with the highest order counts.
+
+    Which row that is is settled on items, orders and places in the files alone. What is sent to the HTML are the places
+    of rows that do not count: broadcast where they are few, so that no HTML is shuffled, and joined by place otherwise.
+    Where items and orders are equal the later place in the files counts.
+    """
     rows = spark.read.parquet(path).where(F.col("run_id") == run_id)
-    return rows.groupBy("item_id").agg(F.max_by("html", "order").alias("html"))
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    known = rows.select("item_id", F.struct(F.col("order"), place.alias("place")).alias("at"))
+    last = known.groupBy("item_id").agg(F.max("at").alias("last"), F.count("*").alias("n")).where("n > 1")
+    lost = known.join(last, known["item_id"].eqNullSafe(last["item_id"])).where("at <> last").select("at.place.*")
+    if lost.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        lost = F.broadcast(lost)
+    placed = rows.select("item_id", "html", place["file"].alias("file"), place["row"].alias("row"))
+    return placed.join(lost, ["file", "row"], "left_anti").select("item_id", "html")
 
 
 def write_views(texts: DataFrame, path: str, run_id: str) -> None:

@@ -3,14 +3,18 @@
 import io
 import random
 import tarfile
+from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from exhibita.operators import anchors, evidence, hooks, runs
 from exhibita.sources import archives as R
 from exhibita.sources import submissions as S
+from exhibita.sources import tables
 from exhibita.sources.tables import read_canonical, read_exhibits, read_prompt_views, work_dir, write_exhibits, write_views
 
 FULL = """<SUBMISSION>
@@ -281,6 +285,98 @@ def test_anchor_files_are_in_the_order_of_the_texts(spark, tmp_path):
     assert sorted(map(tuple, evidence.read_anchor_tsv(spark, str(tmp_path / "tsv")).drop("label", "item_id").collect())) == sorted(map(tuple, found.drop("item_id").collect()))
 
 
+def test_indexing_resumes_and_calls_no_item_twice(spark, tmp_path):
+    log, fails = tmp_path / "log", tmp_path / "fails"
+    log.mkdir()
+    fails.write_text("")
+
+    def select(prompt, view):
+        if view.endswith("7") and fails.exists():
+            raise RuntimeError("out of order")
+        with open(log / view, "a") as f:
+            f.write("x")
+        return [{"anchor_id": f"A{k}", "label": prompt, "type": "sentence", "start": 0, "end": None} for k in range(int(view[-1]) % 3)]
+
+    views = spark.createDataFrame([(k if k else None, f"view {k}") for k in range(40)] + [(3, "view 3")], "item_id long, text string")
+    run = lambda: hooks.index_items(views, "p", select, store=str(tmp_path / "store"))
+    with pytest.raises(Exception, match="out of order"):
+        run()
+    done = {f.name for f in log.iterdir()}
+    assert 0 < len(done) < 40
+    fails.unlink()
+    for _ in range(2):
+        rows = [tuple(r) for r in run().collect()]
+        assert sorted(Counter((r[0] or 0) for r in rows).items()) == sorted({k: (k % 10) % 3 * (2 if k == 3 else 1) for k in range(40) if (k % 10) % 3}.items())
+    assert {f.name: f.read_text() for f in log.iterdir()} == {f"view {k}": "x" for k in range(40)}
+    assert rows[0][5] is None and rows[0][6] == hooks.prompt_digest("p")
+    # another prompt is another call
+    assert hooks.index_items(views.where("item_id = 5"), "q", select, store=str(tmp_path / "store")).count() == 2
+    assert (log / "view 5").read_text() == "xx"
+
+
+@pytest.mark.parametrize("kept", [False, True])
+def test_extraction_streams_an_items_snippets_in_order(spark, tmp_path, kept):
+    calls = tmp_path / "calls"
+    calls.write_text("")
+
+    def extract(prompt, frames):
+        item, n, last, most = None, 0, -1, 0
+        for rows in frames:
+            item, n, most = rows["item_id"].iloc[0], n + len(rows), max(most, len(rows))
+            assert list(rows["start"]) == list(range(last + 1, last + 1 + len(rows)))
+            last += len(rows)
+        with open(calls, "a") as f:
+            f.write("x")
+        if n > 1:
+            yield pd.DataFrame({"item_id": [item], "n": [n], "most": [most]})
+
+    rows = spark.range(30_000).selectExpr("if(id < 29990, 1, id) AS item_id", "if(id < 29990, id, 0) AS start").repartition(8)
+    store = str(tmp_path / "store") if kept else None
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    try:
+        run = lambda: [tuple(r) for r in hooks.extract_items(rows, "p", extract, "item_id long, n long, most long", order=["start"], store=store).collect()]
+        assert run() == [(1, 29990, 1000)]
+        assert run() == [(1, 29990, 1000)]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(calls.read_text()) == (11 if kept else 22)
+
+
+def test_merges_at_once_are_both_kept(spark, tmp_path):
+    update = lambda *rows: spark.createDataFrame(list(rows), "run_id string, key string, value string")
+    store = runs.Properties(spark, str(tmp_path / "runs"))
+    read = lambda: {(r["run_id"], r["key"]): r["value"] for r in store.read().collect()}
+    assert read() == {}
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda k: runs.Properties(spark, store.path).merge(update(("r", f"k{k}", f"v{k}"), ("s", f"k{k}", None))), range(6)))
+    expected = {(r, f"k{k}"): f"v{k}" if r == "r" else None for r in "rs" for k in range(6)}
+    assert read() == expected
+    store.merge(update(("r", "k1", "new")))
+    expected["r", "k1"] = "new"
+    assert read() == expected and store.read("r").count() == 6
+    # a merge that is cut off before it is committed is not seen
+    update(("r", "k2", "lost")).write.parquet(str(tmp_path / "runs" / "data" / "half"))
+    assert read() == expected
+    store.compact()
+    assert read() == expected and len(store._log()[0]) == 1
+    assert store.clean() == 7 and read() == expected
+    store.merge(spark.createDataFrame([("r", "k3", "b", 2), ("r", "k3", "a", 1)], "run_id string, key string, value string, seq int"))
+    expected["r", "k3"] = "b"
+    store.compact()
+    assert read() == expected
+
+
+def test_exhibits_are_chosen_by_their_places(spark, tmp_path, monkeypatch):
+    rows = [("r", i, k, f"{i}-{k}") for i in ("a", "b", None) for k in range(5)] + [("r", "c", 1, "only"), ("s", "a", 9, "other run"), ("r", "b", 4, "b-4")]
+    write_exhibits(spark.createDataFrame(rows, "run_id string, item_id string, order int, html string").repartition(3), str(tmp_path / "ex"))
+    for most in (200_000, 0):
+        monkeypatch.setattr(tables, "BROADCAST_ROWS", most)
+        found = read_exhibits(spark, str(tmp_path / "ex"), "r")
+        assert sorted(map(tuple, found.collect()), key=str) == sorted([("a", "a-4"), ("b", "b-4"), (None, "None-4"), ("c", "only")], key=str)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert ("html" in "".join(x for x in plan.splitlines() if "Exchange hash" in x)) is False
+
+
 def test_filters(spark):
     docs = spark.createDataFrame([(1, "EX-1"), (2, None)], "cik long, type string")
     assert hooks.filter_documents(docs).count() == 2
