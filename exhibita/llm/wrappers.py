@@ -8,10 +8,12 @@ folded streams only, in groups of bounded size whose wrappers are aligned in tur
 is no heavier than its number of different layouts.
 
 Every page is then matched against its host's wrapper, which says to which slot each of its texts belongs. What a slot
-holds over all pages of the host decides: text that never changes is the template's, not the article's; lists of links
-are menus; the article is where most of the text stands that changes and is not in links. Names of elements and classes
-take out what no count can tell (adverts, comments, forms), and where the text leaves it open they say which container
-is the article.
+holds over all pages of the host decides: the article is where most of the text stands that changes and is not in links.
+Names only hint. Elements that cannot hold an article (navigation, footers, comments, adverts, scripts, what is hidden)
+are left out at once. Others that sound like surroundings (a form, ``social``, ``widget``) are marked and stay in the
+stream; a marked element counts as content if it outweighs the text outside marks, see ``_opened``. Inside the article
+nothing else is dropped. Where no element is named as the article, text that is the same on several different pages and
+lists of links are the template's, if most of their container's text changes.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import html
 import json
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
 import pyarrow as pa
@@ -40,8 +42,12 @@ BROADCAST_BYTES = 8 << 20
 DEPTH = 60
 #: Pairs of siblings that are compared at most to align two levels; longer ones are aligned by their labels alone.
 PAIRS = 100_000
-#: Pages of a host that must have a slot before text that never changes there is the template's.
+#: Different pages of a host that must have a slot before text that never changes there is the template's. Pages that
+#: repeat count once.
 LEAST_PAGES = 5
+#: How many times the unmarked text a marked element must weigh to count as content: where it sounds like an article too,
+#: or is a form, and where it does not; first without, then with an article or main element that has text outside marks.
+OPENS = {"^": (1, 5), "-": (3, 10)}
 #: The share of the text that a container must hold to be followed, and of link text that makes a list a menu.
 MOST, LINKS = 0.75, 0.9
 #: How much text that never changes weighs beside text that does.
@@ -75,26 +81,31 @@ _ENDS = {
 }
 #: Elements that an implied end does not reach across.
 _WALL = frozenset("article aside body div footer form header html main nav ol section table td th ul dl blockquote".split())
-#: Elements, and words in class, id or role, of surroundings.
-_AROUND_TAGS = frozenset("nav footer aside form head menu dialog button select option input label fieldset".split()) | _RAW
+#: Elements, and words in class, id or role, of what is no article whatever it holds.
+_AROUND_TAGS = frozenset("nav footer aside head menu dialog button select option input label".split()) | _RAW
 _AROUND_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising adsense alert banner breadcrumb breadcrumbs comment comments complementary "
-    "consent contentinfo cookie cookies dialog discussion disqus footer form gdpr login masthead menu modal nav navbar "
-    "navigation newsletter notice notices notification overlay pager pagination popup promo promotion recommended "
-    "related replies respond search share sharing sidebar signup social sponsor sponsored subscribe subscription "
-    "toolbar widget".split()
+    "ad ads advert adverts advertisement advertising adsense breadcrumb breadcrumbs comment comments complementary consent "
+    "contentinfo cookie cookies dialog discussion disqus footer gdpr menu nav navbar navigation replies respond sidebar".split()
+)
+#: Elements and words that are only marked.
+_MARKED_TAGS = frozenset(("form", "fieldset"))
+_MARKED_WORDS = frozenset(
+    "alert banner form login masthead modal newsletter notice notices notification overlay pager pagination popup promo "
+    "promotion recommended related search share sharing signup social sponsor sponsored subscribe subscription toolbar "
+    "widget".split()
 )
 _ARTICLE_WORDS = frozenset("article articlebody content entry main post story".split())
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Blocks of running text, which are no container.
-_CONTAINERS = frozenset(("div", "section", "main*", "div*", "section*"))
+_CONTAINERS = frozenset(("div", "section", "main*", *(f"{x}{mark}" for x in ("div", "section", "form") for mark in "*^-")))
 #: Elements of which neighbours are one repeated group, whatever they hold.
 _REPEATED = frozenset(("#", "p", "li", "tr", "td", "th", "dt", "dd", "option"))
 _TEXTUAL = frozenset(("#", "p", "li", "pre", "td", "dd", "dt", "blockquote", *_HEADING))
 
 
 def _label(tag: str, attributes: str) -> str:
-    """The element's name, marked ``!`` for surroundings, ``~`` for a page or article header, ``*`` for a likely article."""
+    """The element's name with a mark: ``!`` for what is no article, ``-`` for what sounds like surroundings, ``^`` for what
+    sounds like both or is a form, ``~`` for a page or article header, ``*`` for a likely article."""
     words: set[str] = set()
     for name, a, b, c in _ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), a or b or c
@@ -102,10 +113,13 @@ def _label(tag: str, attributes: str) -> str:
             words.update(w.lower() for w in _WORD.findall(_BESIDE.sub("", value)))
         elif name == "hidden" and value.lower() != "until-found" or name == "aria-hidden" and value.lower() == "true":
             words.add("dialog")
-    if tag in _AROUND_TAGS or words & _AROUND_WORDS and tag not in ("html", "body", "article", "main"):
+    whole = tag in ("html", "body", "article", "main")
+    if tag in _AROUND_TAGS or words & _AROUND_WORDS and not whole:
         return f"{tag}!"
     if tag == "article" and words & {"comment", "comments", "related", "promo", "ad", "sponsored", "teaser"}:
         return f"{tag}!"
+    if tag in _MARKED_TAGS or words & _MARKED_WORDS and not whole:
+        return f"{tag}^" if tag in _MARKED_TAGS or words & _ARTICLE_WORDS else f"{tag}-"
     if tag == "header" or "header" in words:
         return f"{tag}~"
     if tag not in ("html", "body") and (tag in ("article", "main") or words & _ARTICLE_WORDS):
@@ -157,8 +171,8 @@ def node_of(plain: list) -> Node:
 def parse(source: str) -> tuple[Node, list[tuple[str, int]]]:
     """The blocks of a page that may belong to an article, and its texts: each line with its characters in links.
 
-    Surroundings, hidden elements and elements without markup give nothing; of a header within an article its headings
-    count. White space inside a line is one space, character references are decoded.
+    What is no article, hidden elements and elements without markup give nothing; marked elements are kept with their
+    marks; of a header within an article its headings count. White space inside a line is one space, character references are decoded.
     """
     root = Node("")
     stack: list[tuple] = []  # tag, node, surroundings, header, heading, article, link
@@ -225,7 +239,9 @@ def parse(source: str) -> tuple[Node, list[tuple[str, int]]]:
         stack.append((tag, node, depth, around, header, heading, article, link))
         opened[tag] += 1
         mark = name[-1]
-        around, link, heading = around or mark == "!", link or tag == "a", heading or tag in _HEADING
+        # a mark can only be weighed on a block; inline it takes the text out
+        around = around or mark == "!" or mark == "-" and tag not in _BLOCK
+        link, heading = link or tag == "a", heading or tag in _HEADING
         header = header or mark == "~"
         if header and not article:
             around = True
@@ -416,40 +432,91 @@ def matched(page: Node, wrapper: Node) -> dict[int, int]:
 # ---- slots ----
 
 
-def article_texts(page: Node, slot_of: dict[int, int], slots: dict[int, tuple[int, int, int, bool]]) -> set[int]:
+#: What is known of a slot over all pages of a host: pages, characters, those in links, whether it always holds the same
+#: text, and how many different pages have it (counted to ``LEAST_PAGES``).
+Slot = tuple[int, int, int, bool, int]
+
+
+def _is_marked(node: Node) -> bool:
+    return node.label[-1:] in OPENS
+
+
+def _opened(page: Node, weight: Callable[[Node], float]) -> set[int]:
+    """The marked elements that count as content, as ``id``s.
+
+    The heaviest is opened as long as it weighs enough beside all text outside marks, or there is no such text. What is
+    inside it and not marked again is then outside marks itself.
+    """
+    opened: set[int] = set()
+    while True:
+        free, named_, marked, stack = 0.0, 0.0, [], [(page, False)]
+        while stack:
+            node, article = stack.pop()
+            if _is_marked(node) and id(node) not in opened:
+                marked.append(node)
+                continue
+            article = article or node.label in ("article*", "main*")
+            if node.label == "#":
+                free += weight(node)
+                named_ += weight(node) * article
+            stack.extend((x, article) for x, _ in node.items)
+        best, most = None, 0.0
+        for node in marked:
+            own = sum(weight(x) for x in leaves(node))
+            if own > most and own > OPENS[node.label[-1]][named_ > 0] * free:
+                best, most = node, own
+        if best is None:
+            return opened
+        opened.add(id(best))
+
+
+def article_texts(page: Node, slot_of: dict[int, int], slots: dict[int, Slot]) -> set[int]:
     """The texts of a page's article, as ``id``s of its nodes.
 
-    ``slots`` has for each slot the pages of the host that have it, its characters, those in links, and whether it holds
-    the same text on all of them. A slot weighs as much as a page has in it on average, outside links, and little where
-    the text never changes. From the root the child that holds most of the weight is followed, up to an ``article``, or
-    to a block with a heading of its own that changes from page to page. If articles further inside hold most of the
-    weight, they are the article. Left out are texts that never change, but for headings, and lists of links.
+    A slot weighs as much as a page has in it on average, outside links, and little where the text never changes. Marked
+    elements that are not opened count nothing. From the root the child that holds most of the weight is followed, up to
+    an ``article``, or to a block with a heading of its own that changes from page to page. If articles further inside
+    hold most of the weight, they are the article. An element that is named as an article gives all its texts. Of any
+    other the texts that are the same on ``LEAST_PAGES`` different pages or more, but for headings, and lists of links
+    are left out, if the texts that change outweigh them.
     """
     weights: dict[int, float] = {}
     dull: set[int] = set()
 
-    def of(node: Node) -> tuple[int, int, int, bool]:
-        pages, chars, linked, fixed = slots.get(slot_of.get(id(node), -1), (0, 0, 0, False))
-        return pages, chars, linked, fixed and pages >= LEAST_PAGES
+    def of(node: Node) -> Slot:
+        return slots.get(slot_of.get(id(node), -1), (0, 0, 0, False, 0))
+
+    def fixed(node: Node) -> bool:
+        own = of(node)
+        return own[3] and own[4] >= LEAST_PAGES
+
+    def text_in(node: Node) -> float:
+        pages, chars, linked, _, _ = of(node)
+        return (chars - linked) / max(pages, 1)
+
+    opened = _opened(page, text_in)
+
+    def inside_of(node: Node) -> list[Node]:
+        return [x for x, _ in node.items if not _is_marked(x) or id(x) in opened]
 
     def weigh(node: Node, listed: bool, headed: bool) -> float:
         total = 0.0
         if node.label == "#":
-            pages, chars, linked, fixed = of(node)
-            total = (chars - linked) / max(pages, 1) * (FIXED_WEIGHT if fixed else 1.0)
-            if pages >= LEAST_PAGES and (fixed and not headed or listed and linked >= LINKS * chars):
+            _, chars, linked, _, seen = of(node)
+            total = text_in(node) * (FIXED_WEIGHT if fixed(node) else 1.0)
+            if fixed(node) and not headed or seen >= LEAST_PAGES and listed and linked >= LINKS * chars:
                 dull.add(id(node))
-        for x, _ in node.items:
+        for x in inside_of(node):
             total += weigh(x, listed or x.label.rstrip("*") in ("ul", "ol", "menu", "dl"), headed or x.label.rstrip("*") in _HEADING)
         weights[id(node)] = total
         return total
 
     def spread(node: Node) -> list[Node]:
         """Its children, those of groups included."""
-        return [y for x, _ in node.items for y in (spread(x) if x.label == "()" else [x])]
+        return [y for x in inside_of(node) for y in (spread(x) if x.label == "()" else [x])]
 
     def changes(node: Node) -> bool:
-        return any(not of(x)[3] for x in spread(node) if x.label == "#")
+        return any(not fixed(x) for x in spread(node) if x.label == "#")
 
     weigh(page, False, False)
     at, headed = page, False
@@ -468,33 +535,40 @@ def article_texts(page: Node, slot_of: dict[int, int], slots: dict[int, tuple[in
         if node.label == "article*":
             inside.append(node)
         else:
-            stack.extend(x for x, _ in node.items)
+            stack.extend(inside_of(node))
     if not inside or sum(weights[id(x)] for x in inside) <= 0.5 * weights[id(at)]:
-        inside = [at] if headed or at.label[-1:] == "*" else _marked(at, weights)
-    found, stack = set(), list(inside)
-    while stack:
-        node = stack.pop()
-        if node.label == "#" and id(node) not in dull:
-            found.add(id(node))
-        stack.extend(x for x, _ in node.items)
+        inside = [at] if headed or at.label[-1:] == "*" else _marked(at, weights, inside_of)
+    found = set()
+    for top in inside:
+        texts, stack = [], [top]
+        while stack:
+            node = stack.pop()
+            if node.label == "#":
+                texts.append(node)
+            stack.extend(inside_of(node))
+        # a named article, or one that is mostly the same on all pages, loses nothing
+        named_ = top.label[-1:] == "*" or id(top) in opened and top.label[-1:] == "^"
+        same = sum(text_in(x) for x in texts if fixed(x))
+        drop = not named_ and 2 * same < sum(text_in(x) for x in texts)
+        found.update(id(x) for x in texts if not drop or id(x) not in dull)
     return found
 
 
-def _marked(at: Node, weights: dict[int, float]) -> list[Node]:
+def _marked(at: Node, weights: dict[int, float], inside_of: Callable[[Node], list[Node]]) -> list[Node]:
     """Where no article stands out: the outermost containers with a telling name, if they hold most of the text."""
-    inside, stack = [], [x for x, _ in at.items]
+    inside, stack = [], inside_of(at)
     while stack:
         node = stack.pop()
         if node.label[-1:] == "*":
             inside.append(node)
         else:
-            stack.extend(x for x, _ in node.items)
+            stack.extend(inside_of(node))
     best = max(inside, key=lambda x: weights[id(x)], default=None)
     return [best] if best is not None and weights[id(best)] > 0.5 * weights[id(at)] else [at]
 
 
-SLOTS = "host string, slot int, pages long, chars long, linked long, low long, high long"
-_SLOTS = ("host", "slot", "pages", "chars", "linked", "low", "high")
+SLOTS = "host string, slot int, pages long, chars long, linked long, low long, high long, least array<long>"
+_SLOTS = ("host", "slot", "pages", "chars", "linked", "low", "high", "least")
 
 
 def _trees_of(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -565,13 +639,16 @@ def leaves(page: Node) -> list[Node]:
 
 
 def _slots_of(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each host and slot of a batch of pages: pages, characters, characters in links, least and greatest hash of a page's text in it."""
+    """For each host and slot of a batch of pages: pages, characters, characters in links, least and greatest hash
+    of a page's text in it, and the least hashes of different pages that have it."""
     known = _Known()
     for batch in stream:
         sums: dict[tuple[str, int], list[int]] = {}
         for host, page, wrapper in zip(batch.column("host"), batch.column("html"), batch.column("wrapper"), strict=True):
-            tree, lines = parse(page.as_py() or "")
+            source = page.as_py() or ""
+            tree, lines = parse(source)
             host, wrapper, own = host.as_py(), wrapper.as_py(), leaves(tree)
+            whole = xxhash.xxh64_intdigest(source.encode("utf-8", "replace")) >> 1
 
             def slots(tree=tree, own=own, wrapper=wrapper) -> list[int | None]:
                 met = matched(tree, known.wrapper(wrapper))
@@ -584,14 +661,15 @@ def _slots_of(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for slot, at in texts.items():
                 h = xxhash.xxh64_intdigest("\n".join(lines[k][0] for k in at).encode("utf-8", "replace")) >> 1
                 n, linked = sum(len(lines[k][0]) for k in at), sum(lines[k][1] for k in at)
-                x = sums.setdefault((host, slot), [0, 0, 0, h, h])
-                sums[host, slot] = [x[0] + 1, x[1] + n, x[2] + linked, min(x[3], h), max(x[4], h)]
-        columns = [[h for h, _ in sums], [k for _, k in sums], *([x[i] for x in sums.values()] for i in range(5))]
-        kinds = (pa.string(), pa.int32(), *[pa.int64()] * 5)
+                x = sums.setdefault((host, slot), [0, 0, 0, h, h, []])
+                least = x[5] if whole in x[5] else sorted([*x[5], whole])[:LEAST_PAGES]
+                sums[host, slot] = [x[0] + 1, x[1] + n, x[2] + linked, min(x[3], h), max(x[4], h), least]
+        columns = [[h for h, _ in sums], [k for _, k in sums], *([x[i] for x in sums.values()] for i in range(6))]
+        kinds = (pa.string(), pa.int32(), *[pa.int64()] * 5, pa.list_(pa.int64()))
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=list(_SLOTS))
 
 
-def extract(source: str | None, wrapper: Node, slots: dict[int, tuple[int, int, int, bool]]) -> str:
+def extract(source: str | None, wrapper: Node, slots: dict[int, Slot]) -> str:
     """The text of one page's article, a line for each block."""
     tree, lines = parse(source or "")
     chosen = article_texts(tree, matched(tree, wrapper), slots)
@@ -599,9 +677,9 @@ def extract(source: str | None, wrapper: Node, slots: dict[int, tuple[int, int,
     return "\n".join(lines[k][0] for k in kept)
 
 
-def slot_table(rows) -> dict[int, tuple[int, int, int, bool]]:
-    """Slots as ``article_texts`` takes them, from rows ``(slot, pages, chars, linked, low, high)``."""
-    return {k: (pages, chars, linked, low == high) for k, pages, chars, linked, low, high in rows}
+def slot_table(rows) -> dict[int, Slot]:
+    """Slots as ``article_texts`` takes them, from rows ``(slot, pages, chars, linked, low, high, seen)``."""
+    return {k: (pages, chars, linked, low == high, seen) for k, pages, chars, linked, low, high, seen in rows}
 
 
 def _bounded(df: DataFrame) -> DataFrame:
@@ -614,7 +692,7 @@ def main_text(pages: DataFrame, url: str = "url", source: str = "html", keep: li
     """``pages`` with ``text``, the article of each page, and ``n_chars``, its code points.
 
     Null and empty pages have the empty text. A page without a host in its URL, or without a URL, belongs to the host
-    ''. Repeated rows give equal rows. A page of any size is taken whole, one nested however deeply too. An empty table
+    ''. Repeated rows give equal rows and count once as a page. A page of any size is taken whole, one nested however deeply too. An empty table
     stays empty; input columns with one of the two names are replaced.
     """
     base = without(pages, "text", "n_chars")
@@ -625,10 +703,14 @@ def main_text(pages: DataFrame, url: str = "url", source: str = "html", keep: li
     plain = hosted.select(named(own_host).alias("host"), named(own_html).alias("html"))
     wrappers = infer_wrappers(plain)
     seen = plain.join(_bounded(wrappers), "host")
-    sizes = seen.mapInArrow(_slots_of, SLOTS).groupBy("host", "slot")
+    counted = written(seen.mapInArrow(_slots_of, SLOTS))
+    sizes = counted.groupBy("host", "slot")
     sizes = sizes.agg(*[F.sum(c).alias(c) for c in ("pages", "chars", "linked")], F.min("low").alias("low"), F.max("high").alias("high"))
+    # each batch gives a few of its pages, so these are enough to see that there are ``LEAST_PAGES`` of them
+    different = counted.select("host", "slot", F.explode("least").alias("page")).distinct().groupBy("host", "slot").agg(F.count("*").alias("seen"))
+    sizes = sizes.join(different, ["host", "slot"])
     # as many entries as the host's wrapper has slots
-    slots = F.to_json(F.collect_list(F.array(F.col("slot").cast("long"), "pages", "chars", "linked", "low", "high"))).alias("slots")
+    slots = F.to_json(F.collect_list(F.array(F.col("slot").cast("long"), "pages", "chars", "linked", "low", "high", "seen"))).alias("slots")
     chosen = written(wrappers.join(sizes.groupBy("host").agg(slots), "host", "left").select("host", "wrapper", F.coalesce("slots", F.lit("[]")).alias("slots")))
     chosen = _bounded(chosen).select(F.col("host").alias(own_host), F.col("wrapper").alias(own_wrapper), F.col("slots").alias(own_slots))
     joined = hosted.join(chosen, own_host, "left")

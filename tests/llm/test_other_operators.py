@@ -245,7 +245,7 @@ def alone(page):
     """The text of a page that is its host's only one."""
     tree, lines = wrappers.parse(page)
     own = {k: x for x, k in ((x, wrappers.matched(tree, tree)[id(x)]) for x in wrappers.leaves(tree))}
-    slots = {k: (1, sum(len(lines[i][0]) for i in x.lines), sum(lines[i][1] for i in x.lines), True) for k, x in own.items()}
+    slots = {k: (1, sum(len(lines[i][0]) for i in x.lines), sum(lines[i][1] for i in x.lines), True, 1) for k, x in own.items()}
     return wrappers.extract(page, tree, slots)
 
 
@@ -288,13 +288,48 @@ def test_the_wrapper_decides_what_is_the_article(spark):
         assert "All rights reserved" in wrappers.extract(r["html"], wrappers.Node(""), {}) and "hundred years" in wrappers.extract(r["html"], wrappers.Node(""), {})
 
 
-def test_text_that_never_changes_is_the_templates(spark):
-    page = "<html><body><article><h1>Title {0}</h1><section><p>Please share this page with all of your friends.</p></section><p>Text {0} of the article.</p><ul><li><a href=1>More {0}</a><li><a href=2>Else {0}</a></ul></article></body></html>"
-    df = spark.createDataFrame([(i, "http://t.example/", page.format(i)) for i in range(6)], "page_id long, url string, html string")
-    assert {r["page_id"]: r["text"] for r in wrappers.main_text(df).collect()} == {i: f"Title {i}\nText {i} of the article." for i in range(6)}
-    # too few pages to tell: nothing is taken out
-    few = df.where("page_id < 4")
-    assert {r["text"].count("\n") for r in wrappers.main_text(few).collect()} == {4}
+def texts_of(spark, pages, host="t.example"):
+    df = spark.createDataFrame([(i, f"http://{host}/", x) for i, x in enumerate(pages)], "page_id long, url string, html string")
+    return [r["text"] for r in wrappers.main_text(df).orderBy("page_id").collect()]
+
+
+def test_an_article_loses_nothing_that_its_pages_share(spark):
+    page = "<html><body><article><h1>Title {0}</h1><section><p>A note that all of our reports share.</p></section><p>Text {0} of the article.</p><ul><li><a href=1>More {0}</a><li><a href=2>Else {0}</a></ul></article></body></html>"
+    for n in (1, 8):
+        assert texts_of(spark, [page.format(i) for i in range(n)]) == [f"Title {i}\nA note that all of our reports share.\nText {i} of the article.\nMore {i}\nElse {i}" for i in range(n)]
+
+
+@pytest.mark.parametrize("n", [1, 5, 50])
+def test_copies_of_one_page_keep_their_article(spark, n):
+    plain = "<html><body><div><ul><li><a href=/>Home</a></ul></div><div><h2>Title of it</h2><p>The first part of the text.</p><p>The second part of it.</p></div></body></html>"
+    named = "<html><body><nav>x</nav><article><h1>Title of it</h1><p>The first part of the text.</p></article></body></html>"
+    assert texts_of(spark, [plain] * n) == ["Title of it\nThe first part of the text.\nThe second part of it."] * n
+    assert texts_of(spark, [named] * n) == ["Title of it\nThe first part of the text."] * n
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<body><div class="top">Top</div><div class="story-body social"><h1>Head {0}</h1><p>{1}</p></div><div class="widget">Small</div></body>',
+        '<body><main><div class="entry search-result"><h1>Head {0}</h1><p>{1}</p></div></main></body>',
+        '<body><form id="aspnetForm" action="x"><input type="hidden" value="v"><div class="menu">m</div><div><h1>Head {0}</h1><p>{1}</p></div><button>Go</button></form></body>',
+        '<body><form><article><h1>Head {0}</h1><p>{1}</p><form><label>Mail</label><input><p>Get our letter</p></form></article></form></body>',
+        '<body><div class="widget"><div class="widget"><h1>Head {0}</h1><p>{1}</p></div></div></body>',
+        '<body><article><h1>Head {0}</h1><div class="promo-widget"><p>{1}</p></div><div class="share">Share it</div></article></body>',
+    ],
+)
+@pytest.mark.parametrize("n", [1, 9])
+def test_names_that_sound_like_surroundings_do_not_hide_the_article(spark, page, n):
+    bodies = [f"What happened there and then in part {i} of the long report, as it was told to us by all who were there." for i in range(n)]
+    expected = [f"Head {i}\n{b}" for i, b in enumerate(bodies)]
+    got = texts_of(spark, [page.format(i, b) for i, b in enumerate(bodies)])
+    assert [x.removeprefix("Top\n") for x in got] == expected
+
+
+def test_marked_surroundings_beside_an_article_are_left_out(spark):
+    page = '<body><div class="newsletter">{2}</div><article><h1>Head {0}</h1><p>Text {0} of it.</p><div class="social">Share {0}</div><form><p>Mail us {0}</p></form><div class="related"><p>{2}</p></div></article><div class="comments"><p>{1}</p></div></body>'
+    got = texts_of(spark, [page.format(i, f"a long comment {i} " * 30, f"more {i} of it, and more") for i in range(8)])
+    assert got == [f"Head {i}\nText {i} of it." for i in range(8)]
 
 
 def test_every_layout_of_a_host_counts(spark):
