@@ -226,32 +226,61 @@ def _possible(a: str, b: str, share: float) -> Column:
     return F.least(n - i, m - j) >= share / (1 + share) * (n + m) - 1e-6
 
 
+def _indexed(share: float) -> Column:
+    """Whether a prefix shingle at place ``at`` of a set of ``n`` can be the first that it has in common with a set as large or larger.
+
+    Such a pair shares ``2 * share / (1 + share)`` of the smaller set, so its first common shingle comes early in that.
+    """
+    return F.col("at") <= F.col("n") - F.ceil(F.col("n") * (2 * share / (1 + share)) - 1e-9)
+
+
+def _size_class(n: Column, share: float) -> Column:
+    """Sizes by powers of ``1 / share``; never falling as ``n`` grows."""
+    return F.floor(F.log(n.cast("double")) / -math.log(share)).cast("int")
+
+
+def _within(few: DataFrame, every: DataFrame, share: float) -> DataFrame:
+    """Pairs ``a`` of ``every`` and ``b`` of ``few`` in one bucket, of different components, of which one is indexed and no larger.
+
+    Both have ``token``; the members are structs. They meet by bucket and size class, so sizes that no bound allows do
+    not meet at all.
+    """
+    low, high = F.ceil(F.col("b.n") * share - 1e-9), F.floor(F.col("b.n") / share + 1e-9)
+    asked = few.withColumn("class", F.explode(F.sequence(_size_class(F.greatest(low, F.lit(1)), share), _size_class(high, share))))
+    held = every.withColumn("class", _size_class(F.col("a.n"), share))
+    apart = F.expr("a.root <> b.root and (a.root = main or a.node < b.node)")
+    indexed = asked.where("b.indexed").join(held, ["token", "class"]).where(apart & F.expr("b.n <= a.n"))
+    probing = asked.join(held.where("a.indexed"), ["token", "class"]).where(apart & F.expr("a.n <= b.n"))
+    return indexed.select("a", "b").union(probing.select("a", "b"))
+
+
 def copy_links(texts: DataFrame, scratch: Scratch, share: float = COPY_SHARE) -> DataFrame:
     """Edges ``(u, v)`` between nodes ``(node, text)`` whose sets of shingles share ``share`` of their union.
 
     The nodes that have a prefix shingle in common are a bucket. First they are held against ``PIVOTS`` of them: the
     ones with fewest rare shingles, which in a group around one text is that text. No bucket is gathered or paired
     up in this. Then what that has linked is one component, and the nodes outside their bucket's main component are
-    held against all of the bucket that is not in theirs. So every pair is settled: judged, ruled out by sizes and
+    held against those of the bucket that are not in theirs, see ``_within``: of a pair the smaller set must have the
+    shingle in its shorter, indexed prefix. A bucket that no member has there, such as that of a template's shingle in
+    texts that differ too much besides, has no pairs at all. So every pair is settled: judged, ruled out by sizes and
     places, or already in one component. The result can be read while ``scratch`` is open.
     """
     # texts and sets are read again rather than kept: they would be most of the disk
-    tokens = prefixes(texts, share).repartition("token").dropDuplicates(["token", "node"])
-    own = F.struct("node", "n", "at")
+    tokens = prefixes(texts, share).withColumn("indexed", _indexed(share)).repartition("token").dropDuplicates(["token", "node"])
+    own = F.struct("node", "n", "at", "indexed")
     # one order for all buckets: those of a large group then agree on their pivots
     picks = [F.min_by(own, F.struct(F.col("cold") / F.col("n"), F.xxhash64("node", F.lit(k)))) for k in range(PIVOTS)]
-    pivots = tokens.groupBy("token").agg(F.count("*").alias("size"), F.array_distinct(F.array(*picks)).alias("pivots")).where("size > 1")
-    shared = scratch.written(tokens.join(pivots, "token").select("token", "node", "n", "at", "pivots"))
-    first = shared.select(F.struct("node", "n", "at").alias("a"), F.explode("pivots").alias("b")).where("a.node <> b.node")
+    pivots = tokens.groupBy("token").agg(F.count("*").alias("size"), F.array_distinct(F.array(*picks)).alias("pivots"), F.max("indexed").alias("some")).where("size > 1 and some")
+    shared = scratch.written(tokens.join(pivots, "token").select("token", "node", "n", "at", "indexed", "pivots"))
+    first = shared.select(own.alias("a"), F.explode("pivots").alias("b")).where("a.node <> b.node")
     first = first.where(_possible("a", "b", share))
     first = scratch.written(first.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct())
     links = scratch.written(judged(first, texts, scratch, share))
     found = connected_components(links)
-    roots = shared.join(found, "node", "left").select(F.struct("node", "n", "at", F.coalesce("root", "node").alias("root")).alias("a"), "token", F.col("pivots")[0]["node"].alias("p"))
+    roots = shared.join(found, "node", "left").select(F.struct("node", "n", "at", "indexed", F.coalesce("root", "node").alias("root")).alias("a"), "token", F.col("pivots")[0]["node"].alias("p"))
     roots = roots.join(found.select(F.col("node").alias("p"), F.col("root").alias("main")), "p", "left").select("token", "a", F.coalesce("main", "p").alias("main"))
     few = roots.where("a.root <> main").select("token", F.col("a").alias("b"), "main")
-    rest = few.join(roots.select("token", "a"), "token").where("a.root <> b.root and (a.root = main or a.node < b.node)")
-    rest = rest.where(_possible("a", "b", share))
+    rest = _within(few, roots.select("token", "a"), share).where(_possible("a", "b", share))
     rest = rest.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct()
     rest = scratch.written(rest.join(first, ["u", "v"], "left_anti"))
     return links.union(judged(rest, texts, scratch, share))

@@ -143,6 +143,50 @@ def test_links_match_brute_force(spark):
     assert got == expected
 
 
+def test_a_template_makes_no_pairs_of_texts_that_differ_too_much(spark, monkeypatch):
+    seen, real = [], simhash.judged
+
+    def judged(pairs, texts, scratch, share=simhash.COPY_SHARE):
+        seen.append(pairs.count())
+        return real(pairs, texts, scratch, share)
+
+    monkeypatch.setattr(simhash, "judged", judged)
+    template = " ".join(f"t{k}" for k in range(100))
+    # 13 words of 113 differ: 0.787 of the shingles are shared
+    rows = [(i, template + " " + " ".join(f"own{i}x{k}" for k in range(13)), "s") for i in range(1500)]
+    # and two of them have a near copy each
+    rows += [(5000 + i, rows[i][1] + " more", "s") for i in (3, 4)]
+    kept = {r["doc_id"] for r in simhash.keep_one_of_each(docs(spark, rows)).collect()}
+    assert kept == set(range(1500)) and sum(seen) < 20
+
+
+def test_prefixes_meet_whatever_the_sizes(spark):
+    rng = np.random.default_rng(11)
+    base = [[f"b{j}w{k}" for k in range(90)] for j in range(12)]
+    rows = []
+    for i in range(260):
+        own = list(base[i % 12])
+        for k in rng.integers(0, 90, rng.integers(0, 3)):
+            own[k] = f"x{i}y{k}"
+        cut = int(rng.integers(0, 14))
+        rows.append((i, " ".join(own[:90 - cut] + [f"z{i}n{k}" for k in range(int(rng.integers(0, 8)))]), "s"))
+    sets = [set(zip(*[t.split()[k:] for k in range(5)], strict=False)) for _, t, _ in rows]
+    root = list(range(len(rows)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+    kept = {r["doc_id"] for r in simhash.keep_one_of_each(docs(spark, rows)).collect()}
+    assert kept == {i for i in range(len(rows)) if top(i) == i} and 12 < len(kept) < 200
+
+
 def test_near_duplicates_and_survivors(spark):
     long = " ".join(f"w{k}" for k in range(400))
     rows = [(5, long, "s"), (3, long, "s"), (9, long.replace("w7 ", "w7x "), "s"), (1, "alone text here now", "t"), (8, "", "s"), (7, None, "s"), (3, long, "s"), (2, "other words", None)]
