@@ -43,22 +43,26 @@ BLOCK = 250_000
 LOOKED_AT = 64
 #: Vectors in a leaf of a block's tree.
 LEAF = 24
-#: Pairs of words of two classes that are compared one by one at most.
-COMPARED = 24
+#: Two classes' words are all compared if their pairs are at most so many for each word, and looked up in a table otherwise.
+COMPARED = 30
 #: Vectors times letters that are compared at once.
 AT_ONCE = 4 << 20
 #: Runs and characters that a task counts before it hands them on.
 COUNTED, PIECE = 400_000, 1 << 20
 #: Places of a vector: a to z, U+00C0 to U+00FF, and eight that all other code points share.
-PLACES = 26 + 64 + 8
+SHARED, PLACES = 90, 98
 
-_RUN = re.compile("[A-Za-zÀ-ÿ]+")
+_LETTERS = "[A-Za-zÀ-ÿ]"
+_RUN = re.compile(_LETTERS + "+")
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
-def misspelt(doc: str, run: str) -> str:
-    """A run as it counts: where ``ONE_IN`` divides the crc32 of ``doc:run``, one code point is taken out by that number."""
-    h = zlib.crc32(f"{doc}:{run}".encode("utf-8", "surrogatepass"))
+def misspelt(start: int, run: str) -> str:
+    """A run as it counts: where ``ONE_IN`` divides the crc32 of ``doc:run``, one code point is taken out by that number.
+
+    ``start`` is the crc32 of ``doc:``.
+    """
+    h = zlib.crc32(run.encode(), start)
     if h % ONE_IN:
         return run
     at = h % len(run)
@@ -83,6 +87,8 @@ def word_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", least_
     Null texts have none; a null key is empty in the rule. Texts of any length are read in pieces, and each task adds up
     what it has counted before the counts are shuffled, so a frequent word is no burden.
     """
+    # a run does not get longer, so shorter ones can be left out at once
+    long_run = re.compile(f"{_LETTERS}{{{max(1, least_length)},}}")
     rows = docs.select(F.coalesce(named(key).cast("string"), F.lit("")).alias("key"), named(text).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,11 +102,11 @@ def word_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", least_
         for batch in batches:
             for doc, x in zip(batch.column("key").to_pylist(), batch.column("text"), strict=True):
                 own: Counter = Counter()
+                start = zlib.crc32(f"{doc}:".encode())
                 for piece in _pieces(x.as_py() or ""):
-                    own.update(_RUN.findall(piece.translate(_LOWER)))
+                    own.update(long_run.findall(piece.translate(_LOWER)))
                 for run, n in own.items():
-                    # what is left must be long enough either way
-                    if len(run) >= least_length and len(word := misspelt(doc, run)) >= least_length:
+                    if len(word := misspelt(start, run)) >= least_length:
                         total[word] += n
                 if len(total) > COUNTED:
                     yield batch_of()
@@ -115,7 +121,7 @@ def word_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", least_
 
 
 def _place(c: int) -> int:
-    return c - 97 if 97 <= c <= 122 else 26 + c - 0xC0 if 0xC0 <= c <= 0xFF else 90 + c % 8
+    return c - 97 if 97 <= c <= 122 else 26 + c - 0xC0 if 0xC0 <= c <= 0xFF else SHARED + c % (PLACES - SHARED)
 
 
 def vectors(words: list[str]) -> np.ndarray:
@@ -173,8 +179,8 @@ def touched(tree: Tree, points: np.ndarray, up: int, down: int) -> Iterator[tupl
             stack.append((side, own[keep], m[keep], s[keep]))
 
 
-def _near_classes(tree: Tree, leaves: list[np.ndarray], data: np.ndarray, queries: np.ndarray, up: int, down: int) -> Iterator[tuple[int, int]]:
-    """``(query, data)`` where the second has ``up`` letters more and ``down`` fewer than the first."""
+def _near_classes(tree: Tree, leaves: list[np.ndarray], data: np.ndarray, queries: np.ndarray, up: int, down: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``(queries, data)``, arrays of pairs where the second has ``up`` letters more and ``down`` fewer than the first."""
     for leaf, own in touched(tree, queries, up, down):
         points = data[leaves[leaf]]
         step = max(1, AT_ONCE // max(1, points.size))
@@ -182,8 +188,54 @@ def _near_classes(tree: Tree, leaves: list[np.ndarray], data: np.ndarray, querie
             part = own[k : k + step]
             # both lengths are known, so as many letters are missing as must be if so many are added
             added = np.maximum(points[None, :, :] - queries[part][:, None, :], 0).sum(2)
-            for i, j in zip(*np.nonzero(added == up), strict=True):
-                yield int(part[i]), int(leaves[leaf][j])
+            one, two = np.nonzero(added == up)
+            yield part[one], leaves[leaf][two]
+
+
+class Words:
+    """Words of one length, their letters as numbers, and their classes of equal counts."""
+
+    def __init__(self, words: list[str]):
+        self.words = words
+        size = len(words[0]) if words else 0
+        self.letters = np.array(words, f"U{size}").view(np.uint32).reshape(len(words), size) if size else np.zeros((len(words), 0), np.uint32)
+        self.classes, of = np.unique(vectors(words), axis=0, return_inverse=True)
+        #: Words by class, and where each class begins.
+        self.order = np.argsort(of.ravel(), kind="stable")
+        self.sizes = np.bincount(of.ravel(), minlength=len(self.classes))
+        self.begin = np.concatenate(([0], np.cumsum(self.sizes)[:-1])) if len(self.classes) else np.zeros(0, np.int64)
+
+    def of(self, k: int) -> list[int]:
+        """The words of a class."""
+        return self.order[self.begin[k] : self.begin[k] + self.sizes[k]].tolist()
+
+
+def one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which rows of letters differ by one edit, ``b`` being as long as ``a``, or one longer."""
+    size = a.shape[1]
+    if size == b.shape[1]:
+        return (a != b).sum(1) == 1
+    front = np.logical_and.accumulate(a == b[:, :size], axis=1).sum(1)
+    back = np.logical_and.accumulate((a == b[:, 1:])[:, ::-1], axis=1).sum(1)
+    return front + back >= size
+
+
+def _compared(one: Words, two: Words, qs: np.ndarray, ds: np.ndarray) -> Iterator[tuple[int, int]]:
+    """The near words of pairs of classes, by comparing each word of the one with each of the other."""
+    many = one.sizes[qs] * two.sizes[ds]
+    ends = np.cumsum(many)
+    at = 0
+    while at < len(qs):
+        # as many pairs of classes as are compared at once, one at least
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + AT_ONCE // max(8, two.letters.shape[1]), "right")))
+        q, d, n = qs[at:stop], ds[at:stop], many[at:stop]
+        k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        width = np.repeat(two.sizes[d], n)
+        i = one.order[np.repeat(one.begin[q], n) + k // width]
+        j = two.order[np.repeat(two.begin[d], n) + k % width]
+        good = one_edit(one.letters[i], two.letters[j]) if one.letters.shape[1] <= two.letters.shape[1] else one_edit(two.letters[j], one.letters[i])
+        yield from zip(i[good].tolist(), j[good].tolist(), strict=True)
+        at = stop
 
 
 def _holes(word: str, places: np.ndarray) -> Iterator[tuple[int, str]]:
@@ -193,35 +245,25 @@ def _holes(word: str, places: np.ndarray) -> Iterator[tuple[int, str]]:
             yield k, word[:k] + word[k + 1 :]
 
 
-def one_edit(a: str, b: str) -> bool:
-    """Whether two different words are equal but for one letter, ``b`` being as long as ``a`` or one longer."""
-    k = 0
-    for x, y in zip(a, b, strict=False):
-        if x != y:
-            break
-        k += 1
-    return a[k + (len(a) == len(b)) :] == b[k + 1 :]
-
+def _met(one: Words, two: Words, q: int, d: int) -> Iterator[tuple[int, int]]:
+    """The near words of two large classes, which meet by what is left of them without the letter that each has more.
 
-def _near_words(words: list[str], ones: list[int], more: np.ndarray, others: list[str], twos: list[int], fewer: np.ndarray) -> Iterator[tuple[int, int]]:
-    """``(one, two)`` of two classes' words that are equal but for one letter: ``ones`` have it at a place of ``more``, ``twos`` at one of ``fewer``.
-
-    Where no place of ``more`` is set ``ones`` lack the letter. A few words are compared; many meet by what is left of
-    them, and at the same position if both had a letter there.
+    If both had one they must have had it at the same position. Classes that are equal can differ in letters that share
+    a place.
     """
-    if len(ones) * len(twos) <= COMPARED:
-        yield from ((i, j) for i in ones for j in twos if words[i] != others[j] and one_edit(words[i], others[j]))
-        return
-    bare = not more.any()
+    apart = two.classes[d] - one.classes[q]
+    more, fewer = apart < 0, apart > 0
+    if not apart.any():
+        more = fewer = (np.arange(PLACES) >= SHARED) & (one.classes[q] > 0)
     left = defaultdict(list)
-    for i in ones:
-        for k, rest in [(-1, words[i])] if bare else _holes(words[i], more):
-            left[k, rest].append(i)
-    for j in twos:
+    for i in one.of(q):
+        for k, rest in _holes(one.words[i], more) if more.any() else [(-1, one.words[i])]:
+            left[k if fewer.any() else -1, rest].append(i)
+    for j in two.of(d):
         seen = set()
-        for k, rest in _holes(others[j], fewer):
-            for i in left.get((-1 if bare else k, rest), ()):
-                if i not in seen:
+        for k, rest in _holes(two.words[j], fewer) if fewer.any() else [(-1, two.words[j])]:
+            for i in left.get((k if more.any() else -1, rest), ()):
+                if i not in seen and one.words[i] != two.words[j]:
                     seen.add(i)
                     yield i, j
 
@@ -230,38 +272,23 @@ class Block:
     """Words of one length with a k-d tree over their classes."""
 
     def __init__(self, words: list[str]):
-        self.words = words
-        self.classes, self.members = _classes(words)
-        self.tree, self.leaves = grow(self.classes, LEAF)
+        self.own = Words(words)
+        self.tree, self.leaves = grow(self.own.classes, LEAF)
 
     def near(self, queries: list[str], longer: int) -> Iterator[tuple[int, int]]:
-        """``(query, word)`` at one edit, where the block's words are ``longer`` by 0, 1 or -1."""
-        up, down = {0: (1, 1), 1: (1, 0), -1: (0, 1)}[longer]
-        found, members = _classes(queries)
-        for q, d in _near_classes(self.tree, self.leaves, self.classes, found, up, down):
-            apart = self.classes[d] - found[q]
-            if longer >= 0:
-                yield from _near_words(queries, members[q], apart < 0, self.words, self.members[d], apart > 0)
-            else:
-                yield from ((j, i) for i, j in _near_words(self.words, self.members[d], apart > 0, queries, members[q], apart < 0))
+        """``(query, word)`` at one edit, where the block's words are ``longer`` by 0, 1 or -1; all queries have one length."""
+        asked, own = Words(queries), self.own
+        ways = [{0: (1, 1), 1: (1, 0), -1: (0, 1)}[longer]]
         # places that several code points share: a letter may be replaced there without a change of counts
-        if longer == 0 and self.classes[:, 90:].any():
-            for q, d in _near_classes(self.tree, self.leaves, self.classes, found, 0, 0):
-                shared = np.zeros(PLACES, bool)
-                shared[90:] = self.classes[d][90:] > 0
-                if shared.any():
-                    yield from ((i, j) for i, j in _near_words(queries, members[q], shared, self.words, self.members[d], shared) if queries[i] != self.words[j])
-
-
-def _classes(words: list[str]) -> tuple[np.ndarray, list[list[int]]]:
-    """The distinct vectors of words, and the words that have each."""
-    if not words:
-        return vectors(words), []
-    found, of = np.unique(vectors(words), axis=0, return_inverse=True)
-    members: list[list[int]] = [[] for _ in found]
-    for i, k in enumerate(of.ravel().tolist()):
-        members[k].append(i)
-    return found, members
+        if longer == 0 and own.classes[:, SHARED:].any():
+            ways.append((0, 0))
+        for up, down in ways:
+            for qs, ds in _near_classes(self.tree, self.leaves, own.classes, asked.classes, up, down):
+                n, m = asked.sizes[qs], own.sizes[ds]
+                few = n * m <= COMPARED * (n + m)
+                yield from _compared(asked, own, qs[few], ds[few])
+                for q, d in zip(qs[~few].tolist(), ds[~few].tolist(), strict=True):
+                    yield from _met(asked, own, q, d)
 
 
 # ---- dealing out ----

@@ -70,13 +70,14 @@ def test_words_are_counted_with_the_rules_misspellings(spark, monkeypatch):
     for piece, counted in ((1 << 20, 400_000), (7, 3)):
         monkeypatch.setattr(S, "PIECE", piece)
         monkeypatch.setattr(S, "COUNTED", counted)
+        monkeypatch.setattr(S, "AT_ONCE", 4 * piece)
         got = {r["word"]: r["n"] for r in S.word_counts(df).collect()}
         assert got == counts(rows)
     assert len(got) > 8
     assert S.word_counts(df.limit(0)).collect() == []
 
 
-@pytest.mark.parametrize(("block", "compared"), [(250_000, 24), (300, 24), (300, 0)])
+@pytest.mark.parametrize(("block", "compared"), [(250_000, 30), (300, 30), (300, 0)])
 def test_variants_match_all_pairs(spark, monkeypatch, block, compared):
     monkeypatch.setattr(S, "BLOCK", block)
     monkeypatch.setattr(S, "COMPARED", compared)
@@ -104,8 +105,8 @@ def test_the_tree_prunes_and_finds_every_pair():
         for k in range(8):
             holes[k, w[:k] + w[k + 1 :]].append(i)
     assert pairs == {(i, j) for own in holes.values() for i in own for j in own if i != j}
-    met = sum(len(own) * len(block.leaves[leaf]) for leaf, own in S.touched(block.tree, block.classes, 1, 1))
-    assert met < 0.4 * len(block.classes) ** 2
+    met = sum(len(own) * len(block.leaves[leaf]) for leaf, own in S.touched(block.tree, block.own.classes, 1, 1))
+    assert met < 0.4 * len(block.own.classes) ** 2
 
 
 def test_upper_splits_deal_every_word_to_one_place(spark, monkeypatch):
