@@ -23,6 +23,8 @@ from .common import in_blocks, named, with_made, without
 WINDOW = 10
 #: Item text that one broadcast hash set may come from.
 BLOCK_BYTES = 4 << 20
+#: Bytes of words in the parts of long items.
+PART_BYTES = 64 << 10
 #: Bytes of hits that are broadcast to the documents at most, where there are several blocks.
 BROADCAST_BYTES = 32 << 20
 #: Bytes of a document that are held as a list of words at once.
@@ -97,13 +99,49 @@ def count_words(text: bytes | None) -> int:
     return n
 
 
+def parts(text: bytes, window: int = WINDOW, size: int | None = None) -> Iterator[bytes]:
+    """A text as parts of about ``size`` bytes of words (``PART_BYTES``), which together have its windows and no others.
+
+    Neighbouring parts share ``window - 1`` words. A part has ``window`` words at least, or is all that there is.
+    """
+    size = size or PART_BYTES
+    folded, start, carry, whole = text.translate(_FOLD), 0, [], True
+    while start < len(folded):
+        cut = folded.find(b" ", start + size)
+        cut = len(folded) if cut < 0 else cut
+        fresh = folded[start:cut].split()
+        carry, start = carry + fresh, cut
+        if fresh and len(carry) >= window:
+            yield b" ".join(carry)
+            carry, whole = carry[len(carry) - window + 1 :] if window > 1 else [], False
+    if whole and carry:
+        yield b" ".join(carry)
+
+
 def _blocks(items: DataFrame, n: int, window: int) -> Iterator[Windows]:
-    """The windows of items ``(item, text)`` as ``n`` hash sets of about one size."""
-    for k in range(n):
-        block = items if n == 1 else items.where(F.expr(f"pmod(xxhash64(item, text), {n}) = {k}"))
-        rows = [(r["item"], bytes(r["text"])) for r in block.toLocalIterator()]
-        if rows or n == 1:
+    """The windows of items ``(item, text)`` as hash sets of ``BLOCK_BYTES`` of item text at most; one set, empty or not, where ``n`` is 1.
+
+    The items are read once, in ``n`` portions. A long one comes in parts, so it may span blocks; only a single word of
+    more bytes makes a block larger.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column("item").to_pylist(), batch.column("text"), strict=True):
+                for part in parts(text.as_py(), window):
+                    yield pa.RecordBatch.from_arrays([pa.array([item], pa.string()), pa.array([part], pa.binary())], names=["item", "text"])
+
+    rows, size = [], 0
+    portions = items if n == 1 else items.mapInArrow(cut, "item string, text binary").repartition(n)
+    for r in portions.toLocalIterator():
+        text = bytes(r["text"])
+        if n > 1 and rows and size + len(text) > BLOCK_BYTES:
             yield Windows(rows, window)
+            rows, size = [], 0
+        rows.append((r["item"], text))
+        size += len(text)
+    if rows or n == 1:
+        yield Windows(rows, window)
 
 
 def _edges(covered: np.ndarray) -> list[int]:

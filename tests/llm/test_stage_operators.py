@@ -54,6 +54,36 @@ TEXTS = [
 ]
 
 
+@pytest.mark.parametrize("window", [1, 3, 10])
+def test_parts_have_the_windows_of_their_item(window):
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 2, 9, 10, 11, 200):
+        own = [f"w{k}" * int(rng.integers(1, 9)) for k in rng.integers(0, 50, n)]
+        text = ", ".join(own).encode()
+        whole = {tuple(own[k : k + min(window, n)]) for k in range(n - min(window, n) + 1)} if n else set()
+        for size in (1, 30, 300):
+            cut = [p.decode().split() for p in decontaminate.parts(text, window, size)]
+            assert {tuple(p[k : k + min(window, n)]) for p in cut for k in range(len(p) - min(window, n) + 1)} == whole
+
+
+def test_no_block_is_over_its_bound(spark, monkeypatch):
+    sizes, real = [], decontaminate.Windows.__init__
+
+    def begin(self, items, window=10):
+        sizes.append(sum(len(t) for _, t in items))
+        real(self, items, window)
+
+    monkeypatch.setattr(decontaminate.Windows, "__init__", begin)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 10_000)
+    monkeypatch.setattr(decontaminate, "PART_BYTES", 1000)
+    long = [f"long{k}" for k in range(20_000)]
+    bench = [(1, " ".join(long))] + [(2 + k, " ".join(f"b{k}w{j}" for j in range(20))) for k in range(300)]
+    texts = [(0, " ".join(long[7000:7015])), (1, " ".join(f"b{k}w{j}" for k in (3, 4) for j in range(20))), (2, "clean text"), (3, " ".join(long[100:109]))]
+    found = decontaminate.find_contamination(docs(spark, [(i, t, "s") for i, t in texts]), spark.createDataFrame(bench, "item_id long, text string"))
+    assert {r["doc_id"]: (r["hit_spans"], r["hit_items"]) for r in found.collect()} == {0: ([0, 15], ["1"]), 1: ([0, 40], ["5", "6"]), 2: ([], []), 3: ([], [])}
+    assert len(sizes) > 15 and max(sizes) <= 10_000
+
+
 def test_decontamination_matches_brute_force_and_blocks(spark, monkeypatch):
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
     rows = docs(spark, [(i, t, "s") for i, t in TEXTS])
