@@ -99,12 +99,11 @@ def count_words(text: bytes | None) -> int:
     return n
 
 
-def parts(text: bytes, window: int = WINDOW, size: int | None = None) -> Iterator[bytes]:
-    """A text as parts of about ``size`` bytes of words (``PART_BYTES``), which together have its windows and no others.
+def parts(text: bytes, window: int, size: int) -> Iterator[bytes]:
+    """A text as parts of about ``size`` bytes of words, which together have its windows and no others.
 
     Neighbouring parts share ``window - 1`` words. A part has ``window`` words at least, or is all that there is.
     """
-    size = size or PART_BYTES
     folded, start, carry, whole = text.translate(_FOLD), 0, [], True
     while start < len(folded):
         cut = folded.find(b" ", start + size)
@@ -125,10 +124,12 @@ def _blocks(items: DataFrame, n: int, window: int) -> Iterator[Windows]:
     more bytes makes a block larger.
     """
 
+    limit = PART_BYTES
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for item, text in zip(batch.column("item").to_pylist(), batch.column("text"), strict=True):
-                for part in parts(text.as_py(), window):
+                for part in parts(text.as_py(), window, limit):
                     yield pa.RecordBatch.from_arrays([pa.array([item], pa.string()), pa.array([part], pa.binary())], names=["item", "text"])
 
     rows, size = [], 0
