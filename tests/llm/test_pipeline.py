@@ -74,7 +74,7 @@ def test_empty_tables(spark, tables, tmp_path):
 
 def test_registry():
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in names if k.startswith("op")} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in names if k.startswith("op")} and "pipeline" in names
 
 
 @pytest.mark.parametrize("master", ["spark://host:7077", "local-cluster[2,1,1024]", "yarn"])
