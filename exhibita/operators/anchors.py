@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import let
+from ..functions.names import spare
 from ..functions.text import ABBREVIATIONS, SENTENCE_END, SPACE, TABLE, is_blank, is_bullet, strip
+from .evidence import STRETCH, one_text, windows_of
 
 #: A block that is one sentence of more characters is cut once.
 LONG = 400
@@ -272,17 +274,35 @@ def annotated(texts: DataFrame, item: str = "item_id", text: str = "text") -> Da
     return texts.select(item, F.explode(view).alias("text"))
 
 
-def violations(snippets: DataFrame, texts: DataFrame, item: str = "item_id") -> DataFrame:
+def violations(snippets: DataFrame, texts: DataFrame, item: str = "item_id", order: list[str] | None = None) -> DataFrame:
     """Rows ``(item, anchor_id, problem)`` for spans out of bounds or order, overlaps, and texts that differ.
 
-    ``snippets`` has ``start``, ``end``, ``snippet``, ``snippet_start`` and ``snippet_end``.
+    ``snippets`` has ``start``, ``end``, ``snippet``, ``snippet_start`` and ``snippet_end``. A null offset is out of
+    bounds and overlaps nothing, a null snippet differs. Items without a text have no rows; of repeated items the last text by ``order``
+    counts, see ``one_text``. An item's spans are nested by stretches of its text, which is joined and read once for each;
+    what comes before a stretch is the end of the last span of the stretch before, so only stretches are ordered.
     """
-    rows = snippets.join(texts.select(item, F.col("text").alias("_t")), item)
-    rows = rows.withColumn("_before", F.lag("end").over(Window.partitionBy(item).orderBy("start", "end")))
-    inside = (F.col("start") >= 0) & (F.col("start") <= F.col("end")) & (F.col("end") <= F.length("_t"))
-    real = F.substring("_t", F.col("snippet_start") + 1, F.col("snippet_end") - F.col("snippet_start")) == F.col("snippet")
-    problems = F.array(
-        F.when(~inside, "bounds"), F.when(F.col("_before") > F.col("start"), "overlap"), F.when(~real, "text")
-    )
-    rows = rows.select(item, "anchor_id", F.explode(F.filter(problems, lambda x: x.isNotNull())).alias("problem"))
-    return rows
+    stretch, spans, own, before, found = spare(snippets, "_stretch", "_spans", "_text", "_before", "_found")
+    fields = F.struct("start", "end", "anchor_id", "snippet", "snippet_start", "snippet_end")
+    nested = snippets.groupBy(item, F.floor(F.col("start") / STRETCH).alias(stretch)).agg(F.array_sort(F.collect_list(fields)).alias(spans))
+    ends = lambda s: F.when(s["start"].isNotNull(), s["end"])
+    last = F.lag(ends(F.element_at(spans, -1))).over(Window.partitionBy(item).orderBy(stretch))
+    text = one_text(texts, [item], order).select(item, F.col("text").alias(own)).where(F.col(own).isNotNull())
+    rows = nested.withColumn(before, last).join(text, item)
+
+    def placed(s: Column, i: Column) -> Column:
+        earlier = F.when(i > 0, ends(F.get(spans, i - 1))).otherwise(F.col(before))
+        return F.struct(s["snippet_start"].alias("start"), s["snippet_end"].alias("end"), s.alias("row"), earlier.alias("before"))
+
+    def problem(w: Column) -> Column:
+        s = w["span"]["row"]
+        inside = (s["start"] >= 0) & (s["start"] <= s["end"]) & (s["end"] <= F.length(own))
+        real = (w["snippet_start"] == s["snippet_start"]) & (w["snippet_end"] == s["snippet_end"]) & (w["snippet"] == s["snippet"])
+        kinds = F.array(
+            F.when(~F.coalesce(inside, F.lit(False)), "bounds"), F.when(w["span"]["before"] > s["start"], "overlap"), F.when(~F.coalesce(real, F.lit(False)), "text")
+        )
+        return F.transform(F.filter(kinds, lambda k: k.isNotNull()), lambda k: F.struct(s["anchor_id"].alias("anchor_id"), k.alias("problem")))
+
+    windows = windows_of(F.col(own), F.transform(spans, placed), 0)
+    rows = rows.select(item, F.explode(F.flatten(F.transform(windows, problem))).alias(found))
+    return rows.select(item, F.col(found)["anchor_id"].alias("anchor_id"), F.col(found)["problem"].alias("problem"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.arrays import let
+from ..functions.names import spare
 
 #: Characters of context on either side.
 BANDWIDTH = 400
@@ -89,11 +90,11 @@ def snippets(selected: DataFrame, texts: DataFrame, item: str | list[str] = "ite
     key = [item] if isinstance(item, str) else list(item)
     made = ("snippet_start", "snippet_end", "snippet")
     rest = [c for c in selected.columns if c not in key and c not in made]
-    stretch = F.floor(F.col("start") / STRETCH)
-    nested = selected.groupBy(*key, stretch.alias("_stretch")).agg(F.collect_list(F.struct(*rest)).alias("_spans")).drop("_stretch")
-    text = one_text(texts, key, order).select(*key, F.col("text").alias("_text")).where("_text IS NOT NULL")
-    rows = nested.join(text, key).select(*key, F.explode(windows_of(F.col("_text"), F.col("_spans"), bandwidth)).alias("_w"))
-    return rows.select(*key, *[F.col("_w.span")[c].alias(c) for c in rest], *[F.col(f"_w.{c}").alias(c) for c in made])
+    stretch, spans, own, window = spare(selected, "_stretch", "_spans", "_text", "_window")
+    nested = selected.groupBy(*key, F.floor(F.col("start") / STRETCH).alias(stretch)).agg(F.collect_list(F.struct(*rest)).alias(spans)).drop(stretch)
+    text = one_text(texts, key, order).select(*key, F.col("text").alias(own)).where(F.col(own).isNotNull())
+    rows = nested.join(text, key).select(*key, F.explode(windows_of(F.col(own), F.col(spans), bandwidth)).alias(window))
+    return rows.select(*key, *[F.col(window)["span"][c].alias(c) for c in rest], *[F.col(window)[c].alias(c) for c in made])
 
 
 def to_json_lines(found: DataFrame) -> DataFrame:
@@ -118,11 +119,12 @@ def read_anchor_tsv(spark: SparkSession, path: str) -> DataFrame:
 
 def view_with_fallback(items: DataFrame, new: DataFrame, old: DataFrame, item: str = "item_id", strict: bool = True) -> DataFrame:
     """``items`` with ``text`` from ``new``, else from ``old``; an item in neither is an error, or null if not strict."""
-    rows = items.join(new.select(item, F.col("text").alias("_new")), item, "left").join(old.select(item, F.col("text").alias("_old")), item, "left")
-    text = F.coalesce("_new", "_old")
+    first, second = spare(items, "_new", "_old")
+    rows = items.join(new.select(item, F.col("text").alias(first)), item, "left").join(old.select(item, F.col("text").alias(second)), item, "left")
+    text = F.coalesce(first, second)
     if strict:
         text = F.coalesce(text, F.raise_error(F.concat(F.lit("no view of item "), F.col(item).cast("string"))))
-    return rows.withColumn("text", text).drop("_new", "_old")
+    return rows.withColumn("text", text).drop(first, second)
 
 
 def missing(expected: DataFrame, present: DataFrame, item: str = "item_id") -> DataFrame:

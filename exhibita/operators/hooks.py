@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..functions.names import spare
 from . import resume
 
 #: What an indexing function gives for each anchor.
@@ -101,20 +102,21 @@ def extract_items(
         return sorted_.groupBy(item).applyInArrow(run, values)
 
     folder = f"{store.rstrip('/')}/extract-{prompt_digest(prompt)}"
+    own_item, own_key = spare(snippets, "_item", "_key")
     whole = F.struct(*snippets.columns)
     # equal for equal snippets in whatever order they come
     sums = snippets.groupBy(item).agg(F.count("*").alias("n"), F.sum(F.xxhash64(whole).cast("decimal(38,0)")).alias("a"), F.sum(F.crc32(F.to_json(whole).cast("binary"))).alias("b"))
-    keys = sums.select(F.col(item).alias("_item"), _digest(*[F.col(c).cast("string") for c in (item, "n", "a", "b")]).alias("_key"))
-    todo = keys.join(resume.kept(session, folder, values).where("mark").select(F.col("key").alias("_key")), "_key", "left_anti")
-    rows = snippets.join(todo, snippets[item].eqNullSafe(todo["_item"])).drop("_item")
-    rows = rows.repartition("_key").sortWithinPartitions("_key", *order)
+    keys = sums.select(F.col(item).alias(own_item), _digest(*[F.col(c).cast("string") for c in (item, "n", "a", "b")]).alias(own_key))
+    todo = keys.join(resume.kept(session, folder, values).where("mark").select(F.col("key").alias(own_key)), own_key, "left_anti")
+    rows = snippets.join(todo, snippets[item].eqNullSafe(todo[own_item])).drop(own_item)
+    rows = rows.repartition(own_key).sortWithinPartitions(own_key, *order)
 
     def calls(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, Iterator[pd.DataFrame]]]:
-        parts = (x for batch in batches for x in batch.groupby("_key", sort=False))
+        parts = (x for batch in batches for x in batch.groupby(own_key, sort=False))
         for own, group in itertools.groupby(parts, key=lambda x: x[0]):
-            yield own, extract(prompt, (part.drop(columns="_key") for _, part in group))
+            yield own, extract(prompt, (part.drop(columns=own_key) for _, part in group))
 
     keep = resume.each_call(folder, values, calls)
     rows.mapInPandas(lambda batches: (pd.DataFrame({"key": [k]}) for k in keep(batches)), "key string").write.format("noop").mode("overwrite").save()
     found = resume.kept(session, folder, values).where("NOT mark")
-    return found.join(keys.select(F.col("_key").alias("key")), "key", "left_semi").select("value.*")
+    return found.join(keys.select(F.col(own_key).alias("key")), "key", "left_semi").select("value.*")

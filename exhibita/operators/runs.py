@@ -80,6 +80,11 @@ class Properties:
         seq = F.col("seq").cast("long") if "seq" in updates.columns else F.lit(0).cast("long")
         self._commit(updates.select("run_id", "key", "value", seq.alias("seq"), F.lit(None).cast("long").alias("stamp")))
 
+    def report(self, run_id: str, stage: str, counts: dict[str, int]) -> None:
+        """Keeps the counts of a stage of a run, as properties ``stage.name``; a stage that runs again replaces them."""
+        rows = [(run_id, f"{stage}.{name}", str(n)) for name, n in counts.items()]
+        self.merge(self.spark.createDataFrame(rows, "run_id string, key string, value string"))
+
     def _rows(self, live: dict[str, int]) -> DataFrame:
         """The last value of each key, with the stamp of the merge that it came with."""
         if not live:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import html_wrap, safe_item_id
-from ..operators import evidence, hooks, runs
+from ..operators import checks, evidence, hooks, runs
 from ..sources import submissions as S
 from ..sources.archives import expanded, read_members
 from ..sources.tables import read_exhibits, table, work_dir, write_exhibits
@@ -370,3 +370,27 @@ def run_merge(spark, sf_dir):
     store.merge(second)
     store.compact()
     return store.read()
+
+
+@query(_KEPT + """, n AS (SELECT count(DISTINCT sub) AS subs, count(*) AS items, count(*) FILTER (cik IS NULL) AS bare FROM named)
+SELECT 'run-1' AS run_id, key, CAST(value AS VARCHAR) AS value FROM (SELECT 'items.n_rows' AS key, items AS value FROM n UNION ALL SELECT 'items.n_bare', bare FROM n
+UNION ALL SELECT 'submissions.n_rows', subs FROM n UNION ALL SELECT 'submissions.n_items', items FROM n UNION ALL SELECT 'views.n_rows', 0)""")
+def stage_report(spark, sf_dir):
+    """Counts of three stages of a run, each taken in the pass that wrote it and kept with the run's properties."""
+    path, store = work_dir(spark), runs.Properties(spark, work_dir(spark))
+    nested = _nested(spark, sf_dir)
+    store.report("run-1", "submissions", checks.write_stage(nested, f"{path}/submissions", "submissions", {"n_items": F.sum(F.size("documents"))}))
+    items = S.flat(spark.read.parquet(f"{path}/submissions"))
+    bare = F.count_if(F.col("cik").isNull())
+    store.report("run-1", "items", checks.write_stage(items, f"{path}/items", "items", {"n_bare": bare}))
+    none = spark.read.parquet(f"{path}/items").where("item_id IS NULL")
+    store.report("run-1", "views", checks.write_stage(none, f"{path}/views", "views", may_be_empty=True))
+    return store.read("run-1")
+
+
+@query("SELECT l.doc_id, l.quality, d.source, md5(coalesce(d.text, '')) AS text_md5 FROM labels l JOIN documents d USING (doc_id) WHERE d.source <> 'web'")
+def required_join(spark, sf_dir):
+    """Labels with their documents; a label without one would be an error, whatever is selected afterwards."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    found = checks.join_required(table(spark, sf_dir, "labels").select("doc_id", "quality"), docs, "doc_id", "labels")
+    return found.where("source <> 'web'").select("doc_id", "quality", "source", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"))

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.names import spare
 from ..functions.text import html_to_text, is_plain_page, markdown_table, outer_newlines
 
 _SILENT = ("script", "style", "template")
@@ -157,6 +158,7 @@ def page_text(pages: DataFrame, html: str = "html", keep: list[str] | None = Non
     """
     kept = [c for c in pages.columns if c not in (html, "text") and (keep is None or c in keep)]
     plain = is_plain_page(F.col(html))
-    rows = pages.select(*kept, F.when(plain, html_to_text(F.col(html))).alias("_plain"), F.when(~plain, F.col(html)).alias("_page"))
-    text = F.coalesce("_plain", outer_newlines(fenced_text(F.col("parts"))))
-    return with_parts(rows, "_page").select(*kept, text.alias("text"))
+    simple, page = spare(pages, "_plain", "_page")
+    rows = pages.select(*kept, F.when(plain, html_to_text(F.col(html))).alias(simple), F.when(~plain, F.col(html)).alias(page))
+    text = F.coalesce(simple, outer_newlines(fenced_text(F.col("parts"))))
+    return with_parts(rows, page).select(*kept, text.alias("text"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import let
+from ..functions.names import spare
 from ..functions.text import LINE_END, safe_item_id, strip
 
 _LINE = LINE_END.replace(r"\r\n|", "")
@@ -148,8 +149,9 @@ def flat(subs: DataFrame, documents: str = "documents") -> DataFrame:
     """A row for each of the nested documents, in order, with the submission's columns beside the document's."""
     kinds = subs.schema[documents].dataType.elementType.names
     rest = [c for c in subs.columns if c != documents and c not in kinds]
-    rows = subs.select(*rest, F.explode(documents).alias("_document"))
-    return rows.select(*rest, *[F.col("_document")[c].alias(c) for c in kinds])
+    (one,) = spare(subs, "_document")
+    rows = subs.select(*rest, F.explode(documents).alias(one))
+    return rows.select(*rest, *[F.col(one)[c].alias(c) for c in kinds])
 
 
 def plain(name: Column) -> Column:
@@ -172,12 +174,12 @@ def match_accessions(found: DataFrame, accessions: DataFrame | None, name: str =
     if accessions is None:
         return found.withColumn("matched", F.lit(None).cast("string"))
     found = found.drop("matched")
-    key, wanted, cut = "_name", "_plain", "_cut"
-    listed = accessions.select(F.struct("list_pos", "accession").alias("_entry"), plain(F.col("accession")).alias(wanted)).where(f"{wanted} IS NOT NULL")
+    key, wanted, cut, entry = spare(found, "_name", "_plain", "_cut", "_entry")
+    listed = accessions.select(F.struct("list_pos", "accession").alias(entry), plain(F.col("accession")).alias(wanted)).where(f"{wanted} IS NOT NULL")
     lengths = [r[0] for r in listed.select(F.length(wanted)).distinct().collect()]
     if not lengths:
         raise ValueError("the list has no accessions")
-    entries = listed.groupBy(wanted).agg(F.min("_entry").alias("_entry"))
+    entries = listed.groupBy(wanted).agg(F.min(entry).alias(entry))
 
     def windows(text: Column) -> Column:
         last = lambda n: F.length(text) - n
@@ -186,8 +188,8 @@ def match_accessions(found: DataFrame, accessions: DataFrame | None, name: str =
 
     names = found.select(F.col(name).alias(key)).distinct()
     names = names.select(key, F.explode(let(plain(F.col(key)), windows)).alias(cut))
-    first = names.join(entries, F.col(cut) == F.col(wanted)).groupBy(key).agg(F.min("_entry").alias("_entry"))
-    rows = found.join(first.select(F.col(key), F.col("_entry.accession").alias("matched")), F.col(name) == F.col(key))
+    first = names.join(entries, F.col(cut) == F.col(wanted)).groupBy(key).agg(F.min(entry).alias(entry))
+    rows = found.join(first.select(F.col(key), F.col(entry)["accession"].alias("matched")), F.col(name) == F.col(key))
     return rows.drop(key)
 
 

@@ -11,10 +11,11 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from exhibita.operators import anchors, evidence, hooks, runs
+from exhibita.operators import anchors, checks, evidence, hooks, runs
 from exhibita.sources import archives as R
 from exhibita.sources import submissions as S
 from exhibita.sources import tables
+from exhibita.sources.html import page_text
 from exhibita.sources.tables import read_canonical, read_exhibits, read_prompt_views, work_dir, write_exhibits, write_views
 
 FULL = """<SUBMISSION>
@@ -240,6 +241,85 @@ def test_stage_checks_and_errors(spark, tmp_path):
     assert [tuple(r) for r in read_exhibits(spark, str(tmp_path / "ex"), "r").collect()] == [("i", "new")]
 
 
+def test_a_required_join_fails_in_its_own_pass(spark):
+    have = spark.createDataFrame([(1, "a", 5), (1, "b", 6), (2, "c", 7)], "item_id long, text string, _there int")
+    want = spark.createDataFrame([(1, "own"), (1, "own"), (2, "own")], "item_id long, text string")
+    found = checks.join_required(want, have)
+    assert found.columns == ["item_id", "text", "_there"]
+    assert sorted(tuple(r) for r in found.collect()) == [(1, "a", 5), (1, "a", 5), (1, "b", 6), (1, "b", 6), (2, "c", 7)]
+    assert checks.join_required(want.limit(0), have).count() == 0
+    for lost, name in ((spark.createDataFrame([(9, "x")], want.schema), "9"), (spark.createDataFrame([(None, "x")], want.schema), "null")):
+        wrong = checks.join_required(want.union(lost), have, stage="views")
+        # neither a filter on the other side nor a narrow selection turns the error off
+        for use in (wrong, wrong.where("text = 'a'"), wrong.where("_there > 6").select("_there"), wrong.groupBy().count()):
+            with pytest.raises(Exception, match=f"views: nothing for item {name}"):
+                use.collect()
+
+
+def test_a_stage_is_counted_in_the_pass_that_writes_it(spark, tmp_path):
+    runs_of = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            runs_of.add(b.num_rows)
+            yield b
+
+    rows = spark.range(1000).selectExpr("id", "if(id % 10 = 0, null, id % 3) AS v").mapInArrow(seen, "id long, v long")
+    out = checks.write_stage(rows, str(tmp_path / "a"), "a", {"total": F.sum("v"), "known": F.count("v"), "none": F.sum(F.lit(None).cast("long"))})
+    values = [i % 3 for i in range(1000) if i % 10]
+    assert out == {"n_rows": 1000, "total": sum(values), "known": len(values), "none": 0} and runs_of.value == 1000
+    assert spark.read.parquet(str(tmp_path / "a")).count() == 1000
+    # a shuffle before the writer changes no count
+    assert checks.write_stage(rows.repartition(3, "v"), str(tmp_path / "b"), "b")["n_rows"] == 1000
+    for empty in (rows.limit(0), rows.where("id < 0"), rows.join(rows.where("id < 0").select("id"), "id")):
+        with pytest.raises(ValueError, match="views: no rows"):
+            checks.write_stage(empty, str(tmp_path / "c"), "views")
+        assert not (tmp_path / "c").exists()
+    assert checks.write_stage(rows.where("id < 0"), str(tmp_path / "c"), "views", {"total": F.sum("v")}, may_be_empty=True) == {"n_rows": 0, "total": 0}
+    store = runs.Properties(spark, str(tmp_path / "store"))
+    store.report("r", "a", {"n_rows": 3})
+    store.report("r", "a", out)
+    assert {r["key"]: r["value"] for r in store.read("r").collect()}["a.n_rows"] == "1000"
+
+
+def test_spans_are_checked_over_stretches(spark, monkeypatch):
+    monkeypatch.setattr(anchors, "STRETCH", 16)
+    body = "0123456789" * 10
+    spans = [(0, 20), (18, 30), (30, 40), (40, 90), (33, 34), (95, 101), (None, 3), (98, 97)]
+    rows = [(1, f"A{k}", a, b, max(0, (a or 0) - 2), min(100, b + 2), body[max(0, (a or 0) - 2) : min(100, b + 2)]) for k, (a, b) in enumerate(spans)]
+    rows.append((1, "T", 91, 92, 89, 94, "x"))
+    rows.append((1, "N", 93, 94, 91, 96, None))
+    rows.append((2, "L", 0, 1, 0, 1, "x"))
+    schema = "item_id long, anchor_id string, start int, end int, snippet_start int, snippet_end int, snippet string"
+    found = anchors.violations(spark.createDataFrame(rows, schema).withColumn("_text", F.lit(1)), spark.createDataFrame([(1, body), (1, body), (3, "")], "item_id long, text string"))
+    got = sorted((r["anchor_id"], r["problem"]) for r in found.collect())
+    known = sorted((r for r in rows if r[0] == 1), key=lambda r: (r[2] is not None, r[2] or 0, r[3]))
+    expected, before = [], None
+    for _, anchor, a, b, x, y, snippet in known:
+        if a is None or not 0 <= a <= b <= len(body):
+            expected.append((anchor, "bounds"))
+        if before is not None and a is not None and before > a:
+            expected.append((anchor, "overlap"))
+        if snippet != body[x:y]:
+            expected.append((anchor, "text"))
+        before = b if a is not None else None
+    assert got == sorted(expected) and len(got) == 8
+
+
+def test_helper_columns_give_way_to_the_inputs(spark):
+    texts = spark.createDataFrame([(1, "0123456789")], "item_id long, text string")
+    own = spark.createDataFrame([(1, 2, 4, "a", "b", "c", "d")], "item_id long, start int, end int, _text string, _spans string, _stretch string, _window string")
+    row = evidence.snippets(own, texts, bandwidth=1).first()
+    assert (row["snippet"], row["_text"], row["_spans"], row["_stretch"], row["_window"]) == ("1234", "a", "b", "c", "d")
+    listed = spark.createDataFrame([(0, "1-2")], "list_pos long, accession string")
+    member = spark.createDataFrame([("f/12.nc", "n", "p", "e")], "member_name string, _name string, _plain string, _entry string")
+    assert tuple(S.match_accessions(member, listed).first()) == ("f/12.nc", "n", "p", "e", "1-2")
+    items = spark.createDataFrame([(1, "n", "o")], "item_id long, _new string, _old string")
+    assert tuple(evidence.view_with_fallback(items, texts, texts).first()) == (1, "n", "o", "0123456789")
+    pages = spark.createDataFrame([("<p>a</p>", "p", "q")], "html string, _plain string, _page string")
+    assert tuple(page_text(pages).first()) == ("p", "q", "a")
+
+
 def test_snippet_windows(spark):
     texts = spark.createDataFrame([(1, "0123456789𝒳"), (2, "")], "item_id long, text string")
     rows = [(1, 0, 2), (1, 9, 11), (1, 50, 60), (2, 0, 0), (3, 0, 1)]
