@@ -43,7 +43,7 @@ PIVOTS = 3
 ORDER_ONE_IN, ORDER_LEAST, ORDER_MOST = 16, 3, 200_000
 #: Different texts with one 64-bit hash that are told apart at most; of 1e12 texts some 30,000 would be.
 MOST_SHARED = 100_000
-#: Nodes that are broadcast at most, 8 bytes each; beyond that they are joined like any table.
+#: Nodes or rows' keys that are broadcast at most, 8 or 16 bytes each; beyond that they are joined like any table.
 BROADCAST_NODES = 1 << 21
 #: Shingles whose hashes are held at once.
 PIECE = 1 << 16
@@ -322,7 +322,7 @@ def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     repeated rows one stays. An empty table stays empty. All columns are kept as they are, whatever their names.
     """
     # the digest of the whole row tells rows with one key apart
-    digest, node = spare(docs, "_digest", "_node")
+    digest, node, rows = spare(docs, "_digest", "_node", "_rows")
     whole = docs.where(named(key).isNotNull())
     whole = whole.withColumn(digest, F.xxhash64(*map(named, docs.columns))).withColumn(node, _nodes(named(text), whole))
     nodes = whole.groupBy(named(node).alias("node")).agg(F.min(F.struct(named(key).alias("k"), named(digest).alias("d"))).alias("low"))
@@ -332,9 +332,16 @@ def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -
         roots = connected_components(copy_links(texts, scratch))
         best = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("low").alias("b"))
         best = written(best.select(F.col("b.k").alias(key), F.col("b.d").alias(digest)))
-    # the join has dealt the rows out by the columns that repeated rows agree on
-    one = whole.join(best, [key, digest], "left_semi").dropDuplicates([key, digest]).select(*map(named, docs.columns))
-    return one.union(docs.where(named(key).isNull()))
+    own = [named(key), named(digest)]
+    if isinstance(docs.schema[key].dataType, T.IntegralType) and best.count() <= BROADCAST_NODES:
+        # only rows that repeat need to meet: no other text moves
+        chosen = whole.join(F.broadcast(best), [key, digest], "left_semi")
+        again = F.broadcast(written(chosen.groupBy(*own).agg(F.count("*").alias(rows)).where(named(rows) > 1).select(*own)))
+        one = chosen.join(again, [key, digest], "left_anti").union(chosen.join(again, [key, digest], "left_semi").dropDuplicates([key, digest]))
+    else:
+        # the join has dealt the rows out by the columns that repeated rows agree on
+        one = whole.join(best, [key, digest], "left_semi").dropDuplicates([key, digest])
+    return one.select(*map(named, docs.columns)).union(docs.where(named(key).isNull()))
 
 
 def op6_simhash(spark, sf_dir: str) -> DataFrame:
