@@ -43,7 +43,7 @@ PIVOTS = 3
 ORDER_ONE_IN, ORDER_LEAST, ORDER_MOST = 16, 3, 200_000
 #: Different texts with one 64-bit hash that are told apart at most; of 1e12 texts some 30,000 would be.
 MOST_SHARED = 100_000
-#: Nodes or rows' keys that are broadcast at most, 8 or 16 bytes each; beyond that they are joined like any table.
+#: Nodes, shingles or rows' keys that are broadcast at most, 8 or 16 bytes each; beyond that they are joined like any table.
 BROADCAST_NODES = 1 << 21
 #: Shingles whose hashes are held at once.
 PIECE = 1 << 16
@@ -189,7 +189,7 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def prefixes(texts: DataFrame, share: float = COPY_SHARE) -> DataFrame:
-    """``(token, node, n, at, cold)``: the first shingles of each row of ``(node, text)``, rare ones first, and their places.
+    """``(node, n, cold, tokens)``: the first shingles of each row of ``(node, text)``, rare ones first.
 
     Two sets with ``share`` of their union in common have one of these in common: all orders are the same, and a
     set of n must share ``share * n`` with the other. ``n`` is the size, ``cold`` how many in the prefix are rare.
@@ -200,24 +200,38 @@ def prefixes(texts: DataFrame, share: float = COPY_SHARE) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
-            out: list[list[np.ndarray]] = [[] for _ in range(5)]
-            for node, x in zip(batch.column("node").to_pylist(), batch.column("text"), strict=True):
+            sizes, colds, firsts = [], [], []
+            for x in batch.column("text"):
                 h = shingle_hashes(x.as_py()).view(np.int64)
                 n = len(h)
-                size = n - math.ceil(share * n - 1e-9) + 1
                 rank = np.full(n, -1)
                 if len(values):
                     at = np.minimum(np.searchsorted(values, h), len(values) - 1)
                     rank = np.where(values[at] == h, by_value[at], -1)
-                first = np.lexsort((h, rank))[:size]
-                cold = int((rank[first] < 0).sum())
-                for column, x in zip(out, (h[first], np.full(size, node), np.full(size, n), np.arange(size), np.full(size, cold)), strict=True):
-                    column.append(x)
-            if out[0]:
-                columns = [pa.array(np.concatenate(x).astype(k)) for x, k in zip(out, ("i8", "i8", "i4", "i4", "i4"), strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names=["token", "node", "n", "at", "cold"])
+                first = np.lexsort((h, rank))[: n - math.ceil(share * n - 1e-9) + 1]
+                sizes.append(n)
+                colds.append(int((rank[first] < 0).sum()))
+                firsts.append(h[first])
+            columns = [batch.column("node"), pa.array(sizes, pa.int32()), pa.array(colds, pa.int32()), pa.array(firsts, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "cold", "tokens"])
 
-    return texts.mapInArrow(cut, "token long, node long, n int, at int, cold int")
+    return texts.mapInArrow(cut, "node long, n int, cold int, tokens array<long>")
+
+
+def _shared_tokens(texts: DataFrame, scratch: Scratch, share: float) -> DataFrame:
+    """``(token, node, n, at, cold, indexed)``: the prefix shingles that can make a pair, once for each node, and their places.
+
+    A shingle can only do so if it stands in two rows and is indexed in one of them. Most stand in one alone, so they are
+    counted by themselves first; only the rows of the others move with their nodes.
+    """
+    rows = scratch.written(prefixes(texts, share))
+    every = rows.select(F.posexplode("tokens").alias("at", "token"), "node", "n", "cold").withColumn("indexed", _indexed(share))
+    seen = every.groupBy("token").agg(F.count("*").alias("rows"), F.max("indexed").alias("some")).where("rows > 1 and some")
+    seen = scratch.written(seen.select("token"))
+    if seen.count() <= BROADCAST_NODES:
+        seen = F.broadcast(seen)
+    once = every.join(seen, "token", "left_semi").groupBy("token", "node")
+    return scratch.written(once.agg(*(F.min(x).alias(x) for x in ("n", "at", "cold", "indexed"))))
 
 
 def _possible(a: str, b: str, share: float) -> Column:
@@ -266,7 +280,7 @@ def copy_links(texts: DataFrame, scratch: Scratch, share: float = COPY_SHARE) ->
     places, or already in one component. The result can be read while ``scratch`` is open.
     """
     # texts and sets are read again rather than kept: they would be most of the disk
-    tokens = prefixes(texts, share).withColumn("indexed", _indexed(share)).repartition("token").dropDuplicates(["token", "node"])
+    tokens = _shared_tokens(texts, scratch, share)
     own = F.struct("node", "n", "at", "indexed")
     # one order for all buckets: those of a large group then agree on their pivots
     picks = [F.min_by(own, F.struct(F.col("cold") / F.col("n"), F.xxhash64("node", F.lit(k)))) for k in range(PIVOTS)]

@@ -296,6 +296,18 @@ def test_every_pair_just_above_the_share_is_caught(spark, monkeypatch, limit):
     assert {r["doc_id"] for r in kept.collect()} == {2 * i for i in range(24)}
 
 
+def test_repeated_rows_meet_alone_whatever_the_keys(spark, monkeypatch):
+    text, other = " ".join(f"w{k}" for k in range(40)), " ".join(f"x{k}" for k in range(40))
+    rows = [(7, text, "s")] * 60 + [(3, other, "s")] * 2 + [(9, other + " end", "s"), (5, "", "s"), (6, None, "s")]
+    expected = {(3, other), (5, ""), (7, text)}
+    for limit in (1 << 21, 0):
+        monkeypatch.setattr(simhash, "BROADCAST_NODES", limit)
+        for kind in ("long", "string"):
+            df = docs(spark, rows).repartition(3)
+            kept = simhash.keep_one_of_each(df.withColumn("doc_id", df.doc_id.cast(kind)))
+            assert sorted((int(r["doc_id"]), r["text"]) for r in kept.collect()) == sorted(expected)
+
+
 def test_a_crowded_bucket_around_one_text_is_settled(spark):
     base = [f"w{k}" for k in range(60)]
     rows = [(0, " ".join(base), "s")]
