@@ -131,6 +131,13 @@ def test_pages_of_any_kind(spark):
     assert plain == {0, 7}
 
 
+def test_a_named_reference_needs_its_semicolon(spark):
+    pages = ["<h1>a&&amp</h1><p>&eacute;x &copyx &notit; &#33; & b</p>", "<table><tr><td>a&lt b&lt;</td></tr></table>"]
+    df = spark.createDataFrame(list(enumerate(pages)), "item_id long, html string")
+    got = [r["text"] for r in page_text(df).orderBy("item_id").collect()]
+    assert got == ["a&&amp\néx &copyx &notit; ! & b", "[[TABLE]]\n| a&lt b< |\n| --- |\n[[/TABLE]]"]
+
+
 @pytest.mark.parametrize("text", ["", " \n\n ", None])
 def test_nothing_to_anchor(spark, text):
     df = spark.createDataFrame([(1, text)], "item_id long, text string")
