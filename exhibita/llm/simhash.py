@@ -10,8 +10,9 @@ several fingerprints is split by the same seven masks over the bits that are lef
 and the guarantee holds again. After ``LEVELS`` of this six bits are left, a bucket has ``2 ** 6`` fingerprints at
 most, and the ones in it at 2 or fewer differing bits are linked. Only fingerprints that still share a bucket go on.
 
-``keep_one_of_each`` finds near copies in the usual sense, by a share of equal five-word shingles, and takes no
-fingerprints: an exact prefix join on the shingles finds every pair, see ``copy_links``.
+``keep_one_of_each`` finds near copies in the usual sense, by a share of equal five-word shingles. Fingerprints propose
+first, each text with its component's representative; an exact prefix join on the shingles then finds every pair that no
+radius holds, see ``copy_links``.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ LEVELS, MOST_LEFT = 3, 6
 SEED = 42
 #: For near copies: words in a shingle, and least share of equal shingles.
 COPY_SHINGLE, COPY_SHARE = 5, 0.8
+#: Pairs of one text that are judged in one group.
+HUB = 1000
 #: Members of a bucket that the others are held against first.
 PIVOTS = 3
 #: One text in ``ORDER_ONE_IN`` is read for the order of shingles; those seen ``ORDER_LEAST`` times, ``ORDER_MOST`` at
@@ -163,19 +166,25 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def _sets(texts: DataFrame) -> DataFrame:
-    """``(node, h)``: all distinct shingles of each node of ``(node, text)``, whose repeated rows count once."""
+    """``(node, h)``: all distinct shingles of each node of ``(node, text)``, once for each task that reads its text."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in _slices(batches):
-            found = [shingle_hashes(x.as_py()).view(np.int64) for x in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.list_(pa.int64()))], names=["node", "h"])
+            nodes, found = [], []
+            for node, text in zip(batch.column("node").to_pylist(), batch.column("text"), strict=True):
+                if node not in seen:
+                    seen.add(node)
+                    nodes.append(node)
+                    found.append(shingle_hashes(text.as_py()).view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["node", "h"])
 
-    return texts.dropDuplicates(["node"]).mapInArrow(gather, "node long, h array<long>")
+    return texts.mapInArrow(gather, "node long, h array<long>")
 
 
 def _common(texts: DataFrame) -> np.ndarray:
     """The shingles that are frequent in a sample of ``(node, text)``, frequent ones last."""
-    sample = _sets(texts.where(F.pmod("node", F.lit(ORDER_ONE_IN)) == 0))
+    sample = _sets(texts.where(F.pmod("node", F.lit(ORDER_ONE_IN)) == 0).dropDuplicates(["node"]))
     seen = sample.select(F.explode("h").alias("x")).groupBy("x").agg(F.count("*").alias("n"))
     rows = seen.where(F.col("n") >= ORDER_LEAST).orderBy(F.desc("n"), "x").limit(ORDER_MOST).collect()
     return np.array([r["x"] for r in reversed(rows)], np.int64)
@@ -268,10 +277,37 @@ def _within(few: DataFrame, every: DataFrame, share: float) -> DataFrame:
     return indexed.select("a", "b").union(probing.select("a", "b"))
 
 
+def _represented(texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(node, rep)`` for the nodes ``(node, text)`` of SimHash components that hold several: the smallest node of each."""
+    fps = scratch.written(fingerprints(texts, "text", ["node"]).distinct())
+    roots = connected_components(links(fps.select("fp").distinct())).withColumnRenamed("node", "fp")
+    rooted = fps.join(roots, "fp", "left").select("node", F.coalesce("root", "fp").alias("root"))
+    low = rooted.groupBy("root").agg(F.min("node").alias("rep"), F.count("*").alias("n")).where("n > 1")
+    return rooted.join(low, "root").select("node", "rep")
+
+
+def _proposed(tokens: DataFrame, texts: DataFrame, scratch: Scratch, share: float) -> DataFrame:
+    """Pairs ``(u, v)`` of a node and the representative of its SimHash component, less those that sizes and places rule out."""
+    own = tokens.join(_represented(texts, scratch), "node").select("token", "rep", F.struct("node", "n", "at", "indexed").alias("a"))
+    heads = own.where("a.node = rep").withColumnRenamed("a", "b")
+    both = own.where("a.node <> rep").join(heads, ["token", "rep"]).where("a.indexed or b.indexed").where(_possible("a", "b", share))
+    return both.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct()
+
+
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """Those of the pairs ``(u, v)`` that are not in one of the components ``(node, root)``."""
+    if found.count() <= BROADCAST_NODES:
+        found = F.broadcast(found)
+    rows = pairs.join(found.select(F.col("node").alias("u"), F.col("root").alias("a")), "u", "left")
+    rows = rows.join(found.select(F.col("node").alias("v"), F.col("root").alias("b")), "v", "left")
+    return rows.where("a is null or b is null or a <> b").select("u", "v")
+
+
 def copy_links(texts: DataFrame, scratch: Scratch, share: float = COPY_SHARE) -> DataFrame:
     """Edges ``(u, v)`` between nodes ``(node, text)`` whose sets of shingles share ``share`` of their union.
 
-    The nodes that have a prefix shingle in common are a bucket. First they are held against ``PIVOTS`` of them: the
+    SimHash comes first: a node is judged against the representative of its component, and what that has linked needs no
+    pairs any more. The exact join follows for all others. The nodes that have a prefix shingle in common are a bucket. First they are held against ``PIVOTS`` of them: the
     ones with fewest rare shingles, which in a group around one text is that text. No bucket is gathered or paired
     up in this. Then what that has linked is one component, and the nodes outside their bucket's main component are
     held against those of the bucket that are not in theirs, see ``_within``: of a pair the smaller set must have the
@@ -281,6 +317,7 @@ def copy_links(texts: DataFrame, scratch: Scratch, share: float = COPY_SHARE) ->
     """
     # texts and sets are read again rather than kept: they would be most of the disk
     tokens = _shared_tokens(texts, scratch, share)
+    same = scratch.written(judged(scratch.written(_proposed(tokens, texts, scratch, share)), texts, scratch, share))
     own = F.struct("node", "n", "at", "indexed")
     # one order for all buckets: those of a large group then agree on their pivots
     picks = [F.min_by(own, F.struct(F.col("cold") / F.col("n"), F.xxhash64("node", F.lit(k)))) for k in range(PIVOTS)]
@@ -288,8 +325,9 @@ def copy_links(texts: DataFrame, scratch: Scratch, share: float = COPY_SHARE) ->
     shared = scratch.written(tokens.join(pivots, "token").select("token", "node", "n", "at", "indexed", "pivots"))
     first = shared.select(own.alias("a"), F.explode("pivots").alias("b")).where("a.node <> b.node")
     first = first.where(_possible("a", "b", share))
-    first = scratch.written(first.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct())
-    links = scratch.written(judged(first, texts, scratch, share))
+    first = first.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct()
+    first = scratch.written(_apart(first, connected_components(same)))
+    links = scratch.written(same.union(judged(first, texts, scratch, share)))
     found = connected_components(links)
     roots = shared.join(found, "node", "left").select(F.struct("node", "n", "at", "indexed", F.coalesce("root", "node").alias("root")).alias("a"), "token", F.col("pivots")[0]["node"].alias("p"))
     roots = roots.join(found.select(F.col("node").alias("p"), F.col("root").alias("main")), "p", "left").select("token", "a", F.coalesce("main", "p").alias("main"))
@@ -301,16 +339,44 @@ def copy_links(texts: DataFrame, scratch: Scratch, share: float = COPY_SHARE) ->
 
 
 def judged(pairs: DataFrame, texts: DataFrame, scratch: Scratch, share: float = COPY_SHARE) -> DataFrame:
-    """Those of the pairs ``(u, v)`` whose texts ``(node, text)`` have, of all distinct shingles, ``share`` of their union in common."""
-    # few texts are in a pair: only theirs are moved, and the join by both ends moves their sets alone
-    wanted = scratch.written(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
-    if wanted.count() <= BROADCAST_NODES:
-        wanted = F.broadcast(wanted)
-    sets = scratch.written(_sets(texts.join(wanted, "node", "left_semi")))
-    both = pairs.join(sets.select(F.col("node").alias("u"), F.col("h").alias("a")), "u")
-    both = both.join(sets.select(F.col("node").alias("v"), F.col("h").alias("b")), "v")
-    both = both.select("u", "v", (F.size("a") + F.size("b")).alias("n"), F.size(F.array_intersect("a", "b")).alias("equal"))
-    return both.where(F.col("equal") >= share * (F.col("n") - F.col("equal"))).select("u", "v")
+    """Those of the pairs ``(u, v)`` whose texts ``(node, text)`` have, of all distinct shingles, ``share`` of their union in common.
+
+    Texts do not move. Their sets do once: that of ``u`` for each pair, that of ``v`` for each group of some ``HUB`` of its
+    pairs, where it comes first, so that a task holds one set and streams the others.
+    """
+    groups = F.ceil(F.count("*") / HUB).alias("groups")
+    asked = pairs.join(pairs.groupBy("v").agg(groups), "v").select("u", "v", F.pmod(F.xxhash64("u"), "groups").alias("part"))
+    sent = asked.select(F.col("v").alias("node"), "v", "part", F.lit(False).alias("other")).distinct()
+    sent = scratch.written(sent.union(asked.select(F.col("u").alias("node"), "v", "part", F.lit(True))))
+    wanted = sent.select("node").distinct()
+    if sent.count() <= BROADCAST_NODES:
+        sent, wanted = F.broadcast(sent), F.broadcast(wanted)
+    sets = _sets(texts.join(wanted, "node", "left_semi")).join(sent, "node")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, base, last = None, None, None
+        for batch in batches:
+            near: list[tuple[int, int]] = []
+            sets, v, part, other, node = batch.column("h"), *(batch.column(c).to_pylist() for c in ("v", "part", "other", "node"))
+            for k in range(batch.num_rows):
+                # rows of texts that stand in several tasks repeat
+                if (v[k], part[k], node[k]) == last:
+                    continue
+                last = (v[k], part[k], node[k])
+                own = sets[k].values.to_numpy().view(np.uint64)
+                if not other[k]:
+                    at, base = (v[k], part[k]), own.copy()
+                    continue
+                if at != (v[k], part[k]):
+                    raise ValueError("a text of a pair is missing")
+                place = np.minimum(np.searchsorted(base, own), len(base) - 1)
+                equal = int((base[place] == own).sum())
+                if equal >= share * (len(base) + len(own) - equal):
+                    near.append((node[k], v[k]))
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in near], pa.int64()) for i in (0, 1)], names=["u", "v"])
+
+    rows = sets.select("v", "part", "other", "node", "h").repartition("v", "part").sortWithinPartitions("v", "part", "other", "node")
+    return rows.mapInArrow(compare, "u long, v long")
 
 
 def _nodes(text: Column, docs: DataFrame) -> Column:

@@ -322,6 +322,36 @@ def test_a_crowded_bucket_around_one_text_is_settled(spark):
     assert {r["doc_id"] for r in kept.collect()} == {0, 1000}
 
 
+def test_fingerprints_propose_first_and_their_pairs_are_not_judged_again(spark, monkeypatch):
+    seen, real = [], simhash.judged
+
+    def judged(pairs, texts, scratch, share=simhash.COPY_SHARE):
+        seen.append(pairs.count())
+        return real(pairs, texts, scratch, share)
+
+    monkeypatch.setattr(simhash, "judged", judged)
+    rows, equal, far = [], 0, 0
+    for i in range(30):
+        words = [f"t{i}w{k}" for k in range(60)]
+        rows += [(2 * i, " ".join(words), "s"), (2 * i + 1, edited(words, 1, f"t{i}"), "s")]
+        fps = [brute_fingerprint(t) for _, t, _ in rows[-2:]]
+        equal, far = equal + ((fps[0] ^ fps[1]).bit_count() <= 2), far + ((fps[0] ^ fps[1]).bit_count() > 2)
+    kept = simhash.keep_one_of_each(docs(spark, rows))
+    assert {r["doc_id"] for r in kept.collect()} == {2 * i for i in range(30)}
+    assert equal and far and seen[0] == equal and sum(seen[1:]) == far
+
+
+def test_a_hubs_pairs_are_judged_in_groups(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(simhash, "HUB", 3)
+    words = [f"w{k}" for k in range(60)]
+    texts = [(0, " ".join(words).encode())] + [(k, edited(words, 1 + k % 2 * 5, f"x{k}").encode()) for k in range(1, 20)]
+    df = spark.createDataFrame(texts * 3, "node long, text binary").repartition(5)
+    pairs = spark.createDataFrame([(k, 0) for k in range(1, 20)], "u long, v long")
+    with simhash.Scratch(spark) as scratch:
+        found = {tuple(r) for r in simhash.judged(pairs, df, scratch).collect()}
+    assert found == {(k, 0) for k in range(2, 20, 2)}
+
+
 def test_components_of_a_long_chain(spark):
     chain = spark.range(60).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v")).union(spark.createDataFrame([(100, 100), (201, 200), (201, 200)], "u long, v long"))
     got = {r["node"]: r["root"] for r in connected_components(chain).collect()}
