@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.arrays import let
 from .common import Scratch, named, table, written
 
 #: Payloads of at least so many bytes are stored by one response; the others with the same payload revisit it.
@@ -39,14 +40,14 @@ _ROW = ("id", "url", "sha256")
 
 
 def base32(hexadecimal: Column) -> Column:
-    """Forty hex digits as bare upper-case base32: five digits are four letters."""
+    """Forty hex digits as bare upper-case base32: five digits are four letters. The digits are worked out once."""
 
-    def four(k: Column) -> Column:
-        number = F.conv(F.substring(hexadecimal, k * 5 + 1, F.lit(5)), 16, 10).cast("int")
+    def four(number: Column) -> Column:
         letter = lambda shift: F.substring(F.lit(_BASE32), F.shiftright(number, shift).bitwiseAND(31) + 1, F.lit(1))
         return F.concat(*map(letter, (15, 10, 5, 0)))
 
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), four), "")
+    numbers = lambda digits: F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: F.conv(F.substring(digits, k * 5 + 1, F.lit(5)), 16, 10).cast("int"))
+    return F.array_join(F.transform(let(hexadecimal, numbers), four), "")
 
 
 def digested(pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -208,11 +209,11 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     error. A revisit has them from the response that it refers to.
     """
     rows = parsed(restore(spark, path))
-    own = base32(F.sha1("payload"))
     wrong = F.raise_error(F.concat(F.lit("the payload has another digest than its header says: "), F.col("record_id")))
-    real = F.when(F.col("record_type") != "response", F.lit(None)).when(F.col("digest") == F.concat(F.lit("sha1:"), own), own).otherwise(wrong)
+    real = lambda own: F.when(F.col("record_type") != "response", F.lit(None)).when(F.col("digest") == F.concat(F.lit("sha1:"), own), own).otherwise(wrong)
+    checked = let(base32(F.sha1("payload")), real).alias("payload_digest")
     # without payloads the rows are small; they are needed twice
-    rows = written(rows.select("record_id", "record_type", "refers_to", real.alias("payload_digest"), F.length("payload").cast("long").alias("payload_bytes")))
+    rows = written(rows.select("record_id", "record_type", "refers_to", checked, F.length("payload").cast("long").alias("payload_bytes")))
     full = rows.where("record_type = 'response'")
     revisits = rows.where("record_type = 'revisit'").select("record_id", "record_type", "refers_to")
     revisits = revisits.join(full.select(F.col("record_id").alias("refers_to"), "payload_digest", "payload_bytes"), "refers_to", "left")

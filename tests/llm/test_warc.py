@@ -97,6 +97,14 @@ def test_an_empty_table_gives_an_empty_archive(spark):
     assert found(spark, archived(spark, [])) == []
 
 
+def test_a_payloads_digest_is_worked_out_once(spark):
+    path = archived(spark, ROWS)
+    digest = spark.createDataFrame([("ab", "0" * 40)], "payload string, hexadecimal string")
+    plan = lambda c: digest.select(c)._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan(warc.base32(warc.F.sha1(warc.F.col("payload").cast("binary"))).alias("x")).count("sha1(") == 1
+    assert found(spark, path) == brute(ROWS)
+
+
 def test_many_repeated_rows(spark):
     rows = [(1, "u", "page " * 50, None, None)] * 500 + [(i, "u", "page " * 50, None, None) for i in range(2, 200)]
     assert found(spark, archived(spark, rows)) == brute(rows)
