@@ -27,7 +27,7 @@ def strip(text: Column) -> Column:
 
 
 def is_blank(text: Column) -> Column:
-    return F.length(strip(text)) == 0
+    return ~text.rlike(r"(?U)[^\s\x1c-\x1f]")
 
 
 def is_bullet(line: Column) -> Column:

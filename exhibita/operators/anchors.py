@@ -21,6 +21,8 @@ from .evidence import STRETCH, one_text, windows_of
 LONG = 400
 #: A sentence of fewer characters joins the one before.
 SHORT = 10
+#: Characters at a piece's end that tell whether it ends in an abbreviation; a longer word is none.
+TAIL = max(map(len, ABBREVIATIONS)) + 4
 #: The columns of ``units``, besides the item.
 UNIT = ("seg", "block", "kind", "start", "end", "block_text")
 
@@ -55,13 +57,15 @@ def running(lengths: Column) -> Column:
 
 
 def _left(text: Column, pattern: str) -> Column:
-    """Number of leading characters that match a class."""
-    return F.length(text) - F.length(F.regexp_replace(text, rf"(?U)^{pattern}+", ""))
+    """Number of leading characters that match a class; most texts have none, which their first character tells."""
+    some = F.substring(text, 1, 1).rlike(f"(?U){pattern}")
+    return F.when(some, F.length(text) - F.length(F.regexp_replace(text, rf"(?U)^{pattern}+", ""))).otherwise(0)
 
 
 def _right(text: Column) -> Column:
-    """Number of white-space characters at the end."""
-    return F.length(text) - F.length(F.regexp_replace(text, rf"(?U){SPACE}+$", ""))
+    """Number of white-space characters at the end; most texts have none, which their last character tells."""
+    some = F.substring(text, -1, 1).rlike(f"(?U){SPACE}")
+    return F.when(some, F.length(text) - F.length(F.regexp_replace(text, rf"(?U){SPACE}+$", ""))).otherwise(0)
 
 
 def segments_of(text: Column) -> Column:
@@ -146,7 +150,8 @@ def sentences_of(unit: Column) -> Column:
 
     def joined(ps: Column) -> Column:
         def begins(p: Column, i: Column) -> Column:
-            ended = last_word(_at(ps, i - 1)["text"])
+            # a piece before another ends in one mark, right after a letter or digit
+            ended = last_word(F.substring(_at(ps, i - 1)["text"], -TAIL, TAIL))
             return F.when(unit["kind"] == "bullet", is_bullet(p["text"])).otherwise(~ended.isin(*ABBREVIATIONS))
 
         def make(i: Column, j: Column) -> Column:

@@ -131,6 +131,13 @@ def test_pages_of_any_kind(spark):
     assert plain == {0, 7}
 
 
+def test_a_long_word_before_a_sentence_end(spark):
+    word = "x" * 200_000  # a search for the last word from every place would take minutes
+    text = f"{word}ab. Another sentence here. Made by Some Corp. of old.\u2003 And so Ninc. Last sentence one"
+    found = [t if len(t) < 100 else len(t) for _, t in spans(spark, text)]
+    assert found == [len(word) + 3, "Another sentence here.", "Made by Some Corp. of old.", "And so Ninc.", "Last sentence one"]
+
+
 def test_a_named_reference_needs_its_semicolon(spark):
     pages = ["<h1>a&&amp</h1><p>&eacute;x &copyx &notit; &#33; & b</p>", "<table><tr><td>a&lt b&lt;</td></tr></table>"]
     df = spark.createDataFrame(list(enumerate(pages)), "item_id long, html string")
