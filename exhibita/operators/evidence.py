@@ -34,7 +34,7 @@ def read_anchor_json(docs: DataFrame, item: str = "item_id", text: str = "json")
 
 #: Texts of more than ``2 ** PIECE_BITS`` characters are cut into pieces of so many, so that no window is counted out from
 #: the text's beginning.
-PIECE_BITS = 13
+PIECE_BITS = 10
 #: Anchors of one item are nested by this many characters of its text.
 STRETCH = 1 << 22
 
