@@ -90,7 +90,7 @@ def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     def pack(group: pa.Table) -> pa.Table:
         rows = sorted(zip(*(group[c].to_pylist() for c in ("member_pos", "member_name", "text")), strict=True))
         out = io.BytesIO()
-        with tarfile.open(fileobj=out, mode="w:gz") as archive:
+        with tarfile.open(fileobj=out, mode="w:gz", compresslevel=1) as archive:
             folder = tarfile.TarInfo("f.nc")
             folder.type = tarfile.DIRTYPE
             archive.addfile(folder)
