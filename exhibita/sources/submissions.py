@@ -17,15 +17,20 @@ _LINE = LINE_END.replace(r"\r\n|", "")
 READ_ORDER = ("tar_pos", "tarball", "member_pos")
 
 
+#: Rows that are decoded at once.
+SLICE = 256
+
+
 def decode_lossy(df: DataFrame, content: str = "content", text: str = "text") -> DataFrame:
-    """``df`` with ``content`` as UTF-8 ``text``, undecodable bytes dropped."""
+    """``df`` with ``content`` as UTF-8 ``text``, undecodable bytes dropped; a worker holds the texts of ``SLICE`` rows at once."""
     schema = df.drop(content).withColumn(text, F.lit("")).schema
     rest = [c for c in df.columns if c != content]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [None if (b := x.as_py()) is None else b.decode("utf-8", "ignore") for x in batch.column(content)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(texts, pa.string())], names=[*rest, text])
+            for part in (batch.slice(k, SLICE) for k in range(0, batch.num_rows, SLICE)):
+                texts = [None if (b := x.as_py()) is None else b.decode("utf-8", "ignore") for x in part.column(content)]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), pa.array(texts, pa.string())], names=[*rest, text])
 
     return df.select(*rest, content).mapInArrow(read, schema)
 
