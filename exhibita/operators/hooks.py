@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -71,10 +71,10 @@ def index_items(views: DataFrame, prompt: str, select: Callable[[str, str], list
     def calls(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, Iterator[pd.DataFrame]]]:
         for batch in batches:
             for own, view in zip(batch["key"], batch["text"], strict=True):
-                yield own, (pd.DataFrame(select(p, view), columns=values.names) for p in (prompt,))
+                yield own, ([{c: a.get(c) for c in values.names} for a in select(p, view)] for p in (prompt,))
 
     keep = resume.each_call(folder, values, calls)
-    todo.mapInPandas(lambda batches: (pd.DataFrame({"key": [k]}) for k in keep(batches)), "key string").write.format("noop").mode("overwrite").save()
+    todo.mapInPandas(keep, "key string").write.format("noop").mode("overwrite").save()
     found = resume.kept(views.sparkSession, folder, values).where("NOT mark").select("key", "value.*")
     return views.select(item, key.alias("key")).join(found, "key").drop("key").withColumn("prompt_sha256", F.lit(sha256))
 
@@ -93,13 +93,17 @@ def extract_items(
     arrow = to_arrow_schema(values)
 
     if store is None:
-        sorted_ = snippets.repartition(item).sortWithinPartitions(item, *order)
+        # a window moves nothing where an item's snippets are together already, as those of a join by item are
+        (place,) = spare(snippets, "_place")
+        if order:
+            numbered = snippets.withColumn(place, F.row_number().over(Window.partitionBy(item).orderBy(*order)))
+            snippets = numbered.where(F.col(place) > 0).drop(place)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for made in extract(prompt, (b.to_pandas() for b in batches)):
                 yield pa.RecordBatch.from_pandas(made[arrow.names], arrow, preserve_index=False)
 
-        return sorted_.groupBy(item).applyInArrow(run, values)
+        return snippets.groupBy(item).applyInArrow(run, values)
 
     folder = f"{store.rstrip('/')}/extract-{prompt_digest(prompt)}"
     own_item, own_key = spare(snippets, "_item", "_key")
@@ -117,6 +121,6 @@ def extract_items(
             yield own, extract(prompt, (part.drop(columns=own_key) for _, part in group))
 
     keep = resume.each_call(folder, values, calls)
-    rows.mapInPandas(lambda batches: (pd.DataFrame({"key": [k]}) for k in keep(batches)), "key string").write.format("noop").mode("overwrite").save()
+    rows.mapInPandas(keep, "key string").write.format("noop").mode("overwrite").save()
     found = resume.kept(session, folder, values).where("NOT mark")
     return found.join(keys.select(F.col(own_key).alias("key")), "key", "left_semi").select("value.*")

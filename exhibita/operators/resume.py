@@ -25,7 +25,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ..sources.tables import exists, file_system
 
 #: Rows and seconds after which a task writes what it has got.
-ROWS, SECONDS = 1000, 20.0
+ROWS, SECONDS = 20_000, 20.0
+#: Keys of calls that a task gives at once.
+KEYS = 1000
 
 
 def _schema(values: T.StructType) -> T.StructType:
@@ -80,15 +82,16 @@ def kept(spark: SparkSession, folder: str, values: T.StructType) -> DataFrame:
     return rows.join(ended, ["key", "attempt"])
 
 
-def each_call(folder: str, values: T.StructType, calls: Callable[[Iterator], Iterator[tuple[str, Iterator[pd.DataFrame]]]]) -> Callable[[Iterator], Iterator[str]]:
-    """A function of a task's batches that makes calls and keeps their results; it gives the keys of those that it made.
+def each_call(folder: str, values: T.StructType, calls: Callable[[Iterator], Iterator[tuple[str, Iterator[pd.DataFrame | list[dict]]]]]) -> Callable[[Iterator], Iterator[pd.DataFrame]]:
+    """A function of a task's batches that makes calls and keeps their results; it gives frames with the ``key`` of those that it made.
 
-    ``calls`` takes the task's input and gives ``(key, results)``; a call is made while its results are read. Calls whose
+    Results are frames, or lists of rows where a frame for each call would cost more than the call. ``calls`` takes the task's input and gives ``(key, results)``; a call is made while its results are read. Calls whose
     keys an earlier attempt of the task has ended are passed over.
     """
     run, schema = uuid.uuid4().hex, to_arrow_schema(_schema(values))
 
-    def keep(batches: Iterator) -> Iterator[str]:
+    def keep(batches: Iterator) -> Iterator[pd.DataFrame]:
+        made: list[str] = []
         out = _Writer(folder, run, schema)
         ended = out.ended()
         try:
@@ -96,10 +99,14 @@ def each_call(folder: str, values: T.StructType, calls: Callable[[Iterator], Ite
                 if key in ended:
                     continue
                 for frame in results:
-                    for row in frame.to_dict("records"):
+                    for row in frame if isinstance(frame, list) else frame.to_dict("records"):
                         out.add(key, {k: _plain(v) for k, v in row.items()}, False)
                 out.add(key, None, True)
-                yield key
+                made.append(key)
+                if len(made) == KEYS:
+                    yield pd.DataFrame({"key": made})
+                    made = []
+            yield pd.DataFrame({"key": made}, dtype=object)
         finally:
             out.flush()
 

@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from types import SimpleNamespace
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -457,6 +458,40 @@ def test_exhibits_are_chosen_by_their_places(spark, tmp_path, monkeypatch):
         assert ("html" in "".join(x for x in plan.splitlines() if "Exchange hash" in x)) is False
 
 
+def test_an_items_snippets_are_not_dealt_out_again_for_extraction(spark, tmp_path):
+    spark.createDataFrame([(k, f"text {k} of item. " * 9) for k in range(20)], "item_id long, text string").write.parquet(f"{tmp_path}/t")
+    texts, keep = spark.read.parquet(f"{tmp_path}/t"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = evidence.snippets(anchors.anchors(texts), texts)
+
+        def extract(prompt, frames):
+            yield pd.DataFrame({"starts": [[int(s) for f in frames for s in f["start"]]]})
+
+        out = hooks.extract_items(found, "p", extract, "starts array<long>", order=["start"])
+        moved = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        assert moved(out) == moved(found)
+        assert [r[0] for r in out.collect()] == [sorted(r[0]) for r in out.collect()] and out.count() == 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+
+
+def test_many_small_calls_are_kept_in_few_files(spark, tmp_path):
+    views = spark.range(3000).select(F.col("id").alias("item_id"), F.col("id").cast("string").alias("text")).coalesce(1)
+    found = hooks.index_items(views.repartition(1), "p", lambda p, v: [{"anchor_id": v, "label": "l", "type": "t", "start": 0, "end": 1}], store=str(tmp_path / "s"))
+    assert {(r["item_id"], r["anchor_id"]) for r in found.collect()} == {(k, str(k)) for k in range(3000)}
+    assert len(list((tmp_path / "s").rglob("*.parquet"))) <= 4
+
+
+def test_lossy_texts_are_decoded_a_few_at_a_time(spark, monkeypatch):
+    df = spark.range(3).select("id", F.lit(b"x").alias("content"))
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, read, schema: read)
+    batch = pa.RecordBatch.from_pydict({"id": list(range(1000)), "content": [b"a\xff%d" % k for k in range(1000)]})
+    parts = list(S.decode_lossy(df)(iter([batch])))
+    assert max(p.num_rows for p in parts) <= S.SLICE
+    assert [t for p in parts for t in p.column("text").to_pylist()] == [f"a{k}" for k in range(1000)]
+
+
 def test_filters(spark):
     docs = spark.createDataFrame([(1, "EX-1"), (2, None)], "cik long, type string")
     assert hooks.filter_documents(docs).count() == 2
