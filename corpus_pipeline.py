@@ -2,7 +2,8 @@
 
 Every stage takes documents with any further columns, whatever their names, keeps all columns, and works on whole texts
 of any length. Nulls may stand in any column, rows may repeat, and tables may be empty: an empty ``documents`` gives an
-empty result, an empty ``labels`` or ``benchmark`` drops nothing.
+empty result, an empty ``labels`` or ``benchmark`` drops nothing. The stages with Python send rows to it in small batches, which
+is a setting of the session (``small_batches``).
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from exhibita.llm import decontaminate, mixing, sharding, simhash, toxicity
-from exhibita.llm.common import table, written
+from exhibita.llm.common import small_batches, table, written
 
 #: Toxicity and the Poisson table are fitted models, so SQL does not express the whole run; tests hold the
 #: stages against brute force instead.
@@ -25,6 +26,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     Null and empty texts score as the bias does and stay, unless nearly all labels are toxic. Repeated rows fare alike;
     labels without an id or a value, and those of held-out ids, are not learnt from. Without labels nothing is dropped.
     """
+    small_batches(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.classify(docs, model).where("predicted = 0").select(*docs.columns)
 
@@ -35,6 +37,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts are copies of one another. Of repeated rows one stays; where different texts share the smallest
     id, the one with the lowest hash stays. Rows without an id stay, all of them.
     """
+    small_batches(spark)
     return simhash.keep_one_of_each(docs)
 
 
@@ -43,6 +46,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Null and empty texts have no words and stay. Repeated rows fare alike. Items without an id or a text count nothing.
     """
+    small_batches(spark)
     return decontaminate.remove_documents(docs, table(spark, sf_dir, "benchmark"))
 
 

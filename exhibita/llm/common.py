@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+#: Bytes of rows that a Python worker gets at once, see ``small_batches``.
+BATCH_BYTES = 4 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table, through Spark's reader so that any file system works."""
@@ -119,13 +122,27 @@ def spare(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def with_made(df: DataFrame, kept: list[str], inputs: list[Column], new: dict[str, T.DataType], make: Callable[[], Callable]) -> DataFrame:
+def small_batches(spark: SparkSession) -> None:
+    """Lets Spark send rows to Python workers ``BATCH_BYTES`` at a time in this session, unless it has a limit of its own.
+
+    By Spark's default a batch is 10,000 rows of any size, which executor and worker each hold whole, and back again.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+def with_made(df: DataFrame, kept: list[str], inputs: list[Column | str], new: dict[str, T.DataType], make: Callable[[], Callable]) -> DataFrame:
     """The columns ``kept`` of ``df`` and what a function makes of ``inputs``, one Arrow batch after the other.
 
     ``make`` is called once in each task and returns the function; that takes an Arrow array for each input and
-    returns values for each of the ``new`` columns. Names stay out of the job, so any will do.
+    returns values for each of the ``new`` columns. An input that is the name of one of ``kept`` is not sent a second time.
+    Names stay out of the job, so any will do.
     """
-    rows = df.select(*(named(c).alias(f"k{i}") for i, c in enumerate(kept)), *(x.alias(f"i{i}") for i, x in enumerate(inputs)))
+    sent = [x for x in inputs if isinstance(x, Column)]
+    others = iter(range(len(kept), len(kept) + len(sent)))
+    places = [next(others) if isinstance(x, Column) else kept.index(x) for x in inputs]
+    rows = df.select(*(named(c).alias(f"k{i}") for i, c in enumerate(kept)), *(x.alias(f"i{i}") for i, x in enumerate(sent)))
     fields = [T.StructField(f"k{i}", df.schema[c].dataType) for i, c in enumerate(kept)]
     fields += [T.StructField(f"n{i}", kind) for i, kind in enumerate(new.values())]
     names, n, types = [f.name for f in fields], len(kept), [to_arrow_type(kind) for kind in new.values()]
@@ -133,7 +150,7 @@ def with_made(df: DataFrame, kept: list[str], inputs: list[Column], new: dict[st
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = make()
         for batch in batches:
-            made = function(*batch.columns[n:])
+            made = function(*(batch.columns[p] for p in places))
             arrays = [m if isinstance(m, pa.Array) else pa.array(m, t) for m, t in zip(made, types, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], *arrays], names=names)
 

@@ -171,6 +171,8 @@ def find_contamination(
     base = without(docs, *COLUMNS)
     kept = [c for c in base.columns if keep is None or c in keep]
     spark, body = docs.sparkSession, named(text).cast("binary")
+    # a text that is kept goes to Python once
+    once = text in kept and isinstance(base.schema[text].dataType, (T.StringType, T.BinaryType))
     items = benchmark.select(named(item).cast("string").alias("item"), named(item_text).cast("binary").alias("text"))
     items = items.where("item IS NOT NULL AND length(text) > 0")
     size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
@@ -178,7 +180,7 @@ def find_contamination(
     new = dict(zip(COLUMNS, (T.LongType(), T.ArrayType(T.IntegerType()), T.ArrayType(T.StringType())), strict=True))
     if n == 1:
         shared = spark.sparkContext.broadcast(next(_blocks(items, 1, window)))
-        return with_made(base, kept, [body], new, lambda: lambda texts: _scan(shared.value, texts))
+        return with_made(base, kept, [text if once else body], new, lambda: lambda texts: _scan(shared.value, texts))
 
     def scan(shared) -> DataFrame:
         rows = base.select(body.alias("text")).where("text IS NOT NULL").select("text", F.md5("text").alias("digest"))
@@ -190,12 +192,12 @@ def find_contamination(
     hits = hits.groupBy("digest").agg(F.collect_set("hit_spans").alias("spans"), F.flatten(F.collect_set("hit_items")).alias("items"))
     size = hits.agg(F.coalesce(F.sum(F.length(F.to_json(F.struct("spans", "items"))) + 50), F.lit(0))).first()[0]
     hits = F.broadcast(hits) if size <= BROADCAST_BYTES else hits
-    inner = base.select(*(named(c).alias(f"k{i}") for i, c in enumerate(kept)), body.alias("text"), F.md5(body).alias("digest"))
+    inner = base.select(*(named(c).alias(f"k{i}") for i, c in enumerate(kept)), *([] if once else [body.alias("text")]), F.md5(body).alias("digest"))
     inner = inner.join(hits, "digest", "left")
 
     def gather(texts: pa.Array, spans: pa.Array, items: pa.Array) -> list[list]:
         made: list[list] = [[], [], []]
-        for data, own, known in zip(texts, spans, items, strict=True):
+        for data, own, known in zip(texts.cast(pa.large_binary()), spans, items, strict=True):
             total = count_words(data.as_py())
             covered = np.zeros(total if own.is_valid else 0, bool)
             for edges in own.as_py() or ():
@@ -205,13 +207,13 @@ def find_contamination(
                 column.append(value)
         return made
 
-    found = with_made(inner, [f"k{i}" for i in range(len(kept))], [F.col("text"), F.col("spans"), F.col("items")], new, lambda: gather)
+    found = with_made(inner, [f"k{i}" for i in range(len(kept))], [f"k{kept.index(text)}" if once else F.col("text"), F.col("spans"), F.col("items")], new, lambda: gather)
     return found.toDF(*kept, *COLUMNS)
 
 
 def _scan(windows: Windows, texts: pa.Array) -> list[list]:
     made: list[list] = [[], [], []]
-    for data in texts:
+    for data in texts.cast(pa.large_binary()):
         ids = windows.numbers(data.as_py())
         covered = np.zeros(len(ids), bool)
         items = sorted(windows.scan(ids, covered))

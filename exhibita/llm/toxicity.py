@@ -310,7 +310,7 @@ def classify(docs: DataFrame, model: Model, text: str = "text", threshold: float
         judge = shared.value.score
         return lambda texts: [[judge(t.as_py()) for t in texts]]
 
-    scored = with_made(base, kept, [named(text)], {"score": T.DoubleType()}, make)
+    scored = with_made(base, kept, [text if text in kept else named(text)], {"score": T.DoubleType()}, make)
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 

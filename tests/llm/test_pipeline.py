@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from exhibita.llm import mixing
-from exhibita.llm.common import shared_dir
+from exhibita.llm.common import BATCH_BYTES, shared_dir, small_batches
 
 
 @pytest.fixture(scope="module")
@@ -72,6 +72,46 @@ def test_empty_tables(spark, tables, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+def test_python_gets_small_batches_and_each_text_once(spark, tables, tmp_path, monkeypatch):
+    path, _ = tables
+    rnd = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{x}" for x in rnd.integers(0, 10**6, 500)), "en", "src0", 0) for i in range(2000)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    frame, seen = type(docs), []
+
+    def watched(self, func, schema, *args, **options):
+        seen.append(self.columns)
+
+        def checked(batches):
+            def each():
+                for batch in batches:
+                    if batch.nbytes > 5 << 20:
+                        raise ValueError(f"{batch.nbytes} bytes in a batch")
+                    yield batch
+
+            yield from func(each())
+
+        return original(self, checked, schema, *args, **options)
+
+    original = frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", watched)
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        assert stage(spark, docs, path).count() == 2000
+    assert seen.count([f"k{i}" for i in range(5)]) == 2
+
+
+def test_a_session_keeps_its_own_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    other = spark.newSession()
+    other.conf.set(key, "1m")
+    small_batches(other)
+    assert other.conf.get(key) == "1m"
+    other = spark.newSession()
+    small_batches(other)
+    assert int(other.conf.get(key)) == BATCH_BYTES
+
+
 def test_registry():
     names = entry.queries()
     assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in names if k.startswith("op")} and "pipeline" in names
