@@ -7,12 +7,14 @@ that could be equal meet in one partition, whose size follows from the total of
 different segments share (a short notice, a run of dashes) would fill one partition; a count finds such ones first,
 and their windows are dealt out each by itself, by their own hash.
 
-Round one indexes segments as they are. In each partition the batches come in order of their smallest document. Each
-becomes an array of its distinct segments in order, is merge-scanned against the existing levels of the family for
-segments that a smaller document has, and then becomes a level itself; levels of like size merge, so that their sizes
-grow geometrically. Batches whose documents overlap in number with later ones are scanned once more when those are in.
+Round one indexes segments as they are. In each partition the batches come in order of their smallest document. Each,
+or several of ``SCAN`` keys together, becomes an array of its distinct segments in order, is merge-scanned against the
+existing levels of the family for segments that a smaller document has, and then becomes a level itself; levels of like
+size merge, so that their sizes grow geometrically. Where documents overlap in number with those of later batches, they
+are scanned once more when those are in.
 Round two takes the segments that share an assignment with different ones (some 5 %): the first holder of each sends
-its bytes, and a family of arrays of real 50-byte suffixes, in byte order, settles their windows one by one.
+its bytes. Windows whose hash no other document has cannot be equal to another's; the others go, batch by batch, into a
+family of arrays of real 50-byte suffixes, in byte order, which settles them one by one.
 
 With ``index`` the batches and levels are kept as Parquet, and later documents are scanned against them: the levels
 that a generation merges are superseded, the others stay as they were written.
@@ -41,6 +43,8 @@ LENGTH = 50
 GRAM = 20
 #: Bytes of text in a batch, and bytes of text that one index partition stands for.
 BATCH_BYTES, PART_BYTES = 8 << 20, 24 << 20
+#: Keys that a partition scans against its levels at once; the messages of several batches make up so many.
+SCAN = 1 << 17
 #: Windows of a text that are hashed at once.
 PIECE = 1 << 16
 #: Windows in a segment at most, so that its first and last window cover all of it.
@@ -55,36 +59,35 @@ BASE, MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(MIX)
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(MIX)
-    return h ^ (h >> np.uint64(32))
+    h = h ^ (h >> np.uint64(32))
+    h *= np.uint64(MIX)
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(MIX)
+    h ^= h >> np.uint64(32)
+    return h
 
 
-def _powers(n: int) -> dict[int, np.uint64]:
-    return {s: np.uint64(pow(BASE, s, 1 << 64)) for s in (1 << i for i in range(n.bit_length()))}
+_POWER = {s: np.uint64(pow(BASE, s, 1 << 64)) for s in (1, 2, 4, 8, 16)}
 
 
-_POWER = _powers(LENGTH)
-
+def _doubled(data: np.ndarray) -> dict[int, np.ndarray]:
+    """Polynomial hashes of all strings of 1, 2, 4, 8 and 16 bytes."""
+    out = {1: data.astype(np.uint64) + np.uint64(1)}
+    for s in (1, 2, 4, 8):
+        out[2 * s] = out[s][:-s] * _POWER[s]
+        out[2 * s] += out[s][s:]
+    return out
 
-def _hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Polynomial hashes of all strings of GRAM and of LENGTH bytes, by doubling."""
-    doubled = {1: data.astype(np.uint64) + np.uint64(1)}
-    s = 1
-    while 2 * s <= LENGTH:
-        doubled[2 * s] = doubled[s][:-s] * _POWER[s] + doubled[s][s:]
-        s *= 2
 
-    def of(n: int) -> np.ndarray:
-        out, at, count = None, 0, len(data) - n + 1
-        for s in sorted(doubled, reverse=True):
-            if n & s:
-                part = doubled[s][at : at + count]
-                out = part if out is None else out * _POWER[s] + part
-                at += s
-        return out
-
-    return of(GRAM), of(LENGTH)
+def _hashes(doubled: dict[int, np.ndarray], n: int, places: np.ndarray | None = None) -> np.ndarray:
+    """Polynomial hashes of the strings of ``n`` bytes, at all places or at some."""
+    out, at, count = None, 0, len(doubled[1]) - n + 1
+    while at < n:
+        s = max(k for k in doubled if k <= n - at)
+        part = doubled[s][at : at + count] if places is None else doubled[s][places + at]
+        out = part if out is None else out * _POWER[s] + part
+        at += s
+    return out
 
 
 def _lowest(h: np.ndarray, width: int) -> np.ndarray:
@@ -110,11 +113,11 @@ def segments(data: bytes, start: np.ndarray, end: np.ndarray, hot: np.ndarray) -
     start, beyond = start[which], end[which] - LENGTH + 1
     raw, parts = np.frombuffer(data, np.uint8), []
     for at in range(0, len(raw) - LENGTH + 1, PIECE):
-        grams, windows = _hashes(raw[at : at + PIECE + LENGTH - 1])
-        low = _lowest(_mixed(grams), RUN)
+        doubled = _doubled(raw[at : at + PIECE + LENGTH - 1])
+        low = _lowest(_mixed(_hashes(doubled, GRAM)), RUN)
         if len(hot):
-            at_hot = np.minimum(np.searchsorted(hot, low), len(hot) - 1)
-            low = np.where(hot[at_hot] == low, _mixed(windows ^ np.uint64(MIX)), low)
+            at_hot = np.flatnonzero(hot[np.minimum(np.searchsorted(hot, low), len(hot) - 1)] == low)
+            low[at_hot] = _mixed(_hashes(doubled, LENGTH, at_hot) ^ np.uint64(MIX))
         edges = [start, beyond]
         edges = [x[np.searchsorted(x, at) : np.searchsorted(x, at + len(low))] - at for x in edges]
         cut = np.zeros(len(low) + 1, bool)
@@ -132,7 +135,7 @@ def segments(data: bytes, start: np.ndarray, end: np.ndarray, hot: np.ndarray) -
             pieces = -(-size // RUN)
             step = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
             first, size, text = np.repeat(first, pieces) + step * RUN, np.minimum(RUN, np.repeat(size, pieces) - step * RUN), np.repeat(text, pieces)
-        content = _mixed(windows[first]) * np.uint64(BASE) + windows[first + size - 1] + size.astype(np.uint64)
+        content = _mixed(_hashes(doubled, LENGTH, first)) * np.uint64(BASE) + _hashes(doubled, LENGTH, first + size - 1) + size.astype(np.uint64)
         parts.append((low[first], content, first + at, size, which[text]))
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
@@ -155,23 +158,25 @@ class Family:
         order = sorted(range(len(self.levels)), key=lambda k: -len(self.levels[k][0]))
         self.levels, self.made = [self.levels[k] for k in order], [self.made[k] for k in order]
 
-    def insert(self, keys: np.ndarray, check: np.ndarray | None, docs: np.ndarray, batch: int = 0) -> np.ndarray:
+    def insert(self, keys: np.ndarray, check: np.ndarray | None, docs: np.ndarray, batch: int | np.ndarray = 0) -> np.ndarray:
         """Scans a new batch against the levels and itself and makes it a level; keys may repeat and come in any order.
 
         Returns the smallest document of each key so far.
         """
-        new, made = self._array(keys, check, docs, np.full(len(keys), batch)), set()
-        found = np.minimum(self.smallest(keys, check), self._look(new, keys, check))
+        *new, order, group = self._sorted(keys, check, docs, np.broadcast_to(batch, len(keys)))
+        made, found = set(), np.empty(len(keys), np.int64)
+        found[order] = np.minimum(self.smallest(new[0], new[1]), new[2])[group]
         while self.levels and len(self.levels[-1][0]) <= 2 * len(new[0]):
             new, made = self._both(self.levels.pop(), new), made | self.made.pop()
-        self.levels.append(new)
+        self.levels.append(tuple(new))
         self.made.append(made)
         return found
 
     @staticmethod
-    def _array(keys, check, docs, batches) -> tuple:
+    def _sorted(keys, check, docs, batches) -> tuple:
+        """A level, the order of the keys, and each ordered key's place in the level."""
         if not len(keys):
-            return keys, check, docs, batches
+            return keys, check, docs, batches, np.zeros(0, np.int64), np.zeros(0, np.int64)
         order = np.argsort(keys, kind="stable")  # merges runs that are in order already
         keys, docs, batches = keys[order], docs[order], batches[order]
         new = np.concatenate(([True], keys[1:] != keys[:-1]))
@@ -182,11 +187,11 @@ class Family:
         low = np.minimum.reduceat(docs, first)
         group = np.cumsum(new) - 1
         at = np.flatnonzero(docs == low[group])
-        holder = at[np.unique(group[at], return_index=True)[1]]
-        return keys[first], None if check is None else check[first], low, batches[holder]
+        holder = at[np.concatenate(([True], group[at[1:]] != group[at[:-1]]))]
+        return keys[first], None if check is None else check[first], low, batches[holder], order, group
 
     def _both(self, a: tuple, b: tuple) -> tuple:
-        return self._array(*(None if x is None else np.concatenate((x, y)) for x, y in zip(a, b, strict=True)))
+        return self._sorted(*(None if x is None else np.concatenate((x, y)) for x, y in zip(a, b, strict=True)))[:4]
 
     def whole(self) -> tuple:
         """All levels as one array; the levels stay."""
@@ -271,12 +276,23 @@ class Batch:
     def text(self, which: np.ndarray) -> np.ndarray:
         """The bytes of distinct segments, one after the other."""
         at = self.head[which]
-        return _ranges(np.frombuffer(self.data, np.uint8), self.first[at], self.size[at] + LENGTH - 1)
+        return np.frombuffer(self.data, np.uint8)[_places(self.first[at], self.size[at] + LENGTH - 1)]
+
 
+def _places(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers from each ``start`` on, ``size`` of them, one range after the other."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
-def _ranges(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    at = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
-    return values[at]
+
+def _together(sizes: list[int], least: int) -> list[tuple[int, int]]:
+    """Ranges of neighbours, each of ``least`` or more in all but the last."""
+    cuts, held = [0], 0
+    for k, n in enumerate(sizes):
+        held += n
+        if held >= least or k == len(sizes) - 1:
+            cuts.append(k + 1)
+            held = 0
+    return list(zip(cuts, cuts[1:]))
 
 
 BATCH = "chunk long, n_bytes long, ids array<long>, sizes array<int>, blob binary"
@@ -373,13 +389,14 @@ def _round_one(chunks: DataFrame, n_parts: int, hot: Broadcast, levels: DataFram
                 key, low, chunk = _unpack(blob.as_py(), "u8", "u4", "i8")
                 family.stored((key, low, np.full(len(key), STORED), chunk), made)
         sent.sort(key=lambda x: (int(x[3].min()), x[0]))
-        least = np.array([int(x[3].min()) for x in sent])
-        earlier = []
-        for chunk, key, low, doc in sent:
-            earlier.append(family.insert(key, low, doc, chunk) < doc)
-        for k, (_, key, low, doc) in enumerate(sent):
-            if (least[k + 1 :] < doc.max()).any():  # a later batch has smaller documents
-                earlier[k] |= family.smallest(key, low) < doc
+        scans = []
+        for s, e in _together([len(x[1]) for x in sent], SCAN):
+            key, low, doc = (np.concatenate([x[k] for x in sent[s:e]]) for k in (1, 2, 3))
+            chunk = np.repeat([x[0] for x in sent[s:e]], [len(x[1]) for x in sent[s:e]])
+            scans.append((s, e, low, family.insert(key, low, doc, chunk) < doc, key, doc))
+        for _, e, low, settled, key, doc in scans:
+            if e < len(sent) and sent[e][3].min() < doc.max():  # a later batch has smaller documents
+                settled |= family.smallest(key, low) < doc
         # how many different segments, and documents, share an assignment
         key, low, doc, chunk = family.whole() if family.levels else (np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64))
         order = np.argsort(low, kind="stable")
@@ -389,12 +406,14 @@ def _round_one(chunks: DataFrame, n_parts: int, hot: Broadcast, levels: DataFram
         if len(first):
             several &= np.minimum.reduceat(doc[order], first) != np.maximum.reduceat(doc[order], first)
         shared, rows, opened = low[order][first][several], [], []
-        for (own, key_, low_, _), settled in zip(sent, earlier, strict=True):
+        for s, e, low_, settled, *_ in scans:
             at = np.minimum(np.searchsorted(shared, low_), max(len(shared) - 1, 0))
             open_ = ~settled & (shared[at] == low_) if len(shared) else np.zeros(len(low_), bool)
             opened.append(low_[open_])
-            if settled.any() or open_.any():
-                rows.append((part, own, 0, [], _pack(np.packbits(settled), np.packbits(open_))))
+            cuts = np.cumsum([len(x[1]) for x in sent[s : e - 1]], dtype=np.int64)
+            for x, mine, its in zip(sent[s:e], np.split(settled, cuts), np.split(open_, cuts), strict=True):
+                if mine.any() or its.any():
+                    rows.append((part, x[0], 0, [], _pack(np.packbits(mine), np.packbits(its))))
         if keeps:
             asked = np.isin(low, np.concatenate([np.zeros(0, np.uint32), *opened])) & (doc == STORED)
             for own in np.unique(chunk[asked]):
@@ -437,6 +456,23 @@ def _keys(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return key, low, (doc.astype(np.uint64) + (high.astype(np.uint64) << np.uint64(32))).astype(np.int64) + base[0]
 
 
+def _several(hashes: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Which windows have a hash that another document has too: no others can be equal."""
+    order = np.argsort(hashes)
+    hashes, docs, out = hashes[order], docs[order], np.empty(len(order), bool)
+    first = np.flatnonzero(np.concatenate((np.ones(min(len(order), 1), bool), hashes[1:] != hashes[:-1])))
+    if len(first):
+        several = np.minimum.reduceat(docs, first) != np.maximum.reduceat(docs, first)
+        out[order] = np.repeat(several, np.diff(np.concatenate((first, [len(order)]))))
+    return out
+
+
+def _suffixes(text: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The ``LENGTH`` bytes from each place on, as strings in byte order."""
+    view = np.lib.stride_tricks.sliding_window_view(text, LENGTH)[at]
+    return np.ascontiguousarray(view).view(f"S{LENGTH}").ravel()
+
+
 def _round_two(chunks: DataFrame, n_parts: int, hot: Broadcast, stored: DataFrame | None = None) -> DataFrame:
     """Verdicts on the open windows of the batches, and of ``stored`` ones the segments that they are asked for."""
 
@@ -462,33 +498,39 @@ def _round_two(chunks: DataFrame, n_parts: int, hot: Broadcast, stored: DataFram
             yield bytes_of(b, row, lambda p, s, e, b=b, asked=asked: s + np.flatnonzero(np.isin(b.key[s:e], asked.get(p, none))), lambda which: np.full(len(which), STORED))
 
     def settle(group: pa.Table) -> pa.Table:
-        def suffixes(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-            size, doc, text = _unpack(blob, "u1", "i8", "u1")
+        part, family, sent, rows = group["part"][0].as_py(), Family(), [], []
+        for chunk, blob in zip(group["chunk"], group["blob"], strict=True):
+            size, doc, text = _unpack(blob.as_py(), "u1", "i8", "u1")
             size = size.astype(np.int64)
-            length = size + LENGTH - 1
-            start = np.cumsum(length) - length
-            at = _ranges(np.arange(len(text)), start, size)
-            view = np.lib.stride_tricks.sliding_window_view(text, LENGTH)[at]
-            return np.ascontiguousarray(view).view(f"S{LENGTH}").ravel(), np.repeat(doc, size)
-
-        def order(k: int) -> tuple:
-            doc = _unpack(group["blob"][k].as_py(), "u1", "i8", "u1")[1]
-            return int(doc.min()), int(doc.max()), k
-
-        part, family, rows = group["part"][0].as_py(), Family(), []
-        ranges = sorted(order(k) for k in range(group.num_rows))
-        least = np.array([x[0] for x in ranges])
-        found: dict[int, np.ndarray] = {}
-        for _, _, k in ranges:
-            key, doc = suffixes(group["blob"][k].as_py())
-            found[k] = family.insert(key, None, doc) < doc
-        for n, (_, most, k) in enumerate(ranges):
-            if (least[n + 1 :] < most).any():  # a later batch has smaller documents
-                key, doc = suffixes(group["blob"][k].as_py())
-                found[k] |= family.smallest(key) < doc
-        for _, most, k in ranges:
+            at = _places(np.cumsum(size + LENGTH - 1) - (size + LENGTH - 1), size)
+            sent.append((int(doc.min()), int(doc.max()), chunk.as_py(), text, at, np.repeat(doc, size)))
+        sent.sort(key=lambda x: x[:3])
+        ends = np.cumsum([0, *(len(x[4]) for x in sent)])
+        hashes = np.empty(ends[-1], np.uint64)
+        for s, e, x in zip(ends, ends[1:], sent):
+            hashes[s:e] = _hashes(_doubled(x[3]), LENGTH, x[4])
+        several = np.split(_several(hashes, np.concatenate([x[5] for x in sent])), ends[1:-1])
+        del hashes
+
+        def shared(s: int, e: int) -> tuple[np.ndarray, np.ndarray]:
+            keys = [_suffixes(x[3], x[4][k]) for x, k in zip(sent[s:e], several[s:e], strict=True)]
+            return np.concatenate(keys), np.concatenate([x[5][k] for x, k in zip(sent[s:e], several[s:e], strict=True)])
+
+        scans = []
+        for s, e in _together([int(x.sum()) for x in several], SCAN):
+            key, doc = shared(s, e)
+            scans.append((s, e, doc.max(initial=STORED), family.insert(key, None, doc) < doc))
+        for s, e, most, hit in scans:
+            if e < len(sent) and sent[e][0] < most:  # a later batch has smaller documents
+                key, doc = shared(s, e)
+                hit |= family.smallest(key) < doc
+        hits, s = np.concatenate([x[3] for x in scans]), 0
+        for (_, most, chunk, *_), found in zip(sent, several, strict=True):
+            at = np.flatnonzero(found)
+            found[at] = hits[s : s + len(at)]
+            s += len(at)
             if most != STORED:
-                rows.append((part, group["chunk"][k].as_py(), _pack(np.packbits(found[k]))))
+                rows.append((part, chunk, _pack(np.packbits(found))))
         return pa.Table.from_batches([_rows(rows, _SENT)])
 
     rows = chunks.mapInArrow(send, SENT)
@@ -504,15 +546,16 @@ def _removed(b: Batch, one: list[dict] | None, two: list[dict] | None) -> Iterat
     whole = earlier[b.group] | (b.ids[b.doc] > holder)
     first, size, doc = [b.first[whole]], [b.size[whole]], [b.doc[whole]]
     if two:
-        bits = np.zeros(int(b.size[b.head].sum()), bool)  # by distinct segment and window
-        start = np.cumsum(b.size[b.head]) - b.size[b.head]
+        windows = b.size[b.head]
+        bits = np.zeros(int(windows.sum()), bool)  # by distinct segment and window
+        start = np.cumsum(windows) - windows
         for x in two:
             s, e = b.parts[x["part"]]
             which = s + np.flatnonzero(open_[s:e])
-            n = b.size[b.head[which]]
-            bits[_ranges(np.arange(len(bits)), start[which], n)] = np.unpackbits(*_unpack(x["blob"], "u1"), count=int(n.sum()))
+            n = windows[which]
+            bits[_places(start[which], n)] = np.unpackbits(*_unpack(x["blob"], "u1"), count=int(n.sum()))
         mine = np.flatnonzero(open_[b.group] & ~whole)
-        at = _ranges(np.arange(len(bits)), start[b.group[mine]], b.size[mine])
+        at = _places(start[b.group[mine]], b.size[mine])
         window = np.repeat(b.first[mine], b.size[mine]) + at - np.repeat(start[b.group[mine]], b.size[mine])
         hit = bits[at]
         first.append(window[hit])

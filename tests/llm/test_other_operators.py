@@ -96,6 +96,61 @@ def test_hot_assignments_are_dealt_by_window(spark, monkeypatch):
     assert got == brute_repeats([(i, t.encode()) for i, t in rows])
 
 
+@pytest.mark.parametrize("scan", [1, 400])
+def test_scans_of_several_batches_compare_bytes(spark, monkeypatch, scan):
+    monkeypatch.setattr(repeats, "BATCH_BYTES", 700)
+    monkeypatch.setattr(repeats, "SCAN", scan)
+    monkeypatch.setattr(repeats, "_several", lambda hashes, docs: np.ones(len(hashes), bool))  # as if all hashes were one
+    rows = repeat_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter(map(tuple, repeats.remove_repeats(df).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()))
+    assert got == brute_repeats([(i, (t or "").encode()) for i, t in rows])
+
+
+def test_only_windows_that_two_documents_may_share_are_ordered():
+    hashes, docs = np.array([7, 3, 7, 3, 5, 9, 9], np.uint64), np.array([1, 2, 4, 2, 1, 8, repeats.STORED])
+    assert repeats._several(hashes, docs).tolist() == [True, False, True, False, False, True, True]
+    assert repeats._several(hashes[:0], docs[:0]).tolist() == []
+
+
+def test_several_messages_are_scanned_at_once():
+    sizes = [5, 1, 2, 9, 3, 3, 1]
+    cuts = repeats._together(sizes, 6)
+    assert cuts == [(0, 2), (2, 4), (4, 6), (6, 7)] and repeats._together([], 6) == []
+    rnd, family, smallest = np.random.default_rng(1), repeats.Family(), {}
+    for n in range(30):
+        keys = rnd.integers(0, 300, 90).astype(np.uint64)
+        docs, batches = rnd.integers(0, 1000, 90), rnd.integers(0, 5, 90) + 10 * n
+        for k, d in zip(keys.tolist(), docs.tolist(), strict=True):
+            smallest[k] = min(smallest.get(k, d), d)
+        assert family.insert(keys, keys % np.uint64(3), docs, batches).tolist() == [smallest[k] for k in keys.tolist()]
+
+
+def test_work_on_a_batch_does_not_grow_with_the_partitions(monkeypatch):
+    rnd, made = random.Random(4), {}
+    texts = ["".join(rnd.choice("abcdefgh ") for _ in range(3000)).encode() for _ in range(10)]
+    row = {"ids": list(range(10)), "sizes": [3000] * 10, "blob": repeats.zstandard.ZstdCompressor().compress(b"".join(texts))}
+
+    class Counted:
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+        def arange(self, *args):
+            out = np.arange(*args)
+            made[n_parts] = made.get(n_parts, 0) + len(out)
+            return out
+
+    monkeypatch.setattr(repeats, "np", Counted())
+    for n_parts in (2, 64):
+        b, one, two = repeats.Batch(row, n_parts, np.zeros(0, np.uint64)), [], []
+        for p, (s, e) in b.parts.items():
+            one.append({"part": p, "blob": repeats._pack(np.packbits(np.zeros(e - s, bool)), np.packbits(np.ones(e - s, bool)))})
+            two.append({"part": p, "blob": repeats._pack(np.packbits(np.ones(int(b.size[b.head[s:e]].sum()), bool)))})
+        made[n_parts] = 0
+        assert [edges.tolist() for _, edges in repeats._removed(b, one, two)] == [[0, 3000]] * 10
+    assert made[64] < 1.1 * made[2]
+
+
 @pytest.mark.parametrize("hot", [150_000, 3])
 def test_new_batches_meet_a_stored_index(spark, tmp_path, monkeypatch, hot):
     monkeypatch.setattr(repeats, "BATCH_BYTES", 900)
